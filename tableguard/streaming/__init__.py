@@ -1,0 +1,7 @@
+"""Structured Streaming: none is needed.
+
+Checks, loads and readiness all run on batch snapshots of tables and logs;
+there is no watermark, window or state in their semantics.  A streaming load
+can still run a suite per micro-batch with ``foreachBatch`` by calling
+``run_suite`` on the batch DataFrame; nothing here wraps that.
+"""
