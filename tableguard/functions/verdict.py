@@ -30,13 +30,16 @@ def ratio(tgt, src) -> Column:
 
 def mode_predicate(tgt, src, mode, value, low) -> Column:
     """Predicate of the threshold mode on the relative change."""
-    r = ratio(tgt, src)
+    t, s = _c(tgt).cast("double"), _c(src).cast("double")
+    r = F.try_divide(t - s, s)
+    # abs() of the difference only: the denominator keeps its sign.
+    ar = F.try_divide(F.abs(t - s), s)
     mode, value, low = _c(mode), _c(value).cast("double"), _c(low).cast("double")
     return (
-        F.when(mode == "range", F.abs(r).between(low, value))
+        F.when(mode == "range", ar.between(low, value))
         .when(mode == "upward", r.between(F.lit(0.0), value))
         .when(mode == "downward", r.between(value, F.lit(0.0)))
-        .otherwise(F.abs(r) <= value)
+        .otherwise(ar <= value)
     )
 
 
@@ -59,7 +62,8 @@ def source_count_pass(tgt, src, value) -> Column:
         F.when(src.isNull(), F.lit(False))
         .when(src == 0, F.lit(False))
         .when(tgt == 0, F.lit(False))
-        .when(F.abs(ratio(tgt, src)) <= _c(value).cast("double"), F.lit(True))
+        .when(F.try_divide(F.abs(tgt.cast("double") - src.cast("double")), src.cast("double"))
+              <= _c(value).cast("double"), F.lit(True))
         .otherwise(F.lit(False))
     )
 

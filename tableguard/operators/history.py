@@ -54,7 +54,7 @@ def wanted_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 
 def _series(history: DataFrame, wanted: DataFrame, dq_name: str, ctx: RunContext) -> DataFrame:
-    h = history.where((F.col("dq_name") == dq_name) & (F.col("env") == ctx.env))
+    h = history.where((F.col("dq_name") == dq_name) & (F.col("env") == ctx.env)).drop("check_id")
     return h.join(F.broadcast(wanted),
                   ["database_name", "schema_name", "table_name", "dq_column"], "inner")
 

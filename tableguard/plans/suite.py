@@ -295,7 +295,7 @@ def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame
             import os
             with open(os.path.expandvars(q.strip())) as fh:
                 text = fh.read()
-        df = spark.sql(text, args=spec.args) if spec.args else spark.sql(text)
+        df = spark.sql(text, args=spec.args, **(spec.frames or {}))
     types = {f.name: f.dataType for f in df.schema.fields}
     db, schema, table = suite.target.parts
     return df.select(

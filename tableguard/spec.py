@@ -150,6 +150,7 @@ class CheckSpec:
     source: TableRef | None = None
     sql: str | Callable[..., DataFrame] | None = None
     args: dict | None = None
+    frames: dict | None = None
     corrected: bool = False
 
     @property
@@ -204,19 +205,21 @@ class CheckSpec:
                    source=source, corrected=corrected)
 
     @classmethod
-    def custom(cls, name: str, sql, *, args: dict | None = None, description: str = "",
+    def custom(cls, name: str, sql, *, args: dict | None = None, frames: dict | None = None,
+               description: str = "",
                stop_on_failure: bool = False, is_trial: bool = False,
                enabled: bool = True) -> "CheckSpec":
         """User query returning ``tgt_value, src_value, result`` (0 = pass).
 
-        ``sql`` is SQL text (named ``:param`` markers bound from ``args``), a path
+        ``sql`` is SQL text (named ``:param`` markers bound from ``args``;
+        ``{name}`` placeholders bound to the DataFrames in ``frames``), a path
         ending in ``.sql``, or a callable ``SparkSession -> DataFrame``.
         """
         if sql is None:
             raise CheckConfigError("custom check needs sql, sql_file or a callable")
         return cls(check_id=name, family="custom", columns=("",), description=description,
                    stop_on_failure=bool(stop_on_failure), is_trial=bool(is_trial),
-                   enabled=bool(enabled), sql=sql, args=args,
+                   enabled=bool(enabled), sql=sql, args=args, frames=frames,
                    threshold=Threshold("absolute", 0.0, None, ""))
 
     def description_text(self) -> str:
