@@ -10,8 +10,8 @@ path it is reading, so:
                 run's partition is rewritten, and it is cleared even when the
                 source is empty,
 * update     -> written to a fresh version directory, then the table is
-                repointed (``ALTER TABLE ... SET LOCATION``); the old version
-                stays readable until then.
+                re-registered over it (partitions recovered from the files);
+                the old version stays readable until then.
 """
 
 from __future__ import annotations
@@ -273,16 +273,22 @@ def write_version(spark: SparkSession, table: str, df: DataFrame, location: str)
     """L6 writer: write ``df`` to a new directory, then point ``table`` at it.
 
     The rows are computed from the current version while the new one is
-    written, so the table is never read and overwritten at once.
+    written, so the table is never read and overwritten at once.  The table
+    definition is then re-registered over the new directory (its partitions
+    recovered from the files), which also drops the catalog's partition
+    entries of the previous version.  The previous directory is left in place
+    for readers that still hold it; remove it once they are done.
     """
-    parts = [c for c in spark.table(table).columns if c in
-             {r.name for r in spark.catalog.listColumns(table) if r.isPartition}]
-    cols = spark.table(table).columns
-    w = df.select(*cols).write.mode("errorifexists").format("parquet")
+    schema = spark.table(table).schema
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    w = df.select(*schema.fieldNames()).write.mode("errorifexists").format("parquet")
     if parts:
         w = w.partitionBy(*parts)
     w.save(location)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet{by} LOCATION '{location}'")
     if parts:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.catalog.refreshTable(table)
