@@ -125,6 +125,8 @@ def append_results(df: DataFrame, path: str | None = None, table: str | None = N
         df.write.mode("append").insertInto(table)
     else:
         df.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+    from ..plans.suite import release_shared
+    release_shared()
 
 
 def _base_column(col: Column) -> Column:

@@ -10,10 +10,13 @@ Plan shape per checked table (and filter):
 * **Distinct keys** (unique): one ``groupBy(key)`` per column set, reading only
   those columns; partial aggregation collapses hot keys map-side.  No
   ``Expand`` multiplies the table by the number of columns.
-* **Dates** (missing_dates): distinct dates (partial aggregation, tiny
-  shuffle) joined to a spine of ``window`` dates ending at their maximum.
-* **Top keys** (day_to_day): ``groupBy(key)`` then top-k (``TakeOrderedAndProject``)
-  and ``lead`` over the at most 30 kept rows.
+* **Day metrics once** (missing_dates, day_to_day): one ``groupBy(key)`` per
+  distinct key expression carries every day_to_day metric on that key and
+  the present dates of a missing_dates column with the same day key; the
+  max date comes from the fused aggregate.  day_to_day keeps the top keys
+  (``TakeOrderedAndProject``) and applies ``lead`` over at most 30 rows;
+  missing_dates joins the present dates to a broadcast spine of ``window``
+  dates.  The shared aggregate is one exchange, reused by every consumer.
 * **Baselines**: one set-based lookup over the history table per family,
   joined to the exploded rows on ``(check_id, dq_column)``.
 
@@ -23,9 +26,11 @@ the result once.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,7 +119,17 @@ def _empty_null_metric(column: str) -> Column:
     return F.sum(F.when(hit, F.lit(1)).otherwise(F.lit(0)))
 
 
-def _scalar_rows(spark: SparkSession, suite: Suite, specs: list[CheckSpec], ctx: RunContext) -> DataFrame:
+def _date_metric_key(column: str) -> str:
+    return "maxdate:" + column
+
+
+def _fused_metrics(suite: Suite, specs: list[CheckSpec], date_columns: list[str]):
+    """The one-row aggregate of every scalar metric of the suite (one scan).
+
+    ``date_columns`` are the missing_dates columns: their max date is a
+    metric here too, so the date spine needs no scan of its own.
+    Returns ``(agg, plan, types)``; ``plan`` lists ``(spec, column, alias)``.
+    """
     tgt = suite.target.filtered()
     metrics = _Metrics()
     plan = []  # (spec, column, metric name(s))
@@ -132,14 +147,19 @@ def _scalar_rows(spark: SparkSession, suite: Suite, specs: list[CheckSpec], ctx:
             elif spec.family == "empty_null":
                 plan.append((spec, column, metrics.add("empty:" + column, _empty_null_metric(column))))
             elif spec.family == "up_to_date":
-                plan.append((spec, column, metrics.add("maxdate:" + column,
+                plan.append((spec, column, metrics.add(_date_metric_key(column),
                                                        F.max(F.to_date(F.expr(column))))))
+    dates = {c: metrics.add(_date_metric_key(c), F.max(F.to_date(F.expr(c)))) for c in date_columns}
     agg = tgt.agg(*metrics.cols.values())
     for name, src in sources.values():
         # One-row frames: the cross join is a 1 x 1 broadcast nested loop.
         agg = agg.crossJoin(src.filtered().agg(F.count(F.lit(1)).alias(name)))
     types = {f.name: f.dataType for f in agg.schema.fields}
+    return agg, plan, types, dates
 
+
+def _scalar_rows(agg: DataFrame, plan, types, ctx: RunContext) -> DataFrame:
+    """One row per (scalar rule, column) from the one-row aggregate."""
     structs = []
     for spec, column, m in plan:
         if spec.family in ("trending", "std_dev"):
@@ -163,6 +183,79 @@ def _scalar_rows(spark: SparkSession, suite: Suite, specs: list[CheckSpec], ctx:
     return agg.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
+def _norm_key(text: str) -> str:
+    """Canonical text of a group key, so ``CAST(ts AS DATE)`` and
+    ``to_date(ts)`` (and the missing_dates column ``ts``) share one groupBy."""
+    t = re.sub(r"\s+", "", text.lower())
+    m = re.fullmatch(r"to_date\((.+)\)", t)
+    if m:
+        t = f"cast({m.group(1)}asdate)"
+    return t
+
+
+class _KeyedAggs:
+    """One ``groupBy(key)`` per distinct key expression of a suite.
+
+    All day_to_day metrics on a key and the present dates of a missing_dates
+    column with the same day key come from that single aggregation (one scan,
+    partial aggregation per task, one shuffle of at most (keys x tasks) rows).
+    """
+
+    def __init__(self, target: TableRef):
+        self.target = target
+        self.keys: dict[str, Column] = {}
+        self.metrics: dict[str, _Metrics] = {}
+        self._frames: dict[str, DataFrame] = {}
+
+    def register(self, key_text: str, key: Column, metric: str | None = None) -> tuple[str, str | None]:
+        k = _norm_key(key_text)
+        if k not in self.keys:
+            self.keys[k] = key
+            self.metrics[k] = _Metrics()
+            self.metrics[k].add("rows", F.count(F.lit(1)))
+        alias = self.metrics[k].add("expr:" + metric, F.expr(metric)) if metric else None
+        return k, alias
+
+    def frame(self, k: str) -> DataFrame:
+        if k not in self._frames:
+            self._frames[k] = (self.target.filtered().groupBy(self.keys[k].alias("col"))
+                               .agg(*self.metrics[k].cols.values()))
+        return self._frames[k]
+
+    def share(self, k: str, consumers: int) -> DataFrame:
+        f = self.frame(k)
+        if consumers > 1:
+            self._frames[k] = f = _shared(f)
+        return f
+
+
+# Small aggregates read by several branches of one suite plan.  Column pruning
+# gives each branch a different copy of the aggregate (so no exchange is
+# reused); persisting the aggregate makes every branch read the same cached
+# relation, so the table is scanned once.  The cached data is one row, or one
+# row per key; ``release_shared`` drops it after the suite has been written.
+_SHARED: list[DataFrame] = []
+
+
+def _shared(df: DataFrame) -> DataFrame:
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _SHARED.append(df)
+    return df
+
+
+def release_shared() -> None:
+    """Unpersist the shared aggregates of the suites built so far."""
+    while _SHARED:
+        _SHARED.pop().unpersist()
+
+
+def _day_key(spec: CheckSpec) -> tuple[str, Column]:
+    keys = [k.strip() for k in spec.group_by.split(",")]
+    if len(keys) == 1:
+        return keys[0], F.expr(keys[0])
+    return spec.group_by, concat_key(keys)
+
+
 def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: RunContext,
                    history: DataFrame | None, spark: SparkSession) -> DataFrame:
     db, schema, table = suite.target.parts
@@ -247,35 +340,35 @@ def unique_rows(suite: Suite, spec: CheckSpec, column: str) -> DataFrame:
                   F.col("total_cnt"), F.col("distinct_cnt") == F.col("total_cnt"))
 
 
-def missing_dates_rows(suite: Suite, spec: CheckSpec, column: str) -> DataFrame:
+def missing_dates_rows(suite: Suite, spec: CheckSpec, column: str, agg: DataFrame, max_alias: str,
+                       present: DataFrame) -> DataFrame:
     """C17: dates of the ``window``-day spine ending at the table's max date
-    that have no row.  An empty table has a spine of NULL dates: all missing."""
+    that have no row.  An empty table has a spine of NULL dates: all missing.
+
+    ``agg`` is the fused one-row aggregate holding the max date; ``present``
+    is the per-day aggregate of the same day key.
+    """
     n = spec.window
-    dates = (suite.target.filtered().select(F.to_date(F.expr(column)).alias("date_col"))
-             .where(F.col("date_col").isNotNull()).distinct())
-    top = dates.agg(F.max("date_col").alias("max_date"))
-    spine = (top.select("max_date", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    spine = (agg.select(F.col(max_alias).alias("max_date"),
+                        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
              .select(F.date_sub(F.col("max_date"), F.col("i")).alias("date_col")))
-    present = dates.withColumn("_hit", F.lit(1))
+    hits = (present.select(F.col("col").cast("date").alias("date_col"))
+            .where(F.col("date_col").isNotNull()).withColumn("_hit", F.lit(1)))
     # The spine has exactly ``window`` rows: it is the broadcast (build) side.
-    joined = present.join(F.broadcast(spine), "date_col", "right")
+    joined = hits.join(F.broadcast(spine), "date_col", "right")
     stats = joined.agg(F.sum(F.when(F.col("_hit").isNull(), 1).otherwise(0)).alias("total_cnt"))
     return _stamp(stats, suite, spec, F.lit(column), F.col("total_cnt"), T.LongType(),
                   F.lit("0"), F.col("total_cnt") == 0, threshold=F.lit(None))
 
 
-def day_to_day_rows(suite: Suite, spec: CheckSpec, column: str) -> DataFrame:
+def day_to_day_rows(suite: Suite, spec: CheckSpec, column: str, grouped: DataFrame, alias: str) -> DataFrame:
     """Aggregate per group key, keep the ``num_days`` highest keys and
     compare each with the next lower present key."""
-    keys = [k.strip() for k in spec.group_by.split(",")]
-    key = F.expr(keys[0]) if len(keys) == 1 else concat_key(keys)
-    grouped = (suite.target.filtered().groupBy(key.alias("col"))
-               .agg(F.expr(column).alias("dq_tgt_value")))
     order = F.col("col").desc_nulls_first()
-    top = grouped.orderBy(order).limit(spec.num_days)
+    top = grouped.select("col", F.col(alias).alias("dq_tgt_value")).orderBy(order).limit(spec.num_days)
     # At most 30 rows reach this window (validated), so no partition key is needed.
     prev = top.withColumn("dq_src_value", F.lead("dq_tgt_value").over(Window.orderBy(order)))
-    vtype = grouped.schema["dq_tgt_value"].dataType
+    vtype = grouped.schema[alias].dataType
     thr = spec.threshold
     ok = relative_change_pass(F.col("dq_tgt_value").cast("double"), F.col("dq_src_value").cast("double"),
                               thr.mode, thr.value, thr.low)
@@ -318,16 +411,33 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
     specs = [s for s in suite.specs if s.enabled]
     parts: list[DataFrame] = []
     scalar = [s for s in specs if s.family in SCALAR_FAMILIES]
-    if scalar:
-        rows = _scalar_rows(spark, suite, scalar, ctx)
-        parts.append(_finish_scalar(rows, suite, scalar, ctx, history, spark))
+    missing = [(s, c) for s in specs if s.family == "missing_dates" for c in s.columns]
+    keyed = _KeyedAggs(suite.target)
+    d2d = []
+    for s in specs:
+        if s.family == "day_to_day":
+            text, key = _day_key(s)
+            for c in s.columns:
+                d2d.append((s, c) + keyed.register(text, key, c))
+    miss_keys = [keyed.register(f"CAST({c} AS DATE)", F.to_date(F.expr(c)))[0] for _, c in missing]
+    uses = {}
+    for k in miss_keys + [x[2] for x in d2d]:
+        uses[k] = uses.get(k, 0) + 1
+    agg = None
+    if scalar or missing:
+        agg, plan, types, dates = _fused_metrics(suite, scalar, [c for _, c in missing])
+        if missing and (plan or len(missing) > 1):
+            agg = _shared(agg)
+        if plan:
+            rows = _scalar_rows(agg, plan, types, ctx)
+            parts.append(_finish_scalar(rows, suite, scalar, ctx, history, spark))
+    for (spec, c), k in zip(missing, miss_keys):
+        parts.append(missing_dates_rows(suite, spec, c, agg, dates[c], keyed.share(k, uses[k])))
+    for spec, c, k, alias in d2d:
+        parts.append(day_to_day_rows(suite, spec, c, keyed.share(k, uses[k]), alias))
     for spec in specs:
         if spec.family == "unique":
             parts += [unique_rows(suite, spec, c) for c in spec.columns]
-        elif spec.family == "missing_dates":
-            parts += [missing_dates_rows(suite, spec, c) for c in spec.columns]
-        elif spec.family == "day_to_day":
-            parts += [day_to_day_rows(suite, spec, c) for c in spec.columns]
         elif spec.family == "custom":
             parts.append(custom_rows(spark, suite, spec))
     if not parts:

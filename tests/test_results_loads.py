@@ -168,3 +168,34 @@ def test_readiness_and_gate(spark):
                                                   dt.date(2024, 1, 31)), E.WANTED_TASKS, dt.date(2024, 1, 31))
     g = FR.ready_gate(tasks)
     assert g == {"ready": 0, "waiting": 3, "proceed": False}
+
+
+def test_fused_suite_scans(spark):
+    """Scalar rules share one scan; missing_dates and day_to_day on the same
+    day key share one groupBy; unique reads only its column."""
+    import re
+    spark.catalog.clearCache()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        o = spark.read.parquet(f"{SF001}/orders.parquet")
+        specs = [CheckSpec.make("empty_null", columns=["o_orderstatus", "o_custkey"]),
+                 CheckSpec.make("up_to_date", columns=["o_orderdate"]),
+                 CheckSpec.make("trending", columns=["count(*)", "sum(o_totalprice)"]),
+                 CheckSpec.make("std_dev", columns=["count(*)"]),
+                 CheckSpec.make("unique", columns=["o_orderkey"]),
+                 CheckSpec.make("missing_dates", columns=["o_orderdate"]),
+                 CheckSpec.make("day_to_day", columns=["count(*)"], group_by="to_date(o_orderdate)", num_days=7)]
+        df = run_suite(spark, Suite(TableRef("a.b.orders", o), specs), E.OR_CTX)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        scans = set()
+        for i, line in enumerate(lines):
+            if "FileScan parquet" in line:
+                # the exchange directly above identifies the (possibly shared) subplan
+                above = [l for l in lines[:i] if "Exchange" in l][-1]
+                scans.add(re.search(r"plan_id=(\d+)", above).group(1))
+        assert len(scans) == 3, plan
+        assert "NestedLoopJoin" not in plan and "Expand" not in plan
+        assert df.count() == 2 + 1 + 2 + 1 + 1 + 1 + 7
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
