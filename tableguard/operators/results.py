@@ -174,17 +174,34 @@ def failures(results: DataFrame, dq_key: int | None = None) -> DataFrame:
                     "stop_on_failure"))
 
 
-def summary(results: DataFrame, dq_key: int | None = None) -> DataFrame:
+EXPECTED_KEYS = ["dq_key", "table_name", "check_id", "dq_column"]
+
+
+def _rule_verdicts(results: DataFrame, dq_key: int | None, expected: DataFrame | None) -> DataFrame:
+    """Verdicts and day_to_day rollups of a run; with ``expected`` (see
+    ``plans.suite.expected_rules``) every expected rule appears, and one that
+    produced no row at all gets a NULL verdict (reported as a failure)."""
+    cols = ["dq_key", "table_name", "check_id", "dq_name", "dq_column", "is_pass",
+            "dq_tgt_value", "dq_src_value", "dq_threshold", "stop_on_failure"]
+    both = verdicts(results, dq_key).select(*cols).unionByName(
+        rollup_day_to_day(results, dq_key).select(*cols))
+    if expected is None:
+        return both
+    if dq_key is not None:
+        expected = expected.where(F.col("dq_key") == dq_key)
+    got = both.drop("dq_name", "stop_on_failure")
+    # ``expected`` has one row per configured rule and column: broadcast it.
+    return (F.broadcast(expected).join(got, EXPECTED_KEYS, "left")
+            .select(*cols))
+
+
+def summary(results: DataFrame, dq_key: int | None = None, expected: DataFrame | None = None) -> DataFrame:
     """V8: one line per (rule, column): PASS / FAIL with the values.
 
     A NULL target renders as an empty string and fails (the line is still
-    produced).
+    produced); with ``expected``, a rule that returned no row fails too.
     """
-    v = verdicts(results, dq_key).select(
-        "dq_key", "table_name", "check_id", "dq_name", "dq_column", "is_pass",
-        "dq_tgt_value", "dq_src_value", "dq_threshold")
-    d = rollup_day_to_day(results, dq_key).select(*v.columns)
-    both = v.unionByName(d)
+    both = _rule_verdicts(results, dq_key, expected)
     name = F.when(F.length("dq_column") > 0,
                   F.concat(F.col("dq_name"), F.lit(" for "), F.col("dq_column"))).otherwise(F.col("dq_name"))
     detail = F.concat(F.lit("[tgt="), F.coalesce("dq_tgt_value", F.lit("")),
@@ -196,21 +213,21 @@ def summary(results: DataFrame, dq_key: int | None = None) -> DataFrame:
                        F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("result"))
 
 
-def stop_gate_rows(results: DataFrame, dq_key: int | None = None) -> DataFrame:
+def stop_gate_rows(results: DataFrame, dq_key: int | None = None,
+                   expected: DataFrame | None = None) -> DataFrame:
     """V9 (rows): failing verdicts of rules marked ``stop_on_failure``."""
-    v = verdicts(results, dq_key).select("dq_key", "table_name", "check_id", "dq_column",
-                                         "is_pass", "stop_on_failure")
-    d = rollup_day_to_day(results, dq_key).select(*v.columns)
-    return v.unionByName(d).where(~F.coalesce("is_pass", F.lit(False)) & F.col("stop_on_failure"))
+    v = _rule_verdicts(results, dq_key, expected).select(
+        "dq_key", "table_name", "check_id", "dq_column", "is_pass", "stop_on_failure")
+    return v.where(~F.coalesce("is_pass", F.lit(False)) & F.col("stop_on_failure"))
 
 
 class StopOnFailure(RuntimeError):
     """Raised by ``stop_gate`` after all checks ran."""
 
 
-def stop_gate(results: DataFrame, dq_key: int | None = None) -> None:
+def stop_gate(results: DataFrame, dq_key: int | None = None, expected: DataFrame | None = None) -> None:
     """V9: raise iff a failing rule has ``stop_on_failure`` (one tiny action)."""
-    hit = stop_gate_rows(results, dq_key).limit(1).collect()
+    hit = stop_gate_rows(results, dq_key, expected).limit(1).collect()
     if hit:
         row = hit[0]
         raise StopOnFailure(f"DQ failed: {row['check_id']} on {row['dq_column']!r} "

@@ -458,3 +458,21 @@ def run_suite(spark: SparkSession, suites: Suite | list[Suite], ctx: RunContext,
         suites = [suites]
     rows = [verdict_rows(spark, s, ctx, history) for s in suites]
     return to_result(reduce(lambda a, b: a.unionByName(b), rows), ctx)
+
+
+def expected_rules(spark: SparkSession, suites: Suite | list[Suite], ctx: RunContext) -> DataFrame:
+    """One row per enabled (rule, column) of the suites: what a report must
+    show even when a rule produced no row (a custom query returning nothing).
+    day_to_day rules appear once per column (their rollup)."""
+    if isinstance(suites, Suite):
+        suites = [suites]
+    rows = []
+    for suite in suites:
+        table = suite.target.parts[2]
+        for s in suite.specs:
+            if s.enabled:
+                rows += [(ctx.dq_key, table, s.check_id, s.dq_name, c, s.stop_on_failure) for c in s.columns]
+    schema = "dq_key bigint, table_name string, check_id string, dq_name string, dq_column string, " \
+             "stop_on_failure boolean"
+    return spark.createDataFrame(rows, schema)
+

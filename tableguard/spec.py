@@ -110,6 +110,7 @@ class TableRef:
     name: str
     df: DataFrame
     filter: str | None = None
+    args: dict | None = None
 
     def __post_init__(self):
         if self.name.count(".") != 2:
@@ -121,9 +122,14 @@ class TableRef:
         return db, schema, table
 
     def filtered(self) -> DataFrame:
-        if self.filter and self.filter.strip() not in ("", "1=1"):
-            return self.df.where(F.expr(self.filter))
-        return self.df
+        """The table after its filter; ``:name`` markers in the filter are
+        bound from ``args`` as SQL parameters (never pasted as text)."""
+        if not self.filter or self.filter.strip() in ("", "1=1"):
+            return self.df
+        if self.args:
+            return self.df.sparkSession.sql(f"SELECT * FROM {{_tg_target}} WHERE {self.filter}",
+                                            args=self.args, _tg_target=self.df)
+        return self.df.where(F.expr(self.filter))
 
     @property
     def filter_text(self) -> str:

@@ -199,3 +199,31 @@ def test_fused_suite_scans(spark):
         assert df.count() == 2 + 1 + 2 + 1 + 1 + 1 + 7
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_custom_without_rows_fails_in_report(spark):
+    from tableguard.plans.suite import expected_rules
+    suite = Suite(TableRef("d.s.t", spark.range(3)),
+                  [CheckSpec.make("unique", columns=["id"]),
+                   CheckSpec.custom("empty_custom", "SELECT 1 AS tgt_value, 1 AS src_value, 0 AS result WHERE false",
+                                    stop_on_failure=True)])
+    out = run_suite(spark, suite, CTX)
+    exp = expected_rules(spark, suite, CTX)
+    summ = {r["test_name"]: r["result"] for r in R.summary(out, CTX.dq_key, exp).collect()}
+    assert summ == {"unique for id": "PASS", "empty_custom": "FAIL"}
+    assert R.summary(out, CTX.dq_key).count() == 1
+    with pytest.raises(R.StopOnFailure):
+        R.stop_gate(out, CTX.dq_key, exp)
+    R.stop_gate(out, CTX.dq_key)
+
+
+def test_filter_parameters(spark):
+    t = TableRef("d.s.t", spark.range(10), "id >= :lo AND id < :hi", args={"lo": 3, "hi": 7})
+    r = run_suite(spark, Suite(t, [CheckSpec.make("unique", columns=["id"])]), CTX).first()
+    assert r["dq_src_value"] == "4" and r["table_filter"] == "id >= :lo AND id < :hi"
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == R.RESULT_COLUMNS and df.count() > 0
+    assert set(E.queries()) == set(E.oracle_sql())
