@@ -130,7 +130,18 @@ def _fused_metrics(suite: Suite, specs: list[CheckSpec], date_columns: list[str]
     metric here too, so the date spine needs no scan of its own.
     Returns ``(agg, plan, types)``; ``plan`` lists ``(spec, column, alias)``.
     """
-    tgt = suite.target.filtered()
+    metrics, plan, sources, dates = _metric_plan(specs, date_columns)
+    agg = suite.target.filtered().agg(*metrics.cols.values())
+    for name, src in sources.values():
+        # One-row frames: the cross join is a 1 x 1 broadcast nested loop.
+        agg = agg.crossJoin(src.filtered().agg(F.count(F.lit(1)).alias(name)))
+    types = {f.name: f.dataType for f in agg.schema.fields}
+    return agg, plan, types, dates
+
+
+def _metric_plan(specs: list[CheckSpec], date_columns: list[str]):
+    """Aggregate columns (deduplicated) for the scalar rules, and which rule
+    row reads which alias."""
     metrics = _Metrics()
     plan = []  # (spec, column, metric name(s))
     sources: dict[int, tuple[str, TableRef]] = {}
@@ -150,12 +161,7 @@ def _fused_metrics(suite: Suite, specs: list[CheckSpec], date_columns: list[str]
                 plan.append((spec, column, metrics.add(_date_metric_key(column),
                                                        F.max(F.to_date(F.expr(column))))))
     dates = {c: metrics.add(_date_metric_key(c), F.max(F.to_date(F.expr(c)))) for c in date_columns}
-    agg = tgt.agg(*metrics.cols.values())
-    for name, src in sources.values():
-        # One-row frames: the cross join is a 1 x 1 broadcast nested loop.
-        agg = agg.crossJoin(src.filtered().agg(F.count(F.lit(1)).alias(name)))
-    types = {f.name: f.dataType for f in agg.schema.fields}
-    return agg, plan, types, dates
+    return metrics, plan, sources, dates
 
 
 def _scalar_rows(agg: DataFrame, plan, types, ctx: RunContext) -> DataFrame:

@@ -227,3 +227,24 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == R.RESULT_COLUMNS and df.count() > 0
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_observed_checks_during_load_write(spark, scratch):
+    from tableguard.plans.observe import ObservedChecks
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    specs = [CheckSpec.make("empty_null", columns=["o_orderstatus", "o_custkey"]),
+             CheckSpec.make("up_to_date", columns=["o_orderdate"]),
+             CheckSpec.make("trending", columns=["count(*)", "sum(o_totalprice)"], threshold="0.1")]
+    ctx = E.LOAD_CTX
+    rows = L.overwrite(orders, E.ORDER_COLUMNS, ctx)
+    oc = ObservedChecks("tpch.sf.orders", specs, ctx)
+    rows.transform(oc.attach).write.mode("overwrite").parquet(os.path.join(scratch, "loaded"))
+    observed = {(r["check_id"], r["dq_column"]): r for r in oc.results(spark).collect()}
+    scanned = {(r["check_id"], r["dq_column"]): r
+               for r in run_suite(spark, Suite(TableRef("tpch.sf.orders", rows), specs), ctx).collect()}
+    assert observed.keys() == scanned.keys()
+    for k in observed:
+        for c in ("dq_tgt_value", "dq_src_value", "is_pass", "dq_tgt_num"):
+            assert observed[k][c] == scanned[k][c], (k, c)
+    with pytest.raises(Exception):
+        ObservedChecks("a.b.c", [CheckSpec.make("unique", columns=["x"])], ctx)
