@@ -351,6 +351,22 @@ def q_load_upsert_composite(spark, d):
     return L.load(tgt, src, "update", CONV_COLUMNS, LOAD_CTX, primary_key=["conv_id", "turn"])
 
 
+OBS_CTX = RunContext.create("2001-08-02 07:00:00", now="2001-08-02 07:05:00", dq_key=996735601,
+                            env=ENV, db_user=DB_USER, unix_user=UNIX_USER)
+
+
+def q_load_observed_checks(spark, d):
+    """Scalar checks observed while the load writes (here to the noop sink)."""
+    from tableguard.plans.observe import ObservedChecks
+    specs = [CheckSpec.make("empty_null", columns=["o_orderstatus", "o_custkey"]),
+             CheckSpec.make("up_to_date", columns=["o_orderdate"]),
+             CheckSpec.make("trending", columns=["count(*)"], threshold="0.1")]
+    oc = ObservedChecks("tpch.sf.orders", specs, OBS_CTX)
+    rows = L.overwrite(_t(spark, d, "orders"), ORDER_COLUMNS, OBS_CTX)
+    rows.transform(oc.attach).write.format("noop").mode("overwrite").save()
+    return oc.results(spark)
+
+
 def q_audit_columns(spark, d):
     return L.with_audit(_t(spark, d, "nation"), LOAD_CTX)
 
@@ -435,6 +451,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["load_append_delete"] = q_load_append_delete
     q["load_upsert_composite"] = q_load_upsert_composite
     q["audit_columns"] = q_audit_columns
+    q["load_observed_checks"] = q_load_observed_checks
     q["table_freshness"] = q_table_freshness
     q["task_freshness"] = q_task_freshness
     q["readiness"] = q_readiness
