@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.logs import task_log as _task_log
+from ..sources.logs import upload_log as _upload_log
+
 # Look-back of the log scans and the status words.
 LOOKBACK_DAYS = 10
 READY, WAITING, MISSING = "READY", "WAITING", "MISSING"
@@ -32,6 +35,7 @@ def table_freshness(upload_log: DataFrame, wanted, databases, as_of: _dt.date) -
     Columns of the log: ``db_name, schema_name, table_name, last_update_time``.
     Returns ``name, end_time``.
     """
+    upload_log = _upload_log(upload_log)
     name = F.lower(F.concat(F.col("schema_name"), F.lit("."), F.col("table_name")))
     cutoff = F.lit(as_of - _dt.timedelta(days=LOOKBACK_DAYS))
     return (upload_log.where((F.to_date("last_update_time") > cutoff)
@@ -46,6 +50,7 @@ def task_freshness(task_log: DataFrame, wanted, as_of: _dt.date) -> DataFrame:
 
     Columns of the log: ``db_schema, task, action, log_time``.
     """
+    task_log = _task_log(task_log)
     name = F.lower(F.concat(F.col("db_schema"), F.lit("."), F.col("task")))
     cutoff = F.lit(as_of - _dt.timedelta(days=LOOKBACK_DAYS))
     return (task_log.where((F.to_date("log_time") > cutoff) & (F.col("action") == "end")
