@@ -55,8 +55,16 @@ LI_DAY_FILTER = "CAST(l_shipdate AS DATE) = DATE '2001-07-31'"
 FLAG_COLUMNS = [f"sum(CASE WHEN l_returnflag = '{f}' THEN 1 ELSE 0 END)" for f in ("A", "N", "R")]
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return read_table(spark, d, name)
+    """One DataFrame per (session, table): the file listing happens once.
+    The test tables are read-only, so the listing stays valid."""
+    key = (id(spark), d, name)
+    if key not in _READS:
+        _READS[key] = read_table(spark, d, name)
+    return _READS[key]
 
 
 def _li_target(spark, d) -> TableRef:
@@ -257,6 +265,20 @@ def orders_suite(spark, d) -> DataFrame:
     return _suite(spark, _orders_ref(spark, d), specs, OR_CTX, _orders_history(spark, d))
 
 
+SEGMENT_FILTERS = [None, "o_orderstatus = 'F'", "o_orderstatus = 'O'", "o_orderstatus = 'P'"]
+
+
+def q_suite_segments(spark, d):
+    """One suite per order-status segment of the same table: one shared scan."""
+    orders = _t(spark, d, "orders")
+    suites = [Suite(TableRef("tpch.sf.orders", orders, f), [
+        CheckSpec.make("empty_null", columns=["o_orderpriority", "o_custkey"]),
+        CheckSpec.make("up_to_date", columns=["o_orderdate"]),
+        CheckSpec.make("trending", columns=["count(*)", "max(o_custkey) - min(o_custkey)"], threshold="0.1"),
+        CheckSpec.make("missing_dates", columns=["o_orderdate"])]) for f in SEGMENT_FILTERS]
+    return run_suite(spark, suites, OR_CTX)
+
+
 def q_suite_results(spark, d):
     return orders_suite(spark, d)
 
@@ -437,6 +459,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["std_dev_seed"] = q_std_dev_seed
     q["custom_check"] = q_custom_check
     q["suite_results"] = q_suite_results
+    q["suite_segments"] = q_suite_segments
     q["verdicts_latest"] = q_verdicts_latest
     q["day_to_day_rollup"] = q_day_to_day_rollup
     q["failures"] = q_failures

@@ -60,21 +60,24 @@ VERDICT_COLUMNS = [
 
 def to_result(rows: DataFrame, ctx: RunContext) -> DataFrame:
     """V1: stamp run constants onto verdict rows and order the columns."""
+    from ..functions import sql as Q
+    ts = lambda t: f"CAST('{t.strftime('%Y-%m-%d %H:%M:%S')}' AS TIMESTAMP_NTZ)"
     stamped = {
-        "dq_run_hour": ctx.run_hour_col(),
-        "dq_key": F.lit(ctx.dq_key).cast("bigint"),
-        "dq_start_tstamp": ctx.now_col(),
-        "dq_end_tstamp": ctx.now_col(),
-        "db_username": F.lit(ctx.db_user),
-        "unix_username": F.lit(ctx.unix_user),
-        "env": F.lit(ctx.env),
-        "dq_run_date": F.lit(ctx.run_hour.date()),
+        "dq_run_hour": ts(ctx.run_hour),
+        "dq_key": f"{int(ctx.dq_key)}L",
+        "dq_start_tstamp": ts(ctx.now),
+        "dq_end_tstamp": ts(ctx.now),
+        "db_username": Q.lit(ctx.db_user),
+        "unix_username": Q.lit(ctx.unix_user),
+        "env": Q.lit(ctx.env),
+        "dq_run_date": f"DATE'{ctx.run_hour.date().isoformat()}'",
     }
-    cols = []
+    have = set(rows.columns)
+    exprs = []
     for f in RESULT_SCHEMA.fields:
-        c = stamped.get(f.name, F.col(f.name) if f.name in rows.columns else F.lit(None))
-        cols.append(c.cast(f.dataType).alias(f.name))
-    return rows.select(*cols)
+        e = stamped.get(f.name, Q.ident(f.name) if f.name in have else "NULL")
+        exprs.append(f"CAST({e} AS {f.dataType.simpleString()}) AS {f.name}")
+    return rows.selectExpr(*exprs)
 
 
 def empty_results(spark: SparkSession) -> DataFrame:

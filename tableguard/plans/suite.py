@@ -7,6 +7,9 @@ Plan shape per checked table (and filter):
   aliases ``m0..mk`` of ONE ``agg`` over the filtered table (one scan, partial
   aggregation per task, a single-row exchange).  The one-row result is turned
   into one row per (rule, column) with ``explode(array(struct...))``.
+* **Filters of one table fused.** Suites over the same DataFrame with
+  different filters share one scan: built-in metrics become conditional
+  aggregates, single-call free-text aggregates get ``FILTER (WHERE ...)``.
 * **Distinct keys** (unique): one ``groupBy(key)`` per column set, reading only
   those columns; partial aggregation collapses hot keys map-side.  No
   ``Expand`` multiplies the table by the number of columns.
@@ -36,8 +39,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import RunContext
-from ..functions import (band_bounds, band_pass, concat_key, num_text, relative_change_pass,
-                         source_count_pass, value_num, value_text)
+from ..functions import concat_key
+from ..functions import sql as Q
 from ..operators import history as H
 from ..operators.results import VERDICT_COLUMNS, to_result
 from ..spec import CheckSpec, TableRef
@@ -64,6 +67,9 @@ _ROW = T.StructType([
 ])
 
 
+_TYPE_NAMES = {f.name: f.dataType.simpleString() for f in _ROW.fields}
+
+
 @dataclass
 class Suite:
     """Rules bound to one table (the unit the reference's configs describe)."""
@@ -72,30 +78,32 @@ class Suite:
     specs: list[CheckSpec]
 
 
-def _row(spec: CheckSpec, column: str, *, tgt_num=None, tgt_text=None, src_num=None,
-         src_text=None, threshold=None, pre_pass=None) -> Column:
+def _row(spec: CheckSpec, column: str, *, tgt_num="NULL", tgt_text="NULL", src_num="NULL",
+         src_text="NULL", threshold=None, pre_pass="NULL") -> str:
+    """SQL ``named_struct`` of one result row (operands are SQL text)."""
     thr = spec.threshold
     t_value = thr.value
     if spec.family == "std_dev" and spec.corrected:
         t_value = abs(t_value)
     vals = {
-        "check_id": F.lit(spec.check_id),
-        "family": F.lit(spec.family),
-        "dq_column": F.lit(column),
-        "dq_description": F.lit(spec.description_text()),
-        "tgt_num": tgt_num if tgt_num is not None else F.lit(None),
-        "tgt_text": tgt_text if tgt_text is not None else F.lit(None),
-        "src_num": src_num if src_num is not None else F.lit(None),
-        "src_text": src_text if src_text is not None else F.lit(None),
-        "dq_threshold": F.lit(thr.text) if threshold is None else threshold,
-        "mode": F.lit(thr.mode),
-        "t_value": F.lit(t_value),
-        "t_low": F.lit(thr.low),
-        "pre_pass": pre_pass if pre_pass is not None else F.lit(None),
-        "stop_on_failure": F.lit(spec.stop_on_failure),
-        "is_trial": F.lit(spec.is_trial),
+        "check_id": Q.lit(spec.check_id),
+        "family": Q.lit(spec.family),
+        "dq_column": Q.lit(column),
+        "dq_description": Q.lit(spec.description_text()),
+        "tgt_num": tgt_num,
+        "tgt_text": tgt_text,
+        "src_num": src_num,
+        "src_text": src_text,
+        "dq_threshold": Q.lit(thr.text) if threshold is None else threshold,
+        "mode": Q.lit(thr.mode),
+        "t_value": Q.lit(float(t_value)),
+        "t_low": Q.lit(None if thr.low is None else float(thr.low)),
+        "pre_pass": pre_pass,
+        "stop_on_failure": Q.lit(spec.stop_on_failure),
+        "is_trial": Q.lit(spec.is_trial),
     }
-    return F.struct(*[vals[f.name].cast(f.dataType).alias(f.name) for f in _ROW.fields])
+    return "named_struct(" + ", ".join(
+        f"'{f.name}', CAST({vals[f.name]} AS {_TYPE_NAMES[f.name]})" for f in _ROW.fields) + ")"
 
 
 class _Metrics:
@@ -123,15 +131,21 @@ def _date_metric_key(column: str) -> str:
     return "maxdate:" + column
 
 
-def _fused_metrics(suite: Suite, specs: list[CheckSpec], date_columns: list[str]):
+def _fused_metrics(suite: Suite, specs: list[CheckSpec], date_columns: list[str],
+                   shared: "_SharedScan | None" = None):
     """The one-row aggregate of every scalar metric of the suite (one scan).
 
     ``date_columns`` are the missing_dates columns: their max date is a
-    metric here too, so the date spine needs no scan of its own.
-    Returns ``(agg, plan, types)``; ``plan`` lists ``(spec, column, alias)``.
+    metric here too, so the date spine needs no scan of its own.  With
+    ``shared``, the metrics come from the scan shared with other filters of
+    the same table.  Returns ``(agg, plan, types, dates)``; ``plan`` lists
+    ``(spec, column, alias)``.
     """
     metrics, plan, sources, dates = _metric_plan(specs, date_columns)
-    agg = suite.target.filtered().agg(*metrics.cols.values())
+    if shared is not None:
+        agg = shared.agg_for(suite, metrics)
+    else:
+        agg = suite.target.filtered().agg(*metrics.cols.values())
     for name, src in sources.values():
         # One-row frames: the cross join is a 1 x 1 broadcast nested loop.
         agg = agg.crossJoin(src.filtered().agg(F.count(F.lit(1)).alias(name)))
@@ -164,29 +178,148 @@ def _metric_plan(specs: list[CheckSpec], date_columns: list[str]):
     return metrics, plan, sources, dates
 
 
+def _single_call(text: str) -> bool:
+    """True when ``text`` is one function call ``f(...)`` and nothing else, so
+    that ``text FILTER (WHERE p)`` filters the whole expression."""
+    m = re.match(r"\s*[A-Za-z_][A-Za-z0-9_]*\s*\(", text)
+    if not m:
+        return False
+    depth, quote = 0, None
+    for i in range(m.end() - 1, len(text)):
+        ch = text[i]
+        if quote:
+            if ch == quote:
+                quote = None
+            continue
+        if ch in "'\"`":
+            quote = ch
+        elif ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+            if depth == 0:
+                return text[i + 1:].strip() == ""
+    return False
+
+
+def _conditional(key: str, filt: str | None) -> Column | None:
+    """The metric ``key`` restricted to rows where ``filt`` holds (NULL = no).
+
+    Empty inputs keep their meaning: a conditional sum over no matching row
+    is NULL, a conditional count is 0.  ``None`` when it cannot be expressed
+    (a compound free-text aggregate)."""
+    cond = F.expr(filt) if filt else None
+    kind, _, arg = key.partition(":")
+    if kind == "count":
+        return F.count(F.lit(1)) if cond is None else F.count(F.when(cond, F.lit(1)))
+    if kind == "empty":
+        c = F.expr(arg)
+        v = F.when((F.length(c.cast("string")) == 0) | c.isNull(), F.lit(1)).otherwise(F.lit(0))
+        return F.sum(v if cond is None else F.when(cond, v))
+    if kind == "maxdate":
+        d = F.to_date(F.expr(arg))
+        return F.max(d if cond is None else F.when(cond, d))
+    if cond is None:
+        return F.expr(arg)
+    if _single_call(arg):
+        return F.expr(f"{arg} FILTER (WHERE {filt})")
+    return None
+
+
+class _SharedScan:
+    """Scalar metrics of several suites over ONE table with different filters.
+
+    One scan (pre-filtered by the OR of the filters, which Parquet pushdown
+    still uses) computes every suite's built-in metrics as conditional
+    aggregates and every single-call free-text aggregate with
+    ``FILTER (WHERE ...)``; only compound free-text aggregates keep a scan of
+    their own filter.  The shared row is persisted, so each suite reads it
+    from the cache.
+    """
+
+    def __init__(self, suites: list[Suite]):
+        self.suites = suites
+        cols: dict[tuple[str | None, str], str] = {}
+        self.map: dict[int, dict[str, str]] = {}
+        self.own: dict[int, list[str]] = {}
+        built: list[Column] = []
+        for suite in suites:
+            specs = [s for s in suite.specs if s.enabled and s.family in SCALAR_FAMILIES]
+            dates = [c for s in suite.specs if s.enabled and s.family == "missing_dates" for c in s.columns]
+            metrics, _, _, _ = _metric_plan(specs, dates)
+            filt = _filter_text(suite)
+            m, own = {}, []
+            for key, alias in metrics.alias.items():
+                ck = (filt, key)
+                if ck not in cols:
+                    col = _conditional(key, filt)
+                    if col is None:
+                        own.append(key)
+                        continue
+                    cols[ck] = f"c{len(cols)}"
+                    built.append(col.alias(cols[ck]))
+                m[alias] = cols[ck]
+            self.map[id(suite)] = m
+            self.own[id(suite)] = own
+        df = suites[0].target.df
+        filters = [_filter_text(x) for x in suites]
+        if all(filters):
+            df = df.where(reduce(lambda a, b: a | b, [F.coalesce(F.expr(f), F.lit(False)) for f in filters]))
+        self.agg = _shared(df.agg(*built)) if built else None
+
+    def agg_for(self, suite: Suite, metrics: _Metrics) -> DataFrame:
+        m = self.map[id(suite)]
+        parts = []
+        if m:
+            parts.append(self.agg.select(*[F.col(c).alias(a) for a, c in m.items()]))
+        own = [metrics.cols[metrics.alias[k]] for k in self.own[id(suite)]]
+        if own:
+            parts.append(suite.target.filtered().agg(*own))
+        return reduce(lambda a, b: a.crossJoin(b), parts)
+
+
+def _filter_text(suite: Suite) -> str | None:
+    f = suite.target.filter
+    return None if not f or f.strip() in ("", "1=1") else f
+
+
+def _shared_scans(suites: list[Suite]) -> dict[int, _SharedScan]:
+    """Group suites over the same DataFrame with different filters."""
+    groups: dict[int, list[Suite]] = {}
+    for s in suites:
+        groups.setdefault(id(s.target.df), []).append(s)
+    out = {}
+    for g in groups.values():
+        if (len(g) > 1 and not any(s.target.args for s in g)
+                and len({_filter_text(s) for s in g}) > 1):
+            sc = _SharedScan(g)
+            for s in g:
+                out[id(s)] = sc
+    return out
+
+
 def _scalar_rows(agg: DataFrame, plan, types, ctx: RunContext) -> DataFrame:
     """One row per (scalar rule, column) from the one-row aggregate."""
     structs = []
     for spec, column, m in plan:
         if spec.family in ("trending", "std_dev"):
-            col = F.col(m)
-            structs.append(_row(spec, column, tgt_num=value_num(col, types[m]),
-                                tgt_text=value_text(col, types[m])))
+            c = Q.ident(m)
+            structs.append(_row(spec, column, tgt_num=Q.value_num(c, types[m]),
+                                tgt_text=Q.value_text(c, types[m])))
         elif spec.family == "compare_to_source":
-            t, s = F.col(m[0]), F.col(m[1])
-            structs.append(_row(spec, column, tgt_num=t, tgt_text=t.cast("string"), src_num=s,
-                                src_text=s.cast("string"),
-                                pre_pass=source_count_pass(t, s, spec.threshold.value)))
+            t, s = Q.ident(m[0]), Q.ident(m[1])
+            structs.append(_row(spec, column, tgt_num=t, tgt_text=t, src_num=s, src_text=s,
+                                pre_pass=Q.source_count_pass(t, s, Q.lit(float(spec.threshold.value)))))
         elif spec.family == "empty_null":
-            t = F.col(m)
-            structs.append(_row(spec, column, tgt_num=t, tgt_text=t.cast("string"), src_num=F.lit(0),
-                                src_text=F.lit("0"), pre_pass=F.coalesce(t == 0, F.lit(False))))
+            t = Q.ident(m)
+            structs.append(_row(spec, column, tgt_num=t, tgt_text=t, src_num="0", src_text="'0'",
+                                pre_pass=f"coalesce({t} = 0, false)"))
         elif spec.family == "up_to_date":
-            d = F.col(m)
-            structs.append(_row(spec, column, tgt_text=d.cast("string"),
-                                src_text=F.lit(ctx.as_of.isoformat()), threshold=F.lit(None),
-                                pre_pass=F.coalesce(d >= F.lit(ctx.as_of), F.lit(False))))
-    return agg.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+            d = Q.ident(m)
+            structs.append(_row(spec, column, tgt_text=d, src_text=Q.lit(ctx.as_of.isoformat()),
+                                threshold="NULL",
+                                pre_pass=f"coalesce({d} >= DATE'{ctx.as_of.isoformat()}', false)"))
+    return agg.selectExpr(f"explode(array({', '.join(structs)})) AS r").select("r.*")
 
 
 def _norm_key(text: str) -> str:
@@ -275,62 +408,53 @@ def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: R
         base = H.trending_baselines(history, wanted, ctx, list(cmp.values()))
         rows = rows.join(base, ["check_id", "dq_column"], "left")
     else:
-        rows = rows.withColumn("base_num", F.lit(None).cast("double"))
+        rows = rows.selectExpr("*", "CAST(NULL AS DOUBLE) AS base_num")
     if history is not None and band:
         wanted = H.wanted_frame(spark, [(s.check_id, db, schema, table, c, None)
                                         for s in band for c in s.columns])
         stats = H.weekly_band_stats(history, wanted, ctx)
         rows = rows.join(stats, ["check_id", "dq_column"], "left")
     else:
-        rows = (rows.withColumn("last_value", F.lit(None).cast("bigint"))
-                .withColumn("avg_diff", F.lit(None).cast("double"))
-                .withColumn("sd_diff", F.lit(None).cast("double"))
-                .withColumn("num_weeks", F.lit(None).cast("bigint")))
-
-    fam = F.col("family")
-    # trending
-    t_src = F.col("base_num")
-    t_pass = relative_change_pass(F.col("tgt_num"), t_src, F.col("mode"), F.col("t_value"), F.col("t_low"))
-    # std_dev
-    bottom, top = band_bounds(F.col("last_value"), F.col("avg_diff"), F.col("sd_diff"), F.col("t_value"))
-    bound_text = (F.when(F.col("mode") == "upward", top.cast("string"))
-                  .when(F.col("mode") == "downward", bottom.cast("string"))
-                  .otherwise(F.concat(bottom.cast("string"), F.lit("|"), top.cast("string"))))
-    stats_text = F.concat(
-        bound_text,
-        F.lit(" (last_src="), F.col("last_value").cast("string"), F.lit(")"),
-        F.lit(" (avg_diff="), F.round(F.col("avg_diff")).cast("bigint").cast("string"), F.lit(")"),
-        F.lit(" (src_stddev="), F.round(F.col("sd_diff")).cast("bigint").cast("string"), F.lit(")"),
-        F.lit(" (cnt="), F.col("num_weeks").cast("string"), F.lit(")"))
-    b_text = F.when(F.col("last_value").isNull(), bound_text).otherwise(stats_text)
-    b_pass = band_pass(F.col("tgt_num"), bottom, top, F.col("mode"))
-
-    is_pass = (F.when(fam == "trending", t_pass).when(fam == "std_dev", b_pass)
-               .otherwise(F.col("pre_pass")))
-    src_text = (F.when(fam == "trending", num_text(t_src)).when(fam == "std_dev", b_text)
-                .otherwise(F.col("src_text")))
-    return rows.select(
-        F.lit(db).alias("database_name"), F.lit(schema).alias("schema_name"),
-        F.lit(table).alias("table_name"), F.lit(suite.target.filter_text).alias("table_filter"),
-        "check_id", fam.alias("dq_name"), "dq_column", "dq_description",
-        F.col("tgt_text").alias("dq_tgt_value"), src_text.alias("dq_src_value"),
-        "dq_threshold", F.coalesce(is_pass, F.lit(False)).alias("is_pass"), "stop_on_failure",
-        F.lit(False).alias("is_dq_custom"), "is_trial", F.col("tgt_num").alias("dq_tgt_num"))
-
-
-def _stamp(df: DataFrame, suite: Suite, spec: CheckSpec, dq_column: Column, tgt: Column, tgt_type,
-           src_text: Column, is_pass: Column, threshold: Column | None = None) -> DataFrame:
+        rows = rows.selectExpr("*", "CAST(NULL AS BIGINT) AS last_value", "CAST(NULL AS DOUBLE) AS avg_diff",
+                               "CAST(NULL AS DOUBLE) AS sd_diff", "CAST(NULL AS BIGINT) AS num_weeks")
+
+    t_pass = Q.relative_change_pass("tgt_num", "base_num", "mode", "t_value", "t_low")
+    bottom, top = Q.band_bounds("last_value", "avg_diff", "sd_diff", "t_value")
+    bound_text = (f"CASE WHEN mode = 'upward' THEN CAST({top} AS STRING) "
+                  f"WHEN mode = 'downward' THEN CAST({bottom} AS STRING) "
+                  f"ELSE concat(CAST({bottom} AS STRING), '|', CAST({top} AS STRING)) END")
+    stats_text = (f"concat({bound_text}, ' (last_src=', CAST(last_value AS STRING), ')', "
+                  f"' (avg_diff=', CAST({Q.round_int('avg_diff')} AS STRING), ')', "
+                  f"' (src_stddev=', CAST({Q.round_int('sd_diff')} AS STRING), ')', "
+                  f"' (cnt=', CAST(num_weeks AS STRING), ')')")
+    b_text = f"CASE WHEN last_value IS NULL THEN {bound_text} ELSE {stats_text} END"
+    b_pass = Q.band_pass("tgt_num", bottom, top, "mode")
+    is_pass = (f"coalesce(CASE WHEN family = 'trending' THEN {t_pass} WHEN family = 'std_dev' THEN {b_pass} "
+               f"ELSE pre_pass END, false)")
+    src_text = (f"CASE WHEN family = 'trending' THEN {Q.num_text('base_num')} "
+                f"WHEN family = 'std_dev' THEN {b_text} ELSE src_text END")
+    return rows.selectExpr(
+        f"{Q.lit(db)} AS database_name", f"{Q.lit(schema)} AS schema_name",
+        f"{Q.lit(table)} AS table_name", f"{Q.lit(suite.target.filter_text)} AS table_filter",
+        "check_id", "family AS dq_name", "dq_column", "dq_description", "tgt_text AS dq_tgt_value",
+        f"{src_text} AS dq_src_value", "dq_threshold", f"{is_pass} AS is_pass", "stop_on_failure",
+        "false AS is_dq_custom", "is_trial", "tgt_num AS dq_tgt_num")
+
+
+def _stamp(df: DataFrame, suite: Suite, spec: CheckSpec, dq_column: str, tgt: str, tgt_type,
+           src_text: str, is_pass: str, threshold: str | None = None) -> DataFrame:
+    """Verdict columns of a non-scalar part (operands are SQL text)."""
     db, schema, table = suite.target.parts
-    return df.select(
-        F.lit(db).alias("database_name"), F.lit(schema).alias("schema_name"),
-        F.lit(table).alias("table_name"), F.lit(suite.target.filter_text).alias("table_filter"),
-        F.lit(spec.check_id).alias("check_id"), F.lit(spec.dq_name).alias("dq_name"),
-        dq_column.alias("dq_column"), F.lit(spec.description_text()).alias("dq_description"),
-        value_text(tgt, tgt_type).alias("dq_tgt_value"), src_text.cast("string").alias("dq_src_value"),
-        (F.lit(spec.threshold.text) if threshold is None else threshold).cast("string").alias("dq_threshold"),
-        F.coalesce(is_pass, F.lit(False)).alias("is_pass"),
-        F.lit(spec.stop_on_failure).alias("stop_on_failure"), F.lit(False).alias("is_dq_custom"),
-        F.lit(spec.is_trial).alias("is_trial"), value_num(tgt, tgt_type).alias("dq_tgt_num"))
+    return df.selectExpr(
+        f"{Q.lit(db)} AS database_name", f"{Q.lit(schema)} AS schema_name",
+        f"{Q.lit(table)} AS table_name", f"{Q.lit(suite.target.filter_text)} AS table_filter",
+        f"{Q.lit(spec.check_id)} AS check_id", f"{Q.lit(spec.dq_name)} AS dq_name",
+        f"{dq_column} AS dq_column", f"{Q.lit(spec.description_text())} AS dq_description",
+        f"{Q.value_text(tgt, tgt_type)} AS dq_tgt_value", f"CAST({src_text} AS STRING) AS dq_src_value",
+        f"CAST({Q.lit(spec.threshold.text) if threshold is None else threshold} AS STRING) AS dq_threshold",
+        f"coalesce({is_pass}, false) AS is_pass", f"{Q.lit(spec.stop_on_failure)} AS stop_on_failure",
+        "false AS is_dq_custom", f"{Q.lit(spec.is_trial)} AS is_trial",
+        f"{Q.value_num(tgt, tgt_type)} AS dq_tgt_num")
 
 
 def unique_rows(suite: Suite, spec: CheckSpec, column: str) -> DataFrame:
@@ -342,8 +466,8 @@ def unique_rows(suite: Suite, spec: CheckSpec, column: str) -> DataFrame:
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     stats = groups.agg(F.count_if(complete).alias("distinct_cnt"),
                        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_cnt"))
-    return _stamp(stats, suite, spec, F.lit(column), F.col("distinct_cnt"), T.LongType(),
-                  F.col("total_cnt"), F.col("distinct_cnt") == F.col("total_cnt"))
+    return _stamp(stats, suite, spec, Q.lit(column), "distinct_cnt", T.LongType(),
+                  "total_cnt", "distinct_cnt = total_cnt")
 
 
 def missing_dates_rows(suite: Suite, spec: CheckSpec, column: str, agg: DataFrame, max_alias: str,
@@ -363,8 +487,8 @@ def missing_dates_rows(suite: Suite, spec: CheckSpec, column: str, agg: DataFram
     # The spine has exactly ``window`` rows: it is the broadcast (build) side.
     joined = hits.join(F.broadcast(spine), "date_col", "right")
     stats = joined.agg(F.sum(F.when(F.col("_hit").isNull(), 1).otherwise(0)).alias("total_cnt"))
-    return _stamp(stats, suite, spec, F.lit(column), F.col("total_cnt"), T.LongType(),
-                  F.lit("0"), F.col("total_cnt") == 0, threshold=F.lit(None))
+    return _stamp(stats, suite, spec, Q.lit(column), "total_cnt", T.LongType(),
+                  "'0'", "total_cnt = 0", threshold="NULL")
 
 
 def day_to_day_rows(suite: Suite, spec: CheckSpec, column: str, grouped: DataFrame, alias: str) -> DataFrame:
@@ -376,11 +500,11 @@ def day_to_day_rows(suite: Suite, spec: CheckSpec, column: str, grouped: DataFra
     prev = top.withColumn("dq_src_value", F.lead("dq_tgt_value").over(Window.orderBy(order)))
     vtype = grouped.schema[alias].dataType
     thr = spec.threshold
-    ok = relative_change_pass(F.col("dq_tgt_value").cast("double"), F.col("dq_src_value").cast("double"),
-                              thr.mode, thr.value, thr.low)
-    label = F.concat(F.lit(column + " ["), F.col("col").cast("string"), F.lit("]"))
-    return _stamp(prev, suite, spec, label, F.col("dq_tgt_value"), vtype,
-                  value_text(F.col("dq_src_value"), vtype), ok)
+    ok = Q.relative_change_pass("dq_tgt_value", "dq_src_value", Q.lit(thr.mode), Q.lit(float(thr.value)),
+                                Q.lit(None if thr.low is None else float(thr.low)))
+    label = f"concat({Q.lit(column + ' [')}, CAST(col AS STRING), ']')"
+    return _stamp(prev, suite, spec, label, "dq_tgt_value", vtype,
+                  Q.value_text("dq_src_value", vtype), ok)
 
 
 def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame:
@@ -397,22 +521,21 @@ def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame
         df = spark.sql(text, args=spec.args, **(spec.frames or {}))
     types = {f.name: f.dataType for f in df.schema.fields}
     db, schema, table = suite.target.parts
-    return df.select(
-        F.lit(db).alias("database_name"), F.lit(schema).alias("schema_name"),
-        F.lit(table).alias("table_name"), F.lit(None).cast("string").alias("table_filter"),
-        F.lit(spec.check_id).alias("check_id"), F.lit(spec.check_id).alias("dq_name"),
-        F.lit("").alias("dq_column"), F.lit(spec.description).alias("dq_description"),
-        value_text(F.col("tgt_value"), types["tgt_value"]).alias("dq_tgt_value"),
-        value_text(F.col("src_value"), types["src_value"]).alias("dq_src_value"),
-        F.lit(None).cast("string").alias("dq_threshold"),
-        F.coalesce(F.col("result") == 0, F.lit(False)).alias("is_pass"),
-        F.lit(spec.stop_on_failure).alias("stop_on_failure"), F.lit(True).alias("is_dq_custom"),
-        F.lit(spec.is_trial).alias("is_trial"),
-        value_num(F.col("tgt_value"), types["tgt_value"]).alias("dq_tgt_num"))
+    return df.selectExpr(
+        f"{Q.lit(db)} AS database_name", f"{Q.lit(schema)} AS schema_name",
+        f"{Q.lit(table)} AS table_name", "CAST(NULL AS STRING) AS table_filter",
+        f"{Q.lit(spec.check_id)} AS check_id", f"{Q.lit(spec.check_id)} AS dq_name",
+        "'' AS dq_column", f"{Q.lit(spec.description)} AS dq_description",
+        f"{Q.value_text('tgt_value', types['tgt_value'])} AS dq_tgt_value",
+        f"{Q.value_text('src_value', types['src_value'])} AS dq_src_value",
+        "CAST(NULL AS STRING) AS dq_threshold", "coalesce(result = 0, false) AS is_pass",
+        f"{Q.lit(spec.stop_on_failure)} AS stop_on_failure", "true AS is_dq_custom",
+        f"{Q.lit(spec.is_trial)} AS is_trial",
+        f"{Q.value_num('tgt_value', types['tgt_value'])} AS dq_tgt_num")
 
 
 def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
-                 history: DataFrame | None = None) -> DataFrame:
+                 history: DataFrame | None = None, shared: _SharedScan | None = None) -> DataFrame:
     """All verdict rows of one suite (not yet stamped with the run)."""
     specs = [s for s in suite.specs if s.enabled]
     parts: list[DataFrame] = []
@@ -431,8 +554,8 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
         uses[k] = uses.get(k, 0) + 1
     agg = None
     if scalar or missing:
-        agg, plan, types, dates = _fused_metrics(suite, scalar, [c for _, c in missing])
-        if missing and (plan or len(missing) > 1):
+        agg, plan, types, dates = _fused_metrics(suite, scalar, [c for _, c in missing], shared)
+        if missing and (plan or len(missing) > 1) and (shared is None or shared.own[id(suite)]):
             agg = _shared(agg)
         if plan:
             rows = _scalar_rows(agg, plan, types, ctx)
@@ -462,7 +585,8 @@ def run_suite(spark: SparkSession, suites: Suite | list[Suite], ctx: RunContext,
     """
     if isinstance(suites, Suite):
         suites = [suites]
-    rows = [verdict_rows(spark, s, ctx, history) for s in suites]
+    shared = _shared_scans(suites)
+    rows = [verdict_rows(spark, s, ctx, history, shared.get(id(s))) for s in suites]
     return to_result(reduce(lambda a, b: a.unionByName(b), rows), ctx)
 
 
