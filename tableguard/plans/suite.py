@@ -113,18 +113,17 @@ class _Metrics:
         self.cols: dict[str, Column] = {}
         self.alias: dict[str, str] = {}
 
-    def add(self, key: str, col: Column) -> str:
+    def add(self, key: str, sql_text: str) -> str:
+        """Register the aggregate ``sql_text`` (SQL) under ``key``; returns its alias."""
         if key not in self.alias:
             name = f"m{len(self.alias)}"
             self.alias[key] = name
-            self.cols[name] = col.alias(name)
+            self.cols[name] = F.expr(f"{sql_text} AS {name}")
         return self.alias[key]
 
 
-def _empty_null_metric(column: str) -> Column:
-    c = F.expr(column)
-    hit = (F.length(c.cast("string")) == 0) | c.isNull()
-    return F.sum(F.when(hit, F.lit(1)).otherwise(F.lit(0)))
+def _empty_null_metric(column: str) -> str:
+    return f"sum(CASE WHEN length(CAST(({column}) AS STRING)) = 0 OR ({column}) IS NULL THEN 1 ELSE 0 END)"
 
 
 def _date_metric_key(column: str) -> str:
@@ -162,9 +161,9 @@ def _metric_plan(specs: list[CheckSpec], date_columns: list[str]):
     for spec in specs:
         for column in spec.columns:
             if spec.family in ("trending", "std_dev"):
-                plan.append((spec, column, metrics.add("expr:" + column, F.expr(column))))
+                plan.append((spec, column, metrics.add("expr:" + column, column)))
             elif spec.family == "compare_to_source":
-                m = metrics.add("count", F.count(F.lit(1)))
+                m = metrics.add("count", "count(1)")
                 sid = id(spec.source)
                 if sid not in sources:
                     sources[sid] = (f"s{len(sources)}", spec.source)
@@ -172,9 +171,8 @@ def _metric_plan(specs: list[CheckSpec], date_columns: list[str]):
             elif spec.family == "empty_null":
                 plan.append((spec, column, metrics.add("empty:" + column, _empty_null_metric(column))))
             elif spec.family == "up_to_date":
-                plan.append((spec, column, metrics.add(_date_metric_key(column),
-                                                       F.max(F.to_date(F.expr(column))))))
-    dates = {c: metrics.add(_date_metric_key(c), F.max(F.to_date(F.expr(c)))) for c in date_columns}
+                plan.append((spec, column, metrics.add(_date_metric_key(column), f"max(to_date({column}))")))
+    dates = {c: metrics.add(_date_metric_key(c), f"max(to_date({c}))") for c in date_columns}
     return metrics, plan, sources, dates
 
 
@@ -202,27 +200,24 @@ def _single_call(text: str) -> bool:
     return False
 
 
-def _conditional(key: str, filt: str | None) -> Column | None:
-    """The metric ``key`` restricted to rows where ``filt`` holds (NULL = no).
-
-    Empty inputs keep their meaning: a conditional sum over no matching row
-    is NULL, a conditional count is 0.  ``None`` when it cannot be expressed
-    (a compound free-text aggregate)."""
-    cond = F.expr(filt) if filt else None
+def _conditional(key: str, filt: str | None) -> str | None:
+    """The metric ``key`` restricted to rows where ``filt`` holds (NULL = no),
+    as SQL.  Empty inputs keep their meaning: a conditional sum over no
+    matching row is NULL, a conditional count is 0.  ``None`` when it cannot
+    be expressed (a compound free-text aggregate)."""
     kind, _, arg = key.partition(":")
+    when = (lambda v: v) if not filt else (lambda v: f"CASE WHEN ({filt}) THEN {v} END")
     if kind == "count":
-        return F.count(F.lit(1)) if cond is None else F.count(F.when(cond, F.lit(1)))
+        return f"count({when('1')})"
     if kind == "empty":
-        c = F.expr(arg)
-        v = F.when((F.length(c.cast("string")) == 0) | c.isNull(), F.lit(1)).otherwise(F.lit(0))
-        return F.sum(v if cond is None else F.when(cond, v))
+        hit = f"CASE WHEN length(CAST(({arg}) AS STRING)) = 0 OR ({arg}) IS NULL THEN 1 ELSE 0 END"
+        return f"sum({when(hit)})"
     if kind == "maxdate":
-        d = F.to_date(F.expr(arg))
-        return F.max(d if cond is None else F.when(cond, d))
-    if cond is None:
-        return F.expr(arg)
+        return f"max({when(f'to_date({arg})')})"
+    if not filt:
+        return arg
     if _single_call(arg):
-        return F.expr(f"{arg} FILTER (WHERE {filt})")
+        return f"{arg} FILTER (WHERE {filt})"
     return None
 
 
@@ -257,21 +252,21 @@ class _SharedScan:
                         own.append(key)
                         continue
                     cols[ck] = f"c{len(cols)}"
-                    built.append(col.alias(cols[ck]))
+                    built.append(F.expr(f"{col} AS {cols[ck]}"))
                 m[alias] = cols[ck]
             self.map[id(suite)] = m
             self.own[id(suite)] = own
         df = suites[0].target.df
         filters = [_filter_text(x) for x in suites]
         if all(filters):
-            df = df.where(reduce(lambda a, b: a | b, [F.coalesce(F.expr(f), F.lit(False)) for f in filters]))
+            df = df.where(" OR ".join(f"coalesce(({f}), false)" for f in filters))
         self.agg = _shared(df.agg(*built)) if built else None
 
     def agg_for(self, suite: Suite, metrics: _Metrics) -> DataFrame:
         m = self.map[id(suite)]
         parts = []
         if m:
-            parts.append(self.agg.select(*[F.col(c).alias(a) for a, c in m.items()]))
+            parts.append(self.agg.selectExpr(*[f"{c} AS {a}" for a, c in m.items()]))
         own = [metrics.cols[metrics.alias[k]] for k in self.own[id(suite)]]
         if own:
             parts.append(suite.target.filtered().agg(*own))
@@ -351,8 +346,8 @@ class _KeyedAggs:
         if k not in self.keys:
             self.keys[k] = key
             self.metrics[k] = _Metrics()
-            self.metrics[k].add("rows", F.count(F.lit(1)))
-        alias = self.metrics[k].add("expr:" + metric, F.expr(metric)) if metric else None
+            self.metrics[k].add("rows", "count(1)")
+        alias = self.metrics[k].add("expr:" + metric, metric) if metric else None
         return k, alias
 
     def frame(self, k: str) -> DataFrame:
@@ -460,12 +455,12 @@ def _stamp(df: DataFrame, suite: Suite, spec: CheckSpec, dq_column: str, tgt: st
 def unique_rows(suite: Suite, spec: CheckSpec, column: str) -> DataFrame:
     """C15 for one column (or ``a,b`` composite): distinct vs total count."""
     parts = [p.strip() for p in column.split(",")]
-    keyed = suite.target.filtered().select(*[F.expr(p).alias(f"_k{i}") for i, p in enumerate(parts)])
     keys = [f"_k{i}" for i in range(len(parts))]
-    groups = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    stats = groups.agg(F.count_if(complete).alias("distinct_cnt"),
-                       F.coalesce(F.sum("_n"), F.lit(0)).alias("total_cnt"))
+    keyed = suite.target.filtered().selectExpr(*[f"{p} AS {k}" for p, k in zip(parts, keys)])
+    groups = keyed.groupBy(*keys).agg(F.expr("count(1) AS _n"))
+    complete = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    stats = groups.selectExpr(f"count_if({complete}) AS distinct_cnt",
+                              "coalesce(sum(_n), 0L) AS total_cnt")
     return _stamp(stats, suite, spec, Q.lit(column), "distinct_cnt", T.LongType(),
                   "total_cnt", "distinct_cnt = total_cnt")
 
@@ -479,14 +474,11 @@ def missing_dates_rows(suite: Suite, spec: CheckSpec, column: str, agg: DataFram
     is the per-day aggregate of the same day key.
     """
     n = spec.window
-    spine = (agg.select(F.col(max_alias).alias("max_date"),
-                        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
-             .select(F.date_sub(F.col("max_date"), F.col("i")).alias("date_col")))
-    hits = (present.select(F.col("col").cast("date").alias("date_col"))
-            .where(F.col("date_col").isNotNull()).withColumn("_hit", F.lit(1)))
+    spine = agg.selectExpr(f"explode(transform(sequence(0, {n - 1}), i -> date_sub({max_alias}, i))) AS date_col")
+    hits = present.selectExpr("CAST(col AS DATE) AS date_col", "1 AS _hit").where("date_col IS NOT NULL")
     # The spine has exactly ``window`` rows: it is the broadcast (build) side.
     joined = hits.join(F.broadcast(spine), "date_col", "right")
-    stats = joined.agg(F.sum(F.when(F.col("_hit").isNull(), 1).otherwise(0)).alias("total_cnt"))
+    stats = joined.selectExpr("sum(CASE WHEN _hit IS NULL THEN 1 ELSE 0 END) AS total_cnt")
     return _stamp(stats, suite, spec, Q.lit(column), "total_cnt", T.LongType(),
                   "'0'", "total_cnt = 0", threshold="NULL")
 
@@ -494,10 +486,10 @@ def missing_dates_rows(suite: Suite, spec: CheckSpec, column: str, agg: DataFram
 def day_to_day_rows(suite: Suite, spec: CheckSpec, column: str, grouped: DataFrame, alias: str) -> DataFrame:
     """Aggregate per group key, keep the ``num_days`` highest keys and
     compare each with the next lower present key."""
-    order = F.col("col").desc_nulls_first()
-    top = grouped.select("col", F.col(alias).alias("dq_tgt_value")).orderBy(order).limit(spec.num_days)
+    top = (grouped.selectExpr("col", f"{alias} AS dq_tgt_value")
+           .orderBy(F.col("col").desc_nulls_first()).limit(spec.num_days))
     # At most 30 rows reach this window (validated), so no partition key is needed.
-    prev = top.withColumn("dq_src_value", F.lead("dq_tgt_value").over(Window.orderBy(order)))
+    prev = top.selectExpr("*", "lead(dq_tgt_value) OVER (ORDER BY col DESC NULLS FIRST) AS dq_src_value")
     vtype = grouped.schema[alias].dataType
     thr = spec.threshold
     ok = Q.relative_change_pass("dq_tgt_value", "dq_src_value", Q.lit(thr.mode), Q.lit(float(thr.value)),
@@ -571,7 +563,7 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
             parts.append(custom_rows(spark, suite, spec))
     if not parts:
         raise ValueError("suite has no enabled rules")
-    parts = [p.select(*VERDICT_COLUMNS) for p in parts]
+    # Every part is built with VERDICT_COLUMNS in this order.
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

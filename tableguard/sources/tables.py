@@ -29,42 +29,40 @@ def daily_history(df: DataFrame, date_expr: str, metrics: dict[str, str], table:
     ``metrics`` maps the stored ``dq_column`` text to the Spark aggregate that
     computes it.  The run key of a day is its epoch second.
     """
+    from ..functions import sql as Q
     db, schema, tbl = table.split(".")
-    day = F.to_date(F.expr(date_expr)).alias("_d")
     names = list(metrics)
-    agg = (df.where(F.to_date(F.expr(date_expr)) < F.lit(before)).groupBy(day)
-           .agg(*[F.expr(metrics[n]).cast("double").alias(f"_m{i}") for i, n in enumerate(names)]))
-    pairs = F.array(*[F.struct(F.lit(n).alias("c"), F.col(f"_m{i}").alias("v"))
-                      for i, n in enumerate(names)])
-    rows = agg.select("_d", F.explode(pairs).alias("p"))
-    run_hour = F.to_timestamp_ntz(F.concat(F.col("_d").cast("string"),
-                                           F.lit(f" {hour:02d}:00:00")))
-    v = F.col("p.v")
-    text = F.when(v == F.floor(v), v.cast("bigint").cast("string")).otherwise(v.cast("string"))
+    day = f"to_date({date_expr})"
+    agg = (df.where(f"{day} < DATE'{before.isoformat()}'").groupBy(F.expr(f"{day} AS _d"))
+           .agg(*[F.expr(f"CAST({metrics[n]} AS DOUBLE) AS _m{i}") for i, n in enumerate(names)]))
+    pairs = ", ".join(f"named_struct('c', {Q.lit(n)}, 'v', _m{i})" for i, n in enumerate(names))
+    rows = agg.selectExpr("_d", f"explode(array({pairs})) AS p")
+    run_hour = f"to_timestamp_ntz(concat(CAST(_d AS STRING), ' {hour:02d}:00:00'))"
     vals = {
         "dq_run_hour": run_hour,
-        "database_name": F.lit(db),
-        "schema_name": F.lit(schema),
-        "table_name": F.lit(tbl),
-        "table_filter": F.lit(""),
-        "dq_name": F.lit(dq_name),
-        "dq_column": F.col("p.c"),
-        "dq_description": F.lit("derived daily history"),
-        "dq_tgt_value": text,
-        "dq_src_value": F.lit(None),
-        "dq_threshold": F.lit(None),
-        "is_pass": F.lit(True),
-        "stop_on_failure": F.lit(False),
-        "is_dq_custom": F.lit(False),
-        "dq_key": F.datediff(F.col("_d"), F.lit(_dt.date(1970, 1, 1))).cast("bigint") * 86400 + hour * 3600,
+        "database_name": Q.lit(db),
+        "schema_name": Q.lit(schema),
+        "table_name": Q.lit(tbl),
+        "table_filter": "''",
+        "dq_name": Q.lit(dq_name),
+        "dq_column": "p.c",
+        "dq_description": "'derived daily history'",
+        "dq_tgt_value": Q.num_text("p.v"),
+        "dq_src_value": "NULL",
+        "dq_threshold": "NULL",
+        "is_pass": "true",
+        "stop_on_failure": "false",
+        "is_dq_custom": "false",
+        "dq_key": f"CAST(datediff(_d, DATE'1970-01-01') AS BIGINT) * 86400 + {hour * 3600}",
         "dq_start_tstamp": run_hour,
         "dq_end_tstamp": run_hour,
-        "db_username": F.lit(""),
-        "unix_username": F.lit(""),
-        "env": F.lit(env),
-        "is_trial": F.lit(False),
-        "check_id": F.lit(check_id or dq_name),
-        "dq_tgt_num": v,
-        "dq_run_date": F.col("_d"),
+        "db_username": "''",
+        "unix_username": "''",
+        "env": Q.lit(env),
+        "is_trial": "false",
+        "check_id": Q.lit(check_id or dq_name),
+        "dq_tgt_num": "p.v",
+        "dq_run_date": "_d",
     }
-    return rows.select(*[vals[f.name].cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA.fields])
+    return rows.selectExpr(*[f"CAST({vals[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+                             for f in RESULT_SCHEMA.fields])

@@ -183,3 +183,27 @@ def test_filter_text_and_disabled(spark):
     assert res[("unique", "a")]["table_filter"] == "a > 0"
     res = _run(spark, [(1,)], "a int", specs[:1], filt="1=1")
     assert res[("unique", "a")]["table_filter"] == ""
+
+
+def test_sql_text_verdicts_agree_with_columns(spark):
+    from tableguard.functions import sql as Q
+    rows = []
+    for tgt, src, thr, expected in REL_CASES:
+        t = Threshold.parse(thr)
+        rows.append((None if tgt is None else float(tgt), None if src is None else float(src),
+                     t.mode, float(t.value), t.low, expected))
+    df = spark.createDataFrame(rows, "t double, s double, mode string, v double, lo double, exp boolean")
+    out = df.select("exp", relative_change_pass(F.col("t"), F.col("s"), F.col("mode"), F.col("v"),
+                                                F.col("lo")).alias("col"),
+                    F.expr(Q.relative_change_pass("t", "s", "mode", "v", "lo")).alias("sql"),
+                    source_count_pass(F.col("t"), F.col("s"), F.col("v")).alias("c2"),
+                    F.expr(Q.source_count_pass("t", "s", "v")).alias("s2")).collect()
+    for r in out:
+        assert r["exp"] == r["col"] == r["sql"]
+        assert r["c2"] == r["s2"]
+    b = spark.createDataFrame([(110, 10 / 7, 10.690449676496975, 2.0, 120.0)],
+                              "last long, a double, sd double, t double, tgt double")
+    lo, hi = Q.band_bounds("last", "a", "sd", "t")
+    clo, chi = band_bounds(F.col("last"), F.col("a"), F.col("sd"), F.col("t"))
+    r = b.select(F.expr(lo), F.expr(hi), clo, chi).first()
+    assert tuple(r) == (88, 132, 88, 132)
