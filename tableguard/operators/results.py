@@ -186,8 +186,28 @@ def _rule_verdicts(results: DataFrame, dq_key: int | None, expected: DataFrame |
     produced no row at all gets a NULL verdict (reported as a failure)."""
     cols = ["dq_key", "table_name", "check_id", "dq_name", "dq_column", "is_pass",
             "dq_tgt_value", "dq_src_value", "dq_threshold", "stop_on_failure"]
-    both = verdicts(results, dq_key).select(*cols).unionByName(
-        rollup_day_to_day(results, dq_key).select(*cols))
+    r = results if dq_key is None else results.where(F.col("dq_key") == dq_key)
+    # One pass: a rule's rows (one per run, or one per key for day_to_day)
+    # meet in one group.  Plain rules take their newest row (``max_by`` over
+    # end time, start time, target text: the ``verdicts`` order, partially
+    # aggregated); day_to_day rules roll up to "no failing key".
+    d2d = F.col("dq_name") == "day_to_day"
+    column = F.when(d2d, _base_column(F.col("dq_column"))).otherwise(F.col("dq_column"))
+    newest = F.max_by(F.struct("is_pass", "dq_tgt_value", "dq_src_value", "dq_threshold", "stop_on_failure"),
+                      F.struct("dq_end_tstamp", "dq_start_tstamp", "dq_tgt_value"))
+    fails = F.sum(F.when(~F.col("is_pass"), 1).otherwise(0))
+    g = (r.groupBy("dq_key", "table_name", "check_id", "dq_name", column.alias("dq_column"))
+         .agg(newest.alias("n"), fails.alias("_fails"), F.max("dq_threshold").alias("_thr"),
+              F.max(F.col("stop_on_failure").cast("int")).alias("_stop")))
+    is_d2d = F.col("dq_name") == "day_to_day"
+    both = g.select(
+        "dq_key", "table_name", "check_id", "dq_name", "dq_column",
+        F.when(is_d2d, F.coalesce(F.col("_fails") == 0, F.lit(False))).otherwise(F.col("n.is_pass")).alias("is_pass"),
+        F.when(is_d2d, F.lit("<<< check dq table >>>")).otherwise(F.col("n.dq_tgt_value")).alias("dq_tgt_value"),
+        F.when(is_d2d, F.lit(None).cast("string")).otherwise(F.col("n.dq_src_value")).alias("dq_src_value"),
+        F.when(is_d2d, F.col("_thr")).otherwise(F.col("n.dq_threshold")).alias("dq_threshold"),
+        F.when(is_d2d, F.col("_stop").cast("boolean")).otherwise(F.col("n.stop_on_failure"))
+        .alias("stop_on_failure"))
     if expected is None:
         return both
     if dq_key is not None:
