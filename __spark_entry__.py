@@ -16,7 +16,6 @@ import datetime as dt
 import os
 import sys
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

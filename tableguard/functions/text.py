@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, DecimalType, DoubleType,
-                               FloatType, NumericType, StringType)
+from pyspark.sql.types import (BooleanType, DecimalType, DoubleType, FloatType, NumericType,
+                               StringType)
 
 
 def num_text(x: Column) -> Column:

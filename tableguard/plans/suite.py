@@ -19,7 +19,8 @@ Plan shape per checked table (and filter):
   max date comes from the fused aggregate.  day_to_day keeps the top keys
   (``TakeOrderedAndProject``) and applies ``lead`` over at most 30 rows;
   missing_dates joins the present dates to a broadcast spine of ``window``
-  dates.  The shared aggregate is one exchange, reused by every consumer.
+  dates.  An aggregate read by several branches is persisted (it is one
+  row, or one row per key), so the table is scanned once for all of them.
 * **Baselines**: one set-based lookup over the history table per family,
   joined to the exploded rows on ``(check_id, dq_column)``.
 
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

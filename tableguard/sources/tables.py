@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.results import RESULT_COLUMNS, RESULT_SCHEMA
+from ..operators.results import RESULT_SCHEMA
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
