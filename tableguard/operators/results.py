@@ -117,13 +117,26 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Read the result table at ``path`` (schema merged across layouts)."""
-    return conform(spark.read.option("mergeSchema", "true").parquet(path))
+    """Read the result table at ``path`` with the current schema.
+
+    Files written before a column existed read it as NULL (no footer-merging
+    pass over every file, which would grow with the table's age); the numeric
+    twin and the rule id of such rows are recovered from their text.
+    """
+    df = spark.read.schema(RESULT_SCHEMA).parquet(path)
+    return df.withColumns({
+        "check_id": F.coalesce(F.col("check_id"), F.col("dq_name")),
+        "dq_tgt_num": F.coalesce(F.col("dq_tgt_num"), F.col("dq_tgt_value").try_cast("double")),
+    }).select(*RESULT_COLUMNS)
 
 
 def append_results(df: DataFrame, path: str | None = None, table: str | None = None) -> None:
-    """One append per suite, partitioned by run date."""
-    df = df.select(*RESULT_COLUMNS)
+    """One append per suite, partitioned by run date.
+
+    ``rebalance`` lets AQE size the output files: a suite's handful of rows
+    becomes one file per run instead of one per union branch.
+    """
+    df = df.select(*RESULT_COLUMNS).hint("rebalance")
     if table is not None:
         df.write.mode("append").insertInto(table)
     else:

@@ -24,6 +24,8 @@ def test_results_append_read_and_evolve(spark, scratch):
     R.append_results(run_suite(spark, suite, CTX), path)
     back = R.read_results(spark, path)
     assert back.columns == R.RESULT_COLUMNS and back.count() == 2
+    files = [f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+    assert len(files) == 1  # one small file per suite append, not one per plan branch
     # Next run: history snapshot read before the append; the baseline is the first run.
     ctx2 = CTX.with_(run_hour=dt.datetime(2024, 4, 1, 6), dq_key=43, as_of=dt.date(2024, 4, 1))
     suite2 = Suite(TableRef("d.s.t", spark.range(12)), [CheckSpec.make("trending", columns=["count(*)"],
