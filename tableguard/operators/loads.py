@@ -277,7 +277,10 @@ def write_version(spark: SparkSession, table: str, df: DataFrame, location: str)
     definition is then re-registered over the new directory (its partitions
     recovered from the files), which also drops the catalog's partition
     entries of the previous version.  The previous directory is left in place
-    for readers that still hold it; remove it once they are done.
+    for readers that still hold it; remove it once they are done.  The rows
+    are complete in ``location`` before the catalog is touched; should the
+    driver stop between the drop and the create, re-running the create over
+    ``location`` restores the table.
     """
     schema = spark.table(table).schema
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
