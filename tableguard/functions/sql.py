@@ -93,3 +93,27 @@ def band_pass(tgt: str, bottom: str, top: str, mode: str) -> str:
             f"WHEN {mode} = 'downward' THEN {round_int(tgt)} > {bottom} "
             f"ELSE CAST({tgt} AS DOUBLE) BETWEEN {bottom} AND {top} END")
     return f"CASE WHEN {missing} THEN true WHEN {pred} THEN true ELSE false END"
+
+
+def split_top_level(text: str) -> list[str]:
+    """Split ``a, f(b, c), 'x,y'`` at commas outside parentheses and quotes."""
+    parts, depth, quote, cur = [], 0, None, []
+    for ch in text:
+        if quote:
+            cur.append(ch)
+            if ch == quote:
+                quote = None
+            continue
+        if ch in "'\"`":
+            quote = ch
+        elif ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        elif ch == "," and depth == 0:
+            parts.append("".join(cur).strip())
+            cur = []
+            continue
+        cur.append(ch)
+    parts.append("".join(cur).strip())
+    return [p for p in parts if p]

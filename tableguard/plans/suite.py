@@ -385,7 +385,7 @@ def release_shared() -> None:
 
 
 def _day_key(spec: CheckSpec) -> tuple[str, Column]:
-    keys = [k.strip() for k in spec.group_by.split(",")]
+    keys = Q.split_top_level(spec.group_by)
     if len(keys) == 1:
         return keys[0], F.expr(keys[0])
     return spec.group_by, concat_key(keys)
@@ -455,7 +455,7 @@ def _stamp(df: DataFrame, suite: Suite, spec: CheckSpec, dq_column: str, tgt: st
 
 def unique_rows(suite: Suite, spec: CheckSpec, column: str) -> DataFrame:
     """C15 for one column (or ``a,b`` composite): distinct vs total count."""
-    parts = [p.strip() for p in column.split(",")]
+    parts = Q.split_top_level(column)
     keys = [f"_k{i}" for i in range(len(parts))]
     keyed = suite.target.filtered().selectExpr(*[f"{p} AS {k}" for p, k in zip(parts, keys)])
     groups = keyed.groupBy(*keys).agg(F.expr("count(1) AS _n"))

@@ -207,3 +207,15 @@ def test_sql_text_verdicts_agree_with_columns(spark):
     clo, chi = band_bounds(F.col("last"), F.col("a"), F.col("sd"), F.col("t"))
     r = b.select(F.expr(lo), F.expr(hi), clo, chi).first()
     assert tuple(r) == (88, 132, 88, 132)
+
+
+def test_composite_keys_split_at_top_level(spark):
+    from tableguard.functions.sql import split_top_level
+    assert split_top_level("a, coalesce(b, 0), 'x,y'") == ["a", "coalesce(b, 0)", "'x,y'"]
+    rows = [(1, None), (1, 0), (2, 5)]
+    res = _run(spark, rows, "a int, b int", [CheckSpec.make("unique", columns=["a,coalesce(b, 0)"])])
+    r = res[("unique", "a,coalesce(b, 0)")]
+    assert (r["dq_tgt_value"], r["dq_src_value"]) == ("2", "3")
+    spec = CheckSpec.make("day_to_day", columns=["count(*)"], group_by="a, coalesce(b, -1)", num_days=5)
+    res = _run(spark, rows, "a int, b int", [spec])
+    assert sorted(k[1] for k in res) == ["count(*) [1,-1]", "count(*) [1,0]", "count(*) [2,5]"]
