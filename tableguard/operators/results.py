@@ -130,6 +130,19 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     }).select(*RESULT_COLUMNS)
 
 
+def scratch_results_path(spark: SparkSession, dq_key: int, fallback: str | None = None) -> str:
+    """Where an isolated (trial) run writes its verdicts.
+
+    The run still reads history from the permanent table; its own rows go to
+    ``<spark.checkpoint.dir>/tableguard-scratch/<dq_key>`` (the cluster's
+    shared folder), so a trial never becomes a later run's baseline.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not base:
+        raise ValueError("spark.checkpoint.dir is not set")
+    return f"{base.rstrip('/')}/tableguard-scratch/{int(dq_key)}"
+
+
 def append_results(df: DataFrame, path: str | None = None, table: str | None = None) -> None:
     """One append per suite, partitioned by run date.
 

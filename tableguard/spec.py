@@ -190,6 +190,10 @@ class CheckSpec:
             raise CheckConfigError(f"{name}: columns are required")
         if fam == "compare_to_source":
             columns = ("count(*)",)
+            if thr.mode == "range":
+                # Only the upper bound limits the count ratio; it is what is stored.
+                hi_text = thr.text.split(",", 1)[1].strip()
+                thr = Threshold("absolute", thr.value, None, hi_text)
             if source is None:
                 raise CheckConfigError("compare_to_source needs a source table")
         if fam == "day_to_day":

@@ -250,3 +250,14 @@ def test_observed_checks_during_load_write(spark, scratch):
             assert observed[k][c] == scanned[k][c], (k, c)
     with pytest.raises(Exception):
         ObservedChecks("a.b.c", [CheckSpec.make("unique", columns=["x"])], ctx)
+
+
+def test_isolated_run_and_compare_range(spark, scratch):
+    path = R.scratch_results_path(spark, CTX.dq_key, fallback=scratch)
+    assert path.endswith(f"tableguard-scratch/{CTX.dq_key}")
+    spec = CheckSpec.make("compare_to_source", threshold="0.1,0.5", source=TableRef("a.b.s", spark.range(8)))
+    assert (spec.threshold.text, spec.threshold.value, spec.threshold.mode) == ("0.5", 0.5, "absolute")
+    out = run_suite(spark, Suite(TableRef("a.b.t", spark.range(10)), [spec]), CTX)
+    R.append_results(out, path)
+    r = R.read_results(spark, path).first()
+    assert (r["dq_threshold"], r["is_pass"]) == ("0.5", True)
