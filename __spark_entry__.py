@@ -54,16 +54,18 @@ LI_DAY_FILTER = "CAST(l_shipdate AS DATE) = DATE '2001-07-31'"
 FLAG_COLUMNS = [f"sum(CASE WHEN l_returnflag = '{f}' THEN 1 ELSE 0 END)" for f in ("A", "N", "R")]
 
 
-_READS: dict[tuple, DataFrame] = {}
+_READS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     """One DataFrame per (session, table): the file listing happens once.
     The test tables are read-only, so the listing stays valid."""
     key = (id(spark), d, name)
-    if key not in _READS:
-        _READS[key] = read_table(spark, d, name)
-    return _READS[key]
+    hit = _READS.get(key)
+    if hit is None or hit[0] is not spark:
+        # The session is kept in the entry, so its id cannot be reused by another one.
+        _READS[key] = hit = (spark, read_table(spark, d, name))
+    return hit[1]
 
 
 def _li_target(spark, d) -> TableRef:

@@ -381,7 +381,11 @@ def _shared(df: DataFrame) -> DataFrame:
 def release_shared() -> None:
     """Unpersist the shared aggregates of the suites built so far."""
     while _SHARED:
-        _SHARED.pop().unpersist()
+        df = _SHARED.pop()
+        try:
+            df.unpersist()
+        except Exception:  # its session is gone; nothing is cached any more
+            pass
 
 
 def _day_key(spec: CheckSpec) -> tuple[str, Column]:
