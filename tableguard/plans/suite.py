@@ -388,6 +388,15 @@ def release_shared() -> None:
             pass
 
 
+def _date_key(suite: Suite, column: str) -> tuple[str, Column]:
+    """Day key of a missing_dates column: the column itself when it is already
+    a DATE (so a day_to_day rule grouping by it shares the groupBy), else its
+    cast to DATE."""
+    if isinstance(suite.target.df.selectExpr(column).schema.fields[0].dataType, T.DateType):
+        return column, F.expr(column)
+    return f"CAST({column} AS DATE)", F.to_date(F.expr(column))
+
+
 def _day_key(spec: CheckSpec) -> tuple[str, Column]:
     keys = Q.split_top_level(spec.group_by)
     if len(keys) == 1:
@@ -545,7 +554,7 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
             text, key = _day_key(s)
             for c in s.columns:
                 d2d.append((s, c) + keyed.register(text, key, c))
-    miss_keys = [keyed.register(f"CAST({c} AS DATE)", F.to_date(F.expr(c)))[0] for _, c in missing]
+    miss_keys = [keyed.register(*_date_key(suite, c))[0] for _, c in missing]
     uses = {}
     for k in miss_keys + [x[2] for x in d2d]:
         uses[k] = uses.get(k, 0) + 1

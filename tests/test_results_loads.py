@@ -261,3 +261,20 @@ def test_isolated_run_and_compare_range(spark, scratch):
     R.append_results(out, path)
     r = R.read_results(spark, path).first()
     assert (r["dq_threshold"], r["is_pass"]) == ("0.5", True)
+
+
+def test_date_column_shares_day_groupby(spark):
+    import re
+    spark.catalog.clearCache()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ev = spark.read.parquet(f"{SF001}/events.parquet").selectExpr("CAST(ts AS DATE) AS d", "value")
+        specs = [CheckSpec.make("missing_dates", columns=["d"]),
+                 CheckSpec.make("day_to_day", columns=["sum(value)"], group_by="d", num_days=3)]
+        df = run_suite(spark, Suite(TableRef("a.b.ev", ev), specs), CTX)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        groupings = set(re.findall(r"Exchange hashpartitioning\(([^,]+)#", plan))
+        assert len(groupings) == 1, groupings
+        assert df.count() == 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
