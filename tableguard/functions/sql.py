@@ -65,14 +65,15 @@ def relative_change_pass(tgt: str, src: str, mode: str, value: str, low: str) ->
             f"WHEN {mode} = 'upward' THEN {r} BETWEEN 0D AND {v} "
             f"WHEN {mode} = 'downward' THEN {r} BETWEEN {v} AND 0D "
             f"ELSE {ar} <= {v} END")
-    return (f"CASE WHEN {s} IS NULL THEN true WHEN {s} = 0 THEN false WHEN {t} = 0 THEN false "
-            f"WHEN {pred} THEN true ELSE false END")
+    # no baseline passes; a zero on either side fails; else the mode's bound
+    return f"CASE WHEN {s} IS NULL THEN true WHEN {s} = 0 OR {t} = 0 THEN false ELSE coalesce({pred}, false) END"
 
 
 def source_count_pass(tgt: str, src: str, value: str) -> str:
     t, s = f"CAST({tgt} AS DOUBLE)", f"CAST({src} AS DOUBLE)"
-    return (f"CASE WHEN {s} IS NULL THEN false WHEN {s} = 0 THEN false WHEN {t} = 0 THEN false "
-            f"WHEN try_divide(abs({t} - {s}), {s}) <= CAST({value} AS DOUBLE) THEN true ELSE false END")
+    # a missing or empty source fails, as does an empty target
+    return (f"CASE WHEN {s} IS NULL OR {s} = 0 OR {t} = 0 THEN false "
+            f"ELSE coalesce(try_divide(abs({t} - {s}), {s}) <= CAST({value} AS DOUBLE), false) END")
 
 
 def round_int(x: str) -> str:
