@@ -181,6 +181,20 @@ def overwrite(src: DataFrame, columns, ctx: RunContext) -> DataFrame:
     return with_audit(project(src, columns), ctx)
 
 
+def _key_list(primary_key) -> list[str]:
+    pk = [primary_key] if isinstance(primary_key, str) else list(primary_key or [])
+    if not pk:
+        raise LoadConfigError("update mode requires a primary key")
+    return pk
+
+
+def _guarded(src: DataFrame, pk: list[str]) -> DataFrame:
+    """``src`` whose key columns fail the job on a NULL (inside the plan)."""
+    return src.withColumns({k: F.when(F.col(k).isNull(),
+                                      F.raise_error(F.lit(f"NULL primary key {k} in update source")))
+                            .otherwise(F.col(k)) for k in pk})
+
+
 def upsert(tgt: DataFrame, src: DataFrame, primary_key, columns, ctx: RunContext,
            restamp: bool = True, strict_not_in: bool = False) -> DataFrame:
     """Every source row, plus target rows whose key is not in the source.
@@ -193,14 +207,9 @@ def upsert(tgt: DataFrame, src: DataFrame, primary_key, columns, ctx: RunContext
     historical behaviour); ``False`` keeps their original audit columns.
     Duplicate source keys are all kept.
     """
-    pk = [primary_key] if isinstance(primary_key, str) else list(primary_key)
-    if not pk:
-        raise LoadConfigError("update mode requires a primary key")
+    pk = _key_list(primary_key)
     names = column_names(columns)
-    guard = {k: F.when(F.col(k).isNull(),
-                       F.raise_error(F.lit(f"NULL primary key {k} in update source")))
-             .otherwise(F.col(k)) for k in pk}
-    src = src.withColumns(guard)
+    src = _guarded(src, pk)
     new_rows = with_audit(src.select(*names), ctx)
     kept = tgt.join(src.select(*pk), pk, "left_anti")
     if strict_not_in:
@@ -297,6 +306,70 @@ def write_version(spark: SparkSession, table: str, df: DataFrame, location: str)
     spark.catalog.refreshTable(table)
 
 
+def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, primary_key, columns,
+                            ctx: RunContext, staging: str) -> list[tuple]:
+    """L6 writer when kept rows keep their audit columns (``restamp=False``):
+    rewrite only the partitions the update touches.
+
+    Touched partitions are those holding a target row whose key is in the
+    source, and those the new rows land in.  They are found with a semi-join
+    that reads only key and partition columns; their list is partition
+    metadata (bounded by the number of partitions), so it becomes a static
+    partition filter and the rewrite reads only those partitions.  The new
+    content is staged under ``staging`` first (the table is never read and
+    overwritten at once), then written with a dynamic partition overwrite;
+    a touched partition left without rows is cleared by a static overwrite.  The table's result
+    equals ``upsert(..., restamp=False)``.  Returns the touched partitions.
+    """
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if not parts:
+        raise LoadConfigError(f"{table} is not partitioned; use write_version")
+    pk = _key_list(primary_key)
+    tgt = spark.table(table)
+    cols = tgt.columns
+    src = _guarded(src, pk)
+    keys = src.select(*pk)
+    new_rows = with_audit(project(src, columns), ctx).select(*cols)
+    touched = (tgt.join(keys, pk, "left_semi").select(*parts)
+               .unionByName(new_rows.select(*parts)).distinct().collect())
+    touched = [tuple(r) for r in touched]
+    if not touched:
+        return []
+    in_touched = reduce(lambda a, b: a | b, [
+        reduce(lambda x, y: x & y, [F.col(p) == F.lit(v) for p, v in zip(parts, t)]) for t in touched])
+    kept = tgt.where(in_touched).join(keys, pk, "left_anti").select(*cols)
+    new_rows.unionByName(kept).write.mode("errorifexists").partitionBy(*parts).parquet(staging)
+    # The table's schema keeps partition values as written ('08', not 8).
+    staged = spark.read.schema(tgt.schema).parquet(staging)
+    present = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+    view = f"_tg_upsert_{abs(hash((table, staging)))}"
+    staged.select(*cols).createOrReplaceTempView(view)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(parts)}) "
+                  f"SELECT {', '.join('`%s`' % c for c in cols)} FROM {view}")
+    finally:
+        spark.conf.set(key, old)
+        spark.catalog.dropTempView(view)
+    emptied = [t for t in touched if t not in present]
+    if emptied:
+        # A static overwrite with no rows clears the partition's files (a
+        # dropped partition of an external table would keep them on disk).
+        data_cols = [c for c in cols if c not in parts]
+        view = f"_tg_empty_{abs(hash((table, staging)))}"
+        spark.createDataFrame([], tgt.schema).createOrReplaceTempView(view)
+        for t in emptied:
+            spec = ", ".join(f"{p}='{v}'" for p, v in zip(parts, t))
+            with_static_overwrite(spark, lambda: spark.sql(
+                f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) "
+                f"SELECT {', '.join('`%s`' % c for c in data_cols)} FROM {view}"))
+        spark.catalog.dropTempView(view)
+    spark.catalog.refreshTable(table)
+    return touched
+
+
 def with_static_overwrite(spark: SparkSession, action):
     key = "spark.sql.sources.partitionOverwriteMode"
     old = spark.conf.get(key)

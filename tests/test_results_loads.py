@@ -278,3 +278,46 @@ def test_date_column_shares_day_groupby(spark):
         assert df.count() == 4
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, scratch):
+    from tableguard.context import RunContext
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    ctx_a = RunContext.create("2000-01-01 01:00:00", now="2000-01-01 01:00:00", dq_key=1, unix_user="a")
+    ctx_b = RunContext.create("2000-02-01 01:00:00", now="2000-02-01 01:00:00", dq_key=2, unix_user="b")
+    ctx_c = RunContext.create("2000-03-01 01:00:00", now="2000-03-01 01:00:00", dq_key=3, unix_user="c")
+    a = L.overwrite(orders.where("o_orderdate < TIMESTAMP'1997-01-01 00:00:00'"), E.ORDER_COLUMNS, ctx_a)
+    b = L.overwrite(orders.where("o_orderdate >= TIMESTAMP'1997-01-01 00:00:00' AND "
+                                 "o_orderdate < TIMESTAMP'1999-01-01 00:00:00'"), E.ORDER_COLUMNS, ctx_b)
+    c = L.overwrite(orders.where("o_orderdate >= TIMESTAMP'1999-01-01 00:00:00'"), E.ORDER_COLUMNS, ctx_c)
+    L.create_table(spark, "t_sel", E.ORDER_COLUMNS, location=os.path.join(scratch, "t_sel"))
+    L.write_overwrite(spark, "t_sel", a.unionByName(b).unionByName(c))
+    before = {tuple(r) for r in spark.table("t_sel").collect()}
+    # the source replaces every row of partition b and ten rows of partition c
+    src = (orders.where("o_orderdate >= TIMESTAMP'1997-01-01 00:00:00' AND "
+                        "o_orderdate < TIMESTAMP'1999-01-01 00:00:00'")
+           .unionByName(orders.where("o_orderdate >= TIMESTAMP'1999-01-01 00:00:00'").orderBy("o_orderkey").limit(10))
+           .withColumn("o_orderstatus", F.lit("U")))
+    tgt_snapshot = spark.createDataFrame(list(before), spark.table("t_sel").schema)
+    expected = {tuple(r) for r in L.upsert(tgt_snapshot, src, "o_orderkey", E.ORDER_COLUMNS, E.LOAD_CTX,
+                                           restamp=False).select(*spark.table("t_sel").columns).collect()}
+    a_dir = os.path.join(scratch, "t_sel", "dl_partition_year=2000", "dl_partition_month=01")
+    a_files = sorted(os.listdir(os.path.join(a_dir, "dl_partition_day=01", "dl_partition_hour=01")))
+    touched = L.write_upsert_partitions(spark, "t_sel", src, "o_orderkey", E.ORDER_COLUMNS, E.LOAD_CTX,
+                                        os.path.join(scratch, "stage1"))
+    assert sorted(touched) == [("2000", "02", "01", "01"), ("2000", "03", "01", "01"), ("2001", "08", "02", "07")]
+    after = {tuple(r) for r in spark.table("t_sel").collect()}
+    if after != expected:
+        import collections
+        extra = collections.Counter(r[-4:] for r in after - expected)
+        missing = collections.Counter(r[-4:] for r in expected - after)
+        raise AssertionError(f"extra {dict(extra)} missing {dict(missing)} "
+                             f"n_after={len(after)} n_exp={len(expected)}")
+    # partition a was not rewritten; partition b (fully replaced) holds no files any more
+    assert sorted(os.listdir(os.path.join(a_dir, "dl_partition_day=01", "dl_partition_hour=01"))) == a_files
+    b_dir = os.path.join(scratch, "t_sel", "dl_partition_year=2000", "dl_partition_month=02")
+    left = [f for _, _, fs in os.walk(b_dir) for f in fs if f.endswith(".parquet")]
+    assert left == []
+    spark.sql("ALTER TABLE t_sel RECOVER PARTITIONS")
+    spark.catalog.refreshTable("t_sel")
+    assert {tuple(r) for r in spark.table("t_sel").collect()} == expected
