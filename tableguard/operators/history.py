@@ -60,7 +60,7 @@ def _series(history: DataFrame, wanted: DataFrame, dq_name: str, ctx: RunContext
 
 
 def trending_baselines(history: DataFrame, wanted: DataFrame, ctx: RunContext,
-                       cmp_dates: list[_dt.date | None]) -> DataFrame:
+                       cmp_dates: list[_dt.date | None], lookback_days: int | None = None) -> DataFrame:
     """Value of the newest earlier ``trending`` row per wanted series.
 
     A row qualifies when it belongs to another run, its run hour is not after
@@ -68,8 +68,15 @@ def trending_baselines(history: DataFrame, wanted: DataFrame, ctx: RunContext,
     Newest = (run hour, end time, key) descending; ``max_by`` keeps this a
     partial aggregation, so a series with many runs does not gather in one task.
     Returns ``check_id, dq_column, base_num``.
+
+    ``lookback_days`` (optional) bounds the last-run search to recent run
+    dates, so the scan of a long history is partition-pruned; a series whose
+    last run is older then has no baseline (and passes).  The default is
+    exact: the newest earlier row of any age.
     """
     h = history.where(F.col("dq_run_date") <= F.lit(ctx.run_hour.date()))
+    if lookback_days is not None:
+        h = h.where(F.col("dq_run_date") >= F.lit(ctx.run_hour.date() - _dt.timedelta(days=int(lookback_days))))
     if cmp_dates and all(d is not None for d in cmp_dates):
         h = h.where(F.col("dq_run_date").isin(sorted(set(cmp_dates))))
     h = h.where((F.col("dq_run_hour") <= ctx.run_hour_col())

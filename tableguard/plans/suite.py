@@ -7,8 +7,8 @@ Plan shape per checked table (and filter):
   aliases ``m0..mk`` of ONE ``agg`` over the filtered table (one scan, partial
   aggregation per task, a single-row exchange).  The one-row result is turned
   into one row per (rule, column) with ``explode(array(struct...))``.
-* **Filters of one table fused.** Suites over the same DataFrame with
-  different filters share one scan: built-in metrics become conditional
+* **Filters of one table fused.** Suites over the same table (same plan by
+  ``sameSemantics``) with different filters share one scan: built-in metrics become conditional
   aggregates, single-call free-text aggregates get ``FILTER (WHERE ...)``.
 * **Distinct keys** (unique): one ``groupBy(key)`` per column set, reading only
   those columns; partial aggregation collapses hot keys map-side.  No
@@ -280,12 +280,19 @@ def _filter_text(suite: Suite) -> str | None:
 
 
 def _shared_scans(suites: list[Suite]) -> dict[int, _SharedScan]:
-    """Group suites over the same DataFrame with different filters."""
-    groups: dict[int, list[Suite]] = {}
+    """Group suites whose tables are the same plan (``sameSemantics``: two
+    reads of one table qualify) and whose filters differ."""
+    groups: list[list[Suite]] = []
     for s in suites:
-        groups.setdefault(id(s.target.df), []).append(s)
+        for g in groups:
+            d = g[0].target.df
+            if d is s.target.df or d.sameSemantics(s.target.df):
+                g.append(s)
+                break
+        else:
+            groups.append([s])
     out = {}
-    for g in groups.values():
+    for g in groups:
         if (len(g) > 1 and not any(s.target.args for s in g)
                 and len({_filter_text(s) for s in g}) > 1):
             sc = _SharedScan(g)
@@ -405,7 +412,8 @@ def _day_key(spec: CheckSpec) -> tuple[str, Column]:
 
 
 def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: RunContext,
-                   history: DataFrame | None, spark: SparkSession) -> DataFrame:
+                   history: DataFrame | None, spark: SparkSession,
+                   lookback_days: int | None = None) -> DataFrame:
     db, schema, table = suite.target.parts
     trend = [s for s in specs if s.family == "trending"]
     band = [s for s in specs if s.family == "std_dev"]
@@ -414,7 +422,7 @@ def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: R
         cmp = {s.check_id: H.compare_date(ctx.as_of, s.compare_type) for s in trend}
         wanted = H.wanted_frame(spark, [(s.check_id, db, schema, table, c, cmp[s.check_id])
                                         for s in trend for c in s.columns])
-        base = H.trending_baselines(history, wanted, ctx, list(cmp.values()))
+        base = H.trending_baselines(history, wanted, ctx, list(cmp.values()), lookback_days)
         rows = rows.join(base, ["check_id", "dq_column"], "left")
     else:
         rows = rows.selectExpr("*", "CAST(NULL AS DOUBLE) AS base_num")
@@ -541,7 +549,8 @@ def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame
 
 
 def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
-                 history: DataFrame | None = None, shared: _SharedScan | None = None) -> DataFrame:
+                 history: DataFrame | None = None, shared: _SharedScan | None = None,
+                 lookback_days: int | None = None) -> DataFrame:
     """All verdict rows of one suite (not yet stamped with the run)."""
     specs = [s for s in suite.specs if s.enabled]
     parts: list[DataFrame] = []
@@ -565,7 +574,7 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
             agg = _shared(agg)
         if plan:
             rows = _scalar_rows(agg, plan, types, ctx)
-            parts.append(_finish_scalar(rows, suite, scalar, ctx, history, spark))
+            parts.append(_finish_scalar(rows, suite, scalar, ctx, history, spark, lookback_days))
     for (spec, c), k in zip(missing, miss_keys):
         parts.append(missing_dates_rows(suite, spec, c, agg, dates[c], keyed.share(k, uses[k])))
     for spec, c, k, alias in d2d:
@@ -582,17 +591,19 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
 
 
 def run_suite(spark: SparkSession, suites: Suite | list[Suite], ctx: RunContext,
-              history: DataFrame | None = None) -> DataFrame:
+              history: DataFrame | None = None, lookback_days: int | None = None) -> DataFrame:
     """Result rows of every enabled rule of every suite, stamped with ``ctx``.
 
     ``history`` is the result table as it was when the run started (read it
-    before appending, so a rule never sees rows of its own run).  The returned
-    DataFrame is lazy; write it once with ``append_results``.
+    before appending, so a rule never sees rows of its own run).
+    ``lookback_days`` optionally bounds the last-run baseline search (see
+    ``history.trending_baselines``).  The returned DataFrame is lazy; write it
+    once with ``append_results``.
     """
     if isinstance(suites, Suite):
         suites = [suites]
     shared = _shared_scans(suites)
-    rows = [verdict_rows(spark, s, ctx, history, shared.get(id(s))) for s in suites]
+    rows = [verdict_rows(spark, s, ctx, history, shared.get(id(s)), lookback_days) for s in suites]
     return to_result(reduce(lambda a, b: a.unionByName(b), rows), ctx)
 
 

@@ -159,3 +159,12 @@ def test_seed_std_dev(spark):
     seeded = H.seed_std_dev(h, "d", "s", "t", ["count(x)"], CTX).collect()
     assert sorted(int(r["dq_tgt_value"]) for r in seeded) == [1, 62, 63]
     assert all(r["is_trial"] and not r["is_pass"] and r["dq_key"] is None for r in seeded)
+
+
+def test_trending_lookback_bounds_last_run(spark):
+    h = _hist(spark, [("2024-01-10 05:00:00", 50)], dq_name="trending", col="count(x)")
+    spec = CheckSpec.make("trending", columns=["count(x)"], threshold="0.1")
+    exact = run_suite(spark, Suite(_target(spark, 60), [spec]), CTX, h).first()
+    bounded = run_suite(spark, Suite(_target(spark, 60), [spec]), CTX, h, lookback_days=30).first()
+    assert exact["dq_src_value"] == "50" and not exact["is_pass"]
+    assert bounded["dq_src_value"] is None and bounded["is_pass"]

@@ -42,3 +42,17 @@ def test_filters_share_one_scan(spark):
     assert empty["o_orderpriority"][3] is None            # empty_null over no rows: NULL
     assert empty["count(*)"][3] == "0"
     assert empty["o_orderdate"][3] in ("90", None)
+
+
+def test_separate_reads_of_one_table_share(spark):
+    from tableguard.plans.suite import _shared_scans
+    a = spark.read.parquet(f"{SF001}/orders.parquet")
+    b = spark.read.parquet(f"{SF001}/orders.parquet")
+    c = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    specs = [CheckSpec.make("empty_null", columns=["o_custkey"])]
+    suites = [Suite(TableRef("t.s.o", a, "o_orderstatus = 'F'"), specs),
+              Suite(TableRef("t.s.o", b, "o_orderstatus = 'O'"), specs),
+              Suite(TableRef("t.s.l", c, "l_quantity > 1"), [CheckSpec.make("empty_null", columns=["l_tax"])])]
+    shared = _shared_scans(suites)
+    assert id(suites[0]) in shared and shared[id(suites[0])] is shared[id(suites[1])]
+    assert id(suites[2]) not in shared
