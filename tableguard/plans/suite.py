@@ -423,14 +423,15 @@ def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: R
         wanted = H.wanted_frame(spark, [(s.check_id, db, schema, table, c, cmp[s.check_id])
                                         for s in trend for c in s.columns])
         base = H.trending_baselines(history, wanted, ctx, list(cmp.values()), lookback_days)
-        rows = rows.join(base, ["check_id", "dq_column"], "left")
+        # One row per configured (rule, column) at most: a proven bound, broadcast.
+        rows = rows.join(F.broadcast(base), ["check_id", "dq_column"], "left")
     else:
         rows = rows.selectExpr("*", "CAST(NULL AS DOUBLE) AS base_num")
     if history is not None and band:
         wanted = H.wanted_frame(spark, [(s.check_id, db, schema, table, c, None)
                                         for s in band for c in s.columns])
         stats = H.weekly_band_stats(history, wanted, ctx)
-        rows = rows.join(stats, ["check_id", "dq_column"], "left")
+        rows = rows.join(F.broadcast(stats), ["check_id", "dq_column"], "left")
     else:
         rows = rows.selectExpr("*", "CAST(NULL AS BIGINT) AS last_value", "CAST(NULL AS DOUBLE) AS avg_diff",
                                "CAST(NULL AS DOUBLE) AS sd_diff", "CAST(NULL AS BIGINT) AS num_weeks")
