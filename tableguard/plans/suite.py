@@ -9,7 +9,9 @@ Plan shape per checked table (and filter):
   into one row per (rule, column) with ``explode(array(struct...))``.
 * **Filters of one table fused.** Suites over the same table (same plan by
   ``sameSemantics``) with different filters share one scan: built-in metrics become conditional
-  aggregates, single-call free-text aggregates get ``FILTER (WHERE ...)``.
+  aggregates, single-call free-text aggregates get ``FILTER (WHERE ...)``;
+  their grouped metrics share one ``groupBy(key)`` with a conditional row
+  count per filter.
 * **Distinct keys** (unique): one ``groupBy(key)`` per column set, reading only
   those columns; partial aggregation collapses hot keys map-side.  No
   ``Expand`` multiplies the table by the number of columns.
@@ -262,6 +264,8 @@ class _SharedScan:
         if all(filters):
             df = df.where(" OR ".join(f"coalesce(({f}), false)" for f in filters))
         self.agg = _shared(df.agg(*built)) if built else None
+        keyed = [x for x in suites if _keyed_needs(x)]
+        self.keyed = _SharedKeyed(keyed, df) if len(keyed) > 1 else None
 
     def agg_for(self, suite: Suite, metrics: _Metrics) -> DataFrame:
         m = self.map[id(suite)]
@@ -274,6 +278,84 @@ class _SharedScan:
         return reduce(lambda a, b: a.crossJoin(b), parts)
 
 
+def _keyed_needs(suite: Suite) -> list[tuple[str, Column, str | None]]:
+    """(key text, key column, metric or None) of every grouped rule of a suite."""
+    needs = []
+    for s in suite.specs:
+        if not s.enabled:
+            continue
+        if s.family == "day_to_day":
+            text, key = _day_key(s)
+            needs += [(text, key, c) for c in s.columns]
+        elif s.family == "missing_dates":
+            needs += [(*_date_key(suite, c), None) for c in s.columns]
+    return needs
+
+
+class _SharedKeyed:
+    """Grouped (per-key) metrics of several filters of one table in one scan.
+
+    For every key expression: one ``groupBy(key)`` over the pre-filtered
+    table; per filter a conditional row count (does this filter have the
+    key?) and its day_to_day metrics with ``FILTER (WHERE ...)``.  A suite
+    with a compound metric that cannot be filtered keeps its own groupBy.
+    """
+
+    def __init__(self, suites: list[Suite], df: DataFrame):
+        self.df = df
+        self.keys: dict[str, Column] = {}
+        self.aliases: dict[str, dict[tuple, str]] = {}
+        self.exprs: dict[str, list[Column]] = {}
+        self.map: dict[int, dict[str, dict[str, str]]] = {}
+        self._frames: dict[str, DataFrame] = {}
+        for suite in suites:
+            filt = _filter_text(suite)
+            needs = _keyed_needs(suite)
+            if filt and any(m and not _single_call(m) for _, _, m in needs):
+                continue
+            mp: dict[str, dict[str, str]] = {}
+            for text, key, metric in needs:
+                k = _norm_key(text)
+                self.keys.setdefault(k, key)
+                entry = mp.setdefault(k, {"rows": self._add(k, filt, "rows",
+                                                            f"count(CASE WHEN ({filt}) THEN 1 END)"
+                                                            if filt else "count(1)")})
+                if metric:
+                    entry[metric] = self._add(k, filt, "expr:" + metric,
+                                              f"{metric} FILTER (WHERE {filt})" if filt else metric)
+            self.map[id(suite)] = mp
+
+    def _add(self, k: str, filt: str | None, mkey: str, sql_text: str) -> str:
+        d = self.aliases.setdefault(k, {})
+        if (filt, mkey) not in d:
+            d[(filt, mkey)] = f"k{len(d)}"
+            self.exprs.setdefault(k, []).append(F.expr(f"{sql_text} AS {d[(filt, mkey)]}"))
+        return d[(filt, mkey)]
+
+    def frame(self, k: str) -> DataFrame:
+        if k not in self._frames:
+            self._frames[k] = _shared(self.df.groupBy(self.keys[k].alias("col")).agg(*self.exprs[k]))
+        return self._frames[k]
+
+    def view(self, suite: Suite) -> "_KeyedView | None":
+        return _KeyedView(self, self.map[id(suite)]) if id(suite) in self.map else None
+
+
+class _KeyedView:
+    """One suite's slice of a ``_SharedKeyed`` (same interface as ``_KeyedAggs``)."""
+
+    def __init__(self, shared: _SharedKeyed, mp: dict[str, dict[str, str]]):
+        self.shared, self.mp = shared, mp
+
+    def register(self, key_text: str, key: Column, metric: str | None = None) -> tuple[str, str | None]:
+        k = _norm_key(key_text)
+        return k, (self.mp[k][metric] if metric else None)
+
+    def share(self, k: str, consumers: int) -> DataFrame:
+        # keys this filter has no row for do not exist in its own groupBy
+        return self.shared.frame(k).where(f"{self.mp[k]['rows']} > 0")
+
+
 def _filter_text(suite: Suite) -> str | None:
     f = suite.target.filter
     return None if not f or f.strip() in ("", "1=1") else f
@@ -557,7 +639,8 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
     parts: list[DataFrame] = []
     scalar = [s for s in specs if s.family in SCALAR_FAMILIES]
     missing = [(s, c) for s in specs if s.family == "missing_dates" for c in s.columns]
-    keyed = _KeyedAggs(suite.target)
+    keyed = (shared.keyed.view(suite) if shared is not None and shared.keyed is not None else None) \
+        or _KeyedAggs(suite.target)
     d2d = []
     for s in specs:
         if s.family == "day_to_day":

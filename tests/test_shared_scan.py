@@ -56,3 +56,24 @@ def test_separate_reads_of_one_table_share(spark):
     shared = _shared_scans(suites)
     assert id(suites[0]) in shared and shared[id(suites[0])] is shared[id(suites[1])]
     assert id(suites[2]) not in shared
+
+
+def test_filters_share_grouped_metrics(spark):
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    orders_src[:] = [orders.limit(10)]
+
+    def specs():
+        return [CheckSpec.make("missing_dates", columns=["o_orderdate"]),
+                CheckSpec.make("day_to_day", columns=["count(*)", "sum(o_totalprice)"],
+                               group_by="CAST(o_orderdate AS DATE)", num_days=6, threshold="0.5"),
+                CheckSpec.make("day_to_day", columns=["max(o_custkey) - min(o_custkey)"],
+                               group_by="o_orderpriority", num_days=3)]
+    filters = [None, "o_orderstatus = 'F'", "o_orderstatus = 'O'", "o_orderstatus = 'none'"]
+    fused = {tuple(r[k] for k in KEY)
+             for r in run_suite(spark, [Suite(TableRef("t.s.o", orders, f), specs()) for f in filters],
+                                CTX).collect()}
+    alone = set()
+    for f in filters:
+        alone |= {tuple(r[k] for k in KEY)
+                  for r in run_suite(spark, Suite(TableRef("t.s.o", orders, f), specs()), CTX).collect()}
+    assert fused == alone
