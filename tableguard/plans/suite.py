@@ -266,6 +266,46 @@ class _SharedScan:
         self.agg = _shared(df.agg(*built)) if built else None
         keyed = [x for x in suites if _keyed_needs(x)]
         self.keyed = _SharedKeyed(keyed, df) if len(keyed) > 1 else None
+        self.uniques = self._unique_counts(suites, df)
+
+    def _unique_counts(self, suites: list[Suite], df: DataFrame) -> dict:
+        """Distinct/total counts of every unique key set of every filter.
+
+        Per key set: one ``groupBy(keys)`` with a conditional row count per
+        filter, then ONE global aggregate giving each filter's distinct and
+        total counts (a one-row result, persisted; the per-key frame is not).
+        Returns ``{(id(suite), column): (one_row_frame, distinct_alias, total_alias)}``.
+        """
+        sets: dict[str, list[tuple[Suite, str]]] = {}
+        for suite in suites:
+            for spec in suite.specs:
+                if spec.enabled and spec.family == "unique":
+                    for c in spec.columns:
+                        sets.setdefault(re.sub(r"\s+", "", c.lower()), []).append((suite, c))
+        out = {}
+        for members in sets.values():
+            if len({_filter_text(su) for su, _ in members}) < 2:
+                continue
+            parts = Q.split_top_level(members[0][1])
+            keys = [f"_k{i}" for i in range(len(parts))]
+            complete = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+            counts, stats, flags, seen = [], [], [], {}
+            for su, c in members:
+                f = _filter_text(su)
+                if f not in seen:
+                    i = len(seen)
+                    seen[f] = i
+                    flags.append(f"coalesce(({f}), false) AS _f{i}" if f else f"true AS _f{i}")
+                    counts.append(F.expr(f"count(CASE WHEN _f{i} THEN 1 END) AS _n{i}"))
+                    stats += [F.expr(f"count_if({complete} AND _n{i} > 0) AS _d{i}"),
+                              F.expr(f"coalesce(sum(_n{i}), 0L) AS _t{i}")]
+            projected = df.selectExpr(*[f"{p} AS {k}" for p, k in zip(parts, keys)], *flags)
+            grouped = projected.groupBy(*keys).agg(*counts)
+            row = _shared(grouped.agg(*stats))
+            for su, c in members:
+                i = seen[_filter_text(su)]
+                out[(id(su), c)] = (row, f"_d{i}", f"_t{i}")
+        return out
 
     def agg_for(self, suite: Suite, metrics: _Metrics) -> DataFrame:
         m = self.map[id(suite)]
@@ -557,8 +597,14 @@ def _stamp(df: DataFrame, suite: Suite, spec: CheckSpec, dq_column: str, tgt: st
         f"{Q.value_num(tgt, tgt_type)} AS dq_tgt_num")
 
 
-def unique_rows(suite: Suite, spec: CheckSpec, column: str) -> DataFrame:
+def unique_rows(suite: Suite, spec: CheckSpec, column: str, shared: "_SharedScan | None" = None) -> DataFrame:
     """C15 for one column (or ``a,b`` composite): distinct vs total count."""
+    hit = shared.uniques.get((id(suite), column)) if shared is not None else None
+    if hit is not None:
+        row, d, t = hit
+        stats = row.selectExpr(f"{d} AS distinct_cnt", f"{t} AS total_cnt")
+        return _stamp(stats, suite, spec, Q.lit(column), "distinct_cnt", T.LongType(),
+                      "total_cnt", "distinct_cnt = total_cnt")
     parts = Q.split_top_level(column)
     keys = [f"_k{i}" for i in range(len(parts))]
     keyed = suite.target.filtered().selectExpr(*[f"{p} AS {k}" for p, k in zip(parts, keys)])
@@ -665,7 +711,7 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
         parts.append(day_to_day_rows(suite, spec, c, keyed.share(k, uses[k]), alias))
     for spec in specs:
         if spec.family == "unique":
-            parts += [unique_rows(suite, spec, c) for c in spec.columns]
+            parts += [unique_rows(suite, spec, c, shared) for c in spec.columns]
         elif spec.family == "custom":
             parts.append(custom_rows(spark, suite, spec))
     if not parts:

@@ -77,3 +77,20 @@ def test_filters_share_grouped_metrics(spark):
         alone |= {tuple(r[k] for k in KEY)
                   for r in run_suite(spark, Suite(TableRef("t.s.o", orders, f), specs()), CTX).collect()}
     assert fused == alone
+
+
+def test_filters_share_unique_counts(spark):
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+
+    def specs():
+        return [CheckSpec.make("unique", columns=["o_orderkey", "o_custkey, o_orderdate", "o_orderpriority"])]
+    filters = [None, "o_orderstatus = 'F'", "o_orderstatus = 'O'", "o_orderstatus = 'none'"]
+    fused_df = run_suite(spark, [Suite(TableRef("t.s.o", orders, f), specs()) for f in filters], CTX)
+    fused = {tuple(r[k] for k in KEY) for r in fused_df.collect()}
+    alone = set()
+    for f in filters:
+        alone |= {tuple(r[k] for k in KEY)
+                  for r in run_suite(spark, Suite(TableRef("t.s.o", orders, f), specs()), CTX).collect()}
+    assert fused == alone
+    none = {r[2]: r for r in fused if r[0] == "o_orderstatus = 'none'"}
+    assert none["o_orderkey"][3] == "0" and none["o_orderkey"][5] is True
