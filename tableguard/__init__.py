@@ -2,11 +2,11 @@
 as Spark DataFrame plans."""
 
 from .context import RunContext
-from .spec import CheckConfigError, CheckSpec, TableRef, Threshold
+from .spec import CheckConfigError, CheckSpec, TableRef, Threshold, rules_from_config
 from .plans.suite import Suite, run_suite
 from .operators import checks, freshness, history, loads, results
 
 __all__ = [
     "CheckConfigError", "CheckSpec", "RunContext", "Suite", "TableRef", "Threshold",
-    "checks", "freshness", "history", "loads", "results", "run_suite",
+    "checks", "freshness", "history", "loads", "results", "rules_from_config", "run_suite",
 ]

@@ -241,3 +241,41 @@ class CheckSpec:
         if self.family == "day_to_day":
             d += f" [groupby ({self.group_by}) for {self.num_days} days]"
         return d
+
+
+def rules_from_config(dq: dict | None, dq_custom: dict | None = None, *,
+                      source: TableRef | None = None) -> list[CheckSpec]:
+    """Rules from an already-parsed check configuration (the ``dq`` and
+    ``dq_custom`` sections: rule name -> options), validated like ``make``.
+
+    ``enabled`` is mandatory on every rule; disabled rules are kept with
+    ``enabled=False`` (the suite skips them).  Options: ``description``,
+    ``threshold`` (``lo,hi`` for a range), ``columns``, ``stop_on_failure``,
+    ``group_by``, ``num_days``, ``is_trial``, ``compare_type``; custom rules
+    take ``sql`` or ``sql_file``.  ``source`` is the table compare_to_source
+    reads.  Reading the configuration file itself is left to the caller.
+    """
+    specs: list[CheckSpec] = []
+    for name, opts in (dq or {}).items():
+        opts = dict(opts or {})
+        if "enabled" not in opts:
+            raise CheckConfigError(f"{name}: missing enabled option")
+        specs.append(CheckSpec.make(
+            name, enabled=opts["enabled"] is True, columns=opts.get("columns") or (),
+            threshold=opts.get("threshold"), description=opts.get("description", ""),
+            stop_on_failure=opts.get("stop_on_failure", False), is_trial=opts.get("is_trial", False),
+            group_by=opts.get("group_by"), num_days=opts.get("num_days"),
+            compare_type=opts.get("compare_type"),
+            source=source if family_of(name) == "compare_to_source" else None))
+    for name, opts in (dq_custom or {}).items():
+        opts = dict(opts or {})
+        if "enabled" not in opts:
+            raise CheckConfigError(f"{name}: missing enabled option")
+        sql = opts.get("sql_file") or opts.get("sql")
+        if sql is None:
+            raise CheckConfigError(f"{name}: no custom SQL or SQL file")
+        specs.append(CheckSpec.custom(name, sql, description=opts.get("description", ""),
+                                      stop_on_failure=opts.get("stop_on_failure", False),
+                                      is_trial=opts.get("is_trial", False),
+                                      enabled=opts["enabled"] is True))
+    return specs

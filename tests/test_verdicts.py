@@ -219,3 +219,29 @@ def test_composite_keys_split_at_top_level(spark):
     spec = CheckSpec.make("day_to_day", columns=["count(*)"], group_by="a, coalesce(b, -1)", num_days=5)
     res = _run(spark, rows, "a int, b int", [spec])
     assert sorted(k[1] for k in res) == ["count(*) [1,-1]", "count(*) [1,0]", "count(*) [2,5]"]
+
+
+def test_rules_from_config(spark, tmp_path):
+    from tableguard import rules_from_config
+    sql_file = tmp_path / "orphans.sql"
+    sql_file.write_text("SELECT 0 AS tgt_value, 0 AS src_value, 0 AS result")
+    dq = {
+        "trending_week": {"enabled": True, "columns": ["count(*)"], "threshold": 0.1, "compare_type": "week"},
+        "day_to_day": {"enabled": True, "columns": ["count(*)"], "group_by": "d", "num_days": 7,
+                       "threshold": "0.1,0.5", "stop_on_failure": True},
+        "std_dev": {"enabled": False, "columns": ["count(*)"]},
+        "compare_to_source": {"enabled": True, "threshold": 0.2},
+    }
+    custom = {"orphans": {"enabled": True, "sql_file": str(sql_file), "description": "none"}}
+    src = TableRef("a.b.src", spark.range(3))
+    specs = {s.check_id: s for s in rules_from_config(dq, custom, source=src)}
+    assert specs["trending_week"].compare_type == "week" and specs["trending_week"].threshold.text == "0.1"
+    assert specs["day_to_day"].threshold.mode == "range" and specs["day_to_day"].stop_on_failure
+    assert not specs["std_dev"].enabled and specs["std_dev"].threshold.text == "1"
+    assert specs["compare_to_source"].source is src
+    r = run_suite(spark, Suite(TableRef("a.b.t", spark.range(1)), [specs["orphans"]]), CTX).first()
+    assert r["is_pass"] and r["dq_name"] == "orphans"
+    with pytest.raises(CheckConfigError):
+        rules_from_config({"unique": {"columns": ["a"]}})
+    with pytest.raises(CheckConfigError):
+        rules_from_config({"day_to_day": {"enabled": True, "columns": ["c"], "group_by": "d", "num_days": 31}})
