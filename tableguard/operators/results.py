@@ -10,7 +10,7 @@ column follow.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,16 +166,18 @@ def _base_column(col: Column) -> Column:
 def verdicts(results: DataFrame, dq_key: int | None = None) -> DataFrame:
     """V5: one verdict per (run, rule, column): newest row by end time.
 
-    day_to_day rows are not included here; see ``rollup_day_to_day``.
+    ``max_by`` over (end time, start time, target text) is a partially
+    aggregated reduction (no sort of the result table); NULL end times rank
+    last.  day_to_day rows are not included here; see ``rollup_day_to_day``.
     """
     r = results if dq_key is None else results.where(F.col("dq_key") == dq_key)
     r = r.where(F.col("dq_name") != "day_to_day")
-    w = Window.partitionBy("dq_key", "check_id", "dq_column").orderBy(
-        F.col("dq_end_tstamp").desc_nulls_last(), F.col("dq_start_tstamp").desc_nulls_last(),
-        F.col("dq_tgt_value").desc_nulls_last())
-    return (r.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
-            .select("dq_key", "table_name", "check_id", "dq_name", "dq_column", "is_pass",
-                    "dq_tgt_value", "dq_src_value", "dq_threshold", "stop_on_failure"))
+    newest = F.max_by(F.struct("table_name", "dq_name", "is_pass", "dq_tgt_value", "dq_src_value",
+                               "dq_threshold", "stop_on_failure"),
+                      F.struct("dq_end_tstamp", "dq_start_tstamp", "dq_tgt_value"))
+    return (r.groupBy("dq_key", "check_id", "dq_column").agg(newest.alias("n"))
+            .select("dq_key", "n.table_name", "check_id", "n.dq_name", "dq_column", "n.is_pass",
+                    "n.dq_tgt_value", "n.dq_src_value", "n.dq_threshold", "n.stop_on_failure"))
 
 
 def rollup_day_to_day(results: DataFrame, dq_key: int | None = None) -> DataFrame:
