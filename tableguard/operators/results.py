@@ -92,6 +92,18 @@ def create_results(spark: SparkSession, table: str, location: str | None = None)
               f"PARTITIONED BY ({PARTITION_COLUMN}){loc}")
 
 
+def evolve_results(spark: SparkSession, table: str) -> list[str]:
+    """V3 for a catalog table: add the result columns an older layout lacks
+    (``ALTER TABLE ... ADD COLUMNS``; existing files read them as NULL).
+    Returns the added column names."""
+    have = {c.lower() for c in spark.table(table).columns}
+    missing = [f for f in RESULT_SCHEMA.fields if f.name.lower() not in have]
+    if missing:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+    return [f.name for f in missing]
+
+
 def conform(df: DataFrame) -> DataFrame:
     """V3: bring a result frame of an older layout to the current one.
 
@@ -151,7 +163,8 @@ def append_results(df: DataFrame, path: str | None = None, table: str | None = N
     """
     df = df.select(*RESULT_COLUMNS).hint("rebalance")
     if table is not None:
-        df.write.mode("append").insertInto(table)
+        # insertInto is positional: follow the table's own column order
+        df.select(*df.sparkSession.table(table).columns).write.mode("append").insertInto(table)
     else:
         df.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
     from ..plans.suite import release_shared

@@ -321,3 +321,17 @@ def test_upsert_rewrites_only_touched_partitions(spark, scratch):
     spark.sql("ALTER TABLE t_sel RECOVER PARTITIONS")
     spark.catalog.refreshTable("t_sel")
     assert {tuple(r) for r in spark.table("t_sel").collect()} == expected
+
+
+def test_evolve_results_table(spark, scratch):
+    old_fields = [f for f in R.RESULT_SCHEMA.fields if f.name not in ("is_trial", "check_id", "dq_tgt_num")]
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in old_fields)
+    spark.sql(f"CREATE TABLE dq_old ({cols}) USING parquet PARTITIONED BY (dq_run_date) "
+              f"LOCATION '{os.path.join(scratch, 'dq_old')}'")
+    out = run_suite(spark, Suite(TableRef("d.s.t", spark.range(3)), [CheckSpec.make("unique", columns=["id"])]), CTX)
+    out.select(*[f.name for f in old_fields]).write.insertInto("dq_old")
+    assert R.evolve_results(spark, "dq_old") == ["is_trial", "check_id", "dq_tgt_num"]
+    assert R.evolve_results(spark, "dq_old") == []
+    R.append_results(out, table="dq_old")
+    rows = spark.table("dq_old").select(*R.RESULT_COLUMNS).collect()
+    assert len(rows) == 2 and sorted(str(r["is_trial"]) for r in rows) == ["False", "None"]
