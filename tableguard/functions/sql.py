@@ -40,7 +40,9 @@ def num_text(x: str) -> str:
 
 
 def value_text(x: str, dtype: DataType) -> str:
-    if isinstance(dtype, (DoubleType, FloatType, DecimalType)):
+    if isinstance(dtype, DecimalType):
+        return f"CAST({x} AS STRING)"  # exact, as written by the type
+    if isinstance(dtype, (DoubleType, FloatType)):
         return num_text(x)
     if isinstance(dtype, BooleanType):
         return f"CASE WHEN {x} THEN 'true' WHEN NOT {x} THEN 'false' END"

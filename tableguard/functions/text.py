@@ -24,7 +24,9 @@ def num_text(x: Column) -> Column:
 
 def value_text(x: Column, dtype) -> Column:
     """Text for a value of a known Spark type."""
-    if isinstance(dtype, (DoubleType, FloatType, DecimalType)):
+    if isinstance(dtype, DecimalType):
+        return x.cast("string")  # exact, as written by the type
+    if isinstance(dtype, (DoubleType, FloatType)):
         return num_text(x)
     if isinstance(dtype, BooleanType):
         return F.when(x, F.lit("true")).when(~x, F.lit("false"))

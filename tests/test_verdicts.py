@@ -245,3 +245,11 @@ def test_rules_from_config(spark, tmp_path):
         rules_from_config({"unique": {"columns": ["a"]}})
     with pytest.raises(CheckConfigError):
         rules_from_config({"day_to_day": {"enabled": True, "columns": ["c"], "group_by": "d", "num_days": 31}})
+
+
+def test_decimal_metric_text_is_exact(spark):
+    from decimal import Decimal
+    rows = [(Decimal("12345678901234567.89"),), (Decimal("0.01"),)]
+    res = _run(spark, rows, "p decimal(20,2)", [CheckSpec.make("trending", columns=["sum(p)"])])
+    r = res[("trending", "sum(p)")]
+    assert r["dq_tgt_value"] == "12345678901234567.90" and r["dq_tgt_num"] == pytest.approx(1.2345678901234568e16)
