@@ -51,6 +51,7 @@ AUDIT_NAMES = [n for n, _ in AUDIT_COLUMNS]
 DEFAULT_PARTITION_KEYS = ["dl_partition_year", "dl_partition_month", "dl_partition_day",
                           "dl_partition_hour"]
 MODES = ("overwrite", "update", "append")
+STATIC_PARTITION_FILTER_MAX = 500
 
 
 class LoadConfigError(ValueError):
@@ -335,9 +336,17 @@ def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, pri
     touched = [tuple(r) for r in touched]
     if not touched:
         return []
-    in_touched = reduce(lambda a, b: a | b, [
-        reduce(lambda x, y: x & y, [F.col(p) == F.lit(v) for p, v in zip(parts, t)]) for t in touched])
-    kept = tgt.where(in_touched).join(keys, pk, "left_anti").select(*cols)
+    if len(touched) <= STATIC_PARTITION_FILTER_MAX:
+        # a static partition filter: pruned while planning
+        in_touched = reduce(lambda a, b: a | b, [
+            reduce(lambda x, y: x & y, [F.col(p) == F.lit(v) for p, v in zip(parts, t)]) for t in touched])
+        rows_touched = tgt.where(in_touched)
+    else:
+        # many partitions: a semi-join with the (partition-count bounded) list, which
+        # dynamic partition pruning turns into a scan of those partitions only
+        part_schema = T.StructType([tgt.schema[p] for p in parts])
+        rows_touched = tgt.join(F.broadcast(spark.createDataFrame(touched, part_schema)), parts, "left_semi")
+    kept = rows_touched.join(keys, pk, "left_anti").select(*cols)
     new_rows.unionByName(kept).write.mode("errorifexists").partitionBy(*parts).parquet(staging)
     # The table's schema keeps partition values as written ('08', not 8).
     staged = spark.read.schema(tgt.schema).parquet(staging)

@@ -335,3 +335,20 @@ def test_evolve_results_table(spark, scratch):
     R.append_results(out, table="dq_old")
     rows = spark.table("dq_old").select(*R.RESULT_COLUMNS).collect()
     assert len(rows) == 2 and sorted(str(r["is_trial"]) for r in rows) == ["False", "None"]
+
+
+def test_upsert_partitions_many_touched_path(spark, scratch, monkeypatch):
+    monkeypatch.setattr(L, "STATIC_PARTITION_FILTER_MAX", 0)   # force the semi-join path
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    rows = (L.with_audit(L.project(orders, E.ORDER_COLUMNS), E.LOAD_OLD_CTX)
+            .withColumn("dl_partition_month", F.date_format("o_orderdate", "MM")))
+    L.create_table(spark, "t_many", E.ORDER_COLUMNS, location=os.path.join(scratch, "t_many"))
+    L.write_overwrite(spark, "t_many", rows)
+    snap = spark.createDataFrame(spark.table("t_many").collect(), spark.table("t_many").schema)
+    src = orders.where("month(o_orderdate) IN (3, 4)").withColumn("o_orderstatus", F.lit("U"))
+    expected = {tuple(r) for r in L.upsert(snap, src, "o_orderkey", E.ORDER_COLUMNS, E.LOAD_CTX,
+                                           restamp=False).select(*snap.columns).collect()}
+    touched = L.write_upsert_partitions(spark, "t_many", src, "o_orderkey", E.ORDER_COLUMNS, E.LOAD_CTX,
+                                        os.path.join(scratch, "stage_many"))
+    assert len(touched) == 3
+    assert {tuple(r) for r in spark.table("t_many").collect()} == expected
