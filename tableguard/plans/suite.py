@@ -230,8 +230,8 @@ class _SharedScan:
     One scan (pre-filtered by the OR of the filters, which Parquet pushdown
     still uses) computes every suite's built-in metrics as conditional
     aggregates and every single-call free-text aggregate with
-    ``FILTER (WHERE ...)``; only compound free-text aggregates keep a scan of
-    their own filter.  The shared row is persisted, so each suite reads it
+    ``FILTER (WHERE ...)``; compound free-text aggregates come from one
+    ``groupBy(filter id)`` over rows tagged with the filters they match.  The shared row is persisted, so each suite reads it
     from the cache.
     """
 
@@ -264,10 +264,38 @@ class _SharedScan:
         if all(filters):
             df = df.where(" OR ".join(f"coalesce(({f}), false)" for f in filters))
         self.agg = _shared(df.agg(*built)) if built else None
+        self.compound = self._compound_by_filter(suites, df)
         keyed = [x for x in suites if _keyed_needs(x)]
         self.keyed = _SharedKeyed(keyed, df) if len(keyed) > 1 else None
         self.uniques = self._unique_counts(suites, df)
 
+    def _compound_by_filter(self, suites: list[Suite], df: DataFrame):
+        """Compound free-text aggregates (no single ``FILTER`` applies) of the
+        filtered suites: each row is tagged with the filters it matches
+        (``explode``; a row is repeated at most once per matching filter, a
+        configuration bound) and ONE ``groupBy(filter id)`` computes them all.
+        Returns ``{id(suite): (filter id, {metric key: alias})}`` and keeps the
+        grouped frame (one row per filter) persisted."""
+        fids, cols, out = [], [], {}
+        for suite in suites:
+            own = self.own[id(suite)]
+            filt = _filter_text(suite)
+            if not own or not filt:
+                continue
+            i = len(fids)
+            fids.append(filt)
+            names = {}
+            for key in own:
+                names[key] = f"x{i}_{len(names)}"
+                cols.append(F.expr(f"{key.partition(':')[2]} AS {names[key]}"))
+            out[id(suite)] = (i, names)
+        if not out:
+            return {}
+        tags = ", ".join(f"CASE WHEN coalesce(({f}), false) THEN {i} END" for i, f in enumerate(fids))
+        tagged = df.selectExpr("*", f"explode(array({tags})) AS _fid").where("_fid IS NOT NULL")
+        self.compound_frame = _shared(tagged.groupBy("_fid").agg(*cols))
+        return out
+
     def _unique_counts(self, suites: list[Suite], df: DataFrame) -> dict:
         """Distinct/total counts of every unique key set of every filter.
 
@@ -312,9 +340,17 @@ class _SharedScan:
         parts = []
         if m:
             parts.append(self.agg.selectExpr(*[f"{c} AS {a}" for a, c in m.items()]))
-        own = [metrics.cols[metrics.alias[k]] for k in self.own[id(suite)]]
-        if own:
-            parts.append(suite.target.filtered().agg(*own))
+        own_keys = self.own[id(suite)]
+        if own_keys and id(suite) in self.compound:
+            i, names = self.compound[id(suite)]
+            got = (self.compound_frame.where(f"_fid = {i}")
+                   .selectExpr(*[f"{names[k]} AS {metrics.alias[k]}" for k in own_keys], "1 AS _p"))
+            # a filter with no row: the aggregates' empty-input values (no scan: limit 0)
+            empty = (suite.target.df.limit(0).agg(*[metrics.cols[metrics.alias[k]] for k in own_keys])
+                     .selectExpr("*", "0 AS _p"))
+            parts.append(got.unionByName(empty).orderBy(F.col("_p").desc()).limit(1).drop("_p"))
+        elif own_keys:
+            parts.append(suite.target.filtered().agg(*[metrics.cols[metrics.alias[k]] for k in own_keys]))
         return reduce(lambda a, b: a.crossJoin(b), parts)
 
 
