@@ -384,10 +384,12 @@ class _SharedKeyed:
         self.exprs: dict[str, list[Column]] = {}
         self.map: dict[int, dict[str, dict[str, str]]] = {}
         self._frames: dict[str, DataFrame] = {}
+        tagged = []
         for suite in suites:
             filt = _filter_text(suite)
             needs = _keyed_needs(suite)
             if filt and any(m and not _single_call(m) for _, _, m in needs):
+                tagged.append(suite)
                 continue
             mp: dict[str, dict[str, str]] = {}
             for text, key, metric in needs:
@@ -400,6 +402,36 @@ class _SharedKeyed:
                     entry[metric] = self._add(k, filt, "expr:" + metric,
                                               f"{metric} FILTER (WHERE {filt})" if filt else metric)
             self.map[id(suite)] = mp
+        self._tagging(tagged)
+
+    def _tagging(self, suites: list[Suite]) -> None:
+        """Suites with a compound grouped metric (no single ``FILTER``): rows
+        are tagged with the filters they match and grouped by (key, filter id),
+        so each filter gets exactly the groups of its own ``groupBy``."""
+        self.tag_ids: dict[int, int] = {}
+        self.tag_keys: dict[str, Column] = {}
+        self.tag_metrics: dict[str, _Metrics] = {}
+        self._tag_frames: dict[str, DataFrame] = {}
+        if not suites:
+            return
+        for i, suite in enumerate(suites):
+            self.tag_ids[id(suite)] = i
+            for text, key, metric in _keyed_needs(suite):
+                k = _norm_key(text)
+                self.tag_keys.setdefault(k, key)
+                m = self.tag_metrics.setdefault(k, _Metrics())
+                m.add("rows", "count(1)")
+                if metric:
+                    m.add("expr:" + metric, metric)
+        tags = ", ".join(f"CASE WHEN coalesce(({_filter_text(x)}), false) THEN {i} END"
+                         for i, x in enumerate(suites))
+        self.tagged_df = self.df.selectExpr("*", f"explode(array({tags})) AS _fid").where("_fid IS NOT NULL")
+
+    def tag_frame(self, k: str) -> DataFrame:
+        if k not in self._tag_frames:
+            self._tag_frames[k] = _shared(self.tagged_df.groupBy(self.tag_keys[k].alias("col"), "_fid")
+                                          .agg(*self.tag_metrics[k].cols.values()))
+        return self._tag_frames[k]
 
     def _add(self, k: str, filt: str | None, mkey: str, sql_text: str) -> str:
         d = self.aliases.setdefault(k, {})
@@ -413,8 +445,12 @@ class _SharedKeyed:
             self._frames[k] = _shared(self.df.groupBy(self.keys[k].alias("col")).agg(*self.exprs[k]))
         return self._frames[k]
 
-    def view(self, suite: Suite) -> "_KeyedView | None":
-        return _KeyedView(self, self.map[id(suite)]) if id(suite) in self.map else None
+    def view(self, suite: Suite):
+        if id(suite) in self.map:
+            return _KeyedView(self, self.map[id(suite)])
+        if id(suite) in self.tag_ids:
+            return _TaggedView(self, self.tag_ids[id(suite)])
+        return None
 
 
 class _KeyedView:
@@ -432,6 +468,21 @@ class _KeyedView:
         return self.shared.frame(k).where(f"{self.mp[k]['rows']} > 0")
 
 
+class _TaggedView:
+    """One filter's slice of the (key, filter id) grouping."""
+
+    def __init__(self, shared: _SharedKeyed, fid: int):
+        self.shared, self.fid = shared, fid
+
+    def register(self, key_text: str, key: Column, metric: str | None = None) -> tuple[str, str | None]:
+        k = _norm_key(key_text)
+        m = self.shared.tag_metrics[k]
+        return k, (m.alias["expr:" + metric] if metric else None)
+
+    def share(self, k: str, consumers: int) -> DataFrame:
+        return self.shared.tag_frame(k).where(f"_fid = {self.fid}")
+
+
 def _filter_text(suite: Suite) -> str | None:
     f = suite.target.filter
     return None if not f or f.strip() in ("", "1=1") else f
