@@ -620,14 +620,51 @@ def _day_key(spec: CheckSpec) -> tuple[str, Column]:
     return spec.group_by, concat_key(keys)
 
 
+def _history_lookups(spark: SparkSession, suites: list[Suite], ctx: RunContext,
+                     history: DataFrame | None, lookback_days: int | None) -> dict | None:
+    """Baselines of every suite of a run from ONE pass over the history per
+    family, keyed by ``<suite index>|<rule id>`` (several suites may reuse a
+    rule id); each suite reads its slice of the persisted result."""
+    if history is None or len(suites) < 2:
+        return None
+    trend_rows, band_rows, cmp_dates = [], [], []
+    for si, suite in enumerate(suites):
+        db, schema, table = suite.target.parts
+        for s in suite.specs:
+            if not s.enabled:
+                continue
+            if s.family == "trending":
+                d = H.compare_date(ctx.as_of, s.compare_type)
+                cmp_dates.append(d)
+                trend_rows += [(f"{si}|{s.check_id}", db, schema, table, c, d) for c in s.columns]
+            elif s.family == "std_dev":
+                band_rows += [(f"{si}|{s.check_id}", db, schema, table, c, None) for c in s.columns]
+    out = {}
+    if trend_rows:
+        out["base"] = _shared(H.trending_baselines(history, H.wanted_frame(spark, trend_rows), ctx,
+                                                   cmp_dates, lookback_days))
+    if band_rows:
+        out["stats"] = _shared(H.weekly_band_stats(history, H.wanted_frame(spark, band_rows), ctx))
+    return out
+
+
+def _slice(frame: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
+    return (frame.where(F.col("check_id").startswith(prefix))
+            .selectExpr(f"substring(check_id, {len(prefix) + 1}) AS check_id", *cols))
+
+
 def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: RunContext,
                    history: DataFrame | None, spark: SparkSession,
-                   lookback_days: int | None = None) -> DataFrame:
+                   lookback_days: int | None = None, lookups: dict | None = None,
+                   prefix: str = "") -> DataFrame:
     db, schema, table = suite.target.parts
     trend = [s for s in specs if s.family == "trending"]
     band = [s for s in specs if s.family == "std_dev"]
     base = None
-    if history is not None and trend:
+    if lookups is not None and trend and "base" in lookups:
+        base = _slice(lookups["base"], prefix, ["dq_column", "base_num"])
+        rows = rows.join(F.broadcast(base), ["check_id", "dq_column"], "left")
+    elif history is not None and trend:
         cmp = {s.check_id: H.compare_date(ctx.as_of, s.compare_type) for s in trend}
         wanted = H.wanted_frame(spark, [(s.check_id, db, schema, table, c, cmp[s.check_id])
                                         for s in trend for c in s.columns])
@@ -636,7 +673,11 @@ def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: R
         rows = rows.join(F.broadcast(base), ["check_id", "dq_column"], "left")
     else:
         rows = rows.selectExpr("*", "CAST(NULL AS DOUBLE) AS base_num")
-    if history is not None and band:
+    if lookups is not None and band and "stats" in lookups:
+        stats = _slice(lookups["stats"], prefix,
+                       ["dq_column", "last_value", "avg_diff", "sd_diff", "num_weeks"])
+        rows = rows.join(F.broadcast(stats), ["check_id", "dq_column"], "left")
+    elif history is not None and band:
         wanted = H.wanted_frame(spark, [(s.check_id, db, schema, table, c, None)
                                         for s in band for c in s.columns])
         stats = H.weekly_band_stats(history, wanted, ctx)
@@ -766,7 +807,8 @@ def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame
 
 def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
                  history: DataFrame | None = None, shared: _SharedScan | None = None,
-                 lookback_days: int | None = None) -> DataFrame:
+                 lookback_days: int | None = None, lookups: dict | None = None,
+                 prefix: str = "") -> DataFrame:
     """All verdict rows of one suite (not yet stamped with the run)."""
     specs = [s for s in suite.specs if s.enabled]
     parts: list[DataFrame] = []
@@ -791,7 +833,8 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
             agg = _shared(agg)
         if plan:
             rows = _scalar_rows(agg, plan, types, ctx)
-            parts.append(_finish_scalar(rows, suite, scalar, ctx, history, spark, lookback_days))
+            parts.append(_finish_scalar(rows, suite, scalar, ctx, history, spark, lookback_days,
+                                        lookups, prefix))
     for (spec, c), k in zip(missing, miss_keys):
         parts.append(missing_dates_rows(suite, spec, c, agg, dates[c], keyed.share(k, uses[k])))
     for spec, c, k, alias in d2d:
@@ -820,7 +863,9 @@ def run_suite(spark: SparkSession, suites: Suite | list[Suite], ctx: RunContext,
     if isinstance(suites, Suite):
         suites = [suites]
     shared = _shared_scans(suites)
-    rows = [verdict_rows(spark, s, ctx, history, shared.get(id(s)), lookback_days) for s in suites]
+    lookups = _history_lookups(spark, suites, ctx, history, lookback_days)
+    rows = [verdict_rows(spark, s, ctx, history, shared.get(id(s)), lookback_days, lookups, f"{i}|")
+            for i, s in enumerate(suites)]
     return to_result(reduce(lambda a, b: a.unionByName(b), rows), ctx)
 
 

@@ -168,3 +168,24 @@ def test_trending_lookback_bounds_last_run(spark):
     bounded = run_suite(spark, Suite(_target(spark, 60), [spec]), CTX, h, lookback_days=30).first()
     assert exact["dq_src_value"] == "50" and not exact["is_pass"]
     assert bounded["dq_src_value"] is None and bounded["is_pass"]
+
+
+def test_several_suites_share_history_lookups(spark):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    hist = E._li_history(spark, SF001, "trending").unionByName(E._li_history(spark, SF001, "std_dev"))
+
+    def specs():
+        return [CheckSpec.make("trending", columns=["count(*)"], threshold="0.2"),
+                CheckSpec.make("trending_week", columns=["count(*)"], threshold="0.2", compare_type="week"),
+                CheckSpec.make("std_dev", columns=["count(*)"], threshold="1")]
+    filters = [E.LI_DAY_FILTER, E.LI_DAY_FILTER + " AND l_returnflag = 'R'"]
+    key = ["table_filter", "check_id", "dq_column", "dq_tgt_value", "dq_src_value", "is_pass"]
+    fused = {tuple(r[k] for k in key)
+             for r in run_suite(spark, [Suite(TableRef(E.LI_NAME, li, f), specs()) for f in filters],
+                                E.LI_CTX, hist).collect()}
+    alone = set()
+    for f in filters:
+        alone |= {tuple(r[k] for k in key)
+                  for r in run_suite(spark, Suite(TableRef(E.LI_NAME, li, f), specs()), E.LI_CTX, hist).collect()}
+    assert fused == alone and len(fused) == 6
+    assert any(v[4] and v[4].startswith("12|38") for v in fused)
