@@ -94,3 +94,16 @@ def test_filters_share_unique_counts(spark):
     assert fused == alone
     none = {r[2]: r for r in fused if r[0] == "o_orderstatus = 'none'"}
     assert none["o_orderkey"][3] == "0" and none["o_orderkey"][5] is True
+
+
+def test_compound_metric_over_empty_filter_keeps_empty_input_value(spark):
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    specs = lambda: [CheckSpec.make("trending", columns=["count(*) * 2", "sum(o_totalprice) / count(*)"])]
+    filters = ["o_orderstatus = 'F'", "o_orderstatus = 'none'"]
+    out = {(r["table_filter"], r["dq_column"]): r["dq_tgt_value"]
+           for r in run_suite(spark, [Suite(TableRef("t.s.o", orders, f), specs()) for f in filters],
+                              CTX).collect()}
+    n_f = orders.where("o_orderstatus = 'F'").count()
+    assert out[("o_orderstatus = 'F'", "count(*) * 2")] == str(2 * n_f)
+    assert out[("o_orderstatus = 'none'", "count(*) * 2")] == "0"
+    assert out[("o_orderstatus = 'none'", "sum(o_totalprice) / count(*)")] is None
