@@ -384,13 +384,15 @@ class _SharedKeyed:
         self.exprs: dict[str, list[Column]] = {}
         self.map: dict[int, dict[str, dict[str, str]]] = {}
         self._frames: dict[str, DataFrame] = {}
-        tagged = []
+        if any(_filter_text(x) and any(m and not _single_call(m) for _, _, m in _keyed_needs(x))
+               for x in suites):
+            # one suite needs the (key, filter id) grouping: all use it, one groupBy per key
+            self.map = {}
+            self._tagging(suites)
+            return
         for suite in suites:
             filt = _filter_text(suite)
             needs = _keyed_needs(suite)
-            if filt and any(m and not _single_call(m) for _, _, m in needs):
-                tagged.append(suite)
-                continue
             mp: dict[str, dict[str, str]] = {}
             for text, key, metric in needs:
                 k = _norm_key(text)
@@ -402,7 +404,7 @@ class _SharedKeyed:
                     entry[metric] = self._add(k, filt, "expr:" + metric,
                                               f"{metric} FILTER (WHERE {filt})" if filt else metric)
             self.map[id(suite)] = mp
-        self._tagging(tagged)
+        self._tagging([])
 
     def _tagging(self, suites: list[Suite]) -> None:
         """Suites with a compound grouped metric (no single ``FILTER``): rows
@@ -423,7 +425,7 @@ class _SharedKeyed:
                 m.add("rows", "count(1)")
                 if metric:
                     m.add("expr:" + metric, metric)
-        tags = ", ".join(f"CASE WHEN coalesce(({_filter_text(x)}), false) THEN {i} END"
+        tags = ", ".join(f"CASE WHEN coalesce(({_filter_text(x) or 'true'}), false) THEN {i} END"
                          for i, x in enumerate(suites))
         self.tagged_df = self.df.selectExpr("*", f"explode(array({tags})) AS _fid").where("_fid IS NOT NULL")
 
