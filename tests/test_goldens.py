@@ -189,3 +189,17 @@ def test_several_suites_share_history_lookups(spark):
                   for r in run_suite(spark, Suite(TableRef(E.LI_NAME, li, f), specs()), E.LI_CTX, hist).collect()}
     assert fused == alone and len(fused) == 6
     assert any(v[4] and v[4].startswith("12|38") for v in fused)
+
+
+def test_history_lookups_prune_partitions(spark, scratch):
+    path = f"{scratch}/hist"
+    R.append_results(_hist(spark, [("2024-03-30 05:00:00", 50), ("2023-01-10 05:00:00", 40)],
+                           dq_name="trending", col="count(x)"), path)
+    hist = R.read_results(spark, path)
+    wanted = H.wanted_frame(spark, [("trending", "d", "s", "t", "count(x)", None)])
+    plan = H.trending_baselines(hist, wanted, CTX, [None], lookback_days=30)._jdf.queryExecution() \
+        .executedPlan().toString()
+    part_filters = [l for l in plan.splitlines() if "PartitionFilters" in l][0]
+    assert "dq_run_date" in part_filters and "2024-03-01" in part_filters and "2024-03-31" in part_filters
+    band_plan = H.weekly_band_stats(hist, wanted, CTX)._jdf.queryExecution().executedPlan().toString()
+    assert "dq_run_date" in [l for l in band_plan.splitlines() if "PartitionFilters" in l][0]
