@@ -16,6 +16,8 @@ import datetime as dt
 import os
 import sys
 from collections.abc import Callable
+from importlib import import_module
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -479,9 +481,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["table_freshness"] = q_table_freshness
     q["task_freshness"] = q_task_freshness
     q["readiness"] = q_readiness
-    return q
+    return q | _text_queries()[0]
+
+
+def _text_queries() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the text operators and their pipeline, as far as those are present."""
+    found, sql = {}, {}
+    if find_spec("tableguard.llm"):
+        text = import_module("tableguard.llm.queries")
+        found, sql = dict(text.QUERIES), dict(text.ORACLES)
+    if find_spec("corpus_pipeline"):
+        pipeline = import_module("corpus_pipeline")
+        found["pipeline"] = pipeline.run
+        if pipeline.ORACLE_SQL:
+            sql["pipeline"] = pipeline.ORACLE_SQL
+    return found, sql
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLES
-    return dict(ORACLES)
+    return ORACLES | _text_queries()[1]
