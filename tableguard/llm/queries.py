@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, license_scan, line_dedup, mixing, quality_cnn, url_filter
+from . import decontaminate, fingerprints, license_scan, line_dedup, mixing, quality_cnn, repeats, url_filter
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -19,6 +19,10 @@ def op2_url_filter(spark, d):
     return url_filter.filter_urls(_docs(spark, d, "pages"))
 
 
+def op4_repeats(spark, d):
+    return repeats.remove_repeats(_docs(spark, d))
+
+
 def op5_quality_cnn(spark, d):
     docs = _docs(spark, d).select("doc_id", "text")
     return quality_cnn.digest(quality_cnn.classify(docs, _docs(spark, d, "labels")))
@@ -42,6 +46,6 @@ def op10_mixing(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_url_filter, op5_quality_cnn, op7_decontaminate, op8_line_dedup, op9_fingerprints,
+    op1_license_scan, op2_url_filter, op4_repeats, op5_quality_cnn, op7_decontaminate, op8_line_dedup, op9_fingerprints,
     op10_mixing)}
 ORACLES = {"op8_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
