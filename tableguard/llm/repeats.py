@@ -2,9 +2,9 @@
 
 A global suffix array has a suffix for each byte and compares neighbours only.  Here it is cut into
 independent pieces that Spark can shuffle.  Every ``length``-byte string has an anchor: the place of
-its smallest 32-byte gram hash (leftmost on ties).  Equal strings have equal anchors at equal places,
+its smallest 48-byte gram hash (leftmost on ties).  Equal strings have equal anchors at equal places,
 so every repeat shows up among the anchors of one hash.  An anchor's context is the text under all the
-windows it is the anchor of, on average 285 bytes for 85 bytes of text.
+windows it is the anchor of, on average 275 bytes for 75 bytes of text.
 
 1. Anchors (hash h, hash g of the context, text, place) are computed from the texts; hashes that
    stand once in the corpus are dropped.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import BYTE_CODES, batch_of, materialize, mix, pieces, prefix_hash, run_hash, text_key, texts, utf8
 
-LENGTH, GRAM = 200, 32
+LENGTH, GRAM = 200, 48
 MAX_BUCKET = 2000
 _ANCHORS = pa.schema([("h", pa.int64()), ("g", pa.int64()), ("c", pa.binary()), ("p", pa.int64())])
 _SPANS = pa.schema([("h", pa.int64()), ("g", pa.int64()), ("left", pa.int32()), ("right", pa.int32()),
@@ -151,15 +151,20 @@ def repeat_groups(left: list[bytes], right: list[bytes], length: int) -> Iterato
                 yield n, r, members
 
 
-def _bucket_task(length: int):
+def _bucket_task(length: int, groups: bool):
     def resolve(rows: list[tuple]) -> list[tuple]:
         left, right = [r[2][::-1] for r in rows], [r[3] for r in rows]
-        found = []
+        found, reach = [], {}
         for n, r, members in repeat_groups(left, right, length):
+            if not groups:                          # all of them hold the anchor: their union is one span
+                for i in members:
+                    x, y = reach.get(i, (0, 0))
+                    reach[i] = max(x, n), max(y, r)
+                continue
             text = left[members[0]][:n][::-1] + right[members[0]][:r]
             name = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
             found += [(rows[i][0], rows[i][1], n, r, name) for i in members]
-        return found
+        return found + [(rows[i][0], rows[i][1], n, r, None) for i, (n, r) in reach.items()]
 
     def task(batches):
         group: list[tuple] = []
@@ -182,13 +187,14 @@ def content(docs: DataFrame) -> DataFrame:
 
 
 def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """(h, g, c, p) of all anchors whose hash stands more than once, written out."""
+    """(h, g, c, p) of all anchors whose hash stands more than once, written out.  A text that stands in
+    several tasks is there several times; what follows asks for different places, not for rows."""
     all_rows = content(docs).mapInArrow(_anchor_task(length), "h long, g long, c binary, p long")
     place = F.xxhash64("c", "p")                    # tells the places of a hash apart
     often = (all_rows.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b"))
              .where("a <> b").select("h"))
     often = materialize(often, "hashes")
-    return materialize(all_rows.join(often, "h", "left_semi").dropDuplicates(["h", "g", "c", "p"]), "anchors")
+    return materialize(all_rows.join(often, "h", "left_semi"), "anchors")
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, length: int, windows: bool) -> DataFrame:
@@ -219,37 +225,44 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int, windows: bool) ->
     return rows.select("text", "at").mapInArrow(task, ddl)
 
 
-def spans(docs: DataFrame, rows: DataFrame, length: int, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """(h, g, left, right, repeat): how far each repeat reaches before and after the anchor, for every
-    different context that holds one; ``repeat`` names the repeated string."""
-    kinds = rows.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("c", "p")).alias("at"))
-    kinds = materialize(kinds.select("h", "g", "n", "at.c", "at.p"), "contexts")
+def spans(docs: DataFrame, rows: DataFrame, length: int, max_bucket: int, groups: bool) -> DataFrame:
+    """(h, g, left, right, repeat): how far a repeat reaches before and after the anchor, for every
+    different context that holds one.  groups: a row for each maximal repeat, named by ``repeat``; else
+    one row for the union of a context's repeats."""
+    place = F.xxhash64("c", "p")
+    kinds = rows.groupBy("h", "g").agg((F.min(place) != F.max(place)).alias("twice"),
+                                       F.min(F.struct("c", "p")).alias("at"))
+    kinds = materialize(kinds.select("h", "g", "twice", "at.c", "at.p"), "contexts")
     several = kinds.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
     several = kinds.join(several, "h").select("c", "p", "h", "g", "m")
-    spec = F.col("p").bitwiseAND(0xFFFF)
-    whole = kinds.where("n > 1").select(
-        "h", "g", F.shiftright(spec, 8).cast("int").alias("left"),
+    whole = kinds.where("twice").select(
+        "h", "g", F.shiftright("p", 8).bitwiseAND(255).cast("int").alias("left"),
         (F.lit(length) - F.col("p").bitwiseAND(255)).cast("int").alias("right"), F.col("g").alias("repeat"))
-    trees = (contexts(docs, several.where(F.col("m") <= max_bucket), length, False)
+    found = (contexts(docs, several.where(F.col("m") <= max_bucket), length, False)
              .repartition("h").sortWithinPartitions("h", "g")
-             .mapInArrow(_bucket_task(length), "h long, g long, left int, right int, repeat long"))
+             .mapInArrow(_bucket_task(length, groups), "h long, g long, left int, right int, repeat long"))
     hot = several.where(F.col("m") > max_bucket)
-    found = whole.unionByName(trees)
     if hot.limit(1).count():
         each = materialize(contexts(docs, hot, length, True), "windows")
         again = each.groupBy("w1", "w2").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a <> b")
-        found = found.unionByName(each.join(again, ["w1", "w2"]).select(
+        found = found.unionByName(each.join(materialize(again, "again"), ["w1", "w2"]).select(
             "h", "g", "left", (F.lit(length) - F.col("left")).alias("right"), F.col("w1").alias("repeat")))
+    found = found.unionByName(whole)
+    if not groups:
+        found = found.groupBy("h", "g").agg(F.max("left").alias("left"), F.max("right").alias("right"))
     return materialize(found, "repeats")
 
 
-def occurrences(docs: DataFrame, length: int = LENGTH, max_bucket: int = MAX_BUCKET) -> DataFrame:
+def occurrences(docs: DataFrame, length: int = LENGTH, max_bucket: int = MAX_BUCKET,
+                groups: bool = True) -> DataFrame:
     """Every repeat with all occurrences between different places of different texts: (repeat, c, start,
-    end), in bytes; ``c`` is the 16-byte md5 of the text."""
+    end), in bytes; ``c`` is the 16-byte md5 of the text.  Without ``groups``: (c, start, end) of what
+    repeats cover around each anchor."""
     rows = anchor_rows(docs, length)
     place = F.shiftright("p", 16)
-    return (rows.join(spans(docs, rows, length, max_bucket), ["h", "g"])
-            .select("repeat", "c", (place - F.col("left")).alias("start"), (place + F.col("right")).alias("end")))
+    return (rows.join(spans(docs, rows, length, max_bucket, groups), ["h", "g"])
+            .select(*["repeat"] * groups, "c", (place - F.col("left")).alias("start"),
+                    (place + F.col("right")).alias("end")))
 
 
 def without(text: bytes, own: list[dict] | None, all_of_it: bool) -> tuple[int, int, bytes]:
@@ -270,7 +283,7 @@ def without(text: bytes, own: list[dict] | None, all_of_it: bool) -> tuple[int,
 def remove_repeats(docs: DataFrame, length: int = LENGTH, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: what stays of each document without any byte
     that a repeated ``length``-byte string covers."""
-    found = occurrences(docs, length, max_bucket)
+    found = occurrences(docs, length, max_bucket, groups=False)
     lists = found.groupBy("c").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     distinct = content(docs).groupBy("c").agg(F.first("text").alias("text"), F.count("*").alias("n"))
 
