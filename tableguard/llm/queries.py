@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, license_scan, line_dedup, mixing, quality_cnn, repeats, url_filter
+from . import decontaminate, fingerprints, license_scan, line_dedup, mixing, ngram_join, quality_cnn, repeats, url_filter
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -28,6 +28,10 @@ def op5_quality_cnn(spark, d):
     return quality_cnn.digest(quality_cnn.classify(docs, _docs(spark, d, "labels")))
 
 
+def op6_ngram_join(spark, d):
+    return ngram_join.near_groups(_docs(spark, d))
+
+
 def op7_decontaminate(spark, d):
     docs = _docs(spark, d).select("doc_id", "text")
     return decontaminate.digest(decontaminate.decontaminate(docs, _docs(spark, d, "benchmark")))
@@ -46,6 +50,6 @@ def op10_mixing(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_url_filter, op4_repeats, op5_quality_cnn, op7_decontaminate, op8_line_dedup, op9_fingerprints,
+    op1_license_scan, op2_url_filter, op4_repeats, op5_quality_cnn, op6_ngram_join, op7_decontaminate, op8_line_dedup, op9_fingerprints,
     op10_mixing)}
 ORACLES = {"op8_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
