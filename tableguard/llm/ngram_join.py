@@ -13,10 +13,12 @@ Relations between sets save comparisons:
 * equal sets are one set (their answers are the same);
 * each index list is first compared with one leader only.  Sets already joined through verified
   links share a component, and their pairs are skipped from then on: a set's component is derived
-  from what its highly similar leader has answered;
+  from what its highly similar leader has answered.  While the lists hold many more open pairs than
+  rows, further leaders take turns, so a large group of near copies needs a logarithmic number of
+  turns and not all its pairs;
 * what is left, pairs of different components in one list, is joined within blocks of the list:
   blocks of sizes (a set meets its own block and the next larger one) skip by length, and the places of
-  the shared shingle skip pairs that cannot reach the overlap any more.
+  the shared shingle, and 256 parity bits of each set, skip pairs that cannot reach the overlap.
 
 Surviving candidates are verified on the whole sets.  A list's leader comes from a partial aggregation
 and is joined back, so a hot list is never gathered.  Set ids are 64-bit hashes.
@@ -40,6 +42,8 @@ from .components import components
 
 WORDS, SIMILAR = 5, 80          # shingle size; similarity in percent
 HEAD, BLOCK = 1 << 17, 4 << 20  # frequent shingles kept; shingles counted at a time
+LEADERS = 8                     # leaders a turn
+OPEN = 8                        # open pairs for each index row that are joined without another leader
 _STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1) for k in range(64)]
 
 
@@ -55,7 +59,8 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, k: int = WORDS) -> list[np.n
     sets = []
     for a, n in zip(start.tolist(), count.tolist()):
         if n >= k:
-            sets.append(np.unique(rolled[a:a + n - k + 1]))
+            s = np.sort(rolled[a:a + n - k + 1])
+            sets.append(s[np.append(True, s[1:] != s[:-1])])
         elif n:
             short = sum((words[a + j:a + j + 1] * _STEPS[j] for j in range(n)), np.full(1, n, np.uint64))
             sets.append(mix(short))
@@ -68,11 +73,20 @@ def set_id(s: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "big", signed=True) if len(s) else None
 
 
+def parity(sets: list[np.ndarray]) -> list[list[int]]:
+    """256 bits of each set: whether the number of shingles with that hash is odd.  The bits in which two
+    sets differ are at most the shingles in which they differ."""
+    size = np.array([len(s) for s in sets])
+    at = (np.concatenate(sets) >> np.uint64(56)).astype(np.int64) + 256 * np.repeat(np.arange(len(sets)), size)
+    odd = (np.bincount(at, minlength=256 * len(sets)) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(sets), 4).tolist()
+
+
 def batches_of_sets(batches, k: int):
-    """(batch, first row, sets) of about 2 MB of text each."""
+    """(batch, first row, sets) of blocks of text that fit into a core's cache."""
     for b in batches:
         data, off = utf8(b.column("text"))
-        for lo, hi in pieces(off, 2 << 20):
+        for lo, hi in pieces(off, 1 << 18):
             yield b, lo, shingle_sets(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k)
 
 
@@ -82,15 +96,15 @@ def prefix_size(n: int, similar: int) -> int:
 
 # -- passes over the texts -----------------------------------------------------------------
 def set_ids(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """(doc_id, n, k): size and id of each document's set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k", pa.int64())])
+    """(doc_id, n, k, x): size, id and parity bits of each document's set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("x", pa.list_(pa.int64()))])
 
     def task(batches):
         for b, lo, sets in batches_of_sets(batches, k):
             yield batch_of(schema, [b.column("doc_id").slice(lo, len(sets)), [len(s) for s in sets],
-                                    [set_id(s) for s in sets]])
+                                    [set_id(s) for s in sets], parity(sets)])
     return (docs.select(F.col("doc_id").cast("long"), text_key().alias("text"))
-            .mapInArrow(task, "doc_id long, n long, k long"))
+            .mapInArrow(task, "doc_id long, n long, k long, x array<long>"))
 
 
 def frequent(docs: DataFrame, k: int = WORDS, head: int = HEAD, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -158,16 +172,18 @@ def whole_sets(docs: DataFrame, ids: DataFrame, wanted: DataFrame, k: int = WORD
 
     speakers = (ids.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("doc_id"))
                 .join(wanted, "k", "left_semi").select("doc_id"))
+    speakers = materialize(speakers, "speakers")    # its size is known to the join below
     rows = (docs.select(F.col("doc_id").cast("long"), text_key().alias("text"))
             .join(speakers.withColumnRenamed("doc_id", "speaker"), F.col("doc_id").eqNullSafe(F.col("speaker")), "left_semi"))
     return rows.select("text").mapInArrow(task, "k long, n long, s array<long>").where("k is not null").dropDuplicates(["k"])
 
 
 # -- joins ---------------------------------------------------------------------------------
-def similar_enough(similar: int) -> Column:
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (F.least("na", "nb") * 100 >= similar * F.greatest("na", "nb")) & (
-        100 * both >= similar * (F.col("na") + F.col("nb") - both))
+def reachable(similar: int) -> Column:
+    """Length and place filter on sizes na, nb and zero-based places pa, pb of a shared shingle."""
+    need = F.ceil(F.lit(similar) * (F.col("na") + F.col("nb")) / (100 + similar) - 1e-9)
+    return ((F.least("na", "nb") * 100 >= similar * F.greatest("na", "nb"))
+            & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= need))
 
 
 def size_block(n: Column, similar: int) -> Column:
@@ -179,30 +195,69 @@ def size_block(n: Column, similar: int) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= n))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def verified(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int, similar: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
+    wanted = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
+    sets = whole_sets(docs, ids, wanted, k)
     side = lambda x: sets.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").where(similar_enough(similar)).select("a", "b")
+    both = F.size(F.array_intersect("sa", "sb"))
+    enough = 100 * both >= similar * (F.col("na") + F.col("nb") - both)
+    return pairs.join(side("b"), "b").join(side("a"), "a").where(enough).select("a", "b")
 
 
-def cross_pairs(lists: DataFrame, comp: DataFrame, similar: int) -> DataFrame:
-    """Pairs of different components that share an indexed shingle and pass the length and place
-    filters; each pair once."""
-    lists = (lists.join(comp.withColumnRenamed("node", "k"), "k", "left")
-             .withColumn("component", F.coalesce("component", "k")))
+def mixed_lists(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    """The lists that still hold several components, with each set's component."""
+    lists = (lists.select("t", "k", "n", "pos").join(comp.withColumnRenamed("node", "k"), "k", "left")
+             .select("t", "k", "n", "pos", F.coalesce("component", "k").alias("component")))
     mixed = lists.groupBy("t").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    lists = lists.join(materialize(mixed.select("t"), "mixed"), "t", "left_semi")
+    return materialize(lists.join(materialize(mixed.select("t"), "mixed"), "t", "left_semi"), "mixed")
+
+
+def open_pairs(mixed: DataFrame) -> tuple[int, int]:
+    """(bound of the pairs of different components, rows) of the lists."""
+    of = mixed.groupBy("t", "component").agg(F.count("*").cast("double").alias("m"))
+    of = of.groupBy("t").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("same"))
+    pairs, rows = of.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.sum("m")).first()
+    return pairs or 0, rows or 0
+
+
+def cross_pairs(mixed: DataFrame, ids: DataFrame, similar: int) -> DataFrame:
+    """Pairs of different components that share an indexed shingle and pass the filters by length,
+    place and parity bits; each pair once."""
+    bits = ids.where("k is not null").select("k", *(F.get("x", i).alias(f"x{i}") for i in range(4))).dropDuplicates(["k"])
+    mixed = mixed.join(bits, "k")
     block = size_block(F.col("n"), similar)
-    a = lists.select("t", F.col("k").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
-                     F.col("component").alias("ca"), F.explode(F.array(block, block + 1)).alias("block"))
-    b = lists.select("t", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
-                     F.col("component").alias("cb"), block.alias("block"))
-    need = F.ceil(F.lit(similar) * (F.col("na") + F.col("nb")) / (100 + similar) - 1e-9)
-    return (a.join(b, ["t", "block"])
-            .where("ca <> cb AND (na < nb OR na = nb AND a < b)")
-            .where(F.col("na") * 100 >= F.col("nb") * similar)
-            .where(F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= need)
-            .select("a", "b").distinct())
+    a = mixed.select("t", F.col("k").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
+                     F.col("component").alias("ca"), *(F.col(f"x{i}").alias(f"xa{i}") for i in range(4)),
+                     F.explode(F.array(block, block + 1)).alias("block"))
+    b = mixed.select("t", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
+                     F.col("component").alias("cb"), *(F.col(f"x{i}").alias(f"xb{i}") for i in range(4)),
+                     block.alias("block"))
+    differ = sum((F.bit_count(F.col(f"xa{i}").bitwiseXOR(F.col(f"xb{i}"))) for i in range(4)), F.lit(0))
+    # similar sets differ in at most (100 - similar) / (100 + similar) of their shingles
+    near = differ * (100 + similar) <= (100 - similar) * (F.col("na") + F.col("nb"))
+    return (a.join(b, ["t", "block"]).where("ca <> cb AND (na < nb OR na = nb AND a < b)").where(near)
+            .where(reachable(similar)).select("a", "b").distinct())
+
+
+def new_star_pairs(mixed: DataFrame, turn: int, similar: int) -> DataFrame:
+    """More leaders for each list, by hashes that change with the turn, with the sets of other
+    components that may be similar to them."""
+    orders = [F.min(F.struct(F.xxhash64("k", F.lit(turn * LEADERS + i)).alias("order"), "k", "n", "pos", "component"))
+              for i in range(LEADERS)]
+    leader = mixed.groupBy("t").agg(F.array(*orders).alias("x")).select("t", F.explode("x").alias("x")).select(
+        "t", F.col("x.k").alias("a"), F.col("x.n").alias("na"), F.col("x.pos").alias("pa"),
+        F.col("x.component").alias("ca"))
+    rows = mixed.select("t", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), "component")
+    return rows.join(leader, "t").where("component <> ca").where(reachable(similar)).select("a", "b").distinct()
+
+
+def star_pairs(lists: DataFrame, similar: int) -> DataFrame:
+    """Each list's leader with every other set that may be similar to it: (a, b), once each."""
+    leader = (lists.where("k = lead").groupBy("t").agg(F.first("n").alias("na"), F.first("pos").alias("pa")))
+    rows = lists.where("k <> lead").select("t", F.col("lead").alias("a"), F.col("k").alias("b"),
+                                           F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    return rows.join(leader, "t").where(reachable(similar)).select("a", "b").distinct()
 
 
 def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: int = HEAD,
@@ -212,16 +267,29 @@ def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: i
     index = postings(docs, *frequent(docs, k, head, block), k, similar)
     leads = index.groupBy("t").agg(F.min("k").alias("lead"), F.max("k").alias("other")).where("lead <> other")
     lists = materialize(index.join(materialize(leads.select("t", "lead"), "leads"), "t"), "lists")
-    pairs = materialize(lists.where("k <> lead").select(F.col("lead").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
-    sets = materialize(whole_sets(docs, ids, lists.select("k").distinct(), k), "whole")
-    links = materialize(verified(pairs, sets, similar), "links")
-    comp = materialize(components(links), "components")
-    rest = cross_pairs(lists, comp, similar).join(
-        pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))),
-        ["a", "b"], "left_anti")
-    more = materialize(verified(rest, sets, similar), "links")
-    if more.limit(1).count():
-        comp = materialize(components(links.unionByName(more)), "components")
+    pairs = materialize(star_pairs(lists, similar), "pairs")
+    links = materialize(verified(docs, ids, pairs, k, similar), "links")
+    comp = components(links)
+    turn, mixed = 0, mixed_lists(lists, comp)
+    while True:     # a large group of near copies: more leaders, until few open pairs are left
+        open_, rows = open_pairs(mixed)
+        if open_ <= OPEN * rows:
+            break
+        turn += 1
+        found = materialize(new_star_pairs(mixed, turn, similar), "pairs")
+        links = materialize(verified(docs, ids, found, k, similar), "links")
+        n = links.count()
+        if n:
+            comp = components(links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+            mixed = mixed_lists(mixed, comp)
+        if 64 * n < found.count():      # leaders no longer find much; the rest is joined
+            break
+    rest = cross_pairs(mixed, ids, similar).join(
+        pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+    rest = materialize(rest, "pairs")
+    links = materialize(verified(docs, ids, rest, k, similar), "links")
+    if links.limit(1).count():
+        comp = components(links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     named = ids.join(comp.withColumnRenamed("node", "k"), "k", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "k", F.coalesce("component", "k").alias("component"))
     first = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -87,7 +87,7 @@ def _anchor_task(length: int):
         for b in batches:
             data, off = utf8(b.column("text"))
             keys = b.column("c").to_pylist()
-            for lo, hi in pieces(off, 2 << 20):
+            for lo, hi in pieces(off, 1 << 18):
                 rows = [i for i in range(lo, hi) if keys[i] not in seen and not seen.add(keys[i])]
                 if not rows:
                     continue
