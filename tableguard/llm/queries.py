@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, license_scan, line_dedup, mixing, ngram_join, quality_cnn, repeats, url_filter
+from . import decontaminate, fingerprints, kneser_ney, license_scan, line_dedup, mixing, ngram_join, quality_cnn, repeats, url_filter
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -19,6 +19,10 @@ def op2_url_filter(spark, d):
     return url_filter.filter_urls(_docs(spark, d, "pages"))
 
 
+def op3_kneser_ney(spark, d):
+    return kneser_ney.score_documents(_docs(spark, d))
+
+
 def op4_repeats(spark, d):
     return repeats.remove_repeats(_docs(spark, d))
 
@@ -50,6 +54,6 @@ def op10_mixing(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_url_filter, op4_repeats, op5_quality_cnn, op6_ngram_join, op7_decontaminate, op8_line_dedup, op9_fingerprints,
+    op1_license_scan, op2_url_filter, op3_kneser_ney, op4_repeats, op5_quality_cnn, op6_ngram_join, op7_decontaminate, op8_line_dedup, op9_fingerprints,
     op10_mixing)}
 ORACLES = {"op8_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
