@@ -14,7 +14,8 @@ sorted by ``repeats * size / weight``; it is computed on one row for each source
 
 A hot source is never gathered: its queue is split by the first three hex digits of the hash
 into 4096 runs; running sums inside each run, offset by the sums of the runs before it, give every
-document's place.  Shuffles carry ids and sizes, no texts.
+document's place.  Shuffles carry ids and sizes, and texts only
+on demand.
 
 Defined cases: a null text has size 0 and is taken 0 times; a null source is a source of its own,
 last in order; sources without words have target 0; repeated rows are entries of their own; rows
@@ -60,11 +61,11 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) ->
                       F.least("cap", level * F.col("weight")).alias("target"))
 
 
-def schedule(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFrame:
-    """Each document's place: all columns of ``docs`` but ``text``, plus size, source_size,
+def schedule(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, texts: bool = False) -> DataFrame:
+    """Each document's place: all columns of ``docs`` (``text`` on demand only), plus size, source_size,
     target, start (words of its source before it) and taken (words the mix takes of it)."""
     made = ["size", "source_no", "source_size", "weight", "target", "start", "taken", "run", "place"]
-    kept = [c for c in docs.columns if c != "text" and c not in made]
+    kept = [c for c in docs.columns if (texts or c != "text") and c not in made]
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = docs.select(*kept, F.coalesce(words(F.col("text")), F.lit(0)).alias("size"), key.alias("place"))
     src = source_targets(sized.select("source", "size"), weights, repeats).withColumnRenamed("source", "name")
