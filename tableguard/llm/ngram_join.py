@@ -42,8 +42,9 @@ from .components import components
 
 WORDS, SIMILAR = 5, 80          # shingle size; similarity in percent
 HEAD, BLOCK = 1 << 17, 4 << 20  # frequent shingles kept; shingles counted at a time
+BITMAP = 1 << 23                # bits of the filter for wanted sets
 LEADERS = 8                     # leaders a turn
-OPEN = 8                        # open pairs for each index row that are joined without another leader
+OPEN = 2                        # open pairs for each index row that are joined without another leader
 _STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1) for k in range(64)]
 
 
@@ -161,21 +162,34 @@ def postings(docs: DataFrame, head, freq, k: int = WORDS, similar: int = SIMILAR
     return docs.select(text_key().alias("text")).mapInArrow(task, "t long, k long, n int, pos int")
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, wanted: DataFrame, k: int = WORDS) -> DataFrame:
-    """(k, n, s): the whole sets of the wanted ids, from one document of each."""
+def bitmap(ids: DataFrame, bits: int = BITMAP) -> np.ndarray:
+    """A bit for each of the ids k, by their lowest bits.  Of fixed size: with very many ids it only lets
+    more sets through, which the joins then drop."""
+    at = F.col("k").bitwiseAND(bits - 1)
+    words = (ids.groupBy(F.shiftright(at, 6).alias("word"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast((k & {bits - 1}) & 63 as int))")).alias("bits")).toPandas())
+    made = np.zeros(bits // 64, np.int64)
+    made[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return made
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, k: int = WORDS) -> DataFrame:
+    """(k, n, s): the whole sets of at least the wanted ids.  The ids reach the tasks as a bitmap, so no
+    text is shuffled."""
     schema = pa.schema([("k", pa.int64()), ("n", pa.int64()), ("s", pa.list_(pa.int64()))])
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))
 
     def task(batches):
+        seen: set[int | None] = {None}
+        of = shared.value
         for _, _, sets in batches_of_sets(batches, k):
-            yield batch_of(schema, [[set_id(s) for s in sets], [len(s) for s in sets],
-                                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))])
+            own = [(i, s) for i, s in zip(map(set_id, sets), sets) if i not in seen and not seen.add(i)
+                   and of[(i & (64 * len(of) - 1)) >> 6] >> (i & 63) & 1]
+            yield batch_of(schema, [[i for i, _ in own], [len(s) for _, s in own],
+                                    pa.array([s.view(np.int64) for _, s in own], pa.list_(pa.int64()))])
 
-    speakers = (ids.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("doc_id"))
-                .join(wanted, "k", "left_semi").select("doc_id"))
-    speakers = materialize(speakers, "speakers")    # its size is known to the join below
-    rows = (docs.select(F.col("doc_id").cast("long"), text_key().alias("text"))
-            .join(speakers.withColumnRenamed("doc_id", "speaker"), F.col("doc_id").eqNullSafe(F.col("speaker")), "left_semi"))
-    return rows.select("text").mapInArrow(task, "k long, n long, s array<long>").where("k is not null").dropDuplicates(["k"])
+    rows = docs.select(text_key().alias("text")).mapInArrow(task, "k long, n long, s array<long>")
+    return rows.dropDuplicates(["k"])
 
 
 # -- joins ---------------------------------------------------------------------------------
@@ -195,10 +209,10 @@ def size_block(n: Column, similar: int) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= n))
 
 
-def verified(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int, similar: int) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, k: int, similar: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
-    sets = whole_sets(docs, ids, wanted, k)
+    sets = whole_sets(docs, wanted, k)
     side = lambda x: sets.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"))
     both = F.size(F.array_intersect("sa", "sb"))
     enough = 100 * both >= similar * (F.col("na") + F.col("nb") - both)
@@ -266,9 +280,10 @@ def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: i
     ids = materialize(set_ids(docs, k), "sets")
     index = postings(docs, *frequent(docs, k, head, block), k, similar)
     leads = index.groupBy("t").agg(F.min("k").alias("lead"), F.max("k").alias("other")).where("lead <> other")
-    lists = materialize(index.join(materialize(leads.select("t", "lead"), "leads"), "t"), "lists")
+    lists = index.join(materialize(leads.select("t", "lead"), "leads"), "t")
+    lists = materialize(lists.dropDuplicates(["t", "k"]), "lists")     # equal sets of several tasks
     pairs = materialize(star_pairs(lists, similar), "pairs")
-    links = materialize(verified(docs, ids, pairs, k, similar), "links")
+    links = materialize(verified(docs, pairs, k, similar), "links")
     comp = components(links)
     turn, mixed = 0, mixed_lists(lists, comp)
     while True:     # a large group of near copies: more leaders, until few open pairs are left
@@ -277,7 +292,7 @@ def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: i
             break
         turn += 1
         found = materialize(new_star_pairs(mixed, turn, similar), "pairs")
-        links = materialize(verified(docs, ids, found, k, similar), "links")
+        links = materialize(verified(docs, found, k, similar), "links")
         n = links.count()
         if n:
             comp = components(links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
@@ -287,7 +302,7 @@ def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: i
     rest = cross_pairs(mixed, ids, similar).join(
         pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
     rest = materialize(rest, "pairs")
-    links = materialize(verified(docs, ids, rest, k, similar), "links")
+    links = materialize(verified(docs, rest, k, similar), "links")
     if links.limit(1).count():
         comp = components(links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     named = ids.join(comp.withColumnRenamed("node", "k"), "k", "left").select(
