@@ -51,7 +51,6 @@ AUDIT_NAMES = [n for n, _ in AUDIT_COLUMNS]
 DEFAULT_PARTITION_KEYS = ["dl_partition_year", "dl_partition_month", "dl_partition_day",
                           "dl_partition_hour"]
 MODES = ("overwrite", "update", "append")
-STATIC_PARTITION_FILTER_MAX = 500
 
 
 class LoadConfigError(ValueError):
@@ -308,19 +307,20 @@ def write_version(spark: SparkSession, table: str, df: DataFrame, location: str)
 
 
 def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, primary_key, columns,
-                            ctx: RunContext, staging: str) -> list[tuple]:
+                            ctx: RunContext, staging: str) -> int:
     """L6 writer when kept rows keep their audit columns (``restamp=False``):
     rewrite only the partitions the update touches.
 
     Touched partitions are those holding a target row whose key is in the
-    source, and those the new rows land in.  They are found with a semi-join
-    that reads only key and partition columns; their list is partition
-    metadata (bounded by the number of partitions), so it becomes a static
-    partition filter and the rewrite reads only those partitions.  The new
-    content is staged under ``staging`` first (the table is never read and
-    overwritten at once), then written with a dynamic partition overwrite;
-    a touched partition left without rows is cleared by a static overwrite.  The table's result
-    equals ``upsert(..., restamp=False)``.  Returns the touched partitions.
+    source, and those the new rows land in.  Their keys are a small written
+    table; joined null-safely (a partition key may be NULL) they select the
+    rows to rewrite, so one plan serves any number of them and nothing is
+    collected or broadcast by force.  The new content is staged under
+    ``staging`` first (the table is never read and overwritten at once), then
+    written with one dynamic partition overwrite; only touched partitions left
+    without any row are fetched one by one and cleared by a static overwrite.
+    The table's result equals ``upsert(..., restamp=False)``.  Returns the
+    number of touched partitions.
     """
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if not parts:
@@ -331,26 +331,19 @@ def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, pri
     src = _guarded(src, pk)
     keys = src.select(*pk)
     new_rows = with_audit(project(src, columns), ctx).select(*cols)
-    touched = (tgt.join(keys, pk, "left_semi").select(*parts)
-               .unionByName(new_rows.select(*parts)).distinct().collect())
-    touched = [tuple(r) for r in touched]
-    if not touched:
-        return []
-    if len(touched) <= STATIC_PARTITION_FILTER_MAX:
-        # a static partition filter: pruned while planning
-        in_touched = reduce(lambda a, b: a | b, [
-            reduce(lambda x, y: x & y, [F.col(p) == F.lit(v) for p, v in zip(parts, t)]) for t in touched])
-        rows_touched = tgt.where(in_touched)
-    else:
-        # many partitions: a semi-join with the (partition-count bounded) list, which
-        # dynamic partition pruning turns into a scan of those partitions only
-        part_schema = T.StructType([tgt.schema[p] for p in parts])
-        rows_touched = tgt.join(F.broadcast(spark.createDataFrame(touched, part_schema)), parts, "left_semi")
-    kept = rows_touched.join(keys, pk, "left_anti").select(*cols)
-    new_rows.unionByName(kept).write.mode("errorifexists").partitionBy(*parts).parquet(staging)
+    part_schema = T.StructType([tgt.schema[p] for p in parts])
+
+    def same_partition(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(*(F.col(p).alias(f"_tg_{p}") for p in parts))
+        return left.join(right, reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_tg_{p}")) for p in parts]), how)
+
+    (tgt.join(keys, pk, "left_semi").select(*parts).unionByName(new_rows.select(*parts)).distinct()
+     .write.mode("errorifexists").parquet(f"{staging}/touched"))
+    touched = spark.read.schema(part_schema).parquet(f"{staging}/touched")
+    kept = same_partition(tgt, touched, "left_semi").join(keys, pk, "left_anti").select(*cols)
+    new_rows.unionByName(kept).write.mode("errorifexists").partitionBy(*parts).parquet(f"{staging}/rows")
     # The table's schema keeps partition values as written ('08', not 8).
-    staged = spark.read.schema(tgt.schema).parquet(staging)
-    present = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+    staged = spark.read.schema(tgt.schema).parquet(f"{staging}/rows")
     view = f"_tg_upsert_{abs(hash((table, staging)))}"
     staged.select(*cols).createOrReplaceTempView(view)
     key = "spark.sql.sources.partitionOverwriteMode"
@@ -362,21 +355,19 @@ def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, pri
     finally:
         spark.conf.set(key, old)
         spark.catalog.dropTempView(view)
-    emptied = [t for t in touched if t not in present]
-    if emptied:
-        # A static overwrite with no rows clears the partition's files (a
-        # dropped partition of an external table would keep them on disk).
-        data_cols = [c for c in cols if c not in parts]
-        view = f"_tg_empty_{abs(hash((table, staging)))}"
-        spark.createDataFrame([], tgt.schema).createOrReplaceTempView(view)
-        for t in emptied:
-            spec = ", ".join(f"{p}='{v}'" for p, v in zip(parts, t))
-            with_static_overwrite(spark, lambda: spark.sql(
-                f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) "
-                f"SELECT {', '.join('`%s`' % c for c in data_cols)} FROM {view}"))
-        spark.catalog.dropTempView(view)
+    # A static overwrite with no rows clears a partition's files (a dropped
+    # partition of an external table would keep them on disk).
+    data_cols = [c for c in cols if c not in parts]
+    view = f"_tg_empty_{abs(hash((table, staging)))}"
+    spark.createDataFrame([], tgt.schema).createOrReplaceTempView(view)
+    for t in same_partition(touched, staged.select(*parts).distinct(), "left_anti").toLocalIterator():
+        spec = ", ".join(f"{p}=NULL" if v is None else f"{p}='{v}'" for p, v in zip(parts, t))
+        with_static_overwrite(spark, lambda: spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) "
+            f"SELECT {', '.join('`%s`' % c for c in data_cols)} FROM {view}"))
+    spark.catalog.dropTempView(view)
     spark.catalog.refreshTable(table)
-    return touched
+    return touched.count()
 
 
 def with_static_overwrite(spark: SparkSession, action):

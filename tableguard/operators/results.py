@@ -176,6 +176,13 @@ def _base_column(col: Column) -> Column:
     return F.regexp_extract(col, r"^(.*) \[", 1)
 
 
+def _newest_order() -> Column:
+    """Newest first; of rows written at the same time (segments of one run) a failing one wins, so it
+    cannot hide behind one that passed."""
+    return F.struct("dq_end_tstamp", "dq_start_tstamp", (~F.coalesce("is_pass", F.lit(False))).alias("failing"),
+                    "dq_tgt_value")
+
+
 def verdicts(results: DataFrame, dq_key: int | None = None) -> DataFrame:
     """V5: one verdict per (run, rule, column): newest row by end time.
 
@@ -187,8 +194,9 @@ def verdicts(results: DataFrame, dq_key: int | None = None) -> DataFrame:
     r = r.where(F.col("dq_name") != "day_to_day")
     newest = F.max_by(F.struct("table_name", "dq_name", "is_pass", "dq_tgt_value", "dq_src_value",
                                "dq_threshold", "stop_on_failure"),
-                      F.struct("dq_end_tstamp", "dq_start_tstamp", "dq_tgt_value"))
-    return (r.groupBy("dq_key", "check_id", "dq_column").agg(newest.alias("n"))
+                      _newest_order())
+    return (r.groupBy("dq_key", "database_name", "schema_name", "table_name", "check_id", "dq_column")
+            .agg(newest.alias("n"))
             .select("dq_key", "n.table_name", "check_id", "n.dq_name", "dq_column", "n.is_pass",
                     "n.dq_tgt_value", "n.dq_src_value", "n.dq_threshold", "n.stop_on_failure"))
 
@@ -198,7 +206,7 @@ def rollup_day_to_day(results: DataFrame, dq_key: int | None = None) -> DataFram
     r = results if dq_key is None else results.where(F.col("dq_key") == dq_key)
     r = r.where(F.col("dq_name") == "day_to_day")
     fails = F.sum(F.when(~F.col("is_pass"), 1).otherwise(0))
-    return (r.groupBy("dq_key", "table_name", "check_id", "dq_name",
+    return (r.groupBy("dq_key", "database_name", "schema_name", "table_name", "check_id", "dq_name",
                       _base_column(F.col("dq_column")).alias("dq_column"))
             .agg(F.coalesce(fails == 0, F.lit(False)).alias("is_pass"),
                  F.lit("<<< check dq table >>>").alias("dq_tgt_value"),
@@ -206,7 +214,8 @@ def rollup_day_to_day(results: DataFrame, dq_key: int | None = None) -> DataFram
                  F.max("dq_threshold").alias("dq_threshold"),
                  F.max(F.col("stop_on_failure").cast("int")).cast("boolean").alias("stop_on_failure"),
                  F.count(F.lit(1)).alias("n_keys"),
-                 fails.alias("n_fails")))
+                 fails.alias("n_fails"))
+            .drop("database_name", "schema_name"))
 
 
 def failures(results: DataFrame, dq_key: int | None = None) -> DataFrame:
@@ -235,9 +244,10 @@ def _rule_verdicts(results: DataFrame, dq_key: int | None, expected: DataFrame |
     d2d = F.col("dq_name") == "day_to_day"
     column = F.when(d2d, _base_column(F.col("dq_column"))).otherwise(F.col("dq_column"))
     newest = F.max_by(F.struct("is_pass", "dq_tgt_value", "dq_src_value", "dq_threshold", "stop_on_failure"),
-                      F.struct("dq_end_tstamp", "dq_start_tstamp", "dq_tgt_value"))
+                      _newest_order())
     fails = F.sum(F.when(~F.col("is_pass"), 1).otherwise(0))
-    g = (r.groupBy("dq_key", "table_name", "check_id", "dq_name", column.alias("dq_column"))
+    g = (r.groupBy("dq_key", "database_name", "schema_name", "table_name", "check_id", "dq_name",
+                   column.alias("dq_column"))
          .agg(newest.alias("n"), fails.alias("_fails"), F.max("dq_threshold").alias("_thr"),
               F.max(F.col("stop_on_failure").cast("int")).alias("_stop")))
     is_d2d = F.col("dq_name") == "day_to_day"

@@ -623,7 +623,7 @@ def _day_key(spec: CheckSpec) -> tuple[str, Column]:
 
 
 def _history_lookups(spark: SparkSession, suites: list[Suite], ctx: RunContext,
-                     history: DataFrame | None, lookback_days: int | None) -> dict | None:
+                     history: DataFrame | None) -> dict | None:
     """Baselines of every suite of a run from ONE pass over the history per
     family, keyed by ``<suite index>|<rule id>`` (several suites may reuse a
     rule id); each suite reads its slice of the persisted result."""
@@ -644,7 +644,7 @@ def _history_lookups(spark: SparkSession, suites: list[Suite], ctx: RunContext,
     out = {}
     if trend_rows:
         out["base"] = _shared(H.trending_baselines(history, H.wanted_frame(spark, trend_rows), ctx,
-                                                   cmp_dates, lookback_days))
+                                                   cmp_dates))
     if band_rows:
         out["stats"] = _shared(H.weekly_band_stats(history, H.wanted_frame(spark, band_rows), ctx))
     return out
@@ -657,7 +657,7 @@ def _slice(frame: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
 
 def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: RunContext,
                    history: DataFrame | None, spark: SparkSession,
-                   lookback_days: int | None = None, lookups: dict | None = None,
+                   lookups: dict | None = None,
                    prefix: str = "") -> DataFrame:
     db, schema, table = suite.target.parts
     trend = [s for s in specs if s.family == "trending"]
@@ -670,7 +670,7 @@ def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: R
         cmp = {s.check_id: H.compare_date(ctx.as_of, s.compare_type) for s in trend}
         wanted = H.wanted_frame(spark, [(s.check_id, db, schema, table, c, cmp[s.check_id])
                                         for s in trend for c in s.columns])
-        base = H.trending_baselines(history, wanted, ctx, list(cmp.values()), lookback_days)
+        base = H.trending_baselines(history, wanted, ctx, list(cmp.values()))
         # One row per configured (rule, column) at most: a proven bound, broadcast.
         rows = rows.join(F.broadcast(base), ["check_id", "dq_column"], "left")
     else:
@@ -757,8 +757,10 @@ def missing_dates_rows(suite: Suite, spec: CheckSpec, column: str, agg: DataFram
     n = spec.window
     spine = agg.selectExpr(f"explode(transform(sequence(0, {n - 1}), i -> date_sub({max_alias}, i))) AS date_col")
     hits = present.selectExpr("CAST(col AS DATE) AS date_col", "1 AS _hit").where("date_col IS NOT NULL")
-    # The spine has exactly ``window`` rows: it is the broadcast (build) side.
-    joined = hits.join(F.broadcast(spine), "date_col", "right")
+    # The spine has exactly ``window`` rows, and so at most have the days that match it: either may be
+    # broadcast, on the right side of a left join as Spark can.
+    hits = hits.join(F.broadcast(spine), "date_col", "left_semi").distinct()
+    joined = spine.join(F.broadcast(hits), "date_col", "left")
     stats = joined.selectExpr("sum(CASE WHEN _hit IS NULL THEN 1 ELSE 0 END) AS total_cnt")
     return _stamp(stats, suite, spec, Q.lit(column), "total_cnt", T.LongType(),
                   "'0'", "total_cnt = 0", threshold="NULL")
@@ -809,7 +811,7 @@ def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame
 
 def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
                  history: DataFrame | None = None, shared: _SharedScan | None = None,
-                 lookback_days: int | None = None, lookups: dict | None = None,
+                 lookups: dict | None = None,
                  prefix: str = "") -> DataFrame:
     """All verdict rows of one suite (not yet stamped with the run)."""
     specs = [s for s in suite.specs if s.enabled]
@@ -835,7 +837,7 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
             agg = _shared(agg)
         if plan:
             rows = _scalar_rows(agg, plan, types, ctx)
-            parts.append(_finish_scalar(rows, suite, scalar, ctx, history, spark, lookback_days,
+            parts.append(_finish_scalar(rows, suite, scalar, ctx, history, spark,
                                         lookups, prefix))
     for (spec, c), k in zip(missing, miss_keys):
         parts.append(missing_dates_rows(suite, spec, c, agg, dates[c], keyed.share(k, uses[k])))
@@ -853,20 +855,18 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
 
 
 def run_suite(spark: SparkSession, suites: Suite | list[Suite], ctx: RunContext,
-              history: DataFrame | None = None, lookback_days: int | None = None) -> DataFrame:
+              history: DataFrame | None = None) -> DataFrame:
     """Result rows of every enabled rule of every suite, stamped with ``ctx``.
 
     ``history`` is the result table as it was when the run started (read it
-    before appending, so a rule never sees rows of its own run).
-    ``lookback_days`` optionally bounds the last-run baseline search (see
-    ``history.trending_baselines``).  The returned DataFrame is lazy; write it
-    once with ``append_results``.
+    before appending, so a rule never sees rows of its own run).  The returned
+    DataFrame is lazy; write it once with ``append_results``.
     """
     if isinstance(suites, Suite):
         suites = [suites]
     shared = _shared_scans(suites)
-    lookups = _history_lookups(spark, suites, ctx, history, lookback_days)
-    rows = [verdict_rows(spark, s, ctx, history, shared.get(id(s)), lookback_days, lookups, f"{i}|")
+    lookups = _history_lookups(spark, suites, ctx, history)
+    rows = [verdict_rows(spark, s, ctx, history, shared.get(id(s)), lookups, f"{i}|")
             for i, s in enumerate(suites)]
     return to_result(reduce(lambda a, b: a.unionByName(b), rows), ctx)
 

@@ -161,15 +161,6 @@ def test_seed_std_dev(spark):
     assert all(r["is_trial"] and not r["is_pass"] and r["dq_key"] is None for r in seeded)
 
 
-def test_trending_lookback_bounds_last_run(spark):
-    h = _hist(spark, [("2024-01-10 05:00:00", 50)], dq_name="trending", col="count(x)")
-    spec = CheckSpec.make("trending", columns=["count(x)"], threshold="0.1")
-    exact = run_suite(spark, Suite(_target(spark, 60), [spec]), CTX, h).first()
-    bounded = run_suite(spark, Suite(_target(spark, 60), [spec]), CTX, h, lookback_days=30).first()
-    assert exact["dq_src_value"] == "50" and not exact["is_pass"]
-    assert bounded["dq_src_value"] is None and bounded["is_pass"]
-
-
 def test_several_suites_share_history_lookups(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
     hist = E._li_history(spark, SF001, "trending").unionByName(E._li_history(spark, SF001, "std_dev"))
@@ -197,9 +188,9 @@ def test_history_lookups_prune_partitions(spark, scratch):
                            dq_name="trending", col="count(x)"), path)
     hist = R.read_results(spark, path)
     wanted = H.wanted_frame(spark, [("trending", "d", "s", "t", "count(x)", None)])
-    plan = H.trending_baselines(hist, wanted, CTX, [None], lookback_days=30)._jdf.queryExecution() \
+    plan = H.trending_baselines(hist, wanted, CTX, [None])._jdf.queryExecution() \
         .executedPlan().toString()
     part_filters = [l for l in plan.splitlines() if "PartitionFilters" in l][0]
-    assert "dq_run_date" in part_filters and "2024-03-01" in part_filters and "2024-03-31" in part_filters
+    assert "dq_run_date" in part_filters and "2024-03-31" in part_filters
     band_plan = H.weekly_band_stats(hist, wanted, CTX)._jdf.queryExecution().executedPlan().toString()
     assert "dq_run_date" in [l for l in band_plan.splitlines() if "PartitionFilters" in l][0]
