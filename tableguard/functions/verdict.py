@@ -19,7 +19,7 @@ def _c(x) -> Column:
 
 def round_int(x) -> Column:
     """Round half away from zero, then BIGINT (the ``::INT`` of the checks)."""
-    return F.round(_c(x).cast("double")).cast("bigint")
+    return F.round(_c(x).cast("double")).try_cast("bigint")
 
 
 def ratio(tgt, src) -> Column:

@@ -386,3 +386,12 @@ def test_failing_segment_and_other_table_stay_visible(spark):
                 run_suite(spark, Suite(TableRef(names[1], second), specs), CTX))
             assert R.stop_gate_rows(rows).count() == 1
             assert R.verdicts(rows).count() == 2
+
+
+def test_value_beyond_bigint_does_not_stop_the_suite(spark):
+    df = spark.createDataFrame([(1, 1e19)], "id long, v double")
+    specs = [CheckSpec.make("std_dev", columns=["sum(v)"], threshold="+2"), CheckSpec.make("unique", columns=["id"])]
+    first = run_suite(spark, Suite(TableRef("d.s.big", df), specs), CTX)
+    assert first.count() == 2
+    again = run_suite(spark, Suite(TableRef("d.s.big", df), specs), CTX, first)
+    assert {r.dq_name for r in again.collect()} == {"std_dev", "unique"}
