@@ -110,6 +110,15 @@ def q_trending_first_run(spark, d):
     return _suite(spark, _li_target(spark, d), [spec], LI_CTX, _li_history(spark, d, "trending"))
 
 
+DISTINCT_METRICS = ["count(DISTINCT l_orderkey)", "count(DISTINCT l_partkey)", "count(DISTINCT l_suppkey)",
+                    "sum(l_quantity)"]
+
+
+def q_trending_distinct(spark, d):
+    spec = CheckSpec.make("trending_distinct", columns=DISTINCT_METRICS, threshold="0.1", description="no earlier run")
+    return _suite(spark, _li_target(spark, d), [spec], LI_CTX, _li_history(spark, d, "trending"))
+
+
 # -- compare_to_source --------------------------------------------------------
 def _orders_ref(spark, d, filt=None) -> TableRef:
     return TableRef("tpch.sf.orders", _t(spark, d, "orders"), filt)
@@ -340,7 +349,7 @@ def q_stage_delete_insert(spark, d):
 
 
 def q_load_overwrite(spark, d):
-    return L.load(_loaded_orders(spark, d), _new_orders(spark, d), "overwrite", ORDER_COLUMNS, LOAD_CTX)
+    return L.load(_loaded_orders(spark, d), _t(spark, d, "orders"), "overwrite", ORDER_COLUMNS, LOAD_CTX)
 
 
 def q_load_upsert(spark, d):
@@ -461,6 +470,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["std_dev_all_series"] = q_std_dev_all_series
     q["std_dev_seed"] = q_std_dev_seed
     q["custom_check"] = q_custom_check
+    q["trending_distinct"] = q_trending_distinct
     q["suite_results"] = q_suite_results
     q["suite_segments"] = q_suite_segments
     q["verdicts_latest"] = q_verdicts_latest

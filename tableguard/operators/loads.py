@@ -127,10 +127,8 @@ def drop_tmp(spark: SparkSession, names) -> None:
     """L3: drop this run's intermediates (views and their cached data)."""
     for n in names:
         if spark.catalog.tableExists(n):
-            try:
+            if spark.catalog.isCached(n):
                 spark.catalog.uncacheTable(n)
-            except Exception:
-                pass
         spark.catalog.dropTempView(n)
 
 
@@ -214,9 +212,8 @@ def upsert(tgt: DataFrame, src: DataFrame, primary_key, columns, ctx: RunContext
     kept = tgt.join(src.select(*pk), pk, "left_anti")
     if strict_not_in:
         any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in pk])
-        src_empty = src.select(*pk).limit(1).count() == 0
-        if not src_empty:
-            kept = kept.where(~any_null)
+        some = src.select(*pk).limit(1).agg((F.count(F.lit(1)) > 0).alias("_tg_some"))     # one row
+        kept = kept.crossJoin(F.broadcast(some)).where(~(F.col("_tg_some") & any_null)).drop("_tg_some")
     if restamp:
         kept = with_audit(kept.select(*names), ctx)
     else:
@@ -322,25 +319,46 @@ def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, pri
     The table's result equals ``upsert(..., restamp=False)``.  Returns the
     number of touched partitions.
     """
+    pk = _key_list(primary_key)
+    src = _guarded(src, pk)
+    keys = src.select(*pk)
+    return _rewrite_partitions(spark, table, with_audit(project(src, columns), ctx),
+                               lambda tgt: tgt.join(keys, pk, "left_semi"),
+                               lambda tgt: tgt.join(keys, pk, "left_anti"), staging)
+
+
+def write_delete_insert(spark: SparkSession, table: str, new_rows: DataFrame, delete_pred: str | Column,
+                        staging: str) -> int:
+    """L4/L8 writer: ``DELETE WHERE pred`` (NULL keeps the row), then insert ``new_rows``, in place.
+
+    Only partitions that hold a deleted row or receive a new one are rewritten, as in
+    ``write_upsert_partitions``; the table's result equals ``stage(table, new_rows, pred)``.  For an append
+    with its own delete give the audited rows: ``overwrite(src, columns, ctx)``.
+    """
+    pred = F.expr(delete_pred) if isinstance(delete_pred, str) else delete_pred
+    return _rewrite_partitions(spark, table, new_rows, lambda tgt: tgt.where(pred),
+                               lambda tgt: _not_deleted(tgt, pred), staging)
+
+
+def _rewrite_partitions(spark: SparkSession, table: str, new_rows: DataFrame, removed, kept_of, staging: str) -> int:
+    """Rewrite the partitions that hold ``removed(table)`` rows or receive ``new_rows`` with the new rows and
+    their ``kept_of`` rows; see ``write_upsert_partitions``."""
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if not parts:
         raise LoadConfigError(f"{table} is not partitioned; use write_version")
-    pk = _key_list(primary_key)
     tgt = spark.table(table)
     cols = tgt.columns
-    src = _guarded(src, pk)
-    keys = src.select(*pk)
-    new_rows = with_audit(project(src, columns), ctx).select(*cols)
+    new_rows = new_rows.select(*cols)
     part_schema = T.StructType([tgt.schema[p] for p in parts])
 
     def same_partition(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
         right = right.select(*(F.col(p).alias(f"_tg_{p}") for p in parts))
         return left.join(right, reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_tg_{p}")) for p in parts]), how)
 
-    (tgt.join(keys, pk, "left_semi").select(*parts).unionByName(new_rows.select(*parts)).distinct()
+    (removed(tgt).select(*parts).unionByName(new_rows.select(*parts)).distinct()
      .write.mode("errorifexists").parquet(f"{staging}/touched"))
     touched = spark.read.schema(part_schema).parquet(f"{staging}/touched")
-    kept = same_partition(tgt, touched, "left_semi").join(keys, pk, "left_anti").select(*cols)
+    kept = kept_of(same_partition(tgt, touched, "left_semi")).select(*cols)
     new_rows.unionByName(kept).write.mode("errorifexists").partitionBy(*parts).parquet(f"{staging}/rows")
     # The table's schema keeps partition values as written ('08', not 8).
     staged = spark.read.schema(tgt.schema).parquet(f"{staging}/rows")

@@ -219,15 +219,15 @@ def rollup_day_to_day(results: DataFrame, dq_key: int | None = None) -> DataFram
 
 
 def failures(results: DataFrame, dq_key: int | None = None) -> DataFrame:
-    """V7: failing rows of a run (what a notification would carry)."""
+    """V7: failing rows of a run (what a notification would carry).  A NULL target fails, as in ``summary``."""
     r = results if dq_key is None else results.where(F.col("dq_key") == dq_key)
-    return (r.where(~F.coalesce(F.col("is_pass"), F.lit(False)))
+    return (r.where(~F.coalesce(F.col("is_pass") & F.col("dq_tgt_value").isNotNull(), F.lit(False)))
             .select(F.concat_ws(".", "database_name", "schema_name", "table_name").alias("target_table"),
                     "check_id", "dq_name", "dq_column", "dq_tgt_value", "dq_src_value",
                     "stop_on_failure"))
 
 
-EXPECTED_KEYS = ["dq_key", "table_name", "check_id", "dq_column"]
+EXPECTED_KEYS = ["dq_key", "database_name", "schema_name", "table_name", "check_id", "dq_column"]
 
 
 def _rule_verdicts(results: DataFrame, dq_key: int | None, expected: DataFrame | None) -> DataFrame:
@@ -252,15 +252,16 @@ def _rule_verdicts(results: DataFrame, dq_key: int | None, expected: DataFrame |
               F.max(F.col("stop_on_failure").cast("int")).alias("_stop")))
     is_d2d = F.col("dq_name") == "day_to_day"
     both = g.select(
-        "dq_key", "table_name", "check_id", "dq_name", "dq_column",
-        F.when(is_d2d, F.coalesce(F.col("_fails") == 0, F.lit(False))).otherwise(F.col("n.is_pass")).alias("is_pass"),
+        "dq_key", "database_name", "schema_name", "table_name", "check_id", "dq_name", "dq_column",
+        F.when(is_d2d, F.coalesce(F.col("_fails") == 0, F.lit(False)))
+        .otherwise(F.col("n.is_pass") & F.col("n.dq_tgt_value").isNotNull()).alias("is_pass"),
         F.when(is_d2d, F.lit("<<< check dq table >>>")).otherwise(F.col("n.dq_tgt_value")).alias("dq_tgt_value"),
         F.when(is_d2d, F.lit(None).cast("string")).otherwise(F.col("n.dq_src_value")).alias("dq_src_value"),
         F.when(is_d2d, F.col("_thr")).otherwise(F.col("n.dq_threshold")).alias("dq_threshold"),
         F.when(is_d2d, F.col("_stop").cast("boolean")).otherwise(F.col("n.stop_on_failure"))
         .alias("stop_on_failure"))
     if expected is None:
-        return both
+        return both.select(*cols)
     if dq_key is not None:
         expected = expected.where(F.col("dq_key") == dq_key)
     got = both.drop("dq_name", "stop_on_failure")

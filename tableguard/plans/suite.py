@@ -33,10 +33,12 @@ the result once.
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +48,7 @@ from ..functions import concat_key
 from ..functions import sql as Q
 from ..operators import history as H
 from ..operators.results import VERDICT_COLUMNS, to_result
-from ..spec import CheckSpec, TableRef
+from ..spec import CheckConfigError, CheckSpec, TableRef
 
 SCALAR_FAMILIES = ("trending", "std_dev", "compare_to_source", "empty_null", "up_to_date")
 
@@ -80,6 +82,14 @@ class Suite:
     target: TableRef
     specs: list[CheckSpec]
 
+    def __post_init__(self):
+        ids = [s.check_id for s in self.specs if s.enabled and s.family in ("trending", "std_dev")]
+        twice = sorted({i for i in ids if ids.count(i) > 1})
+        if twice:
+            raise CheckConfigError(f"ids of rules with a baseline must be unique in a suite: {twice}")
+        if self.target.args:
+            self.specs = [s.bound(self.target.args) for s in self.specs]
+
 
 def _row(spec: CheckSpec, column: str, *, tgt_num="NULL", tgt_text="NULL", src_num="NULL",
          src_text="NULL", threshold=None, pre_pass="NULL") -> str:
@@ -147,7 +157,7 @@ def _fused_metrics(suite: Suite, specs: list[CheckSpec], date_columns: list[str]
     if shared is not None:
         agg = shared.agg_for(suite, metrics)
     else:
-        agg = suite.target.filtered().agg(*metrics.cols.values())
+        agg = _one_row(suite.target.filtered(), metrics)
     for name, src in sources.values():
         # One-row frames: the cross join is a 1 x 1 broadcast nested loop.
         agg = agg.crossJoin(src.filtered().agg(F.count(F.lit(1)).alias(name)))
@@ -155,6 +165,15 @@ def _fused_metrics(suite: Suite, specs: list[CheckSpec], date_columns: list[str]
     return agg, plan, types, dates
 
 
+def _one_row(df: DataFrame, metrics: _Metrics) -> DataFrame:
+    """All metrics as one row.  Each metric with a DISTINCT is an aggregate of its own: several in one
+    aggregate would plan an ``Expand`` that copies every row once for each distinct column."""
+    apart = [a for k, a in metrics.alias.items() if re.search(r"\bdistinct\b", k, re.IGNORECASE)]
+    rest = [c for a, c in metrics.cols.items() if a not in apart]
+    rows = ([df.agg(*rest)] if rest else []) + [df.agg(metrics.cols[a]) for a in apart]
+    return reduce(lambda a, b: a.crossJoin(b), rows)    # 1 x 1
+
+
 def _metric_plan(specs: list[CheckSpec], date_columns: list[str]):
     """Aggregate columns (deduplicated) for the scalar rules, and which rule
     row reads which alias."""
@@ -179,9 +198,20 @@ def _metric_plan(specs: list[CheckSpec], date_columns: list[str]):
     return metrics, plan, sources, dates
 
 
+def _filterable(df: DataFrame, text: str) -> bool:
+    """True when ``text`` is one call of an aggregate function, so that ``text FILTER (WHERE p)`` filters
+    the whole expression.  Spark's analysis decides whether the function is an aggregate."""
+    if not _single_call(text):
+        return False
+    try:
+        df.selectExpr(f"{text} FILTER (WHERE true)")
+    except AnalysisException:   # a wrapped aggregate, as coalesce(sum(v), 0)
+        return False
+    return True
+
+
 def _single_call(text: str) -> bool:
-    """True when ``text`` is one function call ``f(...)`` and nothing else, so
-    that ``text FILTER (WHERE p)`` filters the whole expression."""
+    """True when ``text`` is one function call ``f(...)`` and nothing else."""
     m = re.match(r"\s*[A-Za-z_][A-Za-z0-9_]*\s*\(", text)
     if not m:
         return False
@@ -203,7 +233,7 @@ def _single_call(text: str) -> bool:
     return False
 
 
-def _conditional(key: str, filt: str | None) -> str | None:
+def _conditional(key: str, filt: str | None, df: DataFrame) -> str | None:
     """The metric ``key`` restricted to rows where ``filt`` holds (NULL = no),
     as SQL.  Empty inputs keep their meaning: a conditional sum over no
     matching row is NULL, a conditional count is 0.  ``None`` when it cannot
@@ -219,7 +249,7 @@ def _conditional(key: str, filt: str | None) -> str | None:
         return f"max({when(f'to_date({arg})')})"
     if not filt:
         return arg
-    if _single_call(arg):
+    if _filterable(df, arg):
         return f"{arg} FILTER (WHERE {filt})"
     return None
 
@@ -250,7 +280,7 @@ class _SharedScan:
             for key, alias in metrics.alias.items():
                 ck = (filt, key)
                 if ck not in cols:
-                    col = _conditional(key, filt)
+                    col = _conditional(key, filt, suites[0].target.df)
                     if col is None:
                         own.append(key)
                         continue
@@ -384,7 +414,7 @@ class _SharedKeyed:
         self.exprs: dict[str, list[Column]] = {}
         self.map: dict[int, dict[str, dict[str, str]]] = {}
         self._frames: dict[str, DataFrame] = {}
-        if any(_filter_text(x) and any(m and not _single_call(m) for _, _, m in _keyed_needs(x))
+        if any(_filter_text(x) and any(m and not _filterable(df, m) for _, _, m in _keyed_needs(x))
                for x in suites):
             # one suite needs the (key, filter id) grouping: all use it, one groupBy per key
             self.map = {}
@@ -793,7 +823,7 @@ def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame
             import os
             with open(os.path.expandvars(q.strip())) as fh:
                 text = fh.read()
-        df = spark.sql(text, args=spec.args, **(spec.frames or {}))
+        df = spark.sql(text, args=spec.args or suite.target.args, **(spec.frames or {}))
     types = {f.name: f.dataType for f in df.schema.fields}
     db, schema, table = suite.target.parts
     return df.selectExpr(
@@ -854,6 +884,20 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _distinct_series(suites: list[Suite]) -> None:
+    """A stored series is named by table, segment, family and column.  Warns of suites of one run that write,
+    and so later compare, one series twice: a table under several filters that have no segment names."""
+    seen: dict[tuple, str | None] = {}
+    for suite in suites:
+        filt = _filter_text(suite)
+        for s in suite.specs:
+            if s.enabled and s.family in ("trending", "std_dev"):
+                for c in s.columns:
+                    if seen.setdefault((suite.target.parts, s.family, c), filt) != filt:
+                        warnings.warn(f"{suite.target.name}: {s.family} of {c!r} under several filters is one "
+                                      "series in the history; give each TableRef a segment", stacklevel=3)
+
+
 def run_suite(spark: SparkSession, suites: Suite | list[Suite], ctx: RunContext,
               history: DataFrame | None = None) -> DataFrame:
     """Result rows of every enabled rule of every suite, stamped with ``ctx``.
@@ -864,6 +908,8 @@ def run_suite(spark: SparkSession, suites: Suite | list[Suite], ctx: RunContext,
     """
     if isinstance(suites, Suite):
         suites = [suites]
+    if history is not None:
+        _distinct_series(suites)
     shared = _shared_scans(suites)
     lookups = _history_lookups(spark, suites, ctx, history)
     rows = [verdict_rows(spark, s, ctx, history, shared.get(id(s)), lookups, f"{i}|")
@@ -879,11 +925,10 @@ def expected_rules(spark: SparkSession, suites: Suite | list[Suite], ctx: RunCon
         suites = [suites]
     rows = []
     for suite in suites:
-        table = suite.target.parts[2]
         for s in suite.specs:
             if s.enabled:
-                rows += [(ctx.dq_key, table, s.check_id, s.dq_name, c, s.stop_on_failure) for c in s.columns]
-    schema = "dq_key bigint, table_name string, check_id string, dq_name string, dq_column string, " \
+                rows += [(ctx.dq_key, *suite.target.parts, s.check_id, s.dq_name, c, s.stop_on_failure) for c in s.columns]
+    schema = "dq_key bigint, database_name string, schema_name string, table_name string, check_id string, dq_name string, dq_column string, " \
              "stop_on_failure boolean"
     return spark.createDataFrame(rows, schema)
 

@@ -8,7 +8,9 @@ verdict code never looks at strings.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import datetime as _dt
+import re
+from dataclasses import dataclass, field, replace
 from typing import Callable
 
 from pyspark.sql import DataFrame
@@ -48,6 +50,29 @@ def family_of(name: str) -> str:
     raise CheckConfigError(f"Unknown generic check name: {name!r}")
 
 
+def _literal(value) -> str:
+    """SQL literal of a parameter value."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float):
+        return f"CAST('{value!r}' AS DOUBLE)"
+    if isinstance(value, _dt.datetime):
+        return f"TIMESTAMP'{value.isoformat(' ')}'"
+    if isinstance(value, _dt.date):
+        return f"DATE'{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
+def bind(text: str, args: dict) -> str:
+    """``text`` with its ``:name`` markers of ``args`` as literals; quoted parts and ``::`` stay."""
+    marker = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|::|:([A-Za-z_]\w*)")
+    return marker.sub(lambda m: _literal(args[m[1]]) if m[1] in args else m[0], text)
+
+
 @dataclass(frozen=True)
 class Threshold:
     """Parsed threshold.
@@ -105,12 +130,18 @@ class Threshold:
 
 @dataclass(frozen=True, eq=False)
 class TableRef:
-    """A checked table: three-part name, DataFrame and optional SQL filter."""
+    """A checked table: three-part name, DataFrame and optional SQL filter.
+
+    ``segment`` names the part of the table that the filter takes.  It is stored with the table's name
+    (``table/segment``), so a segment has its own baselines, verdicts and gate from run to run, even when
+    the filter's text holds the run's date.
+    """
 
     name: str
     df: DataFrame
     filter: str | None = None
     args: dict | None = None
+    segment: str = ""
 
     def __post_init__(self):
         if self.name.count(".") != 2:
@@ -119,7 +150,7 @@ class TableRef:
     @property
     def parts(self) -> tuple[str, str, str]:
         db, schema, table = self.name.split(".")
-        return db, schema, table
+        return db, schema, f"{table}/{self.segment}" if self.segment else table
 
     def filtered(self) -> DataFrame:
         """The table after its filter; ``:name`` markers in the filter are
@@ -232,6 +263,12 @@ class CheckSpec:
                    enabled=bool(enabled), sql=sql, args=args, frames=frames,
                    threshold=Threshold("absolute", 0.0, None, ""))
 
+    def bound(self, args: dict) -> "CheckSpec":
+        """The rule with the run's ``:name`` parameters as literals in its columns and group key, which are
+        stored as they were run.  Custom SQL binds its parameters when it runs."""
+        return replace(self, columns=tuple(bind(c, args) for c in self.columns),
+                       group_by=bind(self.group_by, args) if self.group_by else self.group_by)
+
     def description_text(self) -> str:
         """Description as stored, with the suffixes the families append."""
         d = self.description
@@ -249,7 +286,7 @@ def rules_from_config(dq: dict | None, dq_custom: dict | None = None, *,
     ``dq_custom`` sections: rule name -> options), validated like ``make``.
 
     ``enabled`` is mandatory on every rule; disabled rules are kept with
-    ``enabled=False`` (the suite skips them).  Options: ``description``,
+    ``enabled=False``, also when they are not valid (the suite skips them).  Options: ``description``,
     ``threshold`` (``lo,hi`` for a range), ``columns``, ``stop_on_failure``,
     ``group_by``, ``num_days``, ``is_trial``, ``compare_type``; custom rules
     take ``sql`` or ``sql_file``.  ``source`` is the table compare_to_source
@@ -260,17 +297,25 @@ def rules_from_config(dq: dict | None, dq_custom: dict | None = None, *,
         opts = dict(opts or {})
         if "enabled" not in opts:
             raise CheckConfigError(f"{name}: missing enabled option")
-        specs.append(CheckSpec.make(
-            name, enabled=opts["enabled"] is True, columns=opts.get("columns") or (),
-            threshold=opts.get("threshold"), description=opts.get("description", ""),
-            stop_on_failure=opts.get("stop_on_failure", False), is_trial=opts.get("is_trial", False),
-            group_by=opts.get("group_by"), num_days=opts.get("num_days"),
-            compare_type=opts.get("compare_type"),
-            source=source if family_of(name) == "compare_to_source" else None))
+        try:
+            specs.append(CheckSpec.make(
+                name, enabled=opts["enabled"] is True, columns=opts.get("columns") or (),
+                threshold=opts.get("threshold"), description=opts.get("description", ""),
+                stop_on_failure=opts.get("stop_on_failure", False), is_trial=opts.get("is_trial", False),
+                group_by=opts.get("group_by"), num_days=opts.get("num_days"),
+                compare_type=opts.get("compare_type"),
+                source=source if family_of(name) == "compare_to_source" else None))
+        except CheckConfigError:
+            if opts["enabled"] is True:
+                raise
+            specs.append(CheckSpec(name, name, enabled=False))
     for name, opts in (dq_custom or {}).items():
         opts = dict(opts or {})
         if "enabled" not in opts:
             raise CheckConfigError(f"{name}: missing enabled option")
+        if opts["enabled"] is not True:
+            specs.append(CheckSpec(name, "custom", enabled=False))
+            continue
         sql = opts.get("sql_file") or opts.get("sql")
         if sql is None:
             raise CheckConfigError(f"{name}: no custom SQL or SQL file")
