@@ -37,7 +37,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id stays of each group; rows equal in id and text become one."""
-    groups = ngram_join.near_groups(docs)
+    groups = ngram_join.near_groups(docs, long=ngram_join.LONG)
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stay")).distinct()
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("stay")), "left_semi").dropDuplicates(["doc_id", "text"])
 

@@ -11,7 +11,7 @@ the same result; ``HEAD`` bounds the broadcast.
 Relations between sets save comparisons:
 
 * equal sets are one set (their answers are the same);
-* each index list is first compared with one leader only, a long list with several.  Sets already
+* each index list is first compared with one leader only (a long list with several, if asked).  Sets already
   joined through verified links share a component, and their pairs are skipped from then on: a set's
   component is derived from what its highly similar leader has answered.  While the lists hold many
   more open pairs than rows, further leaders take turns, so a large group of near copies needs a
@@ -44,7 +44,7 @@ WORDS, SIMILAR = 5, 80          # shingle size; similarity in percent
 HEAD, BLOCK = 1 << 17, 4 << 20  # frequent shingles kept; shingles counted at a time
 BITMAP = 1 << 23                # bits of the filter for wanted sets
 LEADERS = 8                     # leaders a turn
-LONG = 2 * LEADERS              # lists of more rows have that many leaders from the start
+LONG = 2 * LEADERS              # rows of a long list
 OPEN = 8                        # open pairs for each index row that are joined without another leader
 _STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1) for k in range(64)]
 
@@ -275,22 +275,29 @@ def star_pairs(lists: DataFrame, similar: int) -> DataFrame:
     return rows.join(leader, "t").where(reachable(similar)).select("a", "b").distinct()
 
 
-def long_lists(lists: DataFrame) -> DataFrame:
-    """The rows of lists of more than ``LONG`` sets, each its own component."""
-    many = lists.groupBy("t").count().where(F.col("count") > LONG).select("t")
+def long_lists(lists: DataFrame, long: int) -> DataFrame:
+    """The rows of lists of more than ``long`` sets, each its own component."""
+    many = lists.groupBy("t").count().where(F.col("count") > long).select("t")
     return lists.select("t", "k", "n", "pos", F.col("k").alias("component")).join(many, "t", "left_semi")
 
 
 def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: int = HEAD,
-                block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id): component_id is the smallest doc_id that links reach."""
+                block: int = BLOCK, long: int | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id): component_id is the smallest doc_id that links reach.
+
+    With ``long``, lists of more sets than that have ``LEADERS`` leaders from the start: fewer pairs are left
+    to join, more are verified.  The result is the same.
+    """
     ids = materialize(set_ids(docs, k), "sets")
     index = postings(docs, *frequent(docs, k, head, block), k, similar)
     leads = index.groupBy("t").agg(F.min("k").alias("lead"), F.max("k").alias("other")).where("lead <> other")
     lists = index.join(materialize(leads.select("t", "lead"), "leads"), "t")
     lists = materialize(lists.dropDuplicates(["t", "k"]), "lists")     # equal sets of several tasks
-    pairs = star_pairs(lists, similar).unionByName(new_star_pairs(long_lists(lists), 0, similar))
-    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    pairs = star_pairs(lists, similar)
+    if long is not None:
+        pairs = pairs.unionByName(new_star_pairs(long_lists(lists, long), 0, similar))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = materialize(pairs, "pairs")
     links = materialize(verified(docs, pairs, k, similar), "links")
     comp = components(links)
     turn, mixed = 0, mixed_lists(lists, comp)
