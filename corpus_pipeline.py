@@ -28,9 +28,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Chunks of lines that stand earlier in the corpus go; so does a document of which nothing is left.
+    """Runs of two or more lines that stand earlier in the corpus go; so does a document of which nothing is left.
     ``n_chars`` follows the text."""
-    kept = line_dedup.line_dedup(docs).where("NOT (removed_lines > 0 AND text = '')")
+    kept = line_dedup.line_dedup(docs, passages=True).where("NOT (removed_lines > 0 AND text = '')")
     return kept.withColumn("n_chars", F.when(F.col("removed_lines") > 0, F.length("text").cast("long"))
                            .otherwise(F.col("n_chars"))).select(*docs.columns)
 

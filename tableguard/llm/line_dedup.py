@@ -4,6 +4,11 @@ A text is split at line feeds.  A rolling hash over the hashes of ``window`` con
 ends a chunk after a line when it is divisible by ``divisor``, so boundaries depend on nearby
 lines only and shift with them.  A chunk of two or more lines that also stands elsewhere in the
 corpus is removed there; it stays at its first place in the document of the smallest id.
+Chunks miss most short passages, whose first and last lines share chunks with the text around them.
+With ``passages`` the pieces are therefore all pairs of consecutive lines instead: a line goes if a
+pair that holds it stands earlier, so every run of two or more lines that stands elsewhere goes
+whole.  A pair that overlaps its own first place leaves that place alone, and every line stays
+somewhere: a line that goes has its copy at an earlier place.
 
 Plan: (1) a 64-bit hash of each multi-line chunk is counted over the corpus (longs are
 shuffled); (2) the texts are joined once with the places whose hash repeats; (3) only those
@@ -56,12 +61,19 @@ def chunks(text: Column, window: int, divisor: int) -> Column:
             ends(lines, hashes), lambda at: cut(lines, at))))
 
 
-def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
+def pairs(text: Column) -> Column:
+    """All pairs of consecutive lines, as (chunk, n_lines); a single line has none."""
+    return let(F.split(text, "\n", -1), lambda lines: F.transform(
+        F.slice(lines, 1, F.size(lines) - 1),
+        lambda x, i: F.struct(F.concat(x, F.lit("\n"), F.get(lines, i + 1)).alias("chunk"), F.lit(2).alias("n"))))
+
+
+def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, passages: bool = False) -> DataFrame:
     """All columns of ``docs`` with the kept text, plus n_lines, n_chunks, removed_lines and
-    removed_chunks."""
+    removed_chunks (with ``passages`` the chunks counted are the pairs of lines)."""
     docs = docs.drop("n_lines", "n_chunks", "removed_lines", "removed_chunks", "row_key")
     keyed = docs.withColumn("row_key", row_key())
-    own = chunks(F.col("text"), window, divisor)
+    own = pairs(F.col("text")) if passages else chunks(F.col("text"), window, divisor)
     places = (docs.select("doc_id", "text").withColumn("row_key", row_key())
               .select("row_key", F.posexplode(own).alias("pos", "c")).where("c.n > 1")
               .select("row_key", "pos", F.xxhash64("c.chunk").alias("h")))
@@ -80,13 +92,33 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) ->
              .agg(F.collect_set(mark).alias("marks")).withColumnRenamed("row_key", "mark_key"))
     whole = keyed.join(marks, F.col("row_key") == F.col("mark_key"), "left")
 
+    def gone(all_: Column) -> Column:
+        """the marks that go; in the keeper's document the first of equal chunks stays"""
+        return F.filter(
+            F.coalesce("marks", F.array().cast("array<struct<pos:int,keeper:boolean>>")),
+            lambda m: ~m["keeper"] | (F.array_position(all_, F.get(all_, m["pos"])) <= m["pos"]))
+
+    def without_pairs(c: Column) -> Column:
+        """kept text and counts by lines; a pair right after its equal first place shares a line with it"""
+        def lines_of(all_: Column):
+            return lambda m: F.when(
+                m["keeper"] & (F.array_position(all_, F.get(all_, m["pos"])) == m["pos"]),
+                F.array(m["pos"] + 1)).otherwise(F.array(m["pos"], m["pos"] + 1))
+
+        return let(F.split("text", "\n", -1), lambda lines: let(F.transform(c, lambda x: x["chunk"]), lambda all_: let(
+            gone(all_), lambda away: let(F.array_except(
+                F.sequence(F.lit(0), F.size(lines) - 1), F.flatten(F.transform(away, lines_of(all_)))),
+                lambda stay: F.struct(
+                    F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n").alias("text"),
+                    F.size(lines).cast("long").alias("n_lines"),
+                    F.size(c).cast("long").alias("n_chunks"),
+                    (F.size(lines) - F.size(stay)).cast("long").alias("removed_lines"),
+                    F.size(away).cast("long").alias("removed_chunks"))))))
+
     def rebuilt(c: Column) -> Column:
-        """kept text and counts; in the keeper's document the first of equal chunks stays"""
+        """kept text and counts"""
         texts = F.transform(c, lambda x: x["chunk"])
-        return let(texts, lambda all_: let(F.transform(F.filter(
-            F.coalesce("marks", F.array().cast("array<struct<pos:int,keeper:boolean>>")),
-            lambda m: ~m["keeper"] | (F.array_position(all_, F.get(all_, m["pos"])) <= m["pos"])),
-            lambda m: m["pos"]), lambda away: F.struct(
+        return let(texts, lambda all_: let(F.transform(gone(all_), lambda m: m["pos"]), lambda away: F.struct(
                 F.array_join(F.filter(all_, lambda x, i: ~F.array_contains(away, i)), "\n").alias("text"),
                 F.aggregate(c, F.lit(0), lambda a, x: a + x["n"]).cast("long").alias("n_lines"),
                 F.size(c).cast("long").alias("n_chunks"),
@@ -95,7 +127,8 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) ->
 
     counts = ("n_lines", "n_chunks", "removed_lines", "removed_chunks")
     others = [c for c in docs.columns if c != "text"]
-    made = whole.select(*others, F.explode(F.array(F.when(F.col("text").isNotNull(), let(own, rebuilt)))).alias("made"))
+    made = whole.select(*others, F.explode(F.array(F.when(F.col("text").isNotNull(), let(
+        own, without_pairs if passages else rebuilt)))).alias("made"))
     return made.select(*others, F.col("made.text").alias("text"),
                        *(F.coalesce(f"made.{c}", F.lit(0).cast("long")).alias(c) for c in counts))
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline as P
 from tableguard.llm import (decontaminate, fingerprints, kneser_ney, license_scan, line_dedup, mixing, ngram_join,
                             quality_cnn, repeats, url_filter)
 
@@ -229,6 +230,32 @@ def test_line_dedup(docs, rows):
         assert all(any(x == y for y in lines) for x in kept) or got[i].text in ("", None)   # a subsequence of lines
 
 
+def test_line_passages(spark):
+    """Planted passages of 2, 3, 4 and 8 lines go whole, and every line stays somewhere."""
+    rnd, made, planted = np.random.default_rng(3), [], {}
+
+    def some(n):
+        return [f"line {rnd.integers(1 << 60)}" for _ in range(n)]
+
+    for k in range(200):
+        passage = some((2, 3, 4, 8)[k % 4])
+        planted[2 * k + 1] = before, after = some(rnd.integers(1, 6)), some(rnd.integers(1, 6))
+        made += [(2 * k, "\n".join(some(rnd.integers(0, 4)) + passage + some(rnd.integers(0, 4)))),
+                 (2 * k + 1, "\n".join(before + passage + after))]
+    awkward = [(500, "x\nx\nx\nx"), (501, "x\nx\nx"), (502, "u\nv"), (503, "u\nv\nw"), (504, "u\nv\nw\nz"), (505, "u"),
+               (506, None), (507, "")]
+    df = spark.createDataFrame(made + awkward, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in line_dedup.line_dedup(df, passages=True).collect()}
+    for i, t in made:
+        assert got[i].text == ("\n".join(sum(planted[i], [])) if i in planted else t)
+    assert [got[i].text for i, _ in awkward] == ["x\nx", "", "u\nv", "w", "z", "u", None, ""]
+    assert [got[i].removed_lines for i, _ in awkward] == [2, 3, 0, 2, 3, 0, 0, 0]
+    lines = {x for _, t in made + awkward if t for x in t.split("\n")}
+    assert lines <= {x for r in got.values() if r.text for x in r.text.split("\n")}
+    staged = {r.doc_id: r.text for r in P.lines(spark, df.withColumn("n_chars", F.length("text").cast("long")), "").collect()}
+    assert all(staged[i] == got[i].text for i in planted)
+
+
 def test_fingerprints(docs, rows):
     got = by_id(fingerprints.fingerprints(docs))
     order = sorted(rows, reverse=True)
