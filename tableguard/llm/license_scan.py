@@ -1,7 +1,10 @@
 """License scans: an exact set-similarity join of text blocks against licence templates.
 
-A template (its set of words T) is contained in a block (a line, its set of words B) when
-``|T & B| >= threshold * |T|``.  Template words are ordered by their frequency over all blocks
+A template (its set of words T) is contained in a block (its set of words B) when
+``|T & B| >= threshold * |T|``.  Blocks are the lines, and for notices that are wrapped every run of
+consecutive words over two or more lines, of at most ``1 / threshold`` times the template's words
+(with repeats).  Runs that overlap count once, as the best of them, and only if they hold more of
+the template than each of their lines does.  Template words are ordered by their frequency over all blocks
 of the corpus, rarest first (ties by the word), and three exact filters are applied before any
 set is intersected:
 
@@ -11,6 +14,9 @@ set is intersected:
 * position: T is walked in order; at place i at most ``|T| - i`` more words can match, so the walk
   stops as soon as that cannot reach the threshold.
 
+Runs use the same filters: only the words around the places of a prefix word are walked, of texts
+that hold enough of T's words at all.
+
 The template list is a parameter of fixed size; the only corpus statistic that reaches the
 driver is one count for each template word.
 
@@ -20,6 +26,8 @@ judged one by one; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from itertools import accumulate
 from math import ceil
 
 import pyarrow as pa
@@ -75,16 +83,18 @@ class Index:
     """Templates by the words of their prefixes."""
 
     def __init__(self, templates, threshold: float, frequency: dict[bytes, int]):
-        self.templates, self.by_word = [], {}
+        self.templates, self.by_word, self.longest = [], {}, []
         for label, text in templates:
             words = sorted(set(alnum_words(text.encode())), key=lambda w: (frequency.get(w, 0), w))
             need = ceil(threshold * len(words) - 1e-9)
             for w in words[:len(words) - need + 1]:
                 self.by_word.setdefault(w, []).append(len(self.templates))
             self.templates.append((label, words, need))
+            self.longest.append(ceil(len(alnum_words(text.encode())) / threshold - 1e-9))
         self.first = frozenset(self.by_word)
 
-    def match(self, block: set[bytes]) -> list[tuple[str, float]]:
+    def match(self, block: set[bytes]) -> list[tuple[int, float]]:
+        """(template, containment) of each template the block holds"""
         found, tried = [], set()
         for w in self.first & block:
             for k in self.by_word[w]:
@@ -98,10 +108,54 @@ class Index:
                         break
                     n += x in block
                 if n >= need:
-                    found.append((label, n / len(words)))
+                    found.append((k, n / len(words)))
+        return found
+
+    def runs(self, words: list[bytes], own: set[bytes]) -> list[tuple[int, int, int, float]]:
+        """(template, place of the first word, place of the last, containment) of each shortest run of
+        at most the template's longest that meets it"""
+        found = []
+        for k in sorted({k for w in self.first & own for k in self.by_word[w]}):
+            label, wanted, need = self.templates[k]
+            if sum(w in own for w in wanted) < need:
+                continue
+            most, wanted_set, prefix = self.longest[k], set(wanted), set(wanted[:len(wanted) - need + 1])
+            near, upto = [], 0               # places of template words around the places of prefix words
+            for i, w in enumerate(words):
+                if w in prefix:
+                    near += [j for j in range(max(upto, i - most + 1), min(len(words), i + most)) if words[j] in wanted_set]
+                    upto = min(len(words), i + most)
+            count, left = {}, 0
+            for i in near:
+                count[words[i]] = count.get(words[i], 0) + 1
+                while near[left] <= i - most or count[words[near[left]]] > 1:
+                    w = words[near[left]]
+                    count[w] -= 1
+                    if not count[w]:
+                        del count[w]
+                    left += 1
+                if len(count) >= need:
+                    found.append((k, near[left], i, len(count) / len(wanted)))
         return found
 
 
+def wrapped(runs, by_line: dict[tuple[int, int], float], starts: list[int]) -> list[tuple[int, int, float]]:
+    """(template, line of the first word, containment) of the runs over several lines that hold more of
+    the template than their lines do; the best of those that overlap.  starts: words before each line."""
+    best, last = [], (-1, -1)                # template and last place of the runs that overlap so far
+    for k, a, b, c in runs:
+        i, j = bisect_right(starts, a) - 1, bisect_right(starts, b) - 1
+        if i == j or any(by_line.get((k, x), 0.0) >= c for x in range(i, j + 1)):
+            continue
+        if last[0] == k and a <= last[1]:
+            if c > best[-1][2]:
+                best[-1] = (k, i, c)
+        else:
+            best.append((k, i, c))
+        last = (k, b)
+    return best
+
+
 def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int, str]]:
     """(place of the first word, label) wherever a phrase's words stand consecutively."""
     norm, found = b" " + b" ".join(words) + b" ", []
@@ -116,7 +170,8 @@ def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int
 
 def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, places (starts of phrases, in words), base (their labels) and matches
-    (label, line and containment of every line that meets a template)."""
+    (label, line and containment of every line, or run of words from that line on, that meets a
+    template)."""
     vocabulary = frozenset(w for _, t in templates for w in alnum_words(t.encode()))
     frequency = word_counts(docs, vocabulary)
     schema = pa.schema([("doc_id", pa.int64()), *FOUND])
@@ -131,9 +186,13 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
                 base = phrase_places(words, phrases) if any(p.encode().split()[-1] in own for p in phrases) else []
                 matches = []
                 if index.first & own:
-                    for k, line in enumerate(t.split(b"\n")):
-                        matches += [{"label": label, "line": k, "containment": c}
-                                    for label, c in index.match(set(alnum_words(line)))]
+                    lines = [alnum_words(line) for line in t.split(b"\n")]
+                    hits = [(k, i, c) for i, line in enumerate(lines) for k, c in index.match(set(line))]
+                    if len(lines) > 1 and (runs := index.runs(words, own)):
+                        starts = [0, *accumulate(map(len, lines))][:-1]
+                        hits += wrapped(runs, {(k, i): c for k, i, c in hits}, starts)
+                    matches = [{"label": index.templates[k][0], "line": i, "containment": c}
+                               for k, i, c in sorted(hits, key=lambda x: x[1])]
                 rows.append((len(words), sorted(p for p, _ in base), sorted({x for _, x in base}), matches))
             yield batch_of(schema, [b.column("doc_id"), *([list(x) for x in zip(*rows)] if rows else [[]] * 4)])
 

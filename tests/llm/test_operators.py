@@ -63,6 +63,42 @@ def test_license_scan(docs, rows):
         assert got[i].labels == ",".join(sorted(found)) and 0 <= got[i].score <= 1
 
 
+def test_license_scan_wrapped(spark):
+    """Notices wrapped over several lines, against every run of words; words far apart are no notice."""
+    import textwrap
+    rnd, texts, want = np.random.default_rng(2), [], []
+    for label, template in license_scan.TEMPLATES:
+        if len(template.split()) > 9:
+            for width, mark in ((70, ""), (80, " * "), (40, "# ")):
+                body = "\n".join(mark + x for x in textwrap.wrap(template, width))
+                texts.append(f"/* Copyright 2020 Somebody Else\n{body}\nint main() {{ return 0; }}")
+                want.append(label)
+    texts.append(texts[0].replace("documentation files", 'documentation files (the "Software")'))
+    want.append("mit")
+    for _, template in license_scan.TEMPLATES[:8]:
+        texts.append("\n".join(w + " filler" * 60 for w in template.split()))
+        want.append(None)
+    vocabulary = sorted({w for _, t in license_scan.TEMPLATES[1:7:2] for w in low_words(t, WORD)}) + ["x"] * 8
+    texts += ["\n".join(" ".join(rnd.choice(vocabulary, 5)) for _ in range(12)) for _ in range(80)]
+    texts += ["\n".join(rnd.permutation(t.split())) for _, t in license_scan.TEMPLATES for _ in range(2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(license_scan.digest(license_scan.license_scan(df)))
+    for i, t in enumerate(texts):
+        w, found, best = low_words(t, WORD), set(got[i].base_labels.split(",")) - {""}, 0
+        for label, template in license_scan.TEMPLATES:
+            seq = low_words(template, WORD)
+            most = -(-len(seq) * 10 // 8)
+            blocks = [low_words(x, WORD) for x in t.split("\n")] + [w[k:k + most] for k in range(len(w))]
+            c = max(len(set(seq) & set(b)) for b in blocks) / len(set(seq))
+            if c >= 0.8:
+                found.add(label)
+                best = max(best, c)
+        assert got[i].labels == ",".join(sorted(found)), t
+        assert got[i].score == (1.0 if got[i].n_base else best)
+        if i < len(want):
+            assert (want[i] or "") in got[i].labels.split(","), t   # a one-line CC BY-NC notice is CC BY too
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://a.EXAMPLE.com", "https://www.example.com/en/1", "http://example.com/en/x?y#z",
             "http://notexample.com/en/", "http://b.net/es/1", "http://b.net/ES/1", "http://x.org/a?utm_source=feed",
