@@ -79,23 +79,35 @@ def source_count_pass(tgt: str, src: str, value: str) -> str:
 
 
 def round_int(x: str) -> str:
-    # a value beyond a BIGINT is NULL: it must not stop the other rules of the suite
-    return f"TRY_CAST(round(CAST({x} AS DOUBLE)) AS BIGINT)"
+    # in double: a value beyond a BIGINT neither stops the suite nor goes unjudged
+    return f"round(CAST({x} AS DOUBLE))"
+
+
+def int_text(x: str) -> str:
+    """A rounded double as an integer's text."""
+    return (f"coalesce(CAST(TRY_CAST({x} AS BIGINT) AS STRING), CAST(TRY_CAST({x} AS DECIMAL(38, 0)) AS STRING), "
+            f"CAST({x} AS STRING))")
+
+
+def _finite(x: str) -> str:
+    return f"abs({x}) < CAST('Infinity' AS DOUBLE)"
 
 
 def band_bounds(last: str, avg_diff: str, sd_diff: str, t: str) -> tuple[str, str]:
     """(bottom, top) = last -/+ round(avg) -/+ round(t * sd), t signed."""
     spread = round_int(f"CAST({t} AS DOUBLE) * {sd_diff}")
     mean = round_int(avg_diff)
+    last = f"CAST({last} AS DOUBLE)"
     return f"({last} - {mean} - {spread})", f"({last} + {mean} + {spread})"
 
 
 def band_pass(tgt: str, bottom: str, top: str, mode: str) -> str:
     missing = (f"CASE WHEN {mode} = 'upward' THEN {top} IS NULL WHEN {mode} = 'downward' THEN {bottom} IS NULL "
                f"ELSE {bottom} IS NULL OR {top} IS NULL END")
-    pred = (f"CASE WHEN {mode} = 'upward' THEN {round_int(tgt)} < {top} "
-            f"WHEN {mode} = 'downward' THEN {round_int(tgt)} > {bottom} "
-            f"ELSE CAST({tgt} AS DOUBLE) BETWEEN {bottom} AND {top} END")
+    t = round_int(tgt)
+    pred = (f"CASE WHEN {mode} = 'upward' THEN {t} < {top} AND {_finite(t)} AND {_finite(top)} "
+            f"WHEN {mode} = 'downward' THEN {t} > {bottom} AND {_finite(t)} AND {_finite(bottom)} "
+            f"ELSE CAST({tgt} AS DOUBLE) BETWEEN {bottom} AND {top} AND {_finite(bottom)} AND {_finite(top)} END")
     return f"CASE WHEN {missing} THEN true WHEN {pred} THEN true ELSE false END"
 
 

@@ -18,8 +18,13 @@ def _c(x) -> Column:
 
 
 def round_int(x) -> Column:
-    """Round half away from zero, then BIGINT (the ``::INT`` of the checks)."""
-    return F.round(_c(x).cast("double")).try_cast("bigint")
+    """Round half away from zero (the ``::INT`` of the checks), in double: a value beyond a BIGINT is
+    judged like any other."""
+    return F.round(_c(x).cast("double"))
+
+
+def _finite(x: Column) -> Column:
+    return F.abs(x) < F.lit(float("inf"))
 
 
 def ratio(tgt, src) -> Column:
@@ -76,13 +81,14 @@ def band_bounds(last, avg_diff, sd_diff, t) -> tuple[Column, Column]:
     """
     spread = round_int(_c(t).cast("double") * _c(sd_diff))
     mean = round_int(avg_diff)
-    last = _c(last)
+    last = _c(last).cast("double")
     return last - mean - spread, last + mean + spread
 
 
 def band_pass(tgt, bottom, top, mode) -> Column:
     """std_dev verdict: absolute inside [bottom, top]; upward strictly below top;
-    downward strictly above bottom.  A missing reported bound passes."""
+    downward strictly above bottom.  A missing reported bound passes; one that is not
+    finite (infinite or NaN values, a spread beyond a double) never does."""
     mode = _c(mode)
     missing = (
         F.when(mode == "upward", top.isNull())
@@ -91,8 +97,8 @@ def band_pass(tgt, bottom, top, mode) -> Column:
     )
     tgt_int = round_int(tgt)
     pred = (
-        F.when(mode == "upward", tgt_int < top)
-        .when(mode == "downward", tgt_int > bottom)
-        .otherwise(_c(tgt).cast("double").between(bottom, top))
+        F.when(mode == "upward", (tgt_int < top) & _finite(tgt_int) & _finite(top))
+        .when(mode == "downward", (tgt_int > bottom) & _finite(tgt_int) & _finite(bottom))
+        .otherwise(_c(tgt).cast("double").between(bottom, top) & _finite(bottom) & _finite(top))
     )
     return F.when(missing, F.lit(True)).when(pred, F.lit(True)).otherwise(F.lit(False))

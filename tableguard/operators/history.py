@@ -85,7 +85,7 @@ def weekly_band_stats(history: DataFrame, wanted: DataFrame, ctx: RunContext) ->
     """C18 steps 1-6: per wanted series, the weekly points and their diffs.
 
     Only run dates ``as_of - 7k`` (k = 1..8) are read (partition pruned); the
-    newest run of each date is kept; ``v`` is its value rounded to an integer;
+    newest run of each date is kept; ``v`` is its value rounded to an integer (a double);
     ``diff`` is ``v`` minus the previous kept point.  Returns
     ``check_id, dq_column, last_value, avg_diff, sd_diff, num_weeks``:
     ``last_value`` is the point of ``as_of - 7`` or 0 when that week is absent,

@@ -715,17 +715,17 @@ def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: R
         stats = H.weekly_band_stats(history, wanted, ctx)
         rows = rows.join(F.broadcast(stats), ["check_id", "dq_column"], "left")
     else:
-        rows = rows.selectExpr("*", "CAST(NULL AS BIGINT) AS last_value", "CAST(NULL AS DOUBLE) AS avg_diff",
+        rows = rows.selectExpr("*", "CAST(NULL AS DOUBLE) AS last_value", "CAST(NULL AS DOUBLE) AS avg_diff",
                                "CAST(NULL AS DOUBLE) AS sd_diff", "CAST(NULL AS BIGINT) AS num_weeks")
 
     t_pass = Q.relative_change_pass("tgt_num", "base_num", "mode", "t_value", "t_low")
     bottom, top = Q.band_bounds("last_value", "avg_diff", "sd_diff", "t_value")
-    bound_text = (f"CASE WHEN mode = 'upward' THEN CAST({top} AS STRING) "
-                  f"WHEN mode = 'downward' THEN CAST({bottom} AS STRING) "
-                  f"ELSE concat(CAST({bottom} AS STRING), '|', CAST({top} AS STRING)) END")
-    stats_text = (f"concat({bound_text}, ' (last_src=', CAST(last_value AS STRING), ')', "
-                  f"' (avg_diff=', CAST({Q.round_int('avg_diff')} AS STRING), ')', "
-                  f"' (src_stddev=', CAST({Q.round_int('sd_diff')} AS STRING), ')', "
+    bound_text = (f"CASE WHEN mode = 'upward' THEN {Q.int_text(top)} "
+                  f"WHEN mode = 'downward' THEN {Q.int_text(bottom)} "
+                  f"ELSE concat({Q.int_text(bottom)}, '|', {Q.int_text(top)}) END")
+    stats_text = (f"concat({bound_text}, ' (last_src=', {Q.int_text('last_value')}, ')', "
+                  f"' (avg_diff=', {Q.int_text(Q.round_int('avg_diff'))}, ')', "
+                  f"' (src_stddev=', {Q.int_text(Q.round_int('sd_diff'))}, ')', "
                   f"' (cnt=', CAST(num_weeks AS STRING), ')')")
     b_text = f"CASE WHEN last_value IS NULL THEN {bound_text} ELSE {stats_text} END"
     b_pass = Q.band_pass("tgt_num", bottom, top, "mode")

@@ -253,3 +253,36 @@ def test_decimal_metric_text_is_exact(spark):
     res = _run(spark, rows, "p decimal(20,2)", [CheckSpec.make("trending", columns=["sum(p)"])])
     r = res[("trending", "sum(p)")]
     assert r["dq_tgt_value"] == "12345678901234567.90" and r["dq_tgt_num"] == pytest.approx(1.2345678901234568e16)
+
+
+@pytest.mark.parametrize("unit", [1e6, 9e18, 1e19, 1e60])
+def test_std_dev_judges_values_beyond_bigint(spark, unit):
+    """Weeks at 1.00, 1.03 and 1.05 units: the rules tell a target inside the band from one far outside."""
+    specs = [CheckSpec.make("std_dev", columns=["sum(v)"], threshold="2"),
+             CheckSpec.make("std_dev_up", columns=["sum(v)"], threshold="+2"),
+             CheckSpec.make("std_dev_down", columns=["sum(v)"], threshold="-2", corrected=True)]
+    history = None
+    for k, v in ((3, 1.00), (2, 1.03), (1, 1.05)):
+        day = dt.date(2024, 3, 31) - dt.timedelta(days=7 * k)
+        ctx = RunContext.create(f"{day} 06:00:00", now=f"{day} 06:10:00", dq_key=100 + k, env="TEST", unix_user="u")
+        rows = run_suite(spark, Suite(TableRef("d.s.t", spark.createDataFrame([(v * unit,)], "v double")), specs[:1]), ctx)
+        history = rows if history is None else history.unionByName(rows)
+    history = spark.createDataFrame(history.collect(), history.schema)
+    for v, passes in ((1.06, [True, True, True]), (5.0, [False, False, True]), (-5.0, [False, True, False])):
+        got = _run(spark, [(v * unit,)], "v double", specs, history=history)
+        assert [got[(s.check_id, "sum(v)")]["is_pass"] for s in specs] == passes, v
+        source = got[("std_dev", "sum(v)")]["dq_src_value"]
+        assert "(cnt=3)" in source and "(last_src=0)" not in source
+
+
+def test_band_pass_needs_finite_bounds(spark):
+    from tableguard.functions import band_pass
+    from tableguard.functions import sql as Q
+    inf, nan = float("inf"), float("nan")
+    rows = [(t, lo, hi, mode, False) for mode in ("absolute", "upward", "downward")
+            for t, lo, hi in ((1.0, -inf, inf), (1.0, nan, nan), (nan, nan, nan), (nan, 0.0, 2.0), (inf, 0.0, 2.0))]
+    rows += [(1.0, 0.0, 2.0, "absolute", True), (1.0, None, None, "upward", True)]
+    df = spark.createDataFrame(rows, "t double, lo double, hi double, mode string, exp boolean")
+    for r in df.select("*", band_pass(F.col("t"), F.col("lo"), F.col("hi"), F.col("mode")).alias("col"),
+                       F.expr(Q.band_pass("t", "lo", "hi", "mode")).alias("sql")).collect():
+        assert r["exp"] == r["col"] == r["sql"], tuple(r)
