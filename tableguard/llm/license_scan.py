@@ -14,6 +14,9 @@ set is intersected:
 * position: T is walked in order; at place i at most ``|T| - i`` more words can match, so the walk
   stops as soon as that cannot reach the threshold.
 
+A match must also hold the words that name the template's licence (``REQUIRED``): the threshold
+alone lets one word of a short template be missing, be it the name.
+
 Runs use the same filters: only the words around the places of a prefix word are walked, of texts
 that hold enough of T's words at all.
 
@@ -57,6 +60,17 @@ TEMPLATES = [
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
 ]
+# The words that name the licence, by template; a block without one of them is no match.
+REQUIRED = {
+    "Released under the MIT License": "mit",
+    "Licensed under the Apache License, Version 2.0": "apache 2",
+    "SPDX-License-Identifier: Apache-2.0": "apache 2",
+    "SPDX-License-Identifier: BSD-3-Clause": "bsd 3",
+    "This Source Code Form is subject to the terms of the Mozilla Public License": "mozilla",
+    "Licensed under CC BY-NC 4.0": "cc nc",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "noncommercial",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": "attribution",
+}
 FOUND = pa.schema([("n_words", pa.int64()), ("places", pa.list_(pa.int64())), ("base", pa.list_(pa.string())),
                    ("matches", pa.list_(pa.struct([("label", pa.string()), ("line", pa.int64()),
                                                    ("containment", pa.float64())])))])
@@ -82,14 +96,15 @@ def word_counts(docs: DataFrame, wanted: frozenset[bytes]) -> dict[bytes, int]:
 class Index:
     """Templates by the words of their prefixes."""
 
-    def __init__(self, templates, threshold: float, frequency: dict[bytes, int]):
-        self.templates, self.by_word, self.longest = [], {}, []
+    def __init__(self, templates, threshold: float, frequency: dict[bytes, int], required: dict[str, str]):
+        self.templates, self.by_word, self.longest, self.names = [], {}, [], []
         for label, text in templates:
             words = sorted(set(alnum_words(text.encode())), key=lambda w: (frequency.get(w, 0), w))
             need = ceil(threshold * len(words) - 1e-9)
             for w in words[:len(words) - need + 1]:
                 self.by_word.setdefault(w, []).append(len(self.templates))
             self.templates.append((label, words, need))
+            self.names.append(frozenset(alnum_words(required.get(text, "").encode())))
             self.longest.append(ceil(len(alnum_words(text.encode())) / threshold - 1e-9))
         self.first = frozenset(self.by_word)
 
@@ -99,7 +114,7 @@ class Index:
         for w in self.first & block:
             for k in self.by_word[w]:
                 label, words, need = self.templates[k]
-                if k in tried or len(block) < need:
+                if k in tried or len(block) < need or not self.names[k] <= block:
                     continue
                 tried.add(k)
                 n = 0
@@ -117,7 +132,7 @@ class Index:
         found = []
         for k in sorted({k for w in self.first & own for k in self.by_word[w]}):
             label, wanted, need = self.templates[k]
-            if sum(w in own for w in wanted) < need:
+            if sum(w in own for w in wanted) < need or not self.names[k] <= own:
                 continue
             most, wanted_set, prefix = self.longest[k], set(wanted), set(wanted[:len(wanted) - need + 1])
             near, upto = [], 0               # places of template words around the places of prefix words
@@ -134,7 +149,7 @@ class Index:
                     if not count[w]:
                         del count[w]
                     left += 1
-                if len(count) >= need:
+                if len(count) >= need and self.names[k] <= count.keys():
                     found.append((k, near[left], i, len(count) / len(wanted)))
         return found
 
@@ -168,7 +183,8 @@ def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int
     return found
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> DataFrame:
+def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD,
+                 required=REQUIRED) -> DataFrame:
     """doc_id, n_words, places (starts of phrases, in words), base (their labels) and matches
     (label, line and containment of every line, or run of words from that line on, that meets a
     template)."""
@@ -177,7 +193,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
     schema = pa.schema([("doc_id", pa.int64()), *FOUND])
 
     def task(batches):
-        index = Index(templates, threshold, frequency)
+        index = Index(templates, threshold, frequency, required)
         for b in batches:
             rows = []
             for t in texts(b.column("text")):

@@ -89,7 +89,8 @@ def test_license_scan_wrapped(spark):
             seq = low_words(template, WORD)
             most = -(-len(seq) * 10 // 8)
             blocks = [low_words(x, WORD) for x in t.split("\n")] + [w[k:k + most] for k in range(len(w))]
-            c = max(len(set(seq) & set(b)) for b in blocks) / len(set(seq))
+            names = set(low_words(license_scan.REQUIRED.get(template, ""), WORD))
+            c = max(names <= set(b) and len(set(seq) & set(b)) for b in blocks) / len(set(seq))
             if c >= 0.8:
                 found.add(label)
                 best = max(best, c)
@@ -99,6 +100,20 @@ def test_license_scan_wrapped(spark):
             assert (want[i] or "") in got[i].labels.split(","), t   # a one-line CC BY-NC notice is CC BY too
 
 
+def test_license_scan_needs_the_name(spark):
+    lines = {"Released under the BSD License": "", "Licensed under CC BY 4.0": "", "Licensed under CC BY-SA 4.0": "",
+             "SPDX-License-Identifier: GPL-2.0": "", "SPDX-License-Identifier: BSD-2-Clause": "",
+             "Licensed under the Apache License, Version 1.1": "", "Released under MIT License": "mit",
+             "Apache License, Version 2.0, licensed under": "apache-2", "SPDX-License-Identifier: Apache-2": "apache-2",
+             "under CC BY-NC 4.0": "cc-by-nc", "SPDX-License-Identifier: BSD 3": "bsd-3", "SPDX-License-Identifier: MIT": "mit",
+             "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by"}
+    texts = [(x, y) for x, y in lines.items()] + [(x.replace(" ", "\n", 1), y) for x, y in lines.items()]
+    df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(texts)], "doc_id long, text string")
+    got = by_id(license_scan.digest(license_scan.license_scan(df)))
+    for i, (x, y) in enumerate(texts):
+        assert got[i].labels == y, x
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://a.EXAMPLE.com", "https://www.example.com/en/1", "http://example.com/en/x?y#z",
             "http://notexample.com/en/", "http://b.net/es/1", "http://b.net/ES/1", "http://x.org/a?utm_source=feed",
