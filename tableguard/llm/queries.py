@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, kneser_ney, license_scan, line_dedup, mixing, ngram_join, quality_cnn, repeats, url_filter
+from . import conversation_repair, decontaminate, fingerprints, kneser_ney, license_scan, line_dedup, mixing, ngram_join, quality_cnn, repeats, url_filter
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -53,7 +53,12 @@ def op10_mixing(spark, d):
     return mixing.digest(mixing.schedule(_docs(spark, d).select("doc_id", "source", "text")))
 
 
+def op11_conversation_repair(spark, d):
+    rows = conversation_repair.damage(_docs(spark, d, "conversations"))
+    return conversation_repair.digest(conversation_repair.repair(rows, rows["present"]))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_url_filter, op3_kneser_ney, op4_repeats, op5_quality_cnn, op6_ngram_join, op7_decontaminate, op8_line_dedup, op9_fingerprints,
-    op10_mixing)}
+    op10_mixing, op11_conversation_repair)}
 ORACLES = {"op8_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
