@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversation_repair, decontaminate, fingerprints, kneser_ney, license_scan, line_dedup, mixing, ngram_join, quality_cnn, repeats, url_filter
+from . import conversation_repair, decontaminate, fingerprints, kneser_ney, license_scan, line_dedup, mixing, ngram_join, quality_cnn, repeats, source_divergence, \
+    token_files, url_filter
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -58,7 +59,17 @@ def op11_conversation_repair(spark, d):
     return conversation_repair.digest(conversation_repair.repair(rows, rows["present"]))
 
 
+def op12_token_files(spark, d):
+    import public_tokenizers
+    files = token_files.write_tokens(_docs(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_tokens(files)
+
+
+def op13_source_divergence(spark, d):
+    return source_divergence.audit(_docs(spark, d))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_url_filter, op3_kneser_ney, op4_repeats, op5_quality_cnn, op6_ngram_join, op7_decontaminate, op8_line_dedup, op9_fingerprints,
-    op10_mixing, op11_conversation_repair)}
-ORACLES = {"op8_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
+    op10_mixing, op11_conversation_repair, op12_token_files, op13_source_divergence)}
+ORACLES = {"op8_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE, "op13_source_divergence": source_divergence.ORACLE}
