@@ -17,7 +17,6 @@ import os
 import sys
 from collections.abc import Callable
 from importlib import import_module
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -495,16 +494,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _text_queries() -> tuple[dict[str, Callable], dict[str, str]]:
-    """Queries and SQL of the text operators and their pipeline, as far as those are present."""
-    found, sql = {}, {}
-    if find_spec("tableguard.llm"):
+    """Queries and SQL of the text operators and their pipeline, as far as those can be imported."""
+    try:
         text = import_module("tableguard.llm.queries")
-        found, sql = dict(text.QUERIES), dict(text.ORACLES)
-    if find_spec("corpus_pipeline"):
+    except ImportError:
+        return {}, {}
+    found, sql = dict(text.QUERIES), dict(text.ORACLES)
+    try:
         pipeline = import_module("corpus_pipeline")
-        found["pipeline"] = pipeline.run
-        if pipeline.ORACLE_SQL:
-            sql["pipeline"] = pipeline.ORACLE_SQL
+    except ImportError:
+        return found, sql
+    found["pipeline"] = pipeline.run
+    if pipeline.ORACLE_SQL:
+        sql["pipeline"] = pipeline.ORACLE_SQL
     return found, sql
 
 

@@ -64,7 +64,7 @@ def _literal(value) -> str:
         return f"DATE'{value.isoformat()}'"
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return str(value)
+    return f"({value})" if value < 0 else str(value)     # bare, ``a-:x`` would become a comment
 
 
 def bind(text: str, args: dict) -> str:

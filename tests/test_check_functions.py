@@ -48,3 +48,10 @@ def test_family_functions_match_fused_suite(spark):
     got = {r["check_id"]: r for r in fused.collect() if r["dq_column"] in ("d", "count(*)")}
     assert got["missing_dates"]["dq_tgt_value"] == "9"   # 31 present days in a 40-day spine
     assert got["compare_to_source"]["dq_tgt_value"] == "200"
+
+
+def test_negative_parameters_are_bracketed(spark):
+    from tableguard.spec import bind
+    assert bind("sum(v)-:x", {"x": -1}) == "sum(v)-(-1)"
+    assert spark.sql("SELECT " + bind("3-:x", {"x": -2}) + " AS n").first().n == 5
+    assert bind(":a :b", {"a": -1.5, "b": 2}) == "CAST('-1.5' AS DOUBLE) 2"
