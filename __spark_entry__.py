@@ -28,6 +28,7 @@ from tableguard.operators import freshness as FR
 from tableguard.operators import history as H
 from tableguard.operators import loads as L
 from tableguard.operators import results as R
+from tableguard.scratch import scratch_path
 from tableguard.sources.tables import daily_history, read_table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -118,6 +119,31 @@ def q_trending_distinct(spark, d):
     return _suite(spark, _li_target(spark, d), [spec], LI_CTX, _li_history(spark, d, "trending"))
 
 
+STORED_COLUMNS = ["count(*)", "count(DISTINCT user_id)", "max(user_id)"]
+
+
+def _stored_events_history(spark, d) -> R.StoredResults:
+    """A written result table, partitioned by run date: daily runs over events.  ``max(user_id)`` was last
+    recorded twelve days before the run."""
+    events = _t(spark, d, "events")
+    before = EV_CTX.as_of
+    frames = [daily_history(events, "ts", {c: c for c in STORED_COLUMNS[:2]}, "web.analytics.events", "trending", before=before, env=ENV),
+              daily_history(events, "ts", {STORED_COLUMNS[2]: STORED_COLUMNS[2]}, "web.analytics.events", "trending",
+                            before=before - dt.timedelta(days=11), env=ENV)]
+    path = scratch_path(spark, "results")
+    R.append_results(frames[0].unionByName(frames[1]), path)
+    return R.stored_results(spark, path)
+
+
+def q_trending_stored_history(spark, d):
+    """Rules that want the last run of any age beside rules that compare with a day, over a stored table."""
+    specs = [CheckSpec.make("trending", columns=[*STORED_COLUMNS, "min(user_id)"], threshold="0.1"),
+             CheckSpec.make("trending_day", columns=STORED_COLUMNS, threshold="0.1", compare_type="day"),
+             CheckSpec.make("trending_week", columns=STORED_COLUMNS[:1], threshold="+0.5", compare_type="week")]
+    target = _events_ref(spark, d, "CAST(ts AS DATE) = DATE'2024-01-30'")
+    return _suite(spark, target, specs, EV_CTX, _stored_events_history(spark, d))
+
+
 # -- compare_to_source --------------------------------------------------------
 def _orders_ref(spark, d, filt=None) -> TableRef:
     return TableRef("tpch.sf.orders", _t(spark, d, "orders"), filt)
@@ -290,6 +316,16 @@ def q_suite_segments(spark, d):
     return run_suite(spark, suites, OR_CTX)
 
 
+def q_segments_distinct(spark, d):
+    """Distinct counts of several key sets under four filters: one ``groupBy`` for each key set."""
+    orders = _t(spark, d, "orders")
+    suites = [Suite(TableRef("tpch.sf.orders", orders, f), [
+        CheckSpec.make("trending", columns=["count(DISTINCT o_custkey)", "count(DISTINCT o_orderpriority, o_custkey)",
+                                            "count(DISTINCT CAST(o_orderdate AS DATE))", "count(*)"], threshold="0.1"),
+        CheckSpec.make("unique", columns=["o_custkey", "o_orderkey"])]) for f in SEGMENT_FILTERS]
+    return run_suite(spark, suites, OR_CTX)
+
+
 def q_suite_results(spark, d):
     return orders_suite(spark, d)
 
@@ -470,7 +506,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["std_dev_seed"] = q_std_dev_seed
     q["custom_check"] = q_custom_check
     q["trending_distinct"] = q_trending_distinct
+    q["trending_stored_history"] = q_trending_stored_history
     q["suite_results"] = q_suite_results
+    q["segments_distinct"] = q_segments_distinct
     q["suite_segments"] = q_suite_segments
     q["verdicts_latest"] = q_verdicts_latest
     q["day_to_day_rollup"] = q_day_to_day_rollup

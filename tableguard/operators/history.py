@@ -1,16 +1,26 @@
 """Baselines read from the result (history) table.
 
 All functions are set-based: one pass over the history rows of every wanted
-series, keyed by ``(check_id, dq_column)``.  ``wanted`` is the small frame of
-series the current suite asks for (one row per rule and column, built from
-the suite's configuration, so its size is bounded by the number of rules and
-it is broadcast).  The history table is partitioned by ``dq_run_date``; every
-lookup carries a static date predicate so Parquet partition pruning applies.
+series, keyed by ``(check_id, dq_column)``.  ``wanted`` are the series the
+current suite asks for (one row per rule and column, built from the suite's
+configuration, so their number is bounded by the number of rules and their
+frame is broadcast); given as rows, they also reach the scan as ``IN`` lists.
+The history table is partitioned by ``dq_run_date``; every lookup carries a
+static date predicate so Parquet partition pruning applies.
+
+Rules that compare with a fixed date read that date's partitions only.  Rules
+that compare with the last run have no such date.  Over a ``StoredResults``
+(whose run dates are known from the listing of its partitions) they read the
+newest run date, then the two before it, then four, and so on, each time for
+the series not found yet: an exact search of any depth that reads, for each
+series, at most about twice the run dates since its last run.  Over any other
+frame they read all dates up to the run's.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,7 +28,7 @@ from pyspark.sql import types as T
 
 from ..context import RunContext
 from ..functions import round_int
-from .results import RESULT_COLUMNS
+from .results import RESULT_COLUMNS, StoredResults
 
 WANTED_SCHEMA = T.StructType([
     T.StructField("check_id", T.StringType()),
@@ -53,25 +63,33 @@ def wanted_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, WANTED_SCHEMA)
 
 
-def _series(history: DataFrame, wanted: DataFrame, dq_name: str, ctx: RunContext) -> DataFrame:
+BASELINE_SCHEMA = T.StructType([
+    T.StructField("check_id", T.StringType()),
+    T.StructField("dq_column", T.StringType()),
+    T.StructField("base_num", T.DoubleType()),
+])
+Wanted = DataFrame | list[tuple]
+
+
+def frame_of(history: DataFrame | StoredResults) -> DataFrame:
+    return history.frame if isinstance(history, StoredResults) else history
+
+
+def _series(history: DataFrame, wanted: Wanted, dq_name: str, ctx: RunContext) -> DataFrame:
     h = history.where((F.col("dq_name") == dq_name) & (F.col("env") == ctx.env)).drop("check_id")
+    if isinstance(wanted, list):
+        for i in range(1, 5):
+            h = h.where(F.col(WANTED_SCHEMA[i].name).isin(sorted({w[i] for w in wanted})))
+        wanted = wanted_frame(history.sparkSession, wanted)
     return h.join(F.broadcast(wanted),
                   ["database_name", "schema_name", "table_name", "dq_column"], "inner")
 
 
-def trending_baselines(history: DataFrame, wanted: DataFrame, ctx: RunContext,
-                       cmp_dates: list[_dt.date | None]) -> DataFrame:
-    """Value of the newest earlier ``trending`` row per wanted series.
-
-    A row qualifies when it belongs to another run, its run hour is not after
-    the current one and, for compare types, its run date is the compare date.
-    Newest = (run hour, end time, key) descending; ``max_by`` keeps this a
-    partial aggregation, so a series with many runs does not gather in one task.
-    Returns ``check_id, dq_column, base_num``.
-    """
-    h = history.where(F.col("dq_run_date") <= F.lit(ctx.run_hour.date()))
-    if cmp_dates and all(d is not None for d in cmp_dates):
-        h = h.where(F.col("dq_run_date").isin(sorted(set(cmp_dates))))
+def _newest(history: DataFrame, wanted: Wanted, ctx: RunContext, dates: list[_dt.date] | None) -> DataFrame:
+    """Value of the newest earlier ``trending`` row per wanted series, of the given run dates or of all up to
+    the run's.  ``max_by`` is a partial aggregation, so a series with many runs does not gather in one task."""
+    h = history.where(F.col("dq_run_date").isin(dates) if dates is not None
+                      else F.col("dq_run_date") <= F.lit(ctx.run_hour.date()))
     h = h.where((F.col("dq_run_hour") <= ctx.run_hour_col())
                 & (F.coalesce(F.col("dq_key"), F.lit(-1)) != F.lit(ctx.dq_key)))
     j = _series(h, wanted, "trending", ctx).where(
@@ -81,7 +99,45 @@ def trending_baselines(history: DataFrame, wanted: DataFrame, ctx: RunContext,
     return j.groupBy("check_id", "dq_column").agg(F.max_by(value, order).alias("base_num"))
 
 
-def weekly_band_stats(history: DataFrame, wanted: DataFrame, ctx: RunContext) -> DataFrame:
+def _last_runs(stored: StoredResults, wanted: list[tuple], ctx: RunContext) -> DataFrame:
+    """Newest rows by probes of run dates, newest first, in doubling steps, until every series is found or no
+    date is left.  A probe brings back one row for each series found."""
+    dates = [d for d in stored.dates if d <= ctx.run_hour.date()]
+    found, left, step = [], wanted, 1
+    while left and dates:
+        now, dates = dates[:step], dates[step:]
+        rows = _newest(stored.frame, left, ctx, now).collect()
+        found += [tuple(r) for r in rows]
+        have = {(r["check_id"], r["dq_column"]) for r in rows}
+        left = [w for w in left if (w[0], w[4]) not in have]
+        step *= 2
+    return stored.frame.sparkSession.createDataFrame(found, BASELINE_SCHEMA)
+
+
+def trending_baselines(history: DataFrame | StoredResults, wanted: Wanted, ctx: RunContext,
+                       cmp_dates: list[_dt.date | None]) -> DataFrame:
+    """Value of the newest earlier ``trending`` row per wanted series.
+
+    A row qualifies when it belongs to another run, its run hour is not after
+    the current one and, for compare types, its run date is the compare date.
+    Newest = (run hour, end time, key) descending.  Series with a compare date
+    and series that want their last run are looked up apart, so the former
+    never widen to all dates.  Returns ``check_id, dq_column, base_num``.
+    """
+    if not isinstance(wanted, list):
+        dated = bool(cmp_dates) and all(d is not None for d in cmp_dates)
+        return _newest(frame_of(history), wanted, ctx, sorted(set(cmp_dates)) if dated else None)
+    dated, last = [w for w in wanted if w[5] is not None], [w for w in wanted if w[5] is None]
+    parts = []
+    if dated:
+        parts.append(_newest(frame_of(history), dated, ctx, sorted({w[5] for w in dated})))
+    if last:
+        parts.append(_last_runs(history, last, ctx) if isinstance(history, StoredResults)
+                     else _newest(history, last, ctx, None))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def weekly_band_stats(history: DataFrame | StoredResults, wanted: Wanted, ctx: RunContext) -> DataFrame:
     """C18 steps 1-6: per wanted series, the weekly points and their diffs.
 
     Only run dates ``as_of - 7k`` (k = 1..8) are read (partition pruned); the
@@ -92,7 +148,7 @@ def weekly_band_stats(history: DataFrame, wanted: DataFrame, ctx: RunContext) ->
     ``sd_diff`` is the sample standard deviation (NULL below two diffs).
     """
     dates = [ctx.as_of - _dt.timedelta(days=k) for k in WEEK_OFFSETS]
-    h = history.where(F.col("dq_run_date").isin(dates)
+    h = frame_of(history).where(F.col("dq_run_date").isin(dates)
                       & F.to_date("dq_run_hour").isin(dates))
     j = _series(h, wanted, "std_dev", ctx)
     value = F.coalesce(F.col("dq_tgt_num"), F.col("dq_tgt_value").try_cast("double"))
@@ -111,7 +167,7 @@ def weekly_band_stats(history: DataFrame, wanted: DataFrame, ctx: RunContext) ->
                  F.count(F.lit(1)).alias("num_weeks")))
 
 
-def seed_std_dev(history: DataFrame, database: str, schema: str, table: str,
+def seed_std_dev(history: DataFrame | StoredResults, database: str, schema: str, table: str,
                  columns: list[str], ctx: RunContext) -> DataFrame:
     """Copy the last nine weeks of ``trending`` rows as ``std_dev`` history.
 
@@ -119,7 +175,7 @@ def seed_std_dev(history: DataFrame, database: str, schema: str, table: str,
     baseline has always looked; they keep their run hour and value.
     """
     since = _dt.datetime.combine(ctx.as_of - _dt.timedelta(days=SEED_LOOKBACK_DAYS), _dt.time())
-    h = history.where((F.col("dq_run_date") >= F.lit(since.date()))
+    h = frame_of(history).where((F.col("dq_run_date") >= F.lit(since.date()))
                       & (F.col("dq_run_hour") > F.lit(since.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
                       & (F.col("database_name") == database) & (F.col("schema_name") == schema)
                       & (F.col("table_name") == table) & (F.col("dq_name") == "trending")

@@ -10,6 +10,10 @@ column follow.
 
 from __future__ import annotations
 
+import datetime as _dt
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,6 +146,28 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     }).select(*RESULT_COLUMNS)
 
 
+@dataclass(frozen=True)
+class StoredResults:
+    """A stored result table with the run dates it has partitions for, newest first.  Give it to ``run_suite``
+    as the history, so that rules which compare with the last run read the newest run dates first."""
+
+    frame: DataFrame
+    dates: list[_dt.date]
+
+
+def stored_results(spark: SparkSession, path: str | None = None, table: str | None = None) -> StoredResults:
+    """The result table at ``path`` (or ``table`` of the catalog) as it is now.  Its run dates come from the
+    listing of partitions, which holds one entry a run date or file and no rows."""
+    if table is not None:
+        names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        frame = conform(spark.table(table))
+    else:
+        frame = read_results(spark, path)
+        names = frame.inputFiles()
+    found = {m[1] for m in (re.search(rf"{PARTITION_COLUMN}=(\d{{4}}-\d{{2}}-\d{{2}})(?:/|$)", n) for n in names) if m}
+    return StoredResults(frame, sorted(map(_dt.date.fromisoformat, found), reverse=True))
+
+
 def scratch_results_path(spark: SparkSession, dq_key: int, fallback: str | None = None) -> str:
     """Where an isolated (trial) run writes its verdicts.
 
@@ -167,8 +193,6 @@ def append_results(df: DataFrame, path: str | None = None, table: str | None = N
         df.select(*df.sparkSession.table(table).columns).write.mode("append").insertInto(table)
     else:
         df.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
-    from ..plans.suite import release_shared
-    release_shared()
 
 
 def _base_column(col: Column) -> Column:

@@ -21,8 +21,8 @@ Plan shape per checked table (and filter):
   max date comes from the fused aggregate.  day_to_day keeps the top keys
   (``TakeOrderedAndProject``) and applies ``lead`` over at most 30 rows;
   missing_dates joins the present dates to a broadcast spine of ``window``
-  dates.  An aggregate read by several branches is persisted (it is one
-  row, or one row per key), so the table is scanned once for all of them.
+  dates.  An aggregate read by several branches (one row, or one row per
+  key) is one reused exchange, so the table is scanned once for all of them.
 * **Baselines**: one set-based lookup over the history table per family,
   joined to the exploded rows on ``(check_id, dq_column)``.
 
@@ -37,7 +37,6 @@ import warnings
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +46,9 @@ from ..context import RunContext
 from ..functions import concat_key
 from ..functions import sql as Q
 from ..operators import history as H
-from ..operators.results import VERDICT_COLUMNS, to_result
-from ..spec import CheckConfigError, CheckSpec, TableRef
+from ..operators import results as R
+from ..operators.results import to_result
+from ..spec import CheckConfigError, CheckSpec, TableRef, bind
 
 SCALAR_FAMILIES = ("trending", "std_dev", "compare_to_source", "empty_null", "up_to_date")
 
@@ -77,7 +77,7 @@ _TYPE_NAMES = {f.name: f.dataType.simpleString() for f in _ROW.fields}
 
 @dataclass
 class Suite:
-    """Rules bound to one table (the unit the reference's configs describe)."""
+    """Rules bound to one table."""
 
     target: TableRef
     specs: list[CheckSpec]
@@ -254,15 +254,26 @@ def _conditional(key: str, filt: str | None, df: DataFrame) -> str | None:
     return None
 
 
+_MASK_BITS = 62      # filters in one BIGINT
+
+
+def _distinct_keys(key: str) -> tuple[str, ...] | None:
+    """The key expressions of a metric that is one ``count(DISTINCT ...)``."""
+    kind, _, text = key.partition(":")
+    m = re.fullmatch(r"\s*count\s*\(\s*distinct\b(.*)\)\s*", text, re.IGNORECASE | re.DOTALL)
+    return tuple(Q.split_top_level(m[1])) if kind == "expr" and m and _single_call(text) else None
+
+
 class _SharedScan:
     """Scalar metrics of several suites over ONE table with different filters.
 
     One scan (pre-filtered by the OR of the filters, which Parquet pushdown
     still uses) computes every suite's built-in metrics as conditional
     aggregates and every single-call free-text aggregate with
-    ``FILTER (WHERE ...)``; compound free-text aggregates come from one
-    ``groupBy(filter id)`` over rows tagged with the filters they match.  The shared row is persisted, so each suite reads it
-    from the cache.
+    ``FILTER (WHERE ...)``; ``count(DISTINCT ...)`` comes from one
+    ``groupBy(keys)`` with the bits of the filters that each key meets; compound free-text aggregates come from one
+    ``groupBy(filter id)`` over rows tagged with the filters they match.  Every suite reads the shared rows
+    (see ``_shared``).
     """
 
     def __init__(self, suites: list[Suite]):
@@ -270,6 +281,7 @@ class _SharedScan:
         cols: dict[tuple[str | None, str], str] = {}
         self.map: dict[int, dict[str, str]] = {}
         self.own: dict[int, list[str]] = {}
+        self.counted: dict[tuple[str, ...], dict[str | None, str]] = {}
         built: list[Column] = []
         for suite in suites:
             specs = [s for s in suite.specs if s.enabled and s.family in SCALAR_FAMILIES]
@@ -280,12 +292,16 @@ class _SharedScan:
             for key, alias in metrics.alias.items():
                 ck = (filt, key)
                 if ck not in cols:
-                    col = _conditional(key, filt, suites[0].target.df)
-                    if col is None:
+                    counted = _distinct_keys(key)
+                    col = None if counted else _conditional(key, filt, suites[0].target.df)
+                    if col is None and not counted or col and re.search(r"\bdistinct\b", col, re.IGNORECASE):
                         own.append(key)
                         continue
                     cols[ck] = f"c{len(cols)}"
-                    built.append(F.expr(f"{col} AS {cols[ck]}"))
+                    if counted:
+                        self.counted.setdefault(counted, {})[filt] = cols[ck]
+                    else:
+                        built.append(F.expr(f"{col} AS {cols[ck]}"))
                 m[alias] = cols[ck]
             self.map[id(suite)] = m
             self.own[id(suite)] = own
@@ -293,19 +309,38 @@ class _SharedScan:
         filters = [_filter_text(x) for x in suites]
         if all(filters):
             df = df.where(" OR ".join(f"coalesce(({f}), false)" for f in filters))
-        self.agg = _shared(df.agg(*built)) if built else None
+        self.agg = _shared(df.agg(*built), one_row=True) if built else None
+        self.distinct = self._distinct_by_filter(df)
         self.compound = self._compound_by_filter(suites, df)
         keyed = [x for x in suites if _keyed_needs(x)]
         self.keyed = _SharedKeyed(keyed, df) if len(keyed) > 1 else None
         self.uniques = self._unique_counts(suites, df)
 
+    def _distinct_by_filter(self, df: DataFrame) -> dict[str, DataFrame]:
+        """Counts of distinct keys under several filters: one ``groupBy(keys)`` gathers the bits of the filters that
+        some row of the key meets, and one global aggregate counts the keys of each bit.  One shuffle whatever
+        the number of filters, and no ``Expand``.  Returns ``{alias: one-row frame}``."""
+        out = {}
+        for keys, by_filter in self.counted.items():
+            names = [f"_k{i}" for i in range(len(keys))]
+            masks = [list(by_filter.items())[lo:lo + _MASK_BITS] for lo in range(0, len(by_filter), _MASK_BITS)]
+            bits = [" + ".join(f"CASE WHEN {f'coalesce(({f}), false)' if f else 'true'} THEN {1 << i}L ELSE 0L END"
+                               for i, (f, _) in enumerate(mask)) for mask in masks]
+            rows = df.selectExpr(*(f"{k} AS {n}" for k, n in zip(keys, names)), *(f"{b} AS _b{j}" for j, b in enumerate(bits)))
+            rows = rows.where(" AND ".join(f"{n} IS NOT NULL" for n in names))
+            met = rows.groupBy(*names).agg(*(F.bit_or(f"_b{j}").alias(f"_b{j}") for j in range(len(masks))))
+            row = _shared(met.agg(*(F.expr(f"count_if(_b{j} & {1 << i}L <> 0) AS {alias}")
+                                    for j, mask in enumerate(masks) for i, (_, alias) in enumerate(mask))), one_row=True)
+            out |= dict.fromkeys(by_filter.values(), row)
+        return out
+
     def _compound_by_filter(self, suites: list[Suite], df: DataFrame):
         """Compound free-text aggregates (no single ``FILTER`` applies) of the
         filtered suites: each row is tagged with the filters it matches
         (``explode``; a row is repeated at most once per matching filter, a
         configuration bound) and ONE ``groupBy(filter id)`` computes them all.
         Returns ``{id(suite): (filter id, {metric key: alias})}`` and keeps the
-        grouped frame (one row per filter) persisted."""
+        grouped frame (one row per filter) for all suites."""
         fids, cols, out = [], [], {}
         for suite in suites:
             own = self.own[id(suite)]
@@ -331,7 +366,7 @@ class _SharedScan:
 
         Per key set: one ``groupBy(keys)`` with a conditional row count per
         filter, then ONE global aggregate giving each filter's distinct and
-        total counts (a one-row result, persisted; the per-key frame is not).
+        total counts (a shared one-row result).
         Returns ``{(id(suite), column): (one_row_frame, distinct_alias, total_alias)}``.
         """
         sets: dict[str, list[tuple[Suite, str]]] = {}
@@ -359,7 +394,7 @@ class _SharedScan:
                               F.expr(f"coalesce(sum(_n{i}), 0L) AS _t{i}")]
             projected = df.selectExpr(*[f"{p} AS {k}" for p, k in zip(parts, keys)], *flags)
             grouped = projected.groupBy(*keys).agg(*counts)
-            row = _shared(grouped.agg(*stats))
+            row = _shared(grouped.agg(*stats), one_row=True)
             for su, c in members:
                 i = seen[_filter_text(su)]
                 out[(id(su), c)] = (row, f"_d{i}", f"_t{i}")
@@ -367,9 +402,11 @@ class _SharedScan:
 
     def agg_for(self, suite: Suite, metrics: _Metrics) -> DataFrame:
         m = self.map[id(suite)]
-        parts = []
-        if m:
-            parts.append(self.agg.selectExpr(*[f"{c} AS {a}" for a, c in m.items()]))
+        rows: dict[int, tuple[DataFrame, list[str]]] = {}
+        for alias, c in m.items():
+            frame = self.distinct.get(c, self.agg)
+            rows.setdefault(id(frame), (frame, []))[1].append(f"{c} AS {alias}")
+        parts = [frame.selectExpr(*columns) for frame, columns in rows.values()]
         own_keys = self.own[id(suite)]
         if own_keys and id(suite) in self.compound:
             i, names = self.compound[id(suite)]
@@ -516,8 +553,9 @@ class _TaggedView:
 
 
 def _filter_text(suite: Suite) -> str | None:
+    """The suite's filter with its parameters as literals."""
     f = suite.target.filter
-    return None if not f or f.strip() in ("", "1=1") else f
+    return None if not f or f.strip() in ("", "1=1") else bind(f, suite.target.args or {})
 
 
 def _shared_scans(suites: list[Suite]) -> dict[int, _SharedScan]:
@@ -534,8 +572,7 @@ def _shared_scans(suites: list[Suite]) -> dict[int, _SharedScan]:
             groups.append([s])
     out = {}
     for g in groups:
-        if (len(g) > 1 and not any(s.target.args for s in g)
-                and len({_filter_text(s) for s in g}) > 1):
+        if len(g) > 1 and len({_filter_text(s) for s in g}) > 1:
             sc = _SharedScan(g)
             for s in g:
                 out[id(s)] = sc
@@ -612,28 +649,17 @@ class _KeyedAggs:
         return f
 
 
-# Small aggregates read by several branches of one suite plan.  Column pruning
-# gives each branch a different copy of the aggregate (so no exchange is
-# reused); persisting the aggregate makes every branch read the same cached
-# relation, so the table is scanned once.  The cached data is one row, or one
-# row per key; ``release_shared`` drops it after the suite has been written.
-_SHARED: list[DataFrame] = []
-
-
-def _shared(df: DataFrame) -> DataFrame:
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _SHARED.append(df)
-    return df
+def _shared(df: DataFrame, one_row: bool = False) -> DataFrame:
+    """A small aggregate that several branches of one plan read: an exchange that Spark reuses.
 
-
-def release_shared() -> None:
-    """Unpersist the shared aggregates of the suites built so far."""
-    while _SHARED:
-        df = _SHARED.pop()
-        try:
-            df.unpersist()
-        except Exception:  # its session is gone; nothing is cached any more
-            pass
+    Reuse needs the same plan below the exchange in every branch, but each branch would prune its own columns
+    and push its own filters down there.  So a row travels as one array of one struct, whose fields are taken
+    after an ``explode_outer``: nothing passes through that.  Nothing is cached: two plans share nothing, a plan
+    that runs again reads the table again, and lost tasks are recomputed.
+    """
+    packed = df.select(F.array(F.struct(*(F.col(Q.ident(c)) for c in df.columns))).alias("_rows"))
+    packed = packed.repartition(1) if one_row else packed.hint("rebalance")
+    return packed.selectExpr("explode_outer(filter(_rows, r -> r IS NOT NULL)) AS _row").selectExpr("_row.*")
 
 
 def _date_key(suite: Suite, column: str) -> tuple[str, Column]:
@@ -653,10 +679,10 @@ def _day_key(spec: CheckSpec) -> tuple[str, Column]:
 
 
 def _history_lookups(spark: SparkSession, suites: list[Suite], ctx: RunContext,
-                     history: DataFrame | None) -> dict | None:
+                     history: DataFrame | R.StoredResults | None) -> dict | None:
     """Baselines of every suite of a run from ONE pass over the history per
     family, keyed by ``<suite index>|<rule id>`` (several suites may reuse a
-    rule id); each suite reads its slice of the persisted result."""
+    rule id); each suite reads its slice of the shared result."""
     if history is None or len(suites) < 2:
         return None
     trend_rows, band_rows, cmp_dates = [], [], []
@@ -673,10 +699,9 @@ def _history_lookups(spark: SparkSession, suites: list[Suite], ctx: RunContext,
                 band_rows += [(f"{si}|{s.check_id}", db, schema, table, c, None) for c in s.columns]
     out = {}
     if trend_rows:
-        out["base"] = _shared(H.trending_baselines(history, H.wanted_frame(spark, trend_rows), ctx,
-                                                   cmp_dates))
+        out["base"] = _shared(H.trending_baselines(history, trend_rows, ctx, cmp_dates))
     if band_rows:
-        out["stats"] = _shared(H.weekly_band_stats(history, H.wanted_frame(spark, band_rows), ctx))
+        out["stats"] = _shared(H.weekly_band_stats(history, band_rows, ctx))
     return out
 
 
@@ -686,7 +711,7 @@ def _slice(frame: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
 
 
 def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: RunContext,
-                   history: DataFrame | None, spark: SparkSession,
+                   history: DataFrame | R.StoredResults | None, spark: SparkSession,
                    lookups: dict | None = None,
                    prefix: str = "") -> DataFrame:
     db, schema, table = suite.target.parts
@@ -698,8 +723,7 @@ def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: R
         rows = rows.join(F.broadcast(base), ["check_id", "dq_column"], "left")
     elif history is not None and trend:
         cmp = {s.check_id: H.compare_date(ctx.as_of, s.compare_type) for s in trend}
-        wanted = H.wanted_frame(spark, [(s.check_id, db, schema, table, c, cmp[s.check_id])
-                                        for s in trend for c in s.columns])
+        wanted = [(s.check_id, db, schema, table, c, cmp[s.check_id]) for s in trend for c in s.columns]
         base = H.trending_baselines(history, wanted, ctx, list(cmp.values()))
         # One row per configured (rule, column) at most: a proven bound, broadcast.
         rows = rows.join(F.broadcast(base), ["check_id", "dq_column"], "left")
@@ -710,8 +734,7 @@ def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: R
                        ["dq_column", "last_value", "avg_diff", "sd_diff", "num_weeks"])
         rows = rows.join(F.broadcast(stats), ["check_id", "dq_column"], "left")
     elif history is not None and band:
-        wanted = H.wanted_frame(spark, [(s.check_id, db, schema, table, c, None)
-                                        for s in band for c in s.columns])
+        wanted = [(s.check_id, db, schema, table, c, None) for s in band for c in s.columns]
         stats = H.weekly_band_stats(history, wanted, ctx)
         rows = rows.join(F.broadcast(stats), ["check_id", "dq_column"], "left")
     else:
@@ -787,9 +810,9 @@ def missing_dates_rows(suite: Suite, spec: CheckSpec, column: str, agg: DataFram
     n = spec.window
     spine = agg.selectExpr(f"explode(transform(sequence(0, {n - 1}), i -> date_sub({max_alias}, i))) AS date_col")
     hits = present.selectExpr("CAST(col AS DATE) AS date_col", "1 AS _hit").where("date_col IS NOT NULL")
-    # The spine has exactly ``window`` rows, and so at most have the days that match it: either may be
-    # broadcast, on the right side of a left join as Spark can.
-    hits = hits.join(F.broadcast(spine), "date_col", "left_semi").distinct()
+    # The spine has exactly ``window`` rows, and so at most have the days that match it (each day is one group
+    # of its key): either may be broadcast, on the right side of a left join as Spark can.
+    hits = hits.join(F.broadcast(spine), "date_col", "left_semi")
     joined = spine.join(F.broadcast(hits), "date_col", "left")
     stats = joined.selectExpr("sum(CASE WHEN _hit IS NULL THEN 1 ELSE 0 END) AS total_cnt")
     return _stamp(stats, suite, spec, Q.lit(column), "total_cnt", T.LongType(),
@@ -840,7 +863,7 @@ def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame
 
 
 def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
-                 history: DataFrame | None = None, shared: _SharedScan | None = None,
+                 history: DataFrame | R.StoredResults | None = None, shared: _SharedScan | None = None,
                  lookups: dict | None = None,
                  prefix: str = "") -> DataFrame:
     """All verdict rows of one suite (not yet stamped with the run)."""
@@ -864,7 +887,7 @@ def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,
     if scalar or missing:
         agg, plan, types, dates = _fused_metrics(suite, scalar, [c for _, c in missing], shared)
         if missing and (plan or len(missing) > 1) and (shared is None or shared.own[id(suite)]):
-            agg = _shared(agg)
+            agg = _shared(agg, one_row=True)
         if plan:
             rows = _scalar_rows(agg, plan, types, ctx)
             parts.append(_finish_scalar(rows, suite, scalar, ctx, history, spark,
@@ -899,11 +922,13 @@ def _distinct_series(suites: list[Suite]) -> None:
 
 
 def run_suite(spark: SparkSession, suites: Suite | list[Suite], ctx: RunContext,
-              history: DataFrame | None = None) -> DataFrame:
+              history: DataFrame | R.StoredResults | None = None) -> DataFrame:
     """Result rows of every enabled rule of every suite, stamped with ``ctx``.
 
     ``history`` is the result table as it was when the run started (read it
-    before appending, so a rule never sees rows of its own run).  The returned
+    before appending, so a rule never sees rows of its own run); given as
+    ``stored_results``, rules that compare with the last run look for it at once,
+    newest run dates first.  The returned
     DataFrame is lazy; write it once with ``append_results``.
     """
     if isinstance(suites, Suite):
