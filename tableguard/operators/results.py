@@ -4,8 +4,9 @@ The table is append-only and partitioned by ``dq_run_date`` so history
 lookups (which always name run dates or an upper bound) prune partitions.
 The 21 leading columns keep their historical order; ``check_id`` (the rule
 name, so variants of one family are distinguishable), ``dq_tgt_num`` (numeric
-twin of the target value, so baselines never parse text) and the partition
-column follow.
+twin of the target value, so baselines never parse text), ``rule_column`` (the
+rule's column without the key that a day_to_day row adds to its label) and the
+partition column follow.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ RESULT_FIELDS = [
 EXTRA_FIELDS = [
     ("check_id", T.StringType()),
     ("dq_tgt_num", T.DoubleType()),
+    ("rule_column", T.StringType()),
     ("dq_run_date", T.DateType()),
 ]
 RESULT_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in RESULT_FIELDS + EXTRA_FIELDS])
@@ -58,9 +60,12 @@ SERIES_KEYS = ["database_name", "schema_name", "table_name", "dq_name", "dq_colu
 VERDICT_COLUMNS = [
     "database_name", "schema_name", "table_name", "table_filter", "check_id", "dq_name",
     "dq_column", "dq_description", "dq_tgt_value", "dq_src_value", "dq_threshold",
-    "is_pass", "stop_on_failure", "is_dq_custom", "is_trial", "dq_tgt_num",
+    "is_pass", "stop_on_failure", "is_dq_custom", "is_trial", "dq_tgt_num", "rule_column",
 ]
 
+# Fixed value: the target text of a rolled-up day_to_day rule.
+ROLLUP_TEXT = "<<< check dq table >>>"
+
 
 def to_result(rows: DataFrame, ctx: RunContext) -> DataFrame:
     """V1: stamp run constants onto verdict rows and order the columns."""
@@ -126,6 +131,8 @@ def conform(df: DataFrame) -> DataFrame:
             c = F.to_date("dq_run_hour")
         elif f.name == "check_id" and "dq_name" in have:
             c = F.col("dq_name")
+        elif f.name == "rule_column" and {"dq_name", "dq_column"} <= have:
+            c = _label_column()
         else:
             c = F.lit(None)
         cols.append(c.cast(f.dataType).alias(f.name))
@@ -143,6 +150,7 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns({
         "check_id": F.coalesce(F.col("check_id"), F.col("dq_name")),
         "dq_tgt_num": F.coalesce(F.col("dq_tgt_num"), F.col("dq_tgt_value").try_cast("double")),
+        "rule_column": F.coalesce(F.col("rule_column"), _label_column()),
     }).select(*RESULT_COLUMNS)
 
 
@@ -195,9 +203,9 @@ def append_results(df: DataFrame, path: str | None = None, table: str | None = N
         df.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
 
 
-def _base_column(col: Column) -> Column:
-    """Column text of a day_to_day row without its ``[key]`` suffix."""
-    return F.regexp_extract(col, r"^(.*) \[", 1)
+def _label_column() -> Column:
+    """The rule's column of rows written before it was stored: a day_to_day label without its ``[key]``."""
+    return F.when(F.col("dq_name") == "day_to_day", F.regexp_extract("dq_column", r"(?s)^(.*) \[", 1)).otherwise(F.col("dq_column"))
 
 
 def _newest_order() -> Column:
@@ -231,9 +239,9 @@ def rollup_day_to_day(results: DataFrame, dq_key: int | None = None) -> DataFram
     r = r.where(F.col("dq_name") == "day_to_day")
     fails = F.sum(F.when(~F.col("is_pass"), 1).otherwise(0))
     return (r.groupBy("dq_key", "database_name", "schema_name", "table_name", "check_id", "dq_name",
-                      _base_column(F.col("dq_column")).alias("dq_column"))
+                      F.col("rule_column").alias("dq_column"))
             .agg(F.coalesce(fails == 0, F.lit(False)).alias("is_pass"),
-                 F.lit("<<< check dq table >>>").alias("dq_tgt_value"),
+                 F.lit(ROLLUP_TEXT).alias("dq_tgt_value"),
                  F.lit(None).cast("string").alias("dq_src_value"),
                  F.max("dq_threshold").alias("dq_threshold"),
                  F.max(F.col("stop_on_failure").cast("int")).cast("boolean").alias("stop_on_failure"),
@@ -266,7 +274,7 @@ def _rule_verdicts(results: DataFrame, dq_key: int | None, expected: DataFrame |
     # end time, start time, target text: the ``verdicts`` order, partially
     # aggregated); day_to_day rules roll up to "no failing key".
     d2d = F.col("dq_name") == "day_to_day"
-    column = F.when(d2d, _base_column(F.col("dq_column"))).otherwise(F.col("dq_column"))
+    column = F.when(d2d, F.col("rule_column")).otherwise(F.col("dq_column"))
     newest = F.max_by(F.struct("is_pass", "dq_tgt_value", "dq_src_value", "dq_threshold", "stop_on_failure"),
                       _newest_order())
     fails = F.sum(F.when(~F.col("is_pass"), 1).otherwise(0))
@@ -279,7 +287,7 @@ def _rule_verdicts(results: DataFrame, dq_key: int | None, expected: DataFrame |
         "dq_key", "database_name", "schema_name", "table_name", "check_id", "dq_name", "dq_column",
         F.when(is_d2d, F.coalesce(F.col("_fails") == 0, F.lit(False)))
         .otherwise(F.col("n.is_pass") & F.col("n.dq_tgt_value").isNotNull()).alias("is_pass"),
-        F.when(is_d2d, F.lit("<<< check dq table >>>")).otherwise(F.col("n.dq_tgt_value")).alias("dq_tgt_value"),
+        F.when(is_d2d, F.lit(ROLLUP_TEXT)).otherwise(F.col("n.dq_tgt_value")).alias("dq_tgt_value"),
         F.when(is_d2d, F.lit(None).cast("string")).otherwise(F.col("n.dq_src_value")).alias("dq_src_value"),
         F.when(is_d2d, F.col("_thr")).otherwise(F.col("n.dq_threshold")).alias("dq_threshold"),
         F.when(is_d2d, F.col("_stop").cast("boolean")).otherwise(F.col("n.stop_on_failure"))

@@ -761,11 +761,11 @@ def _finish_scalar(rows: DataFrame, suite: Suite, specs: list[CheckSpec], ctx: R
         f"{Q.lit(table)} AS table_name", f"{Q.lit(suite.target.filter_text)} AS table_filter",
         "check_id", "family AS dq_name", "dq_column", "dq_description", "tgt_text AS dq_tgt_value",
         f"{src_text} AS dq_src_value", "dq_threshold", f"{is_pass} AS is_pass", "stop_on_failure",
-        "false AS is_dq_custom", "is_trial", "tgt_num AS dq_tgt_num")
+        "false AS is_dq_custom", "is_trial", "tgt_num AS dq_tgt_num", "dq_column AS rule_column")
 
 
 def _stamp(df: DataFrame, suite: Suite, spec: CheckSpec, dq_column: str, tgt: str, tgt_type,
-           src_text: str, is_pass: str, threshold: str | None = None) -> DataFrame:
+           src_text: str, is_pass: str, threshold: str | None = None, rule_column: str | None = None) -> DataFrame:
     """Verdict columns of a non-scalar part (operands are SQL text)."""
     db, schema, table = suite.target.parts
     return df.selectExpr(
@@ -777,7 +777,7 @@ def _stamp(df: DataFrame, suite: Suite, spec: CheckSpec, dq_column: str, tgt: st
         f"CAST({Q.lit(spec.threshold.text) if threshold is None else threshold} AS STRING) AS dq_threshold",
         f"coalesce({is_pass}, false) AS is_pass", f"{Q.lit(spec.stop_on_failure)} AS stop_on_failure",
         "false AS is_dq_custom", f"{Q.lit(spec.is_trial)} AS is_trial",
-        f"{Q.value_num(tgt, tgt_type)} AS dq_tgt_num")
+        f"{Q.value_num(tgt, tgt_type)} AS dq_tgt_num", f"{rule_column or dq_column} AS rule_column")
 
 
 def unique_rows(suite: Suite, spec: CheckSpec, column: str, shared: "_SharedScan | None" = None) -> DataFrame:
@@ -832,7 +832,7 @@ def day_to_day_rows(suite: Suite, spec: CheckSpec, column: str, grouped: DataFra
                                 Q.lit(None if thr.low is None else float(thr.low)))
     label = f"concat({Q.lit(column + ' [')}, CAST(col AS STRING), ']')"
     return _stamp(prev, suite, spec, label, "dq_tgt_value", vtype,
-                  Q.value_text("dq_src_value", vtype), ok)
+                  Q.value_text("dq_src_value", vtype), ok, rule_column=Q.lit(column))
 
 
 def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame:
@@ -859,7 +859,7 @@ def custom_rows(spark: SparkSession, suite: Suite, spec: CheckSpec) -> DataFrame
         "CAST(NULL AS STRING) AS dq_threshold", "coalesce(result = 0, false) AS is_pass",
         f"{Q.lit(spec.stop_on_failure)} AS stop_on_failure", "true AS is_dq_custom",
         f"{Q.lit(spec.is_trial)} AS is_trial",
-        f"{Q.value_num('tgt_value', types['tgt_value'])} AS dq_tgt_num")
+        f"{Q.value_num('tgt_value', types['tgt_value'])} AS dq_tgt_num", "'' AS rule_column")
 
 
 def verdict_rows(spark: SparkSession, suite: Suite, ctx: RunContext,

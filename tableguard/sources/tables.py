@@ -62,6 +62,7 @@ def daily_history(df: DataFrame, date_expr: str, metrics: dict[str, str], table:
         "is_trial": "false",
         "check_id": Q.lit(check_id or dq_name),
         "dq_tgt_num": "p.v",
+        "rule_column": "p.c",
         "dq_run_date": "_d",
     }
     return rows.selectExpr(*[f"CAST({vals[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
