@@ -9,9 +9,9 @@ path it is reading, so:
 * append     -> static ``INSERT OVERWRITE ... PARTITION (y, m, d, h)``: only the
                 run's partition is rewritten, and it is cleared even when the
                 source is empty,
-* update     -> written to a fresh version directory, then the table is
-                re-registered over it (partitions recovered from the files);
-                the old version stays readable until then.
+* update     -> in place, only the touched partitions, staged first and restartable
+                (``write_upsert_partitions``), or as a new version behind a view
+                (``versions.replace``).
 """
 
 from __future__ import annotations
@@ -19,11 +19,14 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import RunContext
+from ..scratch import scratch_root
+from ..spec import _literal
 
 # The declarable logical types and their Spark types.
 TYPE_MAP = {
@@ -93,29 +96,47 @@ def column_names(columns) -> list[str]:
 def create_table(spark: SparkSession, name: str, columns, partition_keys=None,
                  location: str | None = None) -> None:
     """L1: CREATE TABLE ... USING parquet PARTITIONED BY (defaults to the four
-    ``dl_partition_*`` columns)."""
+    ``dl_partition_*`` columns).  Descriptions become column comments; the columns declared ``pii`` are a
+    property of the table (``pii_columns``)."""
     schema = table_schema(columns)
     keys = list(partition_keys or DEFAULT_PARTITION_KEYS)
     unknown = set(keys) - set(schema.fieldNames())
     if unknown:
         raise LoadConfigError(f"partition keys not in table: {sorted(unknown)}")
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    cols = ", ".join(_column_ddl(f) for f in schema.fields)
     loc = f" LOCATION '{location}'" if location else ""
+    pii = ",".join(f.name for f in schema.fields if f.metadata.get("pii"))
+    props = f" TBLPROPERTIES ('{PII_PROPERTY}' = {_literal(pii)})" if pii else ""
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY "
-              f"({', '.join(keys)}){loc}")
+              f"({', '.join(f'`{k}`' for k in keys)}){loc}{props}")
+
+
+#: Table property that lists the columns declared as personal data.
+PII_PROPERTY = "tableguard.pii"
+
+
+def _column_ddl(f: T.StructField) -> str:
+    comment = f" COMMENT {_literal(str(f.metadata['description']))}" if f.metadata.get("description") else ""
+    return f"`{f.name}` {f.dataType.simpleString()}{comment}"
+
+
+def pii_columns(spark: SparkSession, name: str) -> list[str]:
+    """Columns of a created table that were declared as personal data."""
+    found = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}.get(PII_PROPERTY)
+    return found.split(",") if found else []
 
 
-def tmp_step(df: DataFrame, name: str, materialize: str = "none") -> DataFrame:
+def tmp_step(df: DataFrame, name: str, materialize: str = "checkpoint") -> DataFrame:
     """L2: replace the intermediate ``name`` with ``df``.
 
-    ``materialize``: ``none`` (a view, recomputed where used), ``persist``
-    (cached, recomputed from lineage if an executor is lost) or ``checkpoint``
-    (written to ``spark.checkpoint.dir``, lineage cut).
+    ``materialize``: ``checkpoint`` (written once to the shared folder, lineage cut: later steps read it and a
+    change of its inputs no longer shows), ``persist`` (cached, recomputed from lineage if an executor is lost)
+    or ``none`` (a view, recomputed where used).
     """
     if materialize == "persist":
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     elif materialize == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
+        df.sparkSession.sparkContext.setCheckpointDir(scratch_root(df.sparkSession))
         df = df.checkpoint(eager=True)
     elif materialize != "none":
         raise LoadConfigError(f"unknown materialize {materialize!r}")
@@ -304,7 +325,7 @@ def write_version(spark: SparkSession, table: str, df: DataFrame, location: str)
 
 
 def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, primary_key, columns,
-                            ctx: RunContext, staging: str) -> int:
+                            ctx: RunContext, staging: str, resume: bool = False) -> int:
     """L6 writer when kept rows keep their audit columns (``restamp=False``):
     rewrite only the partitions the update touches.
 
@@ -314,21 +335,22 @@ def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, pri
     rows to rewrite, so one plan serves any number of them and nothing is
     collected or broadcast by force.  The new content is staged under
     ``staging`` first (the table is never read and overwritten at once), then
-    written with one dynamic partition overwrite; only touched partitions left
-    without any row are fetched one by one and cleared by a static overwrite.
+    written with one dynamic partition overwrite; touched partitions left
+    without any row are dropped in one catalog call.
     The table's result equals ``upsert(..., restamp=False)``.  Returns the
-    number of touched partitions.
+    number of touched partitions.  A stopped call is finished by the same call with
+    ``resume=True`` (see ``_rewrite_partitions``).
     """
     pk = _key_list(primary_key)
     src = _guarded(src, pk)
     keys = src.select(*pk)
     return _rewrite_partitions(spark, table, with_audit(project(src, columns), ctx),
                                lambda tgt: tgt.join(keys, pk, "left_semi"),
-                               lambda tgt: tgt.join(keys, pk, "left_anti"), staging)
+                               lambda tgt: tgt.join(keys, pk, "left_anti"), staging, resume)
 
 
 def write_delete_insert(spark: SparkSession, table: str, new_rows: DataFrame, delete_pred: str | Column,
-                        staging: str) -> int:
+                        staging: str, resume: bool = False) -> int:
     """L4/L8 writer: ``DELETE WHERE pred`` (NULL keeps the row), then insert ``new_rows``, in place.
 
     Only partitions that hold a deleted row or receive a new one are rewritten, as in
@@ -337,62 +359,106 @@ def write_delete_insert(spark: SparkSession, table: str, new_rows: DataFrame, de
     """
     pred = F.expr(delete_pred) if isinstance(delete_pred, str) else delete_pred
     return _rewrite_partitions(spark, table, new_rows, lambda tgt: tgt.where(pred),
-                               lambda tgt: _not_deleted(tgt, pred), staging)
+                               lambda tgt: _not_deleted(tgt, pred), staging, resume)
 
 
-def _rewrite_partitions(spark: SparkSession, table: str, new_rows: DataFrame, removed, kept_of, staging: str) -> int:
+STEPS = ("touched", "rows", "replaced", "cleared")
+
+
+def _steps_done(spark: SparkSession, staging: str) -> set[str]:
+    """Steps of a load that are marked as finished in its staging folder."""
+    done = set()
+    for step in STEPS:
+        try:
+            if spark.read.schema("id long").parquet(f"{staging}/done-{step}").limit(1).count():
+                done.add(step)
+        except AnalysisException:       # not there
+            pass
+    return done
+
+
+def _rewrite_partitions(spark: SparkSession, table: str, new_rows: DataFrame, removed, kept_of, staging: str,
+                        resume: bool = False) -> int:
     """Rewrite the partitions that hold ``removed(table)`` rows or receive ``new_rows`` with the new rows and
-    their ``kept_of`` rows; see ``write_upsert_partitions``."""
+    their ``kept_of`` rows; see ``write_upsert_partitions``.
+
+    The steps, each marked in the staging folder when it is complete: list the touched partitions, stage their new
+    rows, overwrite the partitions from the stage, drop those left empty.  The table is first changed when
+    everything that is read from it has been staged, and the last two steps give the same table however often
+    they run; so a load that stopped anywhere is finished by calling it again with ``resume=True``, which
+    skips the marked steps.  Without ``resume`` the folder must be new.
+    """
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if not parts:
-        raise LoadConfigError(f"{table} is not partitioned; use write_version")
+        raise LoadConfigError(f"{table} is not partitioned; use versions.replace")
     tgt = spark.table(table)
     cols = tgt.columns
     new_rows = new_rows.select(*cols)
     part_schema = T.StructType([tgt.schema[p] for p in parts])
+    done = _steps_done(spark, staging)
+    if done and not resume:
+        raise LoadConfigError(f"{staging} belongs to another load; resume it or give this one its own folder")
+
+    def step(name: str, action) -> None:
+        if name not in done:
+            action()
+            spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{staging}/done-{name}")
 
     def same_partition(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
         right = right.select(*(F.col(p).alias(f"_tg_{p}") for p in parts))
         return left.join(right, reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_tg_{p}")) for p in parts]), how)
 
-    (removed(tgt).select(*parts).unionByName(new_rows.select(*parts)).distinct()
-     .write.mode("errorifexists").parquet(f"{staging}/touched"))
+    step("touched", lambda: removed(tgt).select(*parts).unionByName(new_rows.select(*parts)).distinct()
+         .write.mode("overwrite").parquet(f"{staging}/touched"))
     touched = spark.read.schema(part_schema).parquet(f"{staging}/touched")
-    kept = kept_of(same_partition(tgt, touched, "left_semi")).select(*cols)
-    new_rows.unionByName(kept).write.mode("errorifexists").partitionBy(*parts).parquet(f"{staging}/rows")
+    step("rows", lambda: new_rows.unionByName(kept_of(same_partition(tgt, touched, "left_semi")).select(*cols))
+         .write.mode("overwrite").partitionBy(*parts).parquet(f"{staging}/rows"))
     # The table's schema keeps partition values as written ('08', not 8).
     staged = spark.read.schema(tgt.schema).parquet(f"{staging}/rows")
-    view = f"_tg_upsert_{abs(hash((table, staging)))}"
-    staged.select(*cols).createOrReplaceTempView(view)
-    key = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(parts)}) "
-                  f"SELECT {', '.join('`%s`' % c for c in cols)} FROM {view}")
-    finally:
-        spark.conf.set(key, old)
-        spark.catalog.dropTempView(view)
-    # A static overwrite with no rows clears a partition's files (a dropped
-    # partition of an external table would keep them on disk).
-    data_cols = [c for c in cols if c not in parts]
-    view = f"_tg_empty_{abs(hash((table, staging)))}"
-    spark.createDataFrame([], tgt.schema).createOrReplaceTempView(view)
-    for t in same_partition(touched, staged.select(*parts).distinct(), "left_anti").toLocalIterator():
-        spec = ", ".join(f"{p}=NULL" if v is None else f"{p}='{v}'" for p, v in zip(parts, t))
-        with_static_overwrite(spark, lambda: spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) "
-            f"SELECT {', '.join('`%s`' % c for c in data_cols)} FROM {view}"))
-    spark.catalog.dropTempView(view)
+
+    def replaced() -> None:
+        view = f"_tg_upsert_{abs(hash((table, staging)))}"
+        staged.select(*cols).createOrReplaceTempView(view)
+        try:
+            _with_overwrite(spark, "dynamic", lambda: spark.sql(
+                f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(f'`{p}`' for p in parts)}) "
+                f"SELECT {', '.join('`%s`' % c for c in cols)} FROM {view}"))
+        finally:
+            spark.catalog.dropTempView(view)
+
+    step("replaced", replaced)
+    # one row for each partition that the load leaves empty, for one catalog call
+    step("cleared", lambda: _drop_partitions(spark, table, parts, [
+        tuple(r) for r in same_partition(touched, staged.select(*parts).distinct(), "left_anti").collect()]))
     spark.catalog.refreshTable(table)
     return touched.count()
 
 
-def with_static_overwrite(spark: SparkSession, action):
+def _drop_partitions(spark: SparkSession, table: str, parts: list[str], values: list[tuple]) -> None:
+    """Drop partitions and their files.  A catalog keeps the files of an external table, so those go by hand."""
+    if not values:
+        return
+    specs = ", ".join("PARTITION (" + ", ".join(f"`{p}` = {_literal(v)}" for p, v in zip(parts, row)) + ")" for row in values)
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    if facts.get("Type") == "EXTERNAL":
+        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        for row in values:
+            names = (escape(p, None if v is None else str(v)) for p, v in zip(parts, row))
+            path = jvm.org.apache.hadoop.fs.Path("/".join([facts["Location"].rstrip("/"), *names]))
+            path.getFileSystem(conf).delete(path, True)
+
+
+def _with_overwrite(spark: SparkSession, mode: str, action):
     key = "spark.sql.sources.partitionOverwriteMode"
     old = spark.conf.get(key)
-    spark.conf.set(key, "static")
+    spark.conf.set(key, mode)
     try:
         return action()
     finally:
         spark.conf.set(key, old)
+
+
+def with_static_overwrite(spark: SparkSession, action):
+    return _with_overwrite(spark, "static", action)
