@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from importlib import import_module
 
@@ -27,7 +28,9 @@ from tableguard import CheckSpec, RunContext, Suite, TableRef, run_suite
 from tableguard.operators import freshness as FR
 from tableguard.operators import history as H
 from tableguard.operators import loads as L
+from tableguard.operators import reports as K
 from tableguard.operators import results as R
+from tableguard.plans.isolated import isolated_run
 from tableguard.scratch import scratch_path
 from tableguard.sources.tables import daily_history, read_table
 
@@ -350,6 +353,77 @@ def q_stop_gate_rows(spark, d):
     return R.stop_gate_rows(orders_suite(spark, d), OR_CTX.dq_key)
 
 
+# -- reports over a kept table of two runs -----------------------------------------------
+RERUN_CTX = OR_CTX.with_(now=dt.datetime(2001, 8, 1, 8, 30))
+NEXT_CTX = RunContext.create("2001-08-02 06:00:00", now="2001-08-02 06:30:00", dq_key=996732000, env=ENV, db_user=DB_USER,
+                             unix_user=UNIX_USER)
+
+
+def _report_runs(spark, d) -> list[tuple[RunContext, list[Suite]]]:
+    """A run over two tables, a repetition of two of its rules under the same key, and a run of the next day."""
+    orders, lines = _orders_ref(spark, d), TableRef(LI_NAME, _t(spark, d, "lineitem"))
+    make = CheckSpec.make
+
+    def daily(threshold):
+        return make("day_to_day", columns=["count(*)"], group_by="CAST(o_orderdate AS DATE)", num_days=7, threshold=threshold,
+                    stop_on_failure=True, description="orders per day")
+
+    return [
+        (OR_CTX, [Suite(orders, [make("empty_null", columns=["o_orderstatus"]), make("unique", columns=["o_custkey"], stop_on_failure=True),
+                                 daily("0.0001"), make("up_to_date", columns=["o_orderdate"])]),
+                  Suite(lines, [make("unique", columns=["l_orderkey"], stop_on_failure=True), make("empty_null", columns=["l_tax"])])]),
+        (RERUN_CTX, [Suite(orders, [daily("0.9"), make("up_to_date", columns=["o_orderdate"])])]),
+        (NEXT_CTX, [Suite(orders, [make("unique", columns=["o_orderkey", "o_custkey"], stop_on_failure=True)]),
+                    Suite(lines, [make("unique", columns=["l_orderkey,l_linenumber"], stop_on_failure=True)])]),
+    ]
+
+
+_KEPT: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+
+
+def _kept_runs(spark, d) -> DataFrame:
+    """The kept table after those runs; each run is appended to a stored table and merged from there."""
+    hit = _KEPT.get((id(spark), d))
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    path, table = scratch_path(spark, "results"), f"kept_{uuid.uuid4().hex}"
+    R.create_results(spark, table, scratch_path(spark, "kept"))
+    for ctx, suites in _report_runs(spark, d):
+        R.append_results(run_suite(spark, suites, ctx), path)
+        own = R.read_results(spark, path).where((F.col("dq_run_date") == ctx.run_hour.date()) & (F.col("dq_end_tstamp") == ctx.now_col()))
+        K.keep_newest(spark, own, table, scratch_path(spark, "merge"))
+    kept = K.kept_results(spark, table)
+    _KEPT[id(spark), d] = spark, kept
+    return kept
+
+
+def q_verdicts_two_runs(spark, d):
+    return R.verdicts(_kept_runs(spark, d))
+
+
+def q_summary_two_runs(spark, d):
+    return R.summary(_kept_runs(spark, d))
+
+
+def q_failures_two_runs(spark, d):
+    return R.failures(_kept_runs(spark, d), NEXT_CTX.dq_key)
+
+
+def q_stop_gate_two_tables(spark, d):
+    return R.stop_gate_rows(_kept_runs(spark, d))
+
+
+def q_isolated_run(spark, d):
+    """A trial over lineitem: baselines from a stored table, verdicts and seeded band rows in a scratch table."""
+    path = scratch_path(spark, "results")
+    recent = _li_history(spark, d, "trending").where(F.col("dq_run_date") >= LI_ASOF - dt.timedelta(days=70))
+    R.append_results(recent, path)
+    specs = [CheckSpec.make("trending", columns=["count(*)"], threshold="0.1", description="lineitem rows shipped"),
+             CheckSpec.make("std_dev", columns=["count(*)"], threshold="1", description="weekly band")]
+    return isolated_run(spark, Suite(_li_target(spark, d), specs), LI_CTX, R.stored_results(spark, path),
+                        sink=scratch_path(spark, "trial"))
+
+
 OLD_LAYOUT_DROP = ["is_trial", "check_id", "dq_tgt_num", "dq_run_date"]
 
 
@@ -410,6 +484,36 @@ def q_load_append_delete(spark, d):
                   delete="o_orderdate >= TIMESTAMP '1998-07-01 00:00:00'")
 
 
+PART_COLUMNS = [*ORDER_COLUMNS, ("p", "string")]
+PART_KEY = "CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN 'it''s high' ELSE o_orderpriority END"
+
+
+def _partitioned_orders(spark, d) -> str:
+    """A catalog table of the orders before 1999, partitioned by a key with NULL and quoted values."""
+    name = f"orders_{uuid.uuid4().hex}"
+    L.create_table(spark, name, PART_COLUMNS, ["p"], scratch_path(spark, "orders"))
+    old = _t(spark, d, "orders").where(OLD_ORDERS).withColumn("p", F.expr(PART_KEY))
+    L.write_overwrite(spark, name, L.overwrite(old, PART_COLUMNS, LOAD_OLD_CTX))
+    return name
+
+
+def q_load_upsert_partitioned(spark, d):
+    """Orders of two priorities move to another partition: one of theirs is left empty."""
+    name = _partitioned_orders(spark, d)
+    src = (_t(spark, d, "orders").where("o_orderpriority IN ('5-LOW', '2-HIGH') AND (o_orderpriority = '5-LOW' OR o_orderkey % 3 = 0)")
+           .withColumn("p", F.lit("moved/low=1")))
+    L.write_upsert_partitions(spark, name, src, ["o_orderkey"], PART_COLUMNS, LOAD_CTX, scratch_path(spark, "staging"))
+    return spark.table(name)
+
+
+def q_load_delete_insert(spark, d):
+    name = _partitioned_orders(spark, d)
+    new = L.overwrite(_new_orders(spark, d).withColumn("p", F.expr(PART_KEY)), PART_COLUMNS, LOAD_CTX)
+    L.write_delete_insert(spark, name, new, "o_orderdate >= TIMESTAMP '1998-07-01 00:00:00' OR p = '4-NOT SPECIFIED'",
+                          scratch_path(spark, "staging"))
+    return spark.table(name)
+
+
 CONV_COLUMNS = [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")]
 
 
@@ -467,6 +571,22 @@ def q_task_freshness(spark, d):
     return FR.task_freshness(_task_log(spark, d), WANTED_TASKS, dt.date(2024, 1, 30))
 
 
+def q_freshness_kept(spark, d):
+    """Freshness without a look-back, from a state that a growing log advanced in three steps."""
+    name = f"fresh_{uuid.uuid4().hex}"
+    root = scratch_path(spark, "freshness")
+    FR.create_state(spark, name, root)
+    log = _upload_log(spark, d).withColumn("day", F.to_date("last_update_time"))
+    for end in ("2024-01-10", "2024-01-20", "2024-02-01"):
+        FR.advance_tables(spark, name, root, log.where(F.col("day") < end), "day")
+    tasks = _task_log(spark, d).withColumn("day", F.to_date("log_time"))
+    FR.advance_tasks(spark, name, root, tasks.where("day < DATE'2024-01-12'"), "day")
+    as_of = dt.date(2024, 1, 30)
+    state = spark.table(name)
+    return (FR.readiness(spark, FR.kept_tables(state, WANTED_TABLES, LOG_DBS), WANTED_TABLES, as_of, "table")
+            .unionByName(FR.readiness(spark, FR.kept_tasks(state, WANTED_TASKS), WANTED_TASKS, as_of, "task")))
+
+
 def q_readiness(spark, d):
     tables = FR.readiness(spark, q_table_freshness(spark, d), WANTED_TABLES, dt.date(2024, 1, 30), "table")
     as_of = dt.date(2024, 1, 31)
@@ -515,6 +635,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["failures"] = q_failures
     q["summary"] = q_summary
     q["stop_gate_rows"] = q_stop_gate_rows
+    q["verdicts_two_runs"] = q_verdicts_two_runs
+    q["summary_two_runs"] = q_summary_two_runs
+    q["failures_two_runs"] = q_failures_two_runs
+    q["stop_gate_two_tables"] = q_stop_gate_two_tables
+    q["isolated_run"] = q_isolated_run
     q["results_evolve"] = q_results_evolve
     q["stage_delete_insert"] = q_stage_delete_insert
     q["load_overwrite"] = q_load_overwrite
@@ -523,11 +648,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["load_append_partition"] = q_load_append_partition
     q["load_append_delete"] = q_load_append_delete
     q["load_upsert_composite"] = q_load_upsert_composite
+    q["load_upsert_partitioned"] = q_load_upsert_partitioned
+    q["load_delete_insert"] = q_load_delete_insert
     q["audit_columns"] = q_audit_columns
     q["load_observed_checks"] = q_load_observed_checks
     q["table_freshness"] = q_table_freshness
     q["task_freshness"] = q_task_freshness
     q["readiness"] = q_readiness
+    q["freshness_kept"] = q_freshness_kept
     return q | _text_queries()[0]
 
 

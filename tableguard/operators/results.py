@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import RunContext
+from ..scratch import scratch_root
 
 # Result table columns 1-21 in their stored order.
 RESULT_FIELDS = [
@@ -177,15 +178,10 @@ def stored_results(spark: SparkSession, path: str | None = None, table: str | No
 
 
 def scratch_results_path(spark: SparkSession, dq_key: int, fallback: str | None = None) -> str:
-    """Where an isolated (trial) run writes its verdicts.
-
-    The run still reads history from the permanent table; its own rows go to
-    ``<spark.checkpoint.dir>/tableguard-scratch/<dq_key>`` (the cluster's
-    shared folder), so a trial never becomes a later run's baseline.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if not base:
-        raise ValueError("spark.checkpoint.dir is not set")
+    """Where an isolated (trial) run writes its verdicts (``plans.isolated``): a folder of the run under the
+    cluster's shared folder (``fallback`` where a session has none set), so a trial never becomes a later run's
+    baseline."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or fallback or scratch_root(spark)
     return f"{base.rstrip('/')}/tableguard-scratch/{int(dq_key)}"
 
 

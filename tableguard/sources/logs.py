@@ -17,18 +17,18 @@ TASK_LOG_COLUMNS = {"db_schema": "string", "task": "string", "action": "string",
                     "log_time": "timestamp_ntz"}
 
 
-def _typed(df: DataFrame, columns: dict[str, str], what: str) -> DataFrame:
+def _typed(df: DataFrame, columns: dict[str, str], what: str, *also: str) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"{what} lacks columns {missing}")
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in columns.items()])
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in columns.items()], *also)
 
 
-def upload_log(df: DataFrame) -> DataFrame:
-    """``db_name, schema_name, table_name, last_update_time``."""
-    return _typed(df, UPLOAD_LOG_COLUMNS, "upload log")
+def upload_log(df: DataFrame, *also: str) -> DataFrame:
+    """``db_name, schema_name, table_name, last_update_time`` and other columns as they are."""
+    return _typed(df, UPLOAD_LOG_COLUMNS, "upload log", *also)
 
 
-def task_log(df: DataFrame) -> DataFrame:
-    """``db_schema, task, action, log_time``."""
-    return _typed(df, TASK_LOG_COLUMNS, "task log")
+def task_log(df: DataFrame, *also: str) -> DataFrame:
+    """``db_schema, task, action, log_time`` and other columns as they are."""
+    return _typed(df, TASK_LOG_COLUMNS, "task log", *also)

@@ -1,0 +1,79 @@
+"""Isolated runs and kept freshness."""
+
+import datetime as dt
+import uuid
+
+from tableguard import CheckSpec, RunContext, Suite, TableRef
+from tableguard.operators import freshness as FR
+from tableguard.operators import results as R
+from tableguard.plans.isolated import isolated_run, overlay
+from tableguard.sources.tables import daily_history
+
+CTX = RunContext.create("2024-03-01 06:00:00", now="2024-03-01 06:30:00", dq_key=5, env="TEST")
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_isolated_run_leaves_the_permanent_table_alone(spark, tmp_path):
+    t = spark.sql("SELECT DATE'2024-03-01' - CAST(id % 80 AS INT) AS d, id AS v FROM range(800)")
+    permanent = f"{tmp_path}/results"
+    R.append_results(daily_history(t, "d", {"count(*)": "count(*)"}, "a.b.t", "trending", before=CTX.as_of, env="TEST"), permanent)
+    before = _rows(R.read_results(spark, permanent))
+    suite = lambda: Suite(TableRef("a.b.t", t, "d = DATE'2024-03-01'"), [
+        CheckSpec.make("trending", columns=["count(*)"], threshold="0.1"), CheckSpec.make("std_dev", columns=["count(*)"], threshold="1")])
+    sink = f"{tmp_path}/scratch"
+    rows = isolated_run(spark, suite(), CTX, R.stored_results(spark, permanent), sink)
+    assert _rows(R.read_results(spark, permanent)) == before
+    own = rows.where("dq_key = 5")
+    assert {(r.dq_name, r.is_pass, r.dq_src_value) for r in own.collect()} == {("trending", True, "10"), ("std_dev", True, None)}
+    seeded = rows.where("dq_key IS NULL")
+    # run hours (06:00) after midnight nine weeks ago
+    assert seeded.count() == 63 and seeded.where("dq_name <> 'std_dev' OR NOT is_trial").count() == 0
+    # a further trial on top of it: the band now has eight weekly points of ten rows each
+    history = overlay(R.stored_results(spark, permanent), R.stored_results(spark, sink))
+    again = isolated_run(spark, suite(), CTX.with_(dq_key=6), history, f"{tmp_path}/second", seed=False)
+    band = again.where("dq_name = 'std_dev'").first()
+    assert band.is_pass and band.dq_src_value == "10|10 (last_src=10) (avg_diff=0) (src_stddev=0) (cnt=8)"
+    assert _rows(R.read_results(spark, permanent)) == before
+
+
+def test_look_back_is_a_parameter(spark):
+    log = spark.sql("SELECT 'db' AS db_name, 'S' AS schema_name, 'Old' AS table_name, TIMESTAMP_NTZ'2024-02-19 01:00:00' AS last_update_time")
+    as_of = dt.date(2024, 3, 1)
+    status = lambda **k: FR.readiness(spark, FR.table_freshness(log, ["s.old"], ["db"], as_of, **k), ["s.old"], as_of).first().status
+    assert (status(), status(lookback_days=11), status(lookback_days=12), status(lookback_days=None)) == ("MISSING", "MISSING", "WAITING", "WAITING")
+    tasks = spark.sql("SELECT 'e' AS db_schema, 't' AS task, 'end' AS action, TIMESTAMP_NTZ'2024-02-01 01:00:00' AS log_time")
+    assert FR.task_freshness(tasks, ["e.t"], as_of).count() == 0 and FR.task_freshness(tasks, ["e.t"], as_of, None).count() == 1
+
+
+def test_state_reads_new_partitions_only(spark, tmp_path):
+    name, root, path = f"fr_{uuid.uuid4().hex}", f"{tmp_path}/state", f"{tmp_path}/log"
+
+    def write(day, tables):
+        spark.createDataFrame([("db", "s", t, dt.datetime.fromisoformat(f"2024-02-{day:02d} {h:02d}:00:00"), dt.date(2024, 2, day)) for t, h in tables],
+                              "db_name string, schema_name string, table_name string, last_update_time timestamp_ntz, day date"
+                              ).write.mode("append").partitionBy("day").parquet(path)
+
+    log = lambda: spark.read.schema("db_name string, schema_name string, table_name string, last_update_time timestamp_ntz, day date").parquet(path)
+    FR.create_state(spark, name, root)
+    wanted = ["s.a", "S.B", "s.none"]
+    write(1, [("A", 1), ("b", 2)])
+    write(2, [("a", 3)])
+    FR.advance_tables(spark, name, root, log(), "day")
+    write(2, [("a", 9)])            # the last partition grows
+    write(3, [("c", 1), (None, 4)])
+    kept = spark.table(name)
+    assert kept.agg({"through": "max"}).first()[0] == "2024-02-02"
+    FR.advance_tables(spark, name, root, log(), "day")
+    full = FR.table_freshness(log(), wanted, ["db"], dt.date(2024, 3, 1), None)
+    assert _rows(FR.kept_tables(spark.table(name), wanted, ["db"])) == _rows(full)
+    # partitions before the last one are not read: a change in them does not show
+    write(1, [("b", 23)])
+    FR.advance_tables(spark, name, root, log(), "day")
+    assert {r.name: r.end_time.hour for r in FR.kept_tables(spark.table(name), wanted, ["db"]).collect()} == {"s.a": 9, "s.b": 2}
+    tasks = spark.sql("SELECT 'E' AS db_schema, 't' AS task, x AS action, TIMESTAMP_NTZ'2024-02-01 01:00:00' AS log_time, 'p1' AS part FROM VALUES ('end'), ('start') v(x)")
+    FR.advance_tasks(spark, name, root, tasks, "part")
+    assert FR.kept_tasks(spark.table(name), ["e.T"]).first().end_time == dt.datetime(2024, 2, 1, 1)
+    assert _rows(FR.kept_tables(spark.table(name), wanted, ["db"]))[0][0] == "s.a"
