@@ -28,6 +28,14 @@ def text_key() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
+def aside(df: DataFrame, inputs, made=()) -> tuple[DataFrame, dict[str, str]]:
+    """(df with all columns but ``inputs`` under names that no operator uses, {its name there: user's name}).
+    User columns that are named like one an operator makes (``made``) are left out."""
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    names = {f"_user_{i}": c for i, c in enumerate(df.columns) if c not in inputs and c not in made}
+    return df.select(*(quoted(c) for c in df.columns if c in inputs), *(quoted(c).alias(n) for n, c in names.items())), names
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
     Where it is unset, a local session gets a folder of its own; a cluster must set it."""

@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import aside
+
 WINDOW = 2
 DIVISOR = 2
 
@@ -70,8 +72,11 @@ def pairs(text: Column) -> Column:
 
 def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, passages: bool = False) -> DataFrame:
     """All columns of ``docs`` with the kept text, plus n_lines, n_chunks, removed_lines and
-    removed_chunks (with ``passages`` the chunks counted are the pairs of lines)."""
-    docs = docs.drop("n_lines", "n_chunks", "removed_lines", "removed_chunks", "row_key")
+    removed_chunks (with ``passages`` the chunks counted are the pairs of lines); these four replace user columns
+    of their names."""
+    counts = ("n_lines", "n_chunks", "removed_lines", "removed_chunks")
+    order = [c for c in docs.columns if c != "text" and c not in counts]
+    docs, names = aside(docs, ("doc_id", "text"), counts)
     keyed = docs.withColumn("row_key", row_key())
     own = pairs(F.col("text")) if passages else chunks(F.col("text"), window, divisor)
     places = (docs.select("doc_id", "text").withColumn("row_key", row_key())
@@ -125,11 +130,11 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, pa
                 F.aggregate(away, F.lit(0), lambda a, i: a + F.get(c, i)["n"]).cast("long").alias("removed_lines"),
                 F.size(away).cast("long").alias("removed_chunks"))))
 
-    counts = ("n_lines", "n_chunks", "removed_lines", "removed_chunks")
     others = [c for c in docs.columns if c != "text"]
     made = whole.select(*others, F.explode(F.array(F.when(F.col("text").isNotNull(), let(
         own, without_pairs if passages else rebuilt)))).alias("made"))
-    return made.select(*others, F.col("made.text").alias("text"),
+    back = {c: n for n, c in names.items()}
+    return made.select(*(F.col(back.get(c, c)).alias(c) for c in order), F.col("made.text").alias("text"),
                        *(F.coalesce(f"made.{c}", F.lit(0).cast("long")).alias(c) for c in counts))
 
 

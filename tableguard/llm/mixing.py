@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_key
+from .common import aside, text_key
 
 REPEATS = 3
 RUN_DIGITS = 3
@@ -63,20 +63,23 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) ->
 
 def schedule(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, texts: bool = False) -> DataFrame:
     """Each document's place: all columns of ``docs`` (``text`` on demand only), plus size, source_size,
-    target, start (words of its source before it) and taken (words the mix takes of it)."""
-    made = ["size", "source_no", "source_size", "weight", "target", "start", "taken", "run", "place"]
-    kept = [c for c in docs.columns if (texts or c != "text") and c not in made]
+    target, start (words of its source before it) and taken (words the mix takes of it); these replace user columns
+    of their names.  With ``texts``, documents that tie in id and size stand in the order of a hash of their text."""
+    made = ["size", "source_no", "source_size", "target", "start", "taken"]
+    order = [c for c in docs.columns if (texts or c != "text") and c not in made]
+    docs, names = aside(docs, ("doc_id", "source", "text"), made)
+    kept = [c for c in docs.columns if texts or c != "text"]
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = docs.select(*kept, F.coalesce(words(F.col("text")), F.lit(0)).alias("size"), key.alias("place"))
     src = source_targets(sized.select("source", "size"), weights, repeats).withColumnRenamed("source", "name")
     sized = (sized.withColumn("run", F.substring("place", 1, RUN_DIGITS)))
     runs = sized.groupBy("source", "run").agg(F.sum("size").alias("words"))
-    order = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("offset", F.coalesce(F.sum("words").over(order), F.lit(0)))
+    earlier = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
     runs = (runs.join(src, F.col("source").eqNullSafe(F.col("name")))
             .select(F.col("source").alias("run_source"), F.col("run").alias("run_no"), "offset",
                     "source_no", "source_size", "weight", "target"))
-    inside = (Window.partitionBy("source", "run").orderBy("place", "size")
+    inside = (Window.partitionBy("source", "run").orderBy("place", "size", *([F.xxhash64("text")] if texts else []))
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = placed.join(runs, F.col("source").eqNullSafe(F.col("run_source")) & (F.col("run") == F.col("run_no")))
@@ -84,8 +87,9 @@ def schedule(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, texts: bo
     end = F.floor("target")
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), end - k * F.col("source_size") - start))
                  for k in range(repeats)), F.lit(0))
-    return placed.select(*kept, "size", "source_no", "source_size", "target", start.cast("long").alias("start"),
-                         taken.cast("long").alias("taken"))
+    back = {c: n for n, c in names.items()}
+    return placed.select(*(F.col(back.get(c, c)).alias(c) for c in order), "size", "source_no", "source_size", "target",
+                         start.cast("long").alias("start"), taken.cast("long").alias("taken"))
 
 
 def mix(placed: DataFrame, repeats: int = REPEATS) -> DataFrame:

@@ -312,7 +312,7 @@ def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: i
         if n:
             comp = components(links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
             mixed = mixed_lists(mixed, comp)
-        if 64 * n < found.count():      # leaders no longer find much; the rest is joined
+        if 64 * n <= found.count():     # leaders no longer find much, or nothing; the rest is joined
             break
     rest = cross_pairs(mixed, ids, similar).join(
         pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
