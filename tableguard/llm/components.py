@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .arrays import materialize
 
 
 def _star(edges: DataFrame, smaller: bool) -> DataFrame:

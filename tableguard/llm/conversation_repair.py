@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import materialize
+from .arrays import materialize
 
 SEGMENT_ROWS, SEGMENT_BYTES = 512, 4 << 20
 # The edits' letters and costs, the roles that edits give, what ends a sentence, white space.

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import WORD, alnum_words, batch_of, text_key, texts
+from .arrays import WORD, alnum_words, batch_of, text_key, texts
 
 WINDOW = 10
 MAX_BLOCK_BYTES = 16 << 20

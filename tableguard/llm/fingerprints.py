@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, mix, powers, text_key, texts
+from .arrays import batch_of, mix, powers, text_key, texts
 
 LEVEL, KEEP = 2, 64
 ROWS_PER_RANGE, MAX_RANGES = 2000, 10_000

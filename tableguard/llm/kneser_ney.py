@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, checkpoint_root, materialize, pieces, space_words, text_key, utf8
+from .arrays import batch_of, checkpoint_root, materialize, pieces, space_words, text_key, utf8
 from .shared_arrays import load, save
 
 BLOCK, SHARDS, SPLIT = 4 << 20, 64, 8

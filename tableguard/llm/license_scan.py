@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, alnum_words, batch_of, text_key, texts
+from .arrays import WORD, alnum_words, batch_of, text_key, texts
 
 THRESHOLD = 0.8
 # Phrases of the base result and their labels.

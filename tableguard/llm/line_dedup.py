@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import aside
+from .arrays import aside
 
 WINDOW = 2
 DIVISOR = 2

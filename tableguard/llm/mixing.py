@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import aside, text_key
+from .arrays import aside, text_key
 
 REPEATS = 3
 RUN_DIGITS = 3

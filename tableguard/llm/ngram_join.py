@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, materialize, mix, pieces, space_words, text_key, utf8
+from .arrays import batch_of, materialize, mix, pieces, space_words, text_key, utf8
 from .components import components
 
 WORDS, SIMILAR = 5, 80          # shingle size; similarity in percent

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import pieces, text_key, utf8
+from .arrays import pieces, text_key, utf8
 
 CHUNK, STRIDE, WIDTH, FILTERS, ECHOES = 256, 224, 4, 8, 2
 LAGS = range(2, 20)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, batch_of, materialize, mix, pieces, prefix_hash, run_hash, text_key, texts, utf8
+from .arrays import BYTE_CODES, batch_of, materialize, mix, pieces, prefix_hash, run_hash, text_key, texts, utf8
 
 LENGTH, GRAM = 200, 48
 MAX_BUCKET = 2000
@@ -101,7 +101,7 @@ def _anchor_task(length: int):
 
 
 # -- one hash: the interval tree -----------------------------------------------------------
-def common(a: bytes, b: bytes) -> int:
+def shared_prefix(a: bytes, b: bytes) -> int:
     """Length of the common prefix."""
     lo, hi = 0, min(len(a), len(b))
     if a[:hi] == b[:hi]:
@@ -133,7 +133,7 @@ def repeat_groups(left: list[bytes], right: list[bytes], length: int) -> Iterato
     left: the texts before the anchor, reversed; right: from the anchor on.  Members are numbers of
     contexts; each group is diverse to the left and to the right, or ends where a context ends."""
     order = sorted(range(len(right)), key=right.__getitem__)
-    lcp = [common(right[i], right[j]) for i, j in zip(order, order[1:])]
+    lcp = [shared_prefix(right[i], right[j]) for i, j in zip(order, order[1:])]
     for r, a, b in intervals(lcp):
         need = length - r
         if need > max(len(left[i]) for i in order[a:b + 1]):
@@ -144,7 +144,7 @@ def repeat_groups(left: list[bytes], right: list[bytes], length: int) -> Iterato
             child += lcp[k] == r
             of[order[k + 1]] = child
         own = sorted(order[a:b + 1], key=left.__getitem__)
-        before = [common(left[i], left[j]) for i, j in zip(own, own[1:])]
+        before = [shared_prefix(left[i], left[j]) for i, j in zip(own, own[1:])]
         for n, x, y in intervals(before):
             members = own[x:y + 1]
             if n >= need and len({of[i] for i in members}) > 1:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, materialize, texts
+from .arrays import batch_of, materialize, texts
 
 MIN_DOCUMENTS, SMOOTHING, SCALE, TOP = 30, 5, 1_000_000_000, 50
 BLOCK_TERMS, DENSE = 2048, 8

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, checkpoint_root, materialize, text_key
+from .arrays import batch_of, checkpoint_root, materialize, text_key
 
 BLOCK, LANES = 1024, 32
 PERCENTILE = 90                 # share of a block's values that the packed width holds

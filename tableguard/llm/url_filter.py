@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of
+from .arrays import batch_of
 
 # The site rules (verdict, host/path).
 SITES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tableguard.llm import decontaminate, ngram_join
-from tableguard.llm.common import materialize
+from tableguard.llm.arrays import materialize
 from tableguard.llm.queries import ORACLES, QUERIES
 from tools.compare import digest
 
