@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableguard.llm import decontaminate, line_dedup, mixing, ngram_join, quality_cnn
-from tableguard.llm.common import aside, materialize
+from tableguard.llm.arrays import aside, materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
