@@ -30,6 +30,7 @@ from tableguard.operators import history as H
 from tableguard.operators import loads as L
 from tableguard.operators import reports as K
 from tableguard.operators import results as R
+from tableguard.plans.incremental import IncrementalChecks
 from tableguard.plans.isolated import isolated_run
 from tableguard.scratch import scratch_path
 from tableguard.sources.tables import daily_history, read_table
@@ -540,6 +541,24 @@ def q_load_observed_checks(spark, d):
     return oc.results(spark)
 
 
+def q_suite_incremental(spark, d):
+    """Rules over a partitioned copy of orders that grows between two runs: the second reads what is new."""
+    path, root = scratch_path(spark, "orders"), scratch_path(spark, "partials")
+    orders = _t(spark, d, "orders")
+
+    def grow(rows):
+        rows.write.mode("append").partitionBy("o_orderstatus").parquet(path)
+
+    specs = [CheckSpec.make("empty_null", columns=["o_orderpriority", "o_custkey"]),
+             CheckSpec.make("up_to_date", columns=["o_orderdate"]),
+             CheckSpec.make("trending", columns=["count(*)", "sum(o_custkey)", "max(o_custkey)", "min(o_orderkey)"], threshold="0.1")]
+    grow(orders.where("o_orderstatus <> 'P'"))
+    checks = IncrementalChecks(spark, "tpch.sf.orders", path, specs, root)
+    checks.partials()
+    grow(orders.where("o_orderstatus = 'P'"))
+    return checks.results(OR_CTX)
+
+
 def q_audit_columns(spark, d):
     return L.with_audit(_t(spark, d, "nation"), LOAD_CTX)
 
@@ -650,6 +669,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["load_upsert_composite"] = q_load_upsert_composite
     q["load_upsert_partitioned"] = q_load_upsert_partitioned
     q["load_delete_insert"] = q_load_delete_insert
+    q["suite_incremental"] = q_suite_incremental
     q["audit_columns"] = q_audit_columns
     q["load_observed_checks"] = q_load_observed_checks
     q["table_freshness"] = q_table_freshness
