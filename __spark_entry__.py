@@ -30,6 +30,8 @@ from tableguard.operators import history as H
 from tableguard.operators import loads as L
 from tableguard.operators import reports as K
 from tableguard.operators import results as R
+from tableguard.operators.partials import KeyRanges
+from tableguard.plans.file_statistics import StatisticsChecks
 from tableguard.plans.incremental import IncrementalChecks
 from tableguard.plans.isolated import isolated_run
 from tableguard.scratch import scratch_path
@@ -507,6 +509,20 @@ def q_load_upsert_partitioned(spark, d):
     return spark.table(name)
 
 
+def q_load_upsert_key_ranges(spark, d):
+    """Two updates of a few neighbouring keys: partitions are searched only where their kept key range meets them."""
+    name = f"orders_{uuid.uuid4().hex}"
+    L.create_table(spark, name, PART_COLUMNS, ["p"], scratch_path(spark, "orders"))
+    orders = _t(spark, d, "orders").withColumn("p", F.expr("concat('k', length(bin(o_orderkey)))"))
+    L.write_overwrite(spark, name, L.overwrite(orders, PART_COLUMNS, LOAD_OLD_CTX))
+    ranges = KeyRanges(spark, name, "o_orderkey", scratch_path(spark, "ranges"))
+    for lo, hi, status in ((100, 200, "1"), (150, 600, "2")):
+        src = orders.where(F.col("o_orderkey").between(lo, hi)).withColumn("o_orderstatus", F.lit(status))
+        L.write_upsert_partitions(spark, name, src, "o_orderkey", PART_COLUMNS, LOAD_CTX, scratch_path(spark, "staging"),
+                                  ranges=ranges)
+    return spark.table(name)
+
+
 def q_load_delete_insert(spark, d):
     name = _partitioned_orders(spark, d)
     new = L.overwrite(_new_orders(spark, d).withColumn("p", F.expr(PART_KEY)), PART_COLUMNS, LOAD_CTX)
@@ -541,6 +557,12 @@ def q_load_observed_checks(spark, d):
     return oc.results(spark)
 
 
+def q_suite_file_statistics(spark, d):
+    """Rules over orders whose metrics file footers hold."""
+    specs = [CheckSpec.make("trending", columns=["count(*)", "count(o_totalprice)", "max(o_custkey)", "min(o_orderkey)"], threshold="0.1")]
+    return StatisticsChecks(spark, "tpch.sf.orders", f"{d}/orders.parquet", specs).results(OR_CTX)
+
+
 def q_suite_incremental(spark, d):
     """Rules over a partitioned copy of orders that grows between two runs: the second reads what is new."""
     path, root = scratch_path(spark, "orders"), scratch_path(spark, "partials")
@@ -668,7 +690,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["load_append_delete"] = q_load_append_delete
     q["load_upsert_composite"] = q_load_upsert_composite
     q["load_upsert_partitioned"] = q_load_upsert_partitioned
+    q["load_upsert_key_ranges"] = q_load_upsert_key_ranges
     q["load_delete_insert"] = q_load_delete_insert
+    q["suite_file_statistics"] = q_suite_file_statistics
     q["suite_incremental"] = q_suite_incremental
     q["audit_columns"] = q_audit_columns
     q["load_observed_checks"] = q_load_observed_checks

@@ -325,15 +325,17 @@ def write_version(spark: SparkSession, table: str, df: DataFrame, location: str)
 
 
 def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, primary_key, columns,
-                            ctx: RunContext, staging: str, resume: bool = False) -> int:
+                            ctx: RunContext, staging: str, resume: bool = False, ranges=None) -> int:
     """L6 writer when kept rows keep their audit columns (``restamp=False``):
     rewrite only the partitions the update touches.
 
     Touched partitions are those holding a target row whose key is in the
-    source, and those the new rows land in.  Their keys are a small written
-    table; joined null-safely (a partition key may be NULL) they select the
-    rows to rewrite, so one plan serves any number of them and nothing is
-    collected or broadcast by force.  The new content is staged under
+    source, and those the new rows land in.  They are searched by key columns
+    only, within the partitions that ``ranges`` (``partials.KeyRanges``) names,
+    else in the whole table.  Their values, never more than the catalog's own
+    list, are written and become partition predicates, so only touched
+    partitions are read whole; a null-safe join (a partition key may be NULL)
+    selects the exact ones.  The new content is staged under
     ``staging`` first (the table is never read and overwritten at once), then
     written with one dynamic partition overwrite; touched partitions left
     without any row are dropped in one catalog call.
@@ -346,7 +348,8 @@ def write_upsert_partitions(spark: SparkSession, table: str, src: DataFrame, pri
     keys = src.select(*pk)
     return _rewrite_partitions(spark, table, with_audit(project(src, columns), ctx),
                                lambda tgt: tgt.join(keys, pk, "left_semi"),
-                               lambda tgt: tgt.join(keys, pk, "left_anti"), staging, resume)
+                               lambda tgt: tgt.join(keys, pk, "left_anti"), staging, resume,
+                               ranges and (lambda: ranges.candidates(keys)))
 
 
 def write_delete_insert(spark: SparkSession, table: str, new_rows: DataFrame, delete_pred: str | Column,
@@ -377,10 +380,21 @@ def _steps_done(spark: SparkSession, staging: str) -> set[str]:
     return done
 
 
+def in_partitions(df: DataFrame, parts: list[str], values: list[tuple]) -> DataFrame:
+    """Rows of ``df`` whose every partition column has one of its values in ``values``: a predicate that prunes
+    the scan, and a superset of those partitions where there are several columns."""
+    for i, p in enumerate(parts):
+        own = {row[i] for row in values}
+        some = F.col(p).isin(*sorted(own - {None}))
+        df = df.where(some | F.col(p).isNull() if None in own else some)
+    return df
+
+
 def _rewrite_partitions(spark: SparkSession, table: str, new_rows: DataFrame, removed, kept_of, staging: str,
-                        resume: bool = False) -> int:
+                        resume: bool = False, within=None) -> int:
     """Rewrite the partitions that hold ``removed(table)`` rows or receive ``new_rows`` with the new rows and
-    their ``kept_of`` rows; see ``write_upsert_partitions``.
+    their ``kept_of`` rows; see ``write_upsert_partitions``.  ``within()`` gives the partitions that may hold
+    removed rows (by default any).
 
     The steps, each marked in the staging folder when it is complete: list the touched partitions, stage their new
     rows, overwrite the partitions from the stage, drop those left empty.  The table is first changed when
@@ -408,10 +422,16 @@ def _rewrite_partitions(spark: SparkSession, table: str, new_rows: DataFrame, re
         right = right.select(*(F.col(p).alias(f"_tg_{p}") for p in parts))
         return left.join(right, reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_tg_{p}")) for p in parts]), how)
 
-    step("touched", lambda: removed(tgt).select(*parts).unionByName(new_rows.select(*parts)).distinct()
+    def search() -> None:
+        searched = tgt if within is None else in_partitions(tgt, parts, [tuple(r) for r in within().distinct().collect()])
+        (removed(searched).select(*parts).unionByName(new_rows.select(*parts)).distinct()
          .write.mode("overwrite").parquet(f"{staging}/touched"))
+
+    step("touched", search)
     touched = spark.read.schema(part_schema).parquet(f"{staging}/touched")
-    step("rows", lambda: new_rows.unionByName(kept_of(same_partition(tgt, touched, "left_semi")).select(*cols))
+    values = [tuple(r) for r in touched.collect()]
+    touched_rows = same_partition(in_partitions(tgt, parts, values), touched, "left_semi")
+    step("rows", lambda: new_rows.unionByName(kept_of(touched_rows).select(*cols))
          .write.mode("overwrite").partitionBy(*parts).parquet(f"{staging}/rows"))
     # The table's schema keeps partition values as written ('08', not 8).
     staged = spark.read.schema(tgt.schema).parquet(f"{staging}/rows")
@@ -431,7 +451,7 @@ def _rewrite_partitions(spark: SparkSession, table: str, new_rows: DataFrame, re
     step("cleared", lambda: _drop_partitions(spark, table, parts, [
         tuple(r) for r in same_partition(touched, staged.select(*parts).distinct(), "left_anti").collect()]))
     spark.catalog.refreshTable(table)
-    return touched.count()
+    return len(values)
 
 
 def _drop_partitions(spark: SparkSession, table: str, parts: list[str], values: list[tuple]) -> None:

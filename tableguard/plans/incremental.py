@@ -1,15 +1,12 @@
 """Checks that read new partitions only.
 
-The scalar metrics of a stored table are kept as partial results for each partition directory, together with a
-fingerprint of the directory's files.  A run lists the files (no rows are read for that), scans only directories
-whose fingerprint it does not know, replaces their partial results, drops those of directories that are gone, and
-merges the rest: counts and sums add up, minima and maxima compare, averages are sums over counts.  The merged row
-then goes through the suite's verdict plan, baselines included.  The kept results are a versioned table
-(``operators.versions``), replaced in one catalog call after the scan: a run that stops before has changed nothing.
+The scalar metrics of a stored table are kept as partial results for each partition directory
+(``operators.partials``).  A run scans only directories that are new or have other files and merges the rest: counts
+and sums add up, minima and maxima compare, averages are sums over counts.  The merged row then goes through the
+suite's verdict plan, baselines included.
 
 A rule set and filter have their own kept table (``state_name``), so a changed rule scans everything once.  Metrics that
-cannot be merged (distinct counts, expressions around aggregates) are refused; run them with ``run_suite``.  Files
-are told apart by their names, as writers never give a name twice.
+cannot be merged (distinct counts, expressions around aggregates) are refused; run them with ``run_suite``.
 """
 
 from __future__ import annotations
@@ -18,21 +15,17 @@ import hashlib
 import re
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import RunContext
-from ..operators import versions
+from ..operators.partials import SCHEME, DirectoryPartials
 from ..operators.results import VERDICT_COLUMNS, StoredResults, to_result
 from ..spec import CheckConfigError, CheckSpec, TableRef
 from . import suite as S
 
 MERGEABLE = ("trending", "std_dev", "empty_null", "up_to_date", "compare_to_source")
-# A directory is known by its path without the scheme: Spark writes ``file:/`` in one place, ``file:///`` in another.
-_SCHEME = r"^[A-Za-z0-9]+:/+"
-_LISTING = T.StructType([T.StructField("directory", T.StringType()), T.StructField("files", T.StringType())])
 
 
 def _partials(key: str, alias: str) -> tuple[list[tuple[str, str]], str]:
@@ -56,15 +49,6 @@ def _partials(key: str, alias: str) -> tuple[list[tuple[str, str]], str]:
     raise CheckConfigError(f"{arg!r} cannot be merged from partitions")
 
 
-def _listed(df: DataFrame) -> dict[str, str]:
-    """Directory -> fingerprint of its files, from the listing that Spark has made of the table."""
-    files: dict[str, list[str]] = {}
-    for f in df.inputFiles():
-        directory, _, name = f.rpartition("/")
-        files.setdefault(re.sub(_SCHEME, "/", directory), []).append(name)
-    return {d: hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest() for d, names in files.items()}
-
-
 class IncrementalChecks:
     """Scalar rules over the Parquet table at ``path``, with partial results under ``root``.
 
@@ -84,48 +68,28 @@ class IncrementalChecks:
         self.parts = {alias: _partials(key, alias) for key, alias in self.metrics.alias.items()}
         what = repr((table, self.path, filter, args, sorted(self.metrics.alias.items())))
         self.state_name = "tg_partials_" + hashlib.sha256(what.encode()).hexdigest()[:16]
-        self.scanned: list[str] = []
+        self.kept = DirectoryPartials(spark, self.state_name, f"{self.root}/{self.state_name}", self._read,
+                                      [f"{sql} AS {name}" for made, _ in self.parts.values() for name, sql in made],
+                                      lambda df: self._target(df).filtered())
 
-    def _read(self, *directories: str) -> DataFrame:
+    @property
+    def scanned(self) -> list[str]:
+        return self.kept.scanned
+
+    def _read(self, directories: list[str] | None = None) -> DataFrame:
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
-        scheme = re.match(_SCHEME, self.path)
-        paths = [unquote((scheme[0] if scheme else "/") + d[1:]) for d in directories]
+        scheme = re.match(SCHEME, self.path)
+        paths = [unquote((scheme[0] if scheme else "/") + d[1:]) for d in directories or ()]
         return reader.option("basePath", self.path).parquet(*(paths or [self.path]))
 
     def _target(self, df: DataFrame) -> TableRef:
         return TableRef(self.table, df, self.filter, self.args, self.segment)
 
-    def _partial_rows(self, listing: DataFrame, df: DataFrame) -> DataFrame:
-        """(directory, files, partial results) of the listed directories; one without a row has empty results."""
-        rows = self._target(df.withColumn("_tg_dir", F.regexp_replace(
-            F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1), _SCHEME, "/"))).filtered()
-        columns = [F.expr(f"{sql} AS {name}") for made, _ in self.parts.values() for name, sql in made]
-        return listing.join(rows.groupBy(F.col("_tg_dir").alias("directory")).agg(*columns), "directory", "left")
-
     def partials(self) -> DataFrame:
         """Bring the kept partial results up to the table's files; returns them."""
-        whole = self._read()
         if self.schema is None:
-            self.schema = whole.schema
-        now = _listed(whole)
-        listing = self.spark.createDataFrame(sorted(now.items()), _LISTING)
-        try:
-            kept = self.spark.table(self.state_name)
-        except AnalysisException:
-            empty = self._partial_rows(listing.limit(0), whole)
-            versions.create_versioned(self.spark, self.state_name, empty.schema, f"{self.root}/{self.state_name}")
-            kept = self.spark.table(self.state_name)
-        known = {(r.directory, r.files) for r in kept.select("directory", "files").collect()}      # one row a directory
-        new = {d: f for d, f in now.items() if (d, f) not in known}
-        self.scanned = sorted(new)
-        if not new and len(known) == len(now):
-            return kept
-        rows = kept.join(listing, ["directory", "files"], "left_semi")
-        if new:
-            fresh = self.spark.createDataFrame(sorted(new.items()), _LISTING)
-            rows = rows.unionByName(self._partial_rows(fresh, self._read(*sorted(new))))
-        versions.replace(self.spark, self.state_name, rows, f"{self.root}/{self.state_name}")
-        return self.spark.table(self.state_name)
+            self.schema = self._read().schema
+        return self.kept.current()
 
     def results(self, ctx: RunContext, history: DataFrame | StoredResults | None = None) -> DataFrame:
         """Result rows of the rules, as ``run_suite`` over the whole table gives them."""
