@@ -5,9 +5,11 @@ is one window) becomes a pattern ``" w1 w2 ... "``.  Each document is normalised
 lower-cased, words joined by single spaces) and scanned once; a match's end is turned into word
 numbers and from there into offsets of the original text.
 
-The automaton lives in every task, so its size is checked: items beyond ``max_block_bytes`` of
-text are dealt by id into several blocks with an automaton each, and the documents are scanned
-once for each block.  No text is shuffled while one block suffices.
+The automaton lives in every worker, so its size is checked: items beyond ``max_block_bytes`` of
+text are dealt by hash into several blocks with an automaton each, and the documents are scanned
+once for each block.  Spark tasks write the patterns of each block into the shared folder, and a
+worker reads a block once and keeps its automaton; the driver sees the blocks' file names only.
+No document is shuffled.
 
 Defined cases: a null or empty text has no words and no hits; an item without words matches
 nothing; items that share an id count as one; an item with a null id marks words but is not
@@ -16,6 +18,9 @@ counted; repeated document rows are scanned one by one; other columns are ignore
 
 from __future__ import annotations
 
+import pickle
+import uuid
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -23,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .arrays import WORD, alnum_words, batch_of, text_key, texts
+from .arrays import WORD, alnum_words, batch_of, checkpoint_root, materialize, text_key, texts
+from .shared_arrays import load, save
 
 WINDOW = 10
 MAX_BLOCK_BYTES = 16 << 20
@@ -78,28 +84,49 @@ def scan(text: bytes, a) -> tuple[int, list[int], list[str], list[list[int]]]:
     return len(words), np.flatnonzero(hit).tolist(), sorted(items), spans
 
 
-def item_blocks(benchmark: DataFrame, max_block_bytes: int) -> list[list[tuple]]:
-    """The items, in blocks of bounded text; each is fetched by itself."""
-    size = benchmark.agg(F.sum(F.octet_length(text_key()) + 64)).first()[0] or 0
+def pattern_files(benchmark: DataFrame, window: int, max_block_bytes: int) -> list[str]:
+    """The files of the blocks of items: each holds the patterns of a bounded amount of text."""
+    items = benchmark.select("item_id", "text")
+    size = items.agg(F.sum(F.octet_length(text_key()) + 64)).first()[0] or 0
     n = max(1, -(-int(size) // max_block_bytes))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[tuple(r) for r in benchmark.where(block == b).select("item_id", "text").toLocalIterator()]
-            for b in range(n)]
+    folder = f"{checkpoint_root(benchmark.sparkSession)}/items-{uuid.uuid4().hex}"
+
+    def task(batches):
+        held: dict[int, list[tuple]] = {}
+        for b in batches:
+            for block, item, text in zip(*(b.column(c).to_pylist() for c in ("block", "item_id", "text"))):
+                held.setdefault(block, []).append((item, text))
+        for block, own in held.items():
+            data = pickle.dumps(patterns(own, window))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "file": [save(folder, np.frombuffer(data, np.uint8))]})
+
+    rows = items.dropDuplicates().withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("long"))
+    made = materialize(rows.repartition(n, "block").mapInArrow(task, "block long, file string"), "items")
+    return [r.file for r in made.orderBy("block").collect()]
+
+
+_kept: dict[str, object] = {}
+
+
+def kept_automaton(path: str):
+    """The automaton of a block's file, built once in each worker; the worker keeps its newest one."""
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = automaton(pickle.loads(load(path, np.uint8).tobytes()))
+    return _kept[path]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   max_block_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
     """All columns of ``docs`` plus n_words, words (numbers of the hit words), items (ids as
     sorted strings) and spans ([start, end) of hit passages, in code points)."""
-    blocks = item_blocks(benchmark, max_block_bytes)
+    files = pattern_files(benchmark, window, max_block_bytes) or [None]      # None: no items
     kept = [f for f in docs.schema.fields if f.name not in SCHEMA.names]
     docs = docs.select([f.name for f in kept])
 
-    def scanned(rows: DataFrame, items: list[tuple], first: bool) -> DataFrame:
-        found = patterns(items, window)
-
+    def scanned(rows: DataFrame, file: str | None, first: bool) -> DataFrame:
         def task(batches):
-            a = automaton(found)
+            a = kept_automaton(file) if file else automaton({})
             for b in batches:
                 got = [scan(t, a) for t in texts(b.column("text"))]
                 new = batch_of(SCHEMA, [list(x) for x in zip(*got)] if got else [[]] * len(SCHEMA))
@@ -114,8 +141,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         return rows.mapInArrow(task, StructType([*kept, *StructType.fromDDL(ddl).fields]))
 
     out = docs
-    for k, items in enumerate(blocks):
-        out = scanned(out, items, k == 0)
+    for k, file in enumerate(files):
+        out = scanned(out, file, k == 0)
     return out
 
 

@@ -16,7 +16,8 @@ Scoring looks each block's distinct words and bigrams up in the mapped arrays:
 ``P(w|u) = max(c(uw) - D, 0) / c(u) + g(u) P1(w)``, with
 ``P1(w) = max(N(.w) - D', 0) / N(..) + g' / (V + 1)`` for N(.w) different words before w.  An
 unknown word has N = 0, an unknown context leaves P1.  The model grows with the corpus and no task or
-driver holds it; the driver sees file names and sums.
+driver holds it; the driver sees file names and sums.  Counts are 64 bits wide where 32 do not do; more than
+2^32 - 1 distinct words raise an error.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id is in the training part;
 rows that repeat count each time; without training rows every probability is 1 / (V + 1) = 1.
@@ -35,6 +36,7 @@ from .arrays import batch_of, checkpoint_root, materialize, pieces, space_words,
 from .shared_arrays import load, save
 
 BLOCK, SHARDS, SPLIT = 4 << 20, 64, 8
+NARROW = (1 << 32) - 1      # the largest count in 32 bits, and the largest number of a word in a bigram's key
 END = np.uint64(0x9D39247E33776D41)
 _COUNTS = pa.schema([("k", pa.int64()), ("c", pa.int64())])
 _FILES = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n1", pa.int64()), ("n2", pa.int64()),
@@ -125,6 +127,12 @@ def shard_of(u: np.ndarray, w: np.ndarray, size: int, ranges: int) -> np.ndarray
     return u * ranges // (size + 1) * SPLIT + w % SPLIT
 
 
+def load_counts(path: str, n: int) -> np.ndarray:
+    """Counts of ``n`` bigrams; a shard with a count beyond 32 bits holds 64 for each."""
+    narrow = load(path, np.uint32)
+    return narrow if len(narrow) == n else narrow.view(np.int64)
+
+
 # -- training --------------------------------------------------------------------------------
 def count_words(train: DataFrame, folder: str, shards: int) -> tuple[list[tuple[int, str, str]], int, int]:
     """Files of the word arrays, V and N."""
@@ -140,6 +148,8 @@ def count_words(train: DataFrame, folder: str, shards: int) -> tuple[list[tuple[
         r = by_shard.get(i)
         made.append((size, r.keys, r.counts) if r else (size, empty, empty))
         size, total = size + (r.n1 if r else 0), total + (r.n2 if r else 0)
+    if size > NARROW:
+        raise ValueError(f"{size} distinct words: a bigram's key holds two numbers of 32 bits")
     return made, size, total
 
 
@@ -156,7 +166,8 @@ def _writer(folder: str, kind: int):
                 held.setdefault(int(s[part[0]]), []).append((k[part].view(np.uint64), c[part]))
         for shard, parts in held.items():
             keys, counts = summed([p[0] for p in parts], [p[1] for p in parts])
-            names = save(folder, keys), save(folder, counts.astype(np.int64 if kind == 0 else np.uint32))
+            wide = kind == 0 or counts.max(initial=0) > NARROW
+            names = save(folder, keys), save(folder, counts.astype(np.int64 if wide else np.uint32))
             if kind == 0:
                 yield batch_of(_FILES, [[0], [shard], [len(keys)], [int(counts.sum())], [0], [0], [names[0]], [names[1]]])
                 continue
@@ -275,7 +286,7 @@ class Model:
             if files := self.m["bigrams"].get(int(shard[own[0]])):
                 keys = load(files[0], np.uint64)
                 at = np.minimum(np.searchsorted(keys, key[own]), len(keys) - 1)
-                out[own] = np.where(keys[at] == key[own], load(files[1], np.uint32)[at], 0)
+                out[own] = np.where(keys[at] == key[own], load_counts(files[1], len(keys))[at], 0)
         return out
 
     def unigram(self, ids: np.ndarray) -> np.ndarray:

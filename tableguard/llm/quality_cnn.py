@@ -167,15 +167,18 @@ def fold(column: str = "doc_id", n: int = 5) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS,
                   max_bytes: int = MAX_BYTES) -> list[tuple[bytes, int]]:
-    """The bounded sample; only rows whose crc32(doc_id) mod 5 is not 0."""
-    usable = labels.where((fold() != 0) & F.col("quality").isin(0, 1)).select("doc_id", "quality")
+    """The bounded sample; only rows whose crc32(doc_id) mod 5 is not 0.  An id that is labelled both 0 and 1 is
+    left out; of several texts of one id the least counts."""
+    usable = (labels.where((fold() != 0) & F.col("quality").isin(0, 1)).groupBy("doc_id")
+              .agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other"))
     chosen = [usable.where(F.col("quality") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
               for c in (0, 1)]
     # at most 2 * rows_per_class rows of two numbers
-    chosen = F.broadcast(chosen[0].unionByName(chosen[1]).dropDuplicates(["doc_id"]))
+    chosen = F.broadcast(chosen[0].unionByName(chosen[1]))
     rows = (docs.select("doc_id", text_key().alias("text")).where(F.octet_length("text") <= max_bytes)
-            .join(chosen, "doc_id").select("doc_id", "text", F.col("quality").cast("int").alias("quality")).collect())
-    rows = sorted((r.doc_id, r.text, r.quality) for r in rows)[:2 * rows_per_class]
+            .join(chosen, "doc_id").groupBy("doc_id")
+            .agg(F.min("text").alias("text"), F.min("quality").cast("int").alias("quality")).collect())
+    rows = sorted((r.doc_id, r.text, r.quality) for r in rows)
     return [(t.encode(), q) for _, t, q in rows]
 
 

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,6 +264,16 @@ def test_decontaminate(docs, rows, spark, most):
         assert got[i].items_sha256 == hashlib.sha256(",".join(names).encode()).hexdigest()
 
 
+def test_decontaminate_takes_patterns_from_written_blocks(spark):
+    bench = spark.createDataFrame([(i, f"w{i} x{i} y{i}") for i in range(400)] + [(3, "w3 x3 y3"), (900, "w3 x3 y3")], "item_id long, text string")
+    files = decontaminate.pattern_files(bench, 10, 1000)
+    assert 10 < len(files) < 60 and len(set(files)) == len(files)
+    docs = spark.createDataFrame([(1, "a w3 x3 y3 b W399 x399, y399"), (2, "w3 x4 y3"), (3, None)], "doc_id long, text string")
+    got = by_id(decontaminate.decontaminate(docs, bench, max_block_bytes=1000))
+    assert got[1].words == [1, 2, 3, 5, 6, 7] and got[1].items == ["3", "399", "900"]
+    assert [got[i].items for i in (2, 3)] == [[], []]
+
+
 def test_decontaminate_offsets(spark):
     docs = spark.createDataFrame([(1, "Ünder, ONE   two. x")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "one two")], "item_id long, text string")
@@ -348,6 +359,25 @@ def test_mixing(spark):
     assert sum(e.pass_words for e in entries) == sum(r.taken for r in got)
 
 
+def test_bigram_counts_beyond_32_bits(tmp_path):
+    keys = np.array([5, 7, 1 << 40], np.uint64)
+    for most in ((1 << 32) - 1, (1 << 32) + 7):
+        counts = np.array([1, most, 3], np.int64)
+        batch = pa.RecordBatch.from_pydict({"k": pa.array(keys.view(np.int64)), "c": pa.array(counts), "shard": pa.array([0, 0, 0])})
+        row = next(kneser_ney._writer(str(tmp_path), 1)([batch])).to_pylist()[0]
+        assert kneser_ney.load_counts(row["counts"], 3).tolist() == counts.tolist()
+        assert (row["n1"], row["n3"]) == (1, 1)
+
+
+def test_quality_training_rows_are_settled(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(3, "a text")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(8, 1), (9, 0), (3, 1), (3, 1), (None, 1)], "doc_id long, quality int")
+    used = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 and i not in (8, 9)]
+    want = [((b"a text" if i == 3 else b"text %d" % i), i % 2) for i in used]
+    assert quality_cnn.training_rows(docs, labels) == want
+    assert len(quality_cnn.training_rows(docs, labels.repartition(7), rows_per_class=4)) == 8
+
+
 def test_empty_tables(docs, spark):
     none = docs.limit(0)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
