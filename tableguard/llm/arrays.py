@@ -48,12 +48,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+#: Spark's own setting: a statement's shuffle files go when it ends, not when the driver next collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back: lineage ends here, and a lost
-    executor costs its running tasks only."""
+    executor costs its running tasks only.  What the write shuffled is removed as soon as it has ended."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,14 +11,16 @@ the same result; ``HEAD`` bounds the broadcast.
 Relations between sets save comparisons:
 
 * equal sets are one set (their answers are the same);
-* each index list is first compared with one leader only (a long list with several, if asked).  Sets already
-  joined through verified links share a component, and their pairs are skipped from then on: a set's
-  component is derived from what its highly similar leader has answered.  While the lists hold many
-  more open pairs than rows, further leaders take turns, so a large group of near copies needs a
-  logarithmic number of turns and not all its pairs;
-* what is left, pairs of different components in one list, is joined within blocks of the list:
-  blocks of sizes (a set meets its own block and the next larger one) skip by length, and the places of
-  the shared shingle, and 256 parity bits of each set, skip pairs that cannot reach the overlap.
+* each index list is first compared with one leader only (a long list with several, if asked), and the size of
+  each overlap is kept.  Sets already joined through verified links share a component, and their pairs are
+  skipped from then on.  While the lists hold many more open pairs than rows, further leaders take turns, so a
+  large group of near copies needs a logarithmic number of turns and not all its pairs;
+* the answers of two sets of a list follow from those of its leader, as far as they do (``derived``): with
+  ``o`` shingles in the leader, sets x and y share at least ``ox + oy - |leader|`` and at most
+  ``min(ox, oy) + min(|x| - ox, |y| - oy)``.  Pairs that this decides are never compared;
+* what is left, pairs of different components in one list, is joined by blocks of the list: a set meets only
+  the size blocks, and within each only the place blocks, in which the overlap can still be reached; all
+  other blocks are skipped, as they are not in its join keys.  256 parity bits of each set skip further pairs.
 
 Surviving candidates are verified on the whole sets.  A list's leader comes from a partial aggregation
 and is joined back, so a hot list is never gathered.  Set ids are 64-bit hashes.
@@ -45,6 +47,7 @@ HEAD, BLOCK = 1 << 17, 4 << 20  # frequent shingles kept; shingles counted at a
 BITMAP = 1 << 23                # bits of the filter for wanted sets
 LEADERS = 8                     # leaders a turn
 LONG = 2 * LEADERS              # rows of a long list
+PLACES = 4                      # place blocks of a size block
 OPEN = 8                        # open pairs for each index row that are joined without another leader
 _STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1) for k in range(64)]
 
@@ -201,33 +204,101 @@ def reachable(similar: int) -> Column:
             & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= need))
 
 
-def size_block(n: Column, similar: int) -> Column:
-    """Number of the size block: block i begins at bounds[i]; sizes that may be similar are in the same
-    or in neighbouring blocks."""
+def size_bounds(similar: int) -> list[int]:
+    """First sizes of the size blocks; sizes that may be similar are in the same or in neighbouring blocks."""
     bounds = [1]
     while bounds[-1] < 1 << 31:
         bounds.append(bounds[-1] * 100 // similar + 1)
-    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= n))
+    return bounds
 
 
-def verified(docs: DataFrame, pairs: DataFrame, k: int, similar: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def size_block(n: Column, similar: int) -> Column:
+    """Number of the size block, from 1: block i begins at ``size_bounds[i - 1]``."""
+    return F.size(F.filter(F.array(*map(F.lit, size_bounds(similar))), lambda b: b <= n))
+
+
+def block_ends(block: Column, similar: int) -> tuple[Column, Column]:
+    """Smallest and largest size of a size block; null beyond the last."""
+    bounds = F.array(*(F.lit(b).cast("long") for b in size_bounds(similar)))
+    return F.get(bounds, block - 1), F.get(bounds, block) - 1
+
+
+def place_width(largest: Column, similar: int) -> Column:
+    """Width of the place blocks of a size block whose largest size is given."""
+    return F.greatest(F.lit(1), F.ceil(largest * (100 - similar) / (100 * PLACES)))
+
+
+def own_blocks(n: Column, pos: Column, similar: int) -> Column:
+    """The key of the block that an index row stands in: struct(size block, place block)."""
+    block = size_block(n, similar)
+    _, largest = block_ends(block, similar)
+    return F.struct(block.alias("size"), F.floor(pos / place_width(largest, similar)).cast("long").alias("place"))
+
+
+def met_blocks(n: Column, pos: Column, similar: int) -> Column:
+    """The keys of all blocks with rows that a row of size ``n`` at ``pos`` may meet, sizes of at least ``n``.
+
+    A size block is skipped when even its smallest size asks for more shingles than stand from ``pos`` on;
+    within it, place blocks are skipped that begin behind the last place from which its largest size still
+    reaches the overlap."""
+    def of(block: Column) -> Column:
+        smallest, largest = block_ends(block, similar)
+        smallest = F.greatest(smallest, n.cast("long"))
+        sizes = F.least(largest, F.floor(n.cast("long") * 100 / similar))     # the largest size that may be similar
+        last = F.floor((sizes * 100 - n * similar) / (100 + similar))         # the last place in a set of that size
+        open_ = ((smallest <= sizes) & (last >= 0)
+                 & ((n - pos).cast("long") * (100 + similar) >= (n.cast("long") + smallest) * similar))
+        places = F.sequence(F.lit(0).cast("long"), F.floor(last / place_width(largest, similar)).cast("long"))
+        return F.when(open_, F.transform(places, lambda p: F.struct(block.alias("size"), p.alias("place"))))
+    block = size_block(n, similar)
+    none = F.array().cast("array<struct<size:int,place:bigint>>")
+    return F.concat(F.coalesce(of(block), none), F.coalesce(of(block + 1), none))
+
+
+def derived(similar: int, na="na", nb="nb", oa="oa", ob="ob", leader="ln") -> tuple[Column, Column]:
+    """(surely similar, surely not) from the overlaps oa, ob of two sets with a third one of size ``leader``;
+    both false where an overlap is not known."""
+    na, nb, oa, ob, leader = map(F.col, (na, nb, oa, ob, leader))
+    need = (na + nb) * similar
+    least, most = oa + ob - leader, F.least(oa, ob) + F.least(na - oa, nb - ob)
+    known = oa.isNotNull() & ob.isNotNull() & leader.isNotNull()
+    return known & (least * (100 + similar) >= need), known & (most * (100 + similar) < need)
+
+
+def overlaps(docs: DataFrame, pairs: DataFrame, k: int, similar: int) -> DataFrame:
+    """(a, b, o, similar): the pairs with the overlap of their whole sets and whether it is enough."""
     wanted = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
     sets = whole_sets(docs, wanted, k)
     side = lambda x: sets.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"))
     both = F.size(F.array_intersect("sa", "sb"))
-    enough = 100 * both >= similar * (F.col("na") + F.col("nb") - both)
-    return pairs.join(side("b"), "b").join(side("a"), "a").where(enough).select("a", "b")
+    enough = 100 * F.col("o") >= similar * (F.col("na") + F.col("nb") - F.col("o"))
+    return (pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", both.cast("long").alias("o"))
+            .select("a", "b", "o", enough.alias("similar")))
+
+
+def verified(docs: DataFrame, pairs: DataFrame, k: int, similar: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
+    return overlaps(docs, pairs, k, similar).where("similar").select("a", "b")
 
 
 def mixed_lists(lists: DataFrame, comp: DataFrame) -> DataFrame:
-    """The lists that still hold several components, with each set's component."""
-    lists = (lists.select("t", "k", "n", "pos").join(comp.withColumnRenamed("node", "k"), "k", "left")
-             .select("t", "k", "n", "pos", F.coalesce("component", "k").alias("component")))
+    """The lists that still hold several components, with each set's component; all other columns stay."""
+    kept = [c for c in lists.columns if c not in ("t", "component")]
+    lists = (lists.select("t", *kept).join(comp.withColumnRenamed("node", "k"), "k", "left")
+             .select("t", *kept, F.coalesce("component", "k").alias("component")))
     mixed = lists.groupBy("t").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     return materialize(lists.join(materialize(mixed.select("t"), "mixed"), "t", "left_semi"), "mixed")
 
 
+def answered(mixed: DataFrame, answers: DataFrame) -> DataFrame:
+    """The lists with ln, the size of their leader, and o, each set's overlap with it where it was computed."""
+    leader = mixed.where("k = lead").select("t", F.col("n").cast("long").alias("ln"))
+    known = answers.select(F.col("a").alias("lead"), F.col("b").alias("k"), "o").dropDuplicates(["lead", "k"])
+    rows = mixed.join(known, ["lead", "k"], "left").join(leader, "t", "left")
+    own = F.when(F.col("k") == F.col("lead"), F.col("n").cast("long")).otherwise(F.col("o"))
+    return materialize(rows.select("t", "k", "n", "pos", "component", own.alias("o"), "ln"), "answered")
+
+
 def open_pairs(mixed: DataFrame) -> tuple[int, int]:
     """(bound of the pairs of different components, rows) of the lists."""
     of = mixed.groupBy("t", "component").agg(F.count("*").cast("double").alias("m"))
@@ -237,34 +308,37 @@ def open_pairs(mixed: DataFrame) -> tuple[int, int]:
 
 
 def cross_pairs(mixed: DataFrame, ids: DataFrame, similar: int) -> DataFrame:
-    """Pairs of different components that share an indexed shingle and pass the filters by length,
-    place and parity bits; each pair once."""
+    """(a, b, sure): pairs of different components that share an indexed shingle and pass the filters by size,
+    place and parity bits and by their leader's answers, each pair once; sure: those answers make it a link."""
     bits = ids.where("k is not null").select("k", *(F.get("x", i).alias(f"x{i}") for i in range(4))).dropDuplicates(["k"])
     mixed = mixed.join(bits, "k")
-    block = size_block(F.col("n"), similar)
-    a = mixed.select("t", F.col("k").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
-                     F.col("component").alias("ca"), *(F.col(f"x{i}").alias(f"xa{i}") for i in range(4)),
-                     F.explode(F.array(block, block + 1)).alias("block"))
-    b = mixed.select("t", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
-                     F.col("component").alias("cb"), *(F.col(f"x{i}").alias(f"xb{i}") for i in range(4)),
-                     block.alias("block"))
+    side = lambda x, block: mixed.select(
+        "t", F.col("k").alias(x), *(F.col(c).alias(s) for c, s in (("n", f"n{x}"), ("pos", f"p{x}"), ("component", f"c{x}"), ("o", f"o{x}"))),
+        *(F.col(f"x{i}").alias(f"x{x}{i}") for i in range(4)), *([F.col("ln")] if x == "a" else []), block.alias("block"))
+    a = side("a", F.explode(met_blocks(F.col("n"), F.col("pos"), similar)))
+    b = side("b", own_blocks(F.col("n"), F.col("pos"), similar))
     differ = sum((F.bit_count(F.col(f"xa{i}").bitwiseXOR(F.col(f"xb{i}"))) for i in range(4)), F.lit(0))
     # similar sets differ in at most (100 - similar) / (100 + similar) of their shingles
     near = differ * (100 + similar) <= (100 - similar) * (F.col("na") + F.col("nb"))
-    return (a.join(b, ["t", "block"]).where("ca <> cb AND (na < nb OR na = nb AND a < b)").where(near)
-            .where(reachable(similar)).select("a", "b").distinct())
+    sure, never = derived(similar)
+    flat = lambda d: d.select("*", "block.size", "block.place").drop("block")
+    return (flat(a).join(flat(b), ["t", "size", "place"]).where("ca <> cb AND (na < nb OR na = nb AND a < b)").where(near)
+            .where(reachable(similar)).where(~never).select("a", "b", sure.alias("sure"))
+            .groupBy("a", "b").agg(F.max("sure").alias("sure")))
 
 
 def new_star_pairs(mixed: DataFrame, turn: int, similar: int) -> DataFrame:
-    """More leaders for each list, by hashes that change with the turn, with the sets of other
-    components that may be similar to them."""
-    orders = [F.min(F.struct(F.xxhash64("k", F.lit(turn * LEADERS + i)).alias("order"), "k", "n", "pos", "component"))
+    """(a, b, sure): more leaders for each list, by hashes that change with the turn, with the sets of other
+    components that may be similar to them; what the first leader's answers rule out is left out."""
+    orders = [F.min(F.struct(F.xxhash64("k", F.lit(turn * LEADERS + i)).alias("order"), "k", "n", "pos", "component", "o"))
               for i in range(LEADERS)]
     leader = mixed.groupBy("t").agg(F.array(*orders).alias("x")).select("t", F.explode("x").alias("x")).select(
         "t", F.col("x.k").alias("a"), F.col("x.n").alias("na"), F.col("x.pos").alias("pa"),
-        F.col("x.component").alias("ca"))
-    rows = mixed.select("t", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), "component")
-    return rows.join(leader, "t").where("component <> ca").where(reachable(similar)).select("a", "b").distinct()
+        F.col("x.component").alias("ca"), F.col("x.o").alias("oa"))
+    rows = mixed.select("t", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), "component", F.col("o").alias("ob"), "ln")
+    sure, never = derived(similar)
+    return (rows.join(leader, "t").where("component <> ca").where(reachable(similar)).where(~never)
+            .groupBy("a", "b").agg(F.max(sure).alias("sure")))
 
 
 def star_pairs(lists: DataFrame, similar: int) -> DataFrame:
@@ -278,7 +352,15 @@ def star_pairs(lists: DataFrame, similar: int) -> DataFrame:
 def long_lists(lists: DataFrame, long: int) -> DataFrame:
     """The rows of lists of more than ``long`` sets, each its own component."""
     many = lists.groupBy("t").count().where(F.col("count") > long).select("t")
-    return lists.select("t", "k", "n", "pos", F.col("k").alias("component")).join(many, "t", "left_semi")
+    nothing = F.lit(None).cast("long")
+    return (lists.select("t", "k", "n", "pos", F.col("k").alias("component"), nothing.alias("o"), nothing.alias("ln"))
+            .join(many, "t", "left_semi"))
+
+
+def decided(docs: DataFrame, pairs: DataFrame, k: int, similar: int) -> DataFrame:
+    """The links among pairs (a, b, sure): the sure ones, and the others after a comparison of whole sets."""
+    compared = verified(docs, pairs.where("NOT sure"), k, similar)
+    return materialize(compared.unionByName(pairs.where("sure").select("a", "b")), "links")
 
 
 def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: int = HEAD,
@@ -295,19 +377,19 @@ def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: i
     lists = materialize(lists.dropDuplicates(["t", "k"]), "lists")     # equal sets of several tasks
     pairs = star_pairs(lists, similar)
     if long is not None:
-        pairs = pairs.unionByName(new_star_pairs(long_lists(lists, long), 0, similar))
+        pairs = pairs.unionByName(new_star_pairs(long_lists(lists, long), 0, similar).select("a", "b"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = materialize(pairs, "pairs")
-    links = materialize(verified(docs, pairs, k, similar), "links")
-    comp = components(links)
-    turn, mixed = 0, mixed_lists(lists, comp)
+    answers = materialize(overlaps(docs, pairs, k, similar), "answers")
+    comp = components(answers.where("similar").select("a", "b"))
+    turn, mixed = 0, answered(mixed_lists(lists, comp), answers)
     while True:     # a large group of near copies: more leaders, until few open pairs are left
         open_, rows = open_pairs(mixed)
         if open_ <= OPEN * rows:
             break
         turn += 1
         found = materialize(new_star_pairs(mixed, turn, similar), "pairs")
-        links = materialize(verified(docs, found, k, similar), "links")
+        links = decided(docs, found, k, similar)
         n = links.count()
         if n:
             comp = components(links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
@@ -316,8 +398,7 @@ def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: i
             break
     rest = cross_pairs(mixed, ids, similar).join(
         pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
-    rest = materialize(rest, "pairs")
-    links = materialize(verified(docs, rest, k, similar), "links")
+    links = decided(docs, materialize(rest, "pairs"), k, similar)
     if links.limit(1).count():
         comp = components(links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     named = ids.join(comp.withColumnRenamed("node", "k"), "k", "left").select(
