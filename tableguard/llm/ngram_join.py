@@ -33,6 +33,7 @@ doc_id never names a component that has another id; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ HEAD, BLOCK = 1 << 17, 4 << 20  # frequent shingles kept; shingles counted at a
 BITMAP = 1 << 23                # bits of the filter for wanted sets
 LEADERS = 8                     # leaders a turn
 LONG = 2 * LEADERS              # rows of a long list
-PLACES = 4                      # place blocks of a size block
+PLACES = 2                      # place blocks of a size block
 OPEN = 8                        # open pairs for each index row that are joined without another leader
 _STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1) for k in range(64)]
 
@@ -205,22 +206,23 @@ def reachable(similar: int) -> Column:
 
 
 def size_bounds(similar: int) -> list[int]:
-    """First sizes of the size blocks; sizes that may be similar are in the same or in neighbouring blocks."""
+    """First sizes of the size blocks, the powers of 100 / similar rounded up: sizes that may be similar are in the
+    same or in neighbouring blocks."""
     bounds = [1]
     while bounds[-1] < 1 << 31:
-        bounds.append(bounds[-1] * 100 // similar + 1)
+        i = len(bounds)
+        bounds.append(-(-100 ** i // similar ** i))
     return bounds
 
 
 def size_block(n: Column, similar: int) -> Column:
-    """Number of the size block, from 1: block i begins at ``size_bounds[i - 1]``."""
-    return F.size(F.filter(F.array(*map(F.lit, size_bounds(similar))), lambda b: b <= n))
-
-
-def block_ends(block: Column, similar: int) -> tuple[Column, Column]:
-    """Smallest and largest size of a size block; null beyond the last."""
-    bounds = F.array(*(F.lit(b).cast("long") for b in size_bounds(similar)))
-    return F.get(bounds, block - 1), F.get(bounds, block) - 1
+    """struct(size, largest, next): number of the size block of n from 0, its largest size and the next block's."""
+    bounds = F.array(*(F.lit(b).cast("long") for b in [*size_bounds(similar), 1 << 62, 1 << 62, 1 << 62]))
+    guess = F.floor(F.log(n.cast("double")) / math.log(100 / similar)).cast("int")     # off by one at most
+    number = guess + F.when(n < F.get(bounds, guess), -1).when(n >= F.get(bounds, guess + 1), 1).otherwise(0)
+    made = F.transform(F.array(number), lambda i: F.struct(
+        i.alias("size"), (F.get(bounds, i + 1) - 1).alias("largest"), (F.get(bounds, i + 2) - 1).alias("next")))
+    return F.element_at(made, 1)
 
 
 def place_width(largest: Column, similar: int) -> Column:
@@ -228,31 +230,28 @@ def place_width(largest: Column, similar: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(largest * (100 - similar) / (100 * PLACES)))
 
 
-def own_blocks(n: Column, pos: Column, similar: int) -> Column:
-    """The key of the block that an index row stands in: struct(size block, place block)."""
-    block = size_block(n, similar)
-    _, largest = block_ends(block, similar)
-    return F.struct(block.alias("size"), F.floor(pos / place_width(largest, similar)).cast("long").alias("place"))
+def own_block(of: Column, pos: Column, similar: int) -> Column:
+    """The key of the block that an index row stands in, struct(size, place); ``of``: the size_block of its set."""
+    return F.struct(of["size"].alias("size"), F.floor(pos / place_width(of["largest"], similar)).cast("long").alias("place"))
 
 
-def met_blocks(n: Column, pos: Column, similar: int) -> Column:
+def met_blocks(of: Column, n: Column, pos: Column, similar: int) -> Column:
     """The keys of all blocks with rows that a row of size ``n`` at ``pos`` may meet, sizes of at least ``n``.
 
     A size block is skipped when even its smallest size asks for more shingles than stand from ``pos`` on;
     within it, place blocks are skipped that begin behind the last place from which its largest size still
     reaches the overlap."""
-    def of(block: Column) -> Column:
-        smallest, largest = block_ends(block, similar)
-        smallest = F.greatest(smallest, n.cast("long"))
-        sizes = F.least(largest, F.floor(n.cast("long") * 100 / similar))     # the largest size that may be similar
+    n = n.cast("long")
+
+    def met(size: Column, smallest: Column, largest: Column) -> Column:
+        sizes = F.least(largest, F.floor(n * 100 / similar))                  # the largest size that may be similar
         last = F.floor((sizes * 100 - n * similar) / (100 + similar))         # the last place in a set of that size
-        open_ = ((smallest <= sizes) & (last >= 0)
-                 & ((n - pos).cast("long") * (100 + similar) >= (n.cast("long") + smallest) * similar))
+        open_ = (smallest <= sizes) & (last >= 0) & ((n - pos) * (100 + similar) >= (n + smallest) * similar)
         places = F.sequence(F.lit(0).cast("long"), F.floor(last / place_width(largest, similar)).cast("long"))
-        return F.when(open_, F.transform(places, lambda p: F.struct(block.alias("size"), p.alias("place"))))
-    block = size_block(n, similar)
+        return F.when(open_, F.transform(places, lambda p: F.struct(size.alias("size"), p.alias("place"))))
     none = F.array().cast("array<struct<size:int,place:bigint>>")
-    return F.concat(F.coalesce(of(block), none), F.coalesce(of(block + 1), none))
+    return F.concat(F.coalesce(met(of["size"], n, of["largest"]), none),
+                    F.coalesce(met(of["size"] + 1, of["largest"] + 1, of["next"]), none))
 
 
 def derived(similar: int, na="na", nb="nb", oa="oa", ob="ob", leader="ln") -> tuple[Column, Column]:
@@ -290,13 +289,15 @@ def mixed_lists(lists: DataFrame, comp: DataFrame) -> DataFrame:
     return materialize(lists.join(materialize(mixed.select("t"), "mixed"), "t", "left_semi"), "mixed")
 
 
-def answered(mixed: DataFrame, answers: DataFrame) -> DataFrame:
-    """The lists with ln, the size of their leader, and o, each set's overlap with it where it was computed."""
+def answered(mixed: DataFrame, answers: DataFrame, similar: int) -> DataFrame:
+    """The lists with ln, the size of their leader, and o, each set's overlap with it where it was computed,
+    and ``of``, the block of its size."""
     leader = mixed.where("k = lead").select("t", F.col("n").cast("long").alias("ln"))
     known = answers.select(F.col("a").alias("lead"), F.col("b").alias("k"), "o").dropDuplicates(["lead", "k"])
     rows = mixed.join(known, ["lead", "k"], "left").join(leader, "t", "left")
     own = F.when(F.col("k") == F.col("lead"), F.col("n").cast("long")).otherwise(F.col("o"))
-    return materialize(rows.select("t", "k", "n", "pos", "component", own.alias("o"), "ln"), "answered")
+    return materialize(rows.select("t", "k", "n", "pos", "component", own.alias("o"), "ln",
+                                   size_block(F.col("n"), similar).alias("of")), "answered")
 
 
 def open_pairs(mixed: DataFrame) -> tuple[int, int]:
@@ -315,8 +316,8 @@ def cross_pairs(mixed: DataFrame, ids: DataFrame, similar: int) -> DataFrame:
     side = lambda x, block: mixed.select(
         "t", F.col("k").alias(x), *(F.col(c).alias(s) for c, s in (("n", f"n{x}"), ("pos", f"p{x}"), ("component", f"c{x}"), ("o", f"o{x}"))),
         *(F.col(f"x{i}").alias(f"x{x}{i}") for i in range(4)), *([F.col("ln")] if x == "a" else []), block.alias("block"))
-    a = side("a", F.explode(met_blocks(F.col("n"), F.col("pos"), similar)))
-    b = side("b", own_blocks(F.col("n"), F.col("pos"), similar))
+    a = side("a", F.explode(met_blocks(F.col("of"), F.col("n"), F.col("pos"), similar)))
+    b = side("b", own_block(F.col("of"), F.col("pos"), similar))
     differ = sum((F.bit_count(F.col(f"xa{i}").bitwiseXOR(F.col(f"xb{i}"))) for i in range(4)), F.lit(0))
     # similar sets differ in at most (100 - similar) / (100 + similar) of their shingles
     near = differ * (100 + similar) <= (100 - similar) * (F.col("na") + F.col("nb"))
@@ -382,7 +383,7 @@ def near_groups(docs: DataFrame, k: int = WORDS, similar: int = SIMILAR, head: i
     pairs = materialize(pairs, "pairs")
     answers = materialize(overlaps(docs, pairs, k, similar), "answers")
     comp = components(answers.where("similar").select("a", "b"))
-    turn, mixed = 0, answered(mixed_lists(lists, comp), answers)
+    turn, mixed = 0, answered(mixed_lists(lists, comp), answers, similar)
     while True:     # a large group of near copies: more leaders, until few open pairs are left
         open_, rows = open_pairs(mixed)
         if open_ <= OPEN * rows:

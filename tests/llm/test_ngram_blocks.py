@@ -11,13 +11,15 @@ from tableguard.llm import ngram_join as J
 def test_blocks_lose_no_reachable_pair(spark, similar):
     """Every pair of index rows that passes the size and place filter meets in exactly one block."""
     rng = np.random.default_rng(similar)
-    sizes = [*range(1, 40), *map(int, rng.integers(1, 4000, 160))]
+    sizes = [*range(1, 40), 125, 15625, 9765625, 1 << 30, *map(int, rng.integers(1, 4000, 160))]
     rows = [(i, n, int(rng.integers(0, J.prefix_size(n, similar)))) for i, n in enumerate(sizes)]
-    at = spark.createDataFrame(rows, "i int, n int, pos int")
+    at = spark.createDataFrame(rows, "i int, n int, pos int").withColumn("of", J.size_block(F.col("n"), similar))
+    bounds = J.size_bounds(similar)
+    assert all(bounds[r.of.size] <= r.n <= r.of.largest == bounds[r.of.size + 1] - 1 for r in at.collect())
     a = at.select(F.col("i").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
-                  F.explode(J.met_blocks(F.col("n"), F.col("pos"), similar)).alias("block"))
+                  F.explode(J.met_blocks(F.col("of"), F.col("n"), F.col("pos"), similar)).alias("block"))
     b = at.select(F.col("i").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
-                  J.own_blocks(F.col("n"), F.col("pos"), similar).alias("block"))
+                  J.own_block(F.col("of"), F.col("pos"), similar).alias("block"))
     met = [(r.a, r.b) for r in a.join(b, "block").where("na < nb OR na = nb AND a < b").select("a", "b").collect()]
 
     def reach(x, y):
